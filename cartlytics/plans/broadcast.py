@@ -1,0 +1,25 @@
+"""Broadcast only behind a size check.
+
+``F.broadcast`` overrides Spark's own size threshold, so it is applied here
+only after counting at most ``max_rows + 1`` rows of the side (a limited scan,
+not a full job over big tables).  Beyond the bound the plain DataFrame is
+returned and the planner / AQE chooses a shuffle join, which they convert to
+a broadcast at run time when the shuffled side turns out small.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension rows we are willing to ship to every executor.
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads ≤ max_rows+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if bounded_rows(df, max_rows) else df
