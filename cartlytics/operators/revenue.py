@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import day_of, line_revenue
-from ..plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 from ..plans.global_rank import add_row_number
 
 
@@ -42,15 +42,15 @@ def daily_revenue(orders: DataFrame, order_items: DataFrame) -> DataFrame:
             .orderBy(F.asc_nulls_last("order_date")))
 
 
-def _products_side(products: DataFrame, cols: list[str], max_rows: int) -> DataFrame:
-    return broadcast_if_small(products.select("product_id", *cols), max_rows)
+def category_performance(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """Σ revenue and distinct products sold per category.
 
-
-def category_performance(order_items: DataFrame, products: DataFrame,
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Σ revenue and distinct products sold per category."""
+    The product dimension carries no broadcast hint: Spark's size estimate
+    broadcasts a small catalogue, and a large one is sort-merge joined to the
+    per-product sums (already hash-partitioned on product_id).
+    """
     per_product = revenue_per_product(order_items).select("product_id", "line_revenue")
-    dim = _products_side(products, ["category"], max_broadcast_rows)
+    dim = products.select("product_id", "category")
     return (per_product.join(dim, "product_id")
             .groupBy("category")
             .agg(F.sum("line_revenue").alias("revenue_usd"),
@@ -58,15 +58,14 @@ def category_performance(order_items: DataFrame, products: DataFrame,
             .orderBy(F.desc_nulls_last("revenue_usd"), F.asc_nulls_last("category")))
 
 
-def top_products(order_items: DataFrame, products: DataFrame, n: int = 10,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def top_products(order_items: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` (product_name, category) by revenue, with item-line counts.
 
     Grouped by name and category as the reference does (equal names merge);
     ties are broken by name, then category, so the cut is deterministic.
     """
     per_product = revenue_per_product(order_items)
-    dim = _products_side(products, ["product_name", "category"], max_broadcast_rows)
+    dim = products.select("product_id", "product_name", "category")
     grouped = (per_product.join(dim, "product_id")
                .groupBy("product_name", "category")
                .agg(F.sum("line_revenue").alias("revenue_usd"),
@@ -109,7 +108,9 @@ def distribution_summary(df: DataFrame, value: str, tiebreak: str,
     ``tiebreak``); the rows at the needed positions are picked out inside the
     same single-pass aggregate that computes the other statistics.
     """
-    vals = df.select(F.col(value).cast("double").alias("v"), F.col(tiebreak)).where(F.col("v").isNotNull())
+    exact = isinstance(df.schema[value].dataType, T.DecimalType)
+    vals = (df.select(F.col(value).alias("x"), F.col(value).cast("double").alias("v"), F.col(tiebreak))
+            .where(F.col("x").isNotNull()))
     numbered, n = add_row_number(vals, "v", tiebreak=[tiebreak], rn_col="rn")
     picks = []
     for p in probs:
@@ -118,11 +119,18 @@ def distribution_summary(df: DataFrame, value: str, tiebreak: str,
         hi = min(lo + 1, max(n, 1))
         picks.append((p, lo, hi, h - int(h)))
     positions = sorted({x for _, lo, hi, _ in picks for x in (lo, hi)})
-    aggs = [F.count("v").alias("count"),
-            F.try_divide(F.sum("v"), F.count("v")).alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max")]
+    cnt = F.count("v").cast("double")
+    if exact:
+        # exact DECIMAL sums, then one DOUBLE formula: no order-dependent rounding
+        x = F.col("x")
+        s1 = F.sum(x).cast("double")
+        s2 = F.sum(x * x).cast("double")
+        mean = F.try_divide(s1, cnt)
+        std = F.sqrt(F.try_divide(s2 - s1 * s1 / cnt, cnt - F.lit(1.0)))
+    else:
+        mean, std = F.avg("v"), F.stddev_samp("v")
+    aggs = [F.count("v").alias("count"), mean.alias("mean"), std.alias("std"),
+            F.min("v").alias("min"), F.max("v").alias("max")]
     aggs += [F.max(F.when(F.col("rn") == k, F.col("v"))).alias(f"_at_{k}") for k in positions]
     row = numbered.agg(*aggs)
     cols = [F.col("count"), F.col("mean"), F.col("std"), F.col("min")]
@@ -146,8 +154,8 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFram
     """
     v = F.col(value).cast("double")
     vals = df.select(v.alias("v")).where(F.col("v").isNotNull())
-    lo_raw = vals.select(F.min("v")).scalar()
-    hi_raw = vals.select(F.max("v")).scalar()
+    bounds = vals.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    lo_raw, hi_raw = bounds.getField("lo"), bounds.getField("hi")
     same = lo_raw == hi_raw
     lo = F.when(same, lo_raw - F.lit(0.5)).otherwise(lo_raw)
     hi = F.when(same, hi_raw + F.lit(0.5)).otherwise(hi_raw)

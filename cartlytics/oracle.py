@@ -156,17 +156,22 @@ SELECT customer_id, country, channel, orders, {_money('revenue_usd')} AS revenue
 FROM ltv ORDER BY ltv.revenue_usd DESC""", "r_customers", "r_orders", "r_order_items"),
 
     "ltv_summary": with_roles(f""", {_LTV}, v AS (
-    SELECT CAST(revenue_usd AS DOUBLE) AS v, revenue_usd AS x FROM ltv WHERE revenue_usd IS NOT NULL)
+    SELECT CAST(revenue_usd AS DOUBLE) AS v, CAST(revenue_usd AS DECIMAL(18,2)) AS x
+    FROM ltv WHERE revenue_usd IS NOT NULL
+), m AS (
+    SELECT CAST(COUNT(v) AS DOUBLE) AS cnt, CAST(SUM(x) AS DOUBLE) AS s1,
+           CAST(SUM(CAST(x AS DECIMAL(38,2)) * CAST(x AS DECIMAL(38,2))) AS DOUBLE) AS s2 FROM v)
 SELECT COUNT(v) AS count,
-       ROUND(CAST(SUM(x) AS DOUBLE) / COUNT(v), 6) AS mean,
-       ROUND(stddev_samp(v), 6) AS std,
+       ROUND(ANY_VALUE(m.s1) / NULLIF(ANY_VALUE(m.cnt), 0), 6) AS mean,
+       ROUND(SQRT((ANY_VALUE(m.s2) - ANY_VALUE(m.s1) * ANY_VALUE(m.s1) / ANY_VALUE(m.cnt))
+                  / NULLIF(ANY_VALUE(m.cnt) - CAST(1.0 AS DOUBLE), 0)), 6) AS std,
        ROUND(MIN(v), 6) AS min,
        ROUND(quantile_cont(v, 0.5), 6) AS p50,
        ROUND(quantile_cont(v, 0.75), 6) AS p75,
        ROUND(quantile_cont(v, 0.9), 6) AS p90,
        ROUND(quantile_cont(v, 0.95), 6) AS p95,
        ROUND(MAX(v), 6) AS max
-FROM v""", "r_customers", "r_orders", "r_order_items"),
+FROM v CROSS JOIN m""", "r_customers", "r_orders", "r_order_items"),
 
     "ltv_histogram": with_roles(f""", {_LTV}, v AS (
     SELECT CAST(revenue_usd AS DOUBLE) AS v FROM ltv WHERE revenue_usd IS NOT NULL

@@ -18,11 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..plans.broadcast import broadcast_if_small
 
 SIGNUP_EPOCH = "1995-01-01"
 SIGNUP_SPREAD_DAYS = 730
-NATION_ROWS_BOUND = 1_000
 CONVERSION_MIN_DAYS = 1
 CONVERSION_MAX_DAYS = 29
 
@@ -43,7 +41,8 @@ class TestRoles:
 
     def customers(self) -> DataFrame:
         c = self._t("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-        n = broadcast_if_small(self._t("nation").select("n_nationkey", "n_name"), NATION_ROWS_BOUND)
+        # no hint: nation is tiny, so the planner's size estimate broadcasts it
+        n = self._t("nation").select("n_nationkey", "n_name")
         return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
             F.col("c_custkey").alias("customer_id"),
             F.date_add(F.lit(SIGNUP_EPOCH).cast("date"),
