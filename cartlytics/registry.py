@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from .operators import cohorts, experiment, funnel, quality, ranking, revenue, sampling, timeseries
 from .sources import tables as tbl
-from .sources.roles import TestRoles
+from .sources.roles import RoleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,8 +36,8 @@ def finish(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = ()) -> DataFr
     return df.select(cols)
 
 
-def _roles(spark: SparkSession, sf_dir: str) -> TestRoles:
-    return TestRoles(spark, sf_dir)
+def _roles(spark: SparkSession, sf_dir: str) -> RoleTables:
+    return RoleTables(spark, sf_dir)
 
 
 def q_daily_revenue(spark, sf_dir):
@@ -55,7 +55,7 @@ def q_top_products(spark, sf_dir):
     return finish(revenue.top_products(r.order_items(), r.products(), 10))
 
 
-def _ltv(r: TestRoles) -> DataFrame:
+def _ltv(r: RoleTables) -> DataFrame:
     return revenue.customer_ltv(r.customers(), r.orders(), r.order_items())
 
 
@@ -71,7 +71,7 @@ def q_ltv_histogram(spark, sf_dir):
     return finish(revenue.ltv_histogram(_ltv(_roles(spark, sf_dir)), 30))
 
 
-def _signup_cohorts(r: TestRoles) -> DataFrame:
+def _signup_cohorts(r: RoleTables) -> DataFrame:
     return cohorts.signup_cohort_revenue(r.customers(), r.orders(), r.order_items())
 
 
@@ -93,7 +93,7 @@ def q_revenue_moving_avg(spark, sf_dir):
     return finish(timeseries.revenue_moving_avg(r.orders(), (7, 28)))
 
 
-def _purchase_cohorts(r: TestRoles) -> DataFrame:
+def _purchase_cohorts(r: RoleTables) -> DataFrame:
     return cohorts.purchase_cohorts(r.orders())
 
 

@@ -29,7 +29,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-class TestRoles:
+class RoleTables:
     """Lazily projected role DataFrames over one ``sf`` directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
