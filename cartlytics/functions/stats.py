@@ -8,14 +8,18 @@ raw participant rows.
 from __future__ import annotations
 
 import math
+import sys
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+# Ship this module's code with the UDF, so Python workers need not have the
+# package installed (on a cluster it may also be shipped with --py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 # The two-sided 95% normal critical value as scipy's
@@ -38,7 +42,8 @@ def two_sided_pvalue_np(z: pd.Series) -> pd.Series:
     out = pd.Series(np.nan, index=x.index, dtype="float64")
     ok = x.notna()
     if ok.any():
-        out[ok] = _erfc(np.abs(x[ok].to_numpy()) / math.sqrt(2.0)).astype("float64")
+        scaled = np.abs(x[ok].to_numpy()) / math.sqrt(2.0)
+        out[ok] = np.fromiter((math.erfc(v) for v in scaled), dtype="float64", count=len(scaled))
     return out
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import month_of, months_apart, ratio
+from ..plans.materialize import materialize
 from .revenue import revenue_per_order
 
 
@@ -45,7 +46,10 @@ def month_values(df: DataFrame, column: str) -> list[date]:
 def pivot_months(long: DataFrame, row_key: str, column_key: str, value: str,
                  months: Sequence[date] | None = None, fill=0) -> DataFrame:
     """Long → wide: one column per month (named ``YYYY-MM-01``), missing = ``fill``."""
-    values = list(months) if months is not None else month_values(long, column_key)
+    if months is None:
+        long = materialize(long)      # the value scan and the pivot read it once
+        months = month_values(long, column_key)
+    values = list(months)
     wide = long.groupBy(row_key).pivot(column_key, values).agg(F.first(value))
     names = [c for c in wide.columns if c != row_key]
     return wide.fillna(fill, subset=names) if names else wide

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import day_of, line_revenue
 from ..plans.global_rank import add_row_number
+from ..plans.materialize import materialize
 
 
 def revenue_per_order(order_items: DataFrame) -> DataFrame:
@@ -153,7 +154,7 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFram
     as numpy does.  Every bin appears, empty ones with 0.
     """
     v = F.col(value).cast("double")
-    vals = df.select(v.alias("v")).where(F.col("v").isNotNull())
+    vals = materialize(df.select(v.alias("v")).where(F.col("v").isNotNull()))
     bounds = vals.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
     lo_raw, hi_raw = bounds.getField("lo"), bounds.getField("hi")
     same = lo_raw == hi_raw

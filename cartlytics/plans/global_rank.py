@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .materialize import materialize
+
 MAX_DEFAULT_BUCKETS = 1024
 QUANTILE_ACCURACY = 10_000
 
@@ -142,6 +144,7 @@ def add_row_number(df: DataFrame, value: str, descending: bool = False,
     desc = descending
     tie = tiebreak[0] if tiebreak else None
     b = buckets or _default_buckets(df)
+    df = materialize(df)          # the planning pass and the main job read it once
     cuts, n = _plan_cuts(df, value, desc, tie, b)
 
     v = F.col(value)

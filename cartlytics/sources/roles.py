@@ -35,9 +35,12 @@ class RoleTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def _t(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     def customers(self) -> DataFrame:
         c = self._t("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
