@@ -15,10 +15,11 @@ from pyspark.sql.window import Window
 
 from ..functions.columns import month_of, months_apart, ratio
 from ..plans.materialize import materialize
-from .revenue import revenue_per_order
+from .revenue import revenue_per_order, sorted_if
 
 
-def signup_cohort_revenue(customers: DataFrame, orders: DataFrame, order_items: DataFrame) -> DataFrame:
+def signup_cohort_revenue(customers: DataFrame, orders: DataFrame, order_items: DataFrame,
+                          ordered: bool = True) -> DataFrame:
     """Σ item revenue by signup month × order month.
 
     Items are summed per order and then per (customer, order month) before
@@ -31,10 +32,10 @@ def signup_cohort_revenue(customers: DataFrame, orders: DataFrame, order_items:
                           .groupBy("customer_id", "order_month")
                           .agg(F.sum("line_revenue").alias("line_revenue")))
     signup = customers.select("customer_id", F.trunc("signup_date", "month").alias("signup_month"))
-    return (per_customer_month.join(signup, "customer_id")
-            .groupBy("signup_month", "order_month")
-            .agg(F.sum("line_revenue").alias("revenue_usd"))
-            .orderBy(F.asc_nulls_last("signup_month"), F.asc_nulls_last("order_month")))
+    out = (per_customer_month.join(signup, "customer_id")
+           .groupBy("signup_month", "order_month")
+           .agg(F.sum("line_revenue").alias("revenue_usd")))
+    return sorted_if(out, ordered, F.asc_nulls_last("signup_month"), F.asc_nulls_last("order_month"))
 
 
 def month_values(df: DataFrame, column: str) -> list[date]:
@@ -61,7 +62,7 @@ def cohort_revenue_matrix(cohort_revenue: DataFrame, months: Sequence[date] | No
     return pivot_months(long, "signup_month", "order_month", "revenue_usd", months, 0.0)
 
 
-def purchase_cohorts(orders: DataFrame) -> DataFrame:
+def purchase_cohorts(orders: DataFrame, ordered: bool = True) -> DataFrame:
     """First-purchase month × purchase month → distinct customers.
 
     Orders are first reduced to distinct (customer, month) pairs (partial
@@ -73,17 +74,17 @@ def purchase_cohorts(orders: DataFrame) -> DataFrame:
               .select("customer_id", month_of("order_ts").alias("purchase_month"))
               .distinct())
     per_customer = Window.partitionBy("customer_id")
-    return (months.withColumn("cohort_month", F.min("purchase_month").over(per_customer))
-            .groupBy("cohort_month", "purchase_month")
-            .agg(F.count(F.lit(1)).alias("customers"))
-            .orderBy(F.asc_nulls_last("cohort_month"), F.asc_nulls_last("purchase_month")))
+    out = (months.withColumn("cohort_month", F.min("purchase_month").over(per_customer))
+           .groupBy("cohort_month", "purchase_month")
+           .agg(F.count(F.lit(1)).alias("customers")))
+    return sorted_if(out, ordered, F.asc_nulls_last("cohort_month"), F.asc_nulls_last("purchase_month"))
 
 
 def cohort_customer_matrix(cohorts: DataFrame, months: Sequence[date] | None = None) -> DataFrame:
     return pivot_months(cohorts, "cohort_month", "purchase_month", "customers", months, 0)
 
 
-def cohort_retention(cohorts: DataFrame, max_offset: int = 3) -> DataFrame:
+def cohort_retention(cohorts: DataFrame, max_offset: int = 3, ordered: bool = True) -> DataFrame:
     """Share of each cohort active ``k`` months after its first month, k ≤ max_offset.
 
     The divisor is the cohort's own offset-0 size (the corrected reading of
@@ -94,30 +95,33 @@ def cohort_retention(cohorts: DataFrame, max_offset: int = 3) -> DataFrame:
                    .withColumn("month_offset", months_apart("cohort_month", "purchase_month")))
     per_cohort = Window.partitionBy("cohort_month")
     size = F.max(F.when(F.col("month_offset") == 0, F.col("customers"))).over(per_cohort)
-    return (with_offset.where(F.col("month_offset").between(0, max_offset))
-            .withColumn("cohort_size", size)
-            .select("cohort_month", "month_offset", "customers", "cohort_size",
-                    ratio("customers", "cohort_size").alias("retention"))
-            .orderBy("cohort_month", "month_offset"))
+    out = (with_offset.where(F.col("month_offset").between(0, max_offset))
+           .withColumn("cohort_size", size)
+           .select("cohort_month", "month_offset", "customers", "cohort_size",
+                   ratio("customers", "cohort_size").alias("retention")))
+    return sorted_if(out, ordered, "cohort_month", "month_offset")
 
 
-def cohort_retention_calendar(cohorts: DataFrame, n_months: int = 4) -> DataFrame:
+def cohort_retention_calendar(cohorts: DataFrame, n_months: int = 4, ordered: bool = True) -> DataFrame:
     """The literal matrix reading: each cohort's customers in the first
     ``n_months`` calendar months, divided by its count in the first calendar
     month (0-filled).  Every cohort but the earliest has 0 there, so its
     retention is NULL (x/0 and 0/0 both become NULL).
     """
-    first_months = (cohorts.where(F.col("purchase_month").isNotNull())
-                    .select(F.slice(F.array_sort(F.collect_set("purchase_month")), 1, n_months))
-                    .scalar())
-    first_month = F.element_at(first_months, 1)
+    cohorts = materialize(cohorts.select("cohort_month", "purchase_month", "customers"))
+    firsts = [r[0] for r in cohorts.where(F.col("purchase_month").isNotNull())
+              .select("purchase_month").distinct().orderBy("purchase_month").limit(n_months).collect()]
+    if not firsts:
+        return cohorts.select("cohort_month", "purchase_month",
+                              F.lit(None).cast("double").alias("retention")).limit(0)
+    first_month = F.lit(firsts[0])
     grid = (cohorts.select("cohort_month").distinct()
-            .select("cohort_month", F.explode(first_months).alias("purchase_month")))
+            .select("cohort_month", F.explode(F.array(*[F.lit(m) for m in firsts])).alias("purchase_month")))
     cells = grid.join(cohorts.select("cohort_month", "purchase_month", "customers"),
                       ["cohort_month", "purchase_month"], "left")
     cells = cells.withColumn("customers", F.coalesce(F.col("customers"), F.lit(0)))
     per_cohort = Window.partitionBy("cohort_month")
     base = F.max(F.when(F.col("purchase_month") == first_month, F.col("customers"))).over(per_cohort)
-    return (cells.withColumn("base", F.coalesce(base, F.lit(0)))
-            .select("cohort_month", "purchase_month", ratio("customers", "base").alias("retention"))
-            .orderBy(F.asc_nulls_last("cohort_month"), "purchase_month"))
+    out = (cells.withColumn("base", F.coalesce(base, F.lit(0)))
+           .select("cohort_month", "purchase_month", ratio("customers", "base").alias("retention")))
+    return sorted_if(out, ordered, F.asc_nulls_last("cohort_month"), "purchase_month")

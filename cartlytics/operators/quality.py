@@ -36,9 +36,15 @@ def check_primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-null key has no parent row."""
+def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, unique_parent: bool = True) -> DataFrame:
+    """Child rows whose non-null key has no parent row.
+
+    A parent key that repeats (e.g. ``order_items.order_id``) is de-duplicated
+    first; partial aggregation shrinks it before the anti-join's shuffle.
+    """
     keys = parent.select(F.col(pk).alias(fk))
+    if not unique_parent:
+        keys = keys.distinct()
     return child.where(F.col(fk).isNotNull()).join(keys, fk, "left_anti")
 
 
@@ -49,7 +55,8 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     parts = []
     for child, fk, parent, pk in edges:
         if child in tables and parent in tables:
-            bad = orphans(tables[child].select(fk), fk, tables[parent], pk)
+            unique = PRIMARY_KEYS.get(parent) == pk
+            bad = orphans(tables[child].select(fk), fk, tables[parent], pk, unique)
             parts.append(bad.agg(F.lit(f"{child}.{fk} -> {parent}.{pk}").alias("edge"),
                                  F.count(F.lit(1)).alias("violations")))
     return reduce(DataFrame.unionByName, parts)

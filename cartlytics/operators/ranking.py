@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.global_rank import add_row_number
+from ..plans.materialize import materialize
 
 
 def ranked_customers(orders: DataFrame, customers: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -31,10 +32,11 @@ def recency_weight(customers: DataFrame, floor: float = 0.3, buckets: int | None
     Ranks run 1..n, so Σ (floor + (1-floor)·r/n) = floor·n + (1-floor)(n+1)/2
     and no second pass over the data is needed for the total.
     """
-    dated = customers.select("customer_id", "signup_date")
-    ranked, _ = add_row_number(dated.where(F.col("signup_date").isNotNull()), "signup_date",
-                               tiebreak=["customer_id"], rn_col="r", buckets=buckets)
-    total = dated.select(F.count("signup_date").cast("double")).scalar()
+    dated = materialize(customers.select("customer_id", "signup_date"))
+    ranked, n = add_row_number(dated.where(F.col("signup_date").isNotNull()), "signup_date",
+                               tiebreak=["customer_id"], rn_col="r", buckets=buckets,
+                               materialize_input=False)
+    total = F.lit(float(n))
     raw = F.lit(floor) + F.lit(1.0 - floor) * F.col("r").cast("double") / total
     norm = F.lit(floor) * total + F.lit((1.0 - floor) / 2.0) * (total + F.lit(1.0))
     weighted = ranked.select("customer_id", (raw / norm).alias("weight"))

@@ -33,17 +33,23 @@ def revenue_per_product(order_items: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("item_lines")))
 
 
-def daily_revenue(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+def sorted_if(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+    """The reference's ORDER BY; composing callers pass ``ordered=False`` so
+    no global sort runs under a later join, window or aggregate."""
+    return df.orderBy(*keys) if ordered else df
+
+
+def daily_revenue(orders: DataFrame, order_items: DataFrame, ordered: bool = True) -> DataFrame:
     """orders ⋈ items (inner), Σ qty × unit price per order date."""
     per_order = revenue_per_order(order_items).select("order_id", "line_revenue")
     dated = orders.select("order_id", day_of("order_ts").alias("order_date"))
-    return (dated.join(per_order, "order_id")
-            .groupBy("order_date")
-            .agg(F.sum("line_revenue").alias("daily_revenue_usd"))
-            .orderBy(F.asc_nulls_last("order_date")))
+    out = (dated.join(per_order, "order_id")
+           .groupBy("order_date")
+           .agg(F.sum("line_revenue").alias("daily_revenue_usd")))
+    return sorted_if(out, ordered, F.asc_nulls_last("order_date"))
 
 
-def category_performance(order_items: DataFrame, products: DataFrame) -> DataFrame:
+def category_performance(order_items: DataFrame, products: DataFrame, ordered: bool = True) -> DataFrame:
     """Σ revenue and distinct products sold per category.
 
     The product dimension carries no broadcast hint: Spark's size estimate
@@ -52,11 +58,11 @@ def category_performance(order_items: DataFrame, products: DataFrame) -> DataFra
     """
     per_product = revenue_per_product(order_items).select("product_id", "line_revenue")
     dim = products.select("product_id", "category")
-    return (per_product.join(dim, "product_id")
-            .groupBy("category")
-            .agg(F.sum("line_revenue").alias("revenue_usd"),
-                 F.countDistinct("product_id").alias("products_sold"))
-            .orderBy(F.desc_nulls_last("revenue_usd"), F.asc_nulls_last("category")))
+    out = (per_product.join(dim, "product_id")
+           .groupBy("category")
+           .agg(F.sum("line_revenue").alias("revenue_usd"),
+                F.countDistinct("product_id").alias("products_sold")))
+    return sorted_if(out, ordered, F.desc_nulls_last("revenue_usd"), F.asc_nulls_last("category"))
 
 
 def top_products(order_items: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
@@ -77,7 +83,8 @@ def top_products(order_items: DataFrame, products: DataFrame, n: int = 10) -> Da
             .limit(n))
 
 
-def customer_ltv(customers: DataFrame, orders: DataFrame, order_items: DataFrame) -> DataFrame:
+def customer_ltv(customers: DataFrame, orders: DataFrame, order_items: DataFrame,
+                 ordered: bool = True) -> DataFrame:
     """customers ⋈ orders ⋈ items: distinct orders and Σ revenue per customer.
 
     Items are summed per order, orders per customer (partial aggregation
@@ -90,10 +97,10 @@ def customer_ltv(customers: DataFrame, orders: DataFrame, order_items: DataFrame
                     .groupBy("customer_id")
                     .agg(F.countDistinct("order_id").alias("orders"),
                          F.sum("line_revenue").alias("revenue_usd")))
-    return (customers.select("customer_id", "country", "channel")
-            .join(per_customer, "customer_id")
-            .select("customer_id", "country", "channel", "orders", "revenue_usd")
-            .orderBy(F.desc_nulls_last("revenue_usd"), F.asc_nulls_last("customer_id")))
+    out = (customers.select("customer_id", "country", "channel")
+           .join(per_customer, "customer_id")
+           .select("customer_id", "country", "channel", "orders", "revenue_usd"))
+    return sorted_if(out, ordered, F.desc_nulls_last("revenue_usd"), F.asc_nulls_last("customer_id"))
 
 
 def _interpolated(lo: F.Column, hi: F.Column, frac: float) -> F.Column:
@@ -149,24 +156,27 @@ def ltv_summary(ltv: DataFrame, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95
 def equal_width_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram from min to max; the last bin is closed.
 
-    min and max are scalar subqueries (one partial aggregate, broadcast as a
-    literal).  When min equals max the range is widened by 0.5 on each side,
-    as numpy does.  Every bin appears, empty ones with 0.
+    The values are materialised once; min and max (one partial aggregate,
+    two numbers) become literals of the bucketing plan.  When min equals max
+    the range is widened by 0.5 on each side, as numpy does.  Every bin
+    appears, empty ones with 0.
     """
     v = F.col(value).cast("double")
     vals = materialize(df.select(v.alias("v")).where(F.col("v").isNotNull()))
-    bounds = vals.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-    lo_raw, hi_raw = bounds.getField("lo"), bounds.getField("hi")
-    same = lo_raw == hi_raw
-    lo = F.when(same, lo_raw - F.lit(0.5)).otherwise(lo_raw)
-    hi = F.when(same, hi_raw + F.lit(0.5)).otherwise(hi_raw)
+    lo_v, hi_v = vals.agg(F.min("v"), F.max("v")).first()
+    if lo_v is None:
+        return df.sparkSession.createDataFrame(
+            [], "bucket int, bin_low double, bin_high double, customers bigint")
+    if lo_v == hi_v:
+        lo_v, hi_v = lo_v - 0.5, hi_v + 0.5
+    lo, hi = F.lit(lo_v), F.lit(hi_v)
     bucket = F.least(F.floor((F.col("v") - lo) * F.lit(float(bins)) / (hi - lo)) + 1, F.lit(bins)).cast("int")
     counts = vals.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("customers"))
     edges = (df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bucket"))
              .select("bucket",
                      (lo + (F.col("bucket") - 1) * (hi - lo) / F.lit(float(bins))).alias("bin_low"),
                      (lo + F.col("bucket") * (hi - lo) / F.lit(float(bins))).alias("bin_high")))
-    return (edges.where(lo_raw.isNotNull())
+    return (edges
             .join(F.broadcast(counts), "bucket", "left")
             .select("bucket", "bin_low", "bin_high",
                     F.coalesce(F.col("customers"), F.lit(0)).alias("customers"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.materialize import materialize
+
 
 def sample_key(seed: int | str, id_col: str) -> F.Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
@@ -30,7 +32,7 @@ def referential_sample(tables: dict[str, DataFrame], n: int = 500, seed: int = 4
     bounded.  Sampled orders may be many (one customer can own a large share
     of all orders), so that semi-join is left to the planner / AQE.
     """
-    customers = sample_customers(tables["customers"], n, seed)
+    customers = materialize(sample_customers(tables["customers"], n, seed))
     keys = F.broadcast(customers.select("customer_id"))
     orders = tables["orders"].join(keys, "customer_id", "left_semi")
     items = tables["order_items"].join(orders.select("order_id"), "order_id", "left_semi")

@@ -25,7 +25,7 @@ def trailing_mean(value: str, order: str, rows: int,
 
 
 def revenue_moving_avg(orders: DataFrame, windows: Sequence[int] = (7, 28),
-                       segment: Sequence[str] = ()) -> DataFrame:
+                       segment: Sequence[str] = (), ordered: bool = True) -> DataFrame:
     """Σ ``revenue_usd`` per day, plus ``ma{k}`` for each window size.
 
     After the (partially aggregated) daily roll-up there is one row per day
@@ -36,4 +36,5 @@ def revenue_moving_avg(orders: DataFrame, windows: Sequence[int] = (7, 28),
     daily = orders.groupBy(*keys).agg(F.sum("revenue_usd").alias("revenue"))
     cols = [F.col(c) for c in segment] + [F.col("day"), F.col("revenue")]
     cols += [trailing_mean("revenue", "day", k, segment).alias(f"ma{k}") for k in windows]
-    return daily.select(*cols).orderBy(*segment, "day")
+    out = daily.select(*cols)
+    return out.orderBy(*segment, F.asc_nulls_last("day")) if ordered else out

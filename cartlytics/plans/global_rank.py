@@ -133,7 +133,8 @@ def _bucket_expr(cuts: list[_Cut], v: Column, t: Column | None, desc: bool) -> C
 def add_row_number(df: DataFrame, value: str, descending: bool = False,
                    tiebreak: Sequence[str] = (), rn_col: str | None = "rn",
                    rank_col: str | None = None,
-                   buckets: int | None = None) -> tuple[DataFrame, int]:
+                   buckets: int | None = None,
+                   materialize_input: bool = True) -> tuple[DataFrame, int]:
     """Add global ``row_number`` (by ``value``, then ``tiebreak`` ascending)
     and/or ``rank`` (by ``value`` only) without a single-partition window.
 
@@ -144,7 +145,8 @@ def add_row_number(df: DataFrame, value: str, descending: bool = False,
     desc = descending
     tie = tiebreak[0] if tiebreak else None
     b = buckets or _default_buckets(df)
-    df = materialize(df)          # the planning pass and the main job read it once
+    if materialize_input:
+        df = materialize(df)      # the planning pass and the main job read it once
     cuts, n = _plan_cuts(df, value, desc, tie, b)
 
     v = F.col(value)

@@ -56,11 +56,12 @@ def q_top_products(spark, sf_dir):
 
 
 def _ltv(r: RoleTables) -> DataFrame:
-    return revenue.customer_ltv(r.customers(), r.orders(), r.order_items())
+    return revenue.customer_ltv(r.customers(), r.orders(), r.order_items(), ordered=False)
 
 
 def q_customer_ltv(spark, sf_dir):
-    return finish(_ltv(_roles(spark, sf_dir)))
+    r = _roles(spark, sf_dir)
+    return finish(revenue.customer_ltv(r.customers(), r.orders(), r.order_items()))
 
 
 def q_ltv_summary(spark, sf_dir):
@@ -71,12 +72,12 @@ def q_ltv_histogram(spark, sf_dir):
     return finish(revenue.ltv_histogram(_ltv(_roles(spark, sf_dir)), 30))
 
 
-def _signup_cohorts(r: RoleTables) -> DataFrame:
-    return cohorts.signup_cohort_revenue(r.customers(), r.orders(), r.order_items())
+def _signup_cohorts(r: RoleTables, ordered: bool = False) -> DataFrame:
+    return cohorts.signup_cohort_revenue(r.customers(), r.orders(), r.order_items(), ordered)
 
 
 def q_signup_cohort_revenue(spark, sf_dir):
-    return finish(_signup_cohorts(_roles(spark, sf_dir)))
+    return finish(_signup_cohorts(_roles(spark, sf_dir), ordered=True))
 
 
 def q_cohort_revenue_matrix(spark, sf_dir):
@@ -93,12 +94,12 @@ def q_revenue_moving_avg(spark, sf_dir):
     return finish(timeseries.revenue_moving_avg(r.orders(), (7, 28)))
 
 
-def _purchase_cohorts(r: RoleTables) -> DataFrame:
-    return cohorts.purchase_cohorts(r.orders())
+def _purchase_cohorts(r: RoleTables, ordered: bool = False) -> DataFrame:
+    return cohorts.purchase_cohorts(r.orders(), ordered)
 
 
 def q_purchase_cohorts(spark, sf_dir):
-    return _purchase_cohorts(_roles(spark, sf_dir))
+    return _purchase_cohorts(_roles(spark, sf_dir), ordered=True)
 
 
 def q_cohort_customer_matrix(spark, sf_dir):
