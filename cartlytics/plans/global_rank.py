@@ -30,6 +30,7 @@ from typing import Any, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .materialize import materialize
@@ -45,6 +46,12 @@ class _Cut:
     tie: Any = None
 
 
+def _quantile_type(df: DataFrame, col: str) -> bool:
+    """Types ``percentile_approx`` accepts (numeric, date, timestamp)."""
+    t = df.schema[col].dataType
+    return isinstance(t, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def _default_buckets(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(1, min(parts, MAX_DEFAULT_BUCKETS))
@@ -143,7 +150,10 @@ def add_row_number(df: DataFrame, value: str, descending: bool = False,
     DataFrame and the row count (from the planning pass).
     """
     desc = descending
-    tie = tiebreak[0] if tiebreak else None
+    if not _quantile_type(df, value):
+        raise ValueError(f"global rank needs a numeric, date or timestamp sort column, not {value}")
+    # the first tiebreak also splits hot tie groups when quantiles apply to it
+    tie = tiebreak[0] if tiebreak and _quantile_type(df, tiebreak[0]) else None
     b = buckets or _default_buckets(df)
     if materialize_input:
         df = materialize(df)      # the planning pass and the main job read it once

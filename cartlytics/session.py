@@ -52,6 +52,7 @@ def local_session(cores: int | str = "8", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("CARTLYTICS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)

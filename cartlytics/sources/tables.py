@@ -29,8 +29,9 @@ def load_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
             .csv(path))
 
 
-def load_tables_csv(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    return {t: load_csv(spark, f"{directory.rstrip('/')}/{t}.csv", t) for t in TABLES}
+def load_tables_csv(spark: SparkSession, directory: str,
+                    names: tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
+    return {t: load_csv(spark, f"{directory.rstrip('/')}/{t}.csv", t) for t in names}
 
 
 def load_tables_parquet(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
