@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 
 from .materialize import materialize
 
-MAX_DEFAULT_BUCKETS = 1024
+MAX_DEFAULT_BUCKETS = 512
 QUANTILE_ACCURACY = 10_000
 
 
@@ -110,33 +110,37 @@ def _plan_cuts(df: DataFrame, value: str, desc: bool, tie: str | None,
     return cuts, n
 
 
-def _value_after(v: Column, x: Any, desc: bool) -> Column:
-    """Row's value sorts strictly after ``x`` (nulls last)."""
-    return v.isNull() | ((v < F.lit(x)) if desc else (v > F.lit(x)))
-
-
-def _tie_after(t: Column, x: Any) -> Column:
-    return t.isNull() | (t > F.lit(x))
-
-
-def _after(cut: _Cut, v: Column, t: Column | None, desc: bool) -> Column:
+def _after_non_null(cut: _Cut, v: Column, t: Column | None, desc: bool) -> Column:
+    """A row with a non-null value sorts strictly after ``cut``."""
+    x = F.lit(cut.value)
+    beyond = (v < x) if desc else (v > x)
     if cut.kind == "value":
-        return _value_after(v, cut.value, desc)
-    if cut.kind == "tie":
-        return _value_after(v, cut.value, desc) | ((v == F.lit(cut.value)) & _tie_after(t, cut.tie))
-    return v.isNull() & _tie_after(t, cut.tie)
+        return beyond
+    return beyond | ((v == x) & (t.isNull() | (t > F.lit(cut.tie))))
 
 
-def _bucket_expr(cuts: list[_Cut], v: Column, t: Column | None, desc: bool) -> Column:
-    """Number of cuts the row sorts after, by binary search (cuts are sorted)."""
+def _search(cuts: list[_Cut], after) -> Column:
+    """Number of (sorted) cuts a row sorts after: binary search as nested CASE."""
     def build(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(_after(cuts[mid - 1], v, t, desc), build(mid, hi)).otherwise(build(lo, mid - 1))
+        return F.when(after(cuts[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
     return build(0, len(cuts))
 
 
+def _bucket_expr(cuts: list[_Cut], v: Column, t: Column | None, desc: bool) -> Column:
+    """Bucket of a row.  NULL values (sorted last) branch off once at the top,
+    so each node of the value search is a plain comparison; this keeps the
+    generated code small enough to compile for several hundred buckets."""
+    value_cuts = [c for c in cuts if c.kind != "null_tie"]
+    null_cuts = [c for c in cuts if c.kind == "null_tie"]
+    on_values = _search(value_cuts, lambda c: _after_non_null(c, v, t, desc))
+    on_nulls = F.lit(len(value_cuts)) + _search(
+        null_cuts, lambda c: t.isNull() | (t > F.lit(c.tie)))
+    return F.when(v.isNull(), on_nulls).otherwise(on_values)
+
+
 def add_row_number(df: DataFrame, value: str, descending: bool = False,
                    tiebreak: Sequence[str] = (), rn_col: str | None = "rn",
                    rank_col: str | None = None,
