@@ -6,9 +6,8 @@ codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def col(c: str | Column) -> Column:
@@ -49,21 +48,3 @@ def months_apart(start: str | Column, end: str | Column) -> Column:
 def ratio(num: str | Column, den: str | Column) -> Column:
     """True division as DOUBLE; NULL where the denominator is 0 or NULL."""
     return F.try_divide(col(num).cast("double"), col(den).cast("double"))
-
-
-def decimals_to_double(df: DataFrame) -> DataFrame:
-    """Cast every DECIMAL column to DOUBLE (after exact summation)."""
-    return df.select([
-        F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-        else F.col(f.name)
-        for f in df.schema.fields
-    ])
-
-
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every DOUBLE column (for engine-independent comparison)."""
-    return df.select([
-        F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-        else F.col(f.name)
-        for f in df.schema.fields
-    ])

@@ -1,2 +1,2 @@
-"""Physical-plan helpers: size-checked broadcast, the distributed global
-ranking used by the unpartitioned window queries, and plan inspection."""
+"""Physical-plan helpers: the distributed global ranking used by the
+unpartitioned window queries, and materialisation of reused inputs."""

@@ -21,13 +21,12 @@ from .sources.roles import RoleTables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def finish(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
+def finish(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Money (DECIMAL) → DOUBLE rounded to cents; other DOUBLEs rounded."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if f.name in keep:
-            cols.append(c)
-        elif isinstance(f.dataType, T.DecimalType):
+        if isinstance(f.dataType, T.DecimalType):
             cols.append(F.round(c.cast("double"), 2).alias(f.name))
         elif isinstance(f.dataType, T.DoubleType):
             cols.append(F.round(c, digits).alias(f.name))
