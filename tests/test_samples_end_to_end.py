@@ -70,3 +70,17 @@ def test_reports_run(t):
     assert ma[6]["ma7"] is not None and ma[5]["ma7"] is None
     ret = cohorts.cohort_retention(cohorts.purchase_cohorts(t["orders"], ordered=False))
     assert ret.where("month_offset = 0 AND retention != 1.0").count() == 0
+
+
+def test_every_report_runs_on_user_tables(t):
+    from cartlytics.registry import QUERIES
+    from cartlytics.reports import REPORTS, build_reports
+    assert set(REPORTS) == set(QUERIES)
+    built = build_reports(t)
+    # the sample set has no events file: the funnel and the sample need it
+    missing = {"customer_funnel", "funnel_steps", "monthly_funnel", "monthly_funnel_rates",
+               "referential_sample"}
+    assert set(built) == set(REPORTS) - missing
+    for name, df in built.items():
+        assert df.count() >= 1, name
+    assert built["cohort_revenue_matrix"].columns[0] == "signup_month"
