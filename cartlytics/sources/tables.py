@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,17 @@ def load_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def load_tables_csv(spark: SparkSession, directory: str,
-                    names: tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
-    return {t: load_csv(spark, f"{directory.rstrip('/')}/{t}.csv", t) for t in names}
+                    names: tuple[str, ...] = TABLES, skip_missing: bool = True) -> dict[str, DataFrame]:
+    """The tables found as ``<directory>/<table>.csv``; absent files are
+    skipped (the published sample set has no events file)."""
+    out = {}
+    for t in names:
+        try:
+            out[t] = load_csv(spark, f"{directory.rstrip('/')}/{t}.csv", t)
+        except AnalysisException as e:
+            if not (skip_missing and "PATH_NOT_FOUND" in str(e)):
+                raise
+    return out
 
 
 def load_tables_parquet(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
