@@ -124,15 +124,16 @@ class RoleTables:
     def marketing_experiments(self) -> DataFrame:
         """One participant per ordering customer.
 
-        The orders are first reduced to distinct (customer, day) pairs, so a
+        The orders are first reduced to one row per (customer, day), so a
         customer's group in the window below is bounded by the calendar, not
         by how many orders a hot customer places.
         """
+        # earliest order per (customer, day): the exposure and the conversion
+        # are minima over these, and a customer has at most one row per day
         days = (self._t("orders")
-                .select(F.col("o_custkey").alias("user_id"),
-                        F.col("o_orderdate").alias("ts"))
-                .where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
-                .distinct())
+                .where(F.col("o_custkey").isNotNull() & F.col("o_orderdate").isNotNull())
+                .groupBy(F.col("o_custkey").alias("user_id"), F.to_date("o_orderdate").alias("day"))
+                .agg(F.min("o_orderdate").alias("ts")))
         per_user = Window.partitionBy("user_id")
         delay = F.datediff(F.to_date("ts"), F.to_date("exposed_ts"))
         with_first = days.withColumn("exposed_ts", F.min("ts").over(per_user))
