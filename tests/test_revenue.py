@@ -110,3 +110,19 @@ def test_moving_average_counts_rows(spark, n_rows):
             assert r["ma28"] is None
         else:
             assert math.isclose(r["ma28"], sum(range(i - 26, i + 2)) / 28)
+
+
+def test_top_products_merges_equal_names_and_breaks_ties(spark):
+    from cartlytics.sources import schemas as S
+    from tests.conftest import D
+    products = spark.createDataFrame([
+        (1, "Twin", "Analytics", D(10)), (2, "Twin", "Analytics", D(10)),   # same name+category merge
+        (3, "Bravo", "Finance", D(10)), (4, "Alpha", "Finance", D(10)), (5, "Zulu", "Finance", D(10)),
+    ], S.PRODUCTS)
+    items = spark.createDataFrame([
+        (1, 1, 1, D(30)), (2, 2, 1, D(30)),                 # Twin: 60 over 2 lines
+        (3, 3, 1, D(40)), (4, 4, 1, D(40)), (5, 5, 1, D(40)),  # three-way tie at 40
+    ], S.ORDER_ITEMS)
+    top = R.top_products(items, products, 3).collect()
+    assert [(r["product_name"], r["revenue_usd"], r["item_lines"]) for r in top] == [
+        ("Twin", Decimal("60.00"), 2), ("Alpha", Decimal("40.00"), 1), ("Bravo", Decimal("40.00"), 1)]
