@@ -31,8 +31,16 @@ def primary_key_violations(df: DataFrame, table: str, key: str) -> DataFrame:
     )
 
 
+def _spark(tables: dict[str, DataFrame]):
+    return next(iter(tables.values())).sparkSession
+
+
 def check_primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
     parts = [primary_key_violations(tables[t], t, k) for t, k in PRIMARY_KEYS.items() if t in tables]
+    if not parts:
+        return _spark(tables).createDataFrame(
+            [], "table_name string, key_column string, n_rows bigint, null_keys bigint, "
+                "duplicate_keys bigint, duplicate_rows bigint")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -72,4 +80,6 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
             unique = PRIMARY_KEYS.get(parent) == pk
             cnt = orphan_count(tables[child].select(fk), fk, tables[parent], pk, unique)
             parts.append(cnt.select(F.lit(f"{child}.{fk} -> {parent}.{pk}").alias("edge"), "violations"))
+    if not parts:
+        return _spark(tables).createDataFrame([], "edge string, violations bigint")
     return reduce(DataFrame.unionByName, parts)
