@@ -15,6 +15,7 @@ def _events(spark):
         (7, 3, "2024-01-10 09:00:00", "visit"), (8, 3, "2024-01-11 09:00:00", "purchase"),
         (9, 4, "2024-01-10 09:00:00", "trial_start"), (10, 4, "2024-01-12 09:00:00", "cancel"),
         (11, 5, "2024-03-01 09:00:00", "signup"), (12, 5, "2024-03-02 09:00:00", "purchase"),
+        (13, 6, "2024-04-07 09:00:00", "visit"),                  # a month with no signup
     ]
     return spark.createDataFrame([(e, c, ts(t), k) for e, c, t, k in rows],
                                  "event_id long, customer_id long, event_ts timestamp_ntz, event_type string")
@@ -42,9 +43,9 @@ def test_one_pass_equals_join_form(spark):
 
 def test_funnel_steps(spark):
     row = FN.funnel_steps(FN.customer_funnel(_events(spark))).first()
-    assert (row["visit"], row["signup"], row["purchase"]) == (3, 2, 2)
-    assert row["visit_to_signup"] == 2 / 3 and row["signup_to_purchase"] == 1.0
-    assert row["visit_to_purchase"] == 2 / 3
+    assert (row["visit"], row["signup"], row["purchase"]) == (4, 2, 2)
+    assert row["visit_to_signup"] == 0.5 and row["signup_to_purchase"] == 1.0
+    assert row["visit_to_purchase"] == 0.5
 
 
 def test_funnel_zero_denominator_is_null(spark):
@@ -56,8 +57,10 @@ def test_funnel_zero_denominator_is_null(spark):
 def test_monthly_keeps_null_month(spark):
     rows = {r["month"]: (r["visitors"], r["signups"], r["purchasers"])
             for r in FN.monthly_funnel(_events(spark)).collect()}
-    assert rows == {d("2024-01-01"): (2, 1, 2), d("2024-02-01"): (1, 1, 0), None: (2, 1, 1)}
+    assert rows == {d("2024-01-01"): (2, 1, 2), d("2024-02-01"): (1, 1, 0), None: (2, 1, 1),
+                    d("2024-04-01"): (1, 0, 0)}
     rates = {r["month"]: (r["visit_to_signup"], r["signup_to_purchase"])
              for r in FN.monthly_funnel_rates(FN.monthly_funnel(_events(spark))).collect()}
     assert rates[d("2024-02-01")] == (1.0, 0.0)
+    assert rates[d("2024-04-01")] == (0.0, None)          # no signups: the rate is NULL
     assert FN.monthly_funnel(_events(spark)).collect()[-1]["month"] is None
