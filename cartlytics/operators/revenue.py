@@ -9,6 +9,8 @@ the join that follows sees one row per key.  Sums stay exact DECIMALs.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,19 +20,47 @@ from ..plans.global_rank import add_row_number
 from ..plans.materialize import materialize
 
 
-def revenue_per_order(order_items: DataFrame) -> DataFrame:
-    """order_id, line_revenue (Σ qty × unit price), item_lines."""
-    return (order_items
-            .groupBy("order_id")
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _ansi(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
+
+
+def _sum_line_revenue(order_items: DataFrame, key: str) -> DataFrame:
+    """key, line_revenue (Σ qty × unit price, exact), item_lines.
+
+    When the price is a DECIMAL of at most 18 digits and qty is integral,
+    each line is summed as an exact long count of the price's smallest unit
+    (cents for DECIMAL(10,2)), so the largest aggregation runs on primitive
+    longs, and the DECIMAL is rebuilt once per key.  Under ANSI mode an
+    overflow raises instead of wrapping; without ANSI, or for other types,
+    the DECIMAL product is summed directly.
+    """
+    price_t = order_items.schema["unit_price_usd"].dataType
+    qty_t = order_items.schema["qty"].dataType
+    if (isinstance(price_t, T.DecimalType) and price_t.precision <= 18
+            and isinstance(qty_t, _INTEGRAL) and _ansi(order_items)):
+        scale = price_t.scale
+        shift = F.lit(10 ** scale).cast(f"decimal({scale + 1},0)")
+        units = F.col("qty").cast("long") * (F.col("unit_price_usd") * shift).cast("long")
+        one_unit = F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({max(scale, 1)},{scale})")
+        return (order_items.groupBy(key)
+                .agg(F.sum(units).alias("_units"), F.count(F.lit(1)).alias("item_lines"))
+                .select(key, (F.col("_units").cast("decimal(38,0)") * one_unit).alias("line_revenue"),
+                        "item_lines"))
+    return (order_items.groupBy(key)
             .agg(F.sum(line_revenue()).alias("line_revenue"),
                  F.count(F.lit(1)).alias("item_lines")))
 
 
+def revenue_per_order(order_items: DataFrame) -> DataFrame:
+    """order_id, line_revenue (Σ qty × unit price), item_lines."""
+    return _sum_line_revenue(order_items, "order_id")
+
+
 def revenue_per_product(order_items: DataFrame) -> DataFrame:
-    return (order_items
-            .groupBy("product_id")
-            .agg(F.sum(line_revenue()).alias("line_revenue"),
-                 F.count(F.lit(1)).alias("item_lines")))
+    return _sum_line_revenue(order_items, "product_id")
 
 
 def sorted_if(df: DataFrame, ordered: bool, *keys) -> DataFrame:

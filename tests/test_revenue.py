@@ -126,3 +126,14 @@ def test_top_products_merges_equal_names_and_breaks_ties(spark):
     top = R.top_products(items, products, 3).collect()
     assert [(r["product_name"], r["revenue_usd"], r["item_lines"]) for r in top] == [
         ("Twin", Decimal("60.00"), 2), ("Alpha", Decimal("40.00"), 1), ("Bravo", Decimal("40.00"), 1)]
+
+
+def test_line_sums_same_on_long_and_decimal_paths(spark, shop):
+    fast = sorted(map(tuple, R.revenue_per_order(shop["order_items"]).collect()))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        slow = sorted(map(tuple, R.revenue_per_order(shop["order_items"]).collect()))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert fast == slow
+    assert dict((k, v) for k, v, _ in fast)[104] == Decimal("300.00")
