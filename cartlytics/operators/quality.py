@@ -44,15 +44,19 @@ def check_primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def key_counts(df: DataFrame, col: str) -> DataFrame:
+    """Rows per non-null key (partial aggregation folds hot keys map-side)."""
+    return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, unique_parent: bool = True) -> DataFrame:
     """Child rows whose non-null key has no parent row.
 
-    A parent key that repeats (e.g. ``order_items.order_id``) is de-duplicated
-    first; partial aggregation shrinks it before the anti-join's shuffle.
+    A parent key that repeats (e.g. ``order_items.order_id``) is reduced to
+    one row per key first, with the same per-key count a child check uses,
+    so Spark can reuse one shuffle for both.
     """
-    keys = parent.select(F.col(pk).alias(fk))
-    if not unique_parent:
-        keys = keys.distinct()
+    keys = (key_counts(parent, pk) if not unique_parent else parent).select(F.col(pk).alias(fk))
     return child.where(F.col(fk).isNotNull()).join(keys, fk, "left_anti")
 
 
@@ -64,9 +68,7 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     key inside each map task), so the anti-join shuffles distinct keys, not
     rows, and no task receives a hot key's rows.
     """
-    per_key = (child.where(F.col(fk).isNotNull())
-               .groupBy(fk).agg(F.count(F.lit(1)).alias("_rows")))
-    lost = orphans(per_key, fk, parent, pk, unique_parent)
+    lost = orphans(key_counts(child, fk), fk, parent, pk, unique_parent)
     return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("violations"))
 
 
@@ -78,7 +80,7 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     for child, fk, parent, pk in edges:
         if child in tables and parent in tables:
             unique = PRIMARY_KEYS.get(parent) == pk
-            cnt = orphan_count(tables[child].select(fk), fk, tables[parent], pk, unique)
+            cnt = orphan_count(tables[child], fk, tables[parent], pk, unique)
             parts.append(cnt.select(F.lit(f"{child}.{fk} -> {parent}.{pk}").alias("edge"), "violations"))
     if not parts:
         return _spark(tables).createDataFrame([], "edge string, violations bigint")
