@@ -30,3 +30,17 @@ def test_global_rank_window_is_partitioned(spark):
 def test_funnel_is_single_aggregation(spark):
     plan = _plan(QUERIES["customer_funnel"](spark, SF_SMALL))
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def _window_specs(plan: str) -> list[str]:
+    import re
+    return re.findall(r"windowspecdefinition\(([^,]*),", plan)
+
+
+def test_only_the_bucket_table_has_an_unpartitioned_window(spark):
+    plan = _plan(QUERIES["ranked_customers"](spark, SF_SMALL))
+    specs = _window_specs(plan)
+    unpartitioned = [s for s in specs if " ASC" in s or " DESC" in s]
+    partitioned = [s for s in specs if s not in unpartitioned]
+    assert len(unpartitioned) == 1 and unpartitioned[0].startswith("_bucket")
+    assert partitioned and all(s.startswith("_bucket") for s in partitioned)
