@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from cartlytics.registry import QUERIES
 from tests.conftest import SF_SMALL
 
@@ -37,8 +39,9 @@ def _window_specs(plan: str) -> list[str]:
     return re.findall(r"windowspecdefinition\(([^,]*),", plan)
 
 
-def test_only_the_bucket_table_has_an_unpartitioned_window(spark):
-    plan = _plan(QUERIES["ranked_customers"](spark, SF_SMALL))
+@pytest.mark.parametrize("name", ["ranked_customers", "recency_weight", "ltv_summary"])
+def test_only_the_bucket_table_has_an_unpartitioned_window(spark, name):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     specs = _window_specs(plan)
     unpartitioned = [s for s in specs if " ASC" in s or " DESC" in s]
     partitioned = [s for s in specs if s not in unpartitioned]
