@@ -137,18 +137,44 @@ def _interpolated(lo: F.Column, hi: F.Column, frac: float) -> F.Column:
     return lo + (hi - lo) * F.lit(frac)
 
 
+def _moments(exact: bool) -> list:
+    cnt = F.count("v").cast("double")
+    if exact:
+        # exact DECIMAL sums, then one DOUBLE formula: no order-dependent rounding
+        x = F.col("x")
+        s1 = F.sum(x).cast("double")
+        s2 = F.sum(x * x).cast("double")
+        mean = F.try_divide(s1, cnt)
+        std = F.sqrt(F.try_divide(s2 - s1 * s1 / cnt, cnt - F.lit(1.0)))
+    else:
+        mean, std = F.avg("v"), F.stddev_samp("v")
+    return [F.count("v").alias("count"), mean.alias("mean"), std.alias("std"),
+            F.min("v").alias("min"), F.max("v").alias("max")]
+
+
+def _pname(p: float) -> str:
+    return f"p{round(p * 100):d}"
+
+
 def distribution_summary(df: DataFrame, value: str, tiebreak: str,
-                         probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95)) -> DataFrame:
+                         probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95),
+                         approximate: bool = False, accuracy: int = 10_000) -> DataFrame:
     """count, mean, std (sample), min, linear-interpolated percentiles, max.
 
     The percentiles are exact without gathering the values into one task:
     non-null values get a distributed global row number (by value, then
     ``tiebreak``); the rows at the needed positions are picked out inside the
-    same single-pass aggregate that computes the other statistics.
+    same single-pass aggregate that computes the other statistics.  With
+    ``approximate=True`` they come from one ``percentile_approx`` pass
+    instead (no materialisation, no ranking job), for very large inputs.
     """
     exact = isinstance(df.schema[value].dataType, T.DecimalType)
     vals = (df.select(F.col(value).alias("x"), F.col(value).cast("double").alias("v"), F.col(tiebreak))
             .where(F.col("x").isNotNull()))
+    if approximate:
+        row = vals.agg(*_moments(exact), F.percentile_approx("v", list(probs), accuracy).alias("_q"))
+        return row.select("count", "mean", "std", "min",
+                          *[F.col("_q")[i].alias(_pname(p)) for i, p in enumerate(probs)], "max")
     numbered, n = add_row_number(vals, "v", tiebreak=[tiebreak], rn_col="rn")
     picks = []
     for p in probs:
@@ -157,30 +183,19 @@ def distribution_summary(df: DataFrame, value: str, tiebreak: str,
         hi = min(lo + 1, max(n, 1))
         picks.append((p, lo, hi, h - int(h)))
     positions = sorted({x for _, lo, hi, _ in picks for x in (lo, hi)})
-    cnt = F.count("v").cast("double")
-    if exact:
-        # exact DECIMAL sums, then one DOUBLE formula: no order-dependent rounding
-        x = F.col("x")
-        s1 = F.sum(x).cast("double")
-        s2 = F.sum(x * x).cast("double")
-        mean = F.try_divide(s1, cnt)
-        std = F.sqrt(F.try_divide(s2 - s1 * s1 / cnt, cnt - F.lit(1.0)))
-    else:
-        mean, std = F.avg("v"), F.stddev_samp("v")
-    aggs = [F.count("v").alias("count"), mean.alias("mean"), std.alias("std"),
-            F.min("v").alias("min"), F.max("v").alias("max")]
+    aggs = _moments(exact)
     aggs += [F.max(F.when(F.col("rn") == k, F.col("v"))).alias(f"_at_{k}") for k in positions]
     row = numbered.agg(*aggs)
     cols = [F.col("count"), F.col("mean"), F.col("std"), F.col("min")]
     for p, lo, hi, frac in picks:
-        name = f"p{round(p * 100):d}"
-        cols.append(_interpolated(F.col(f"_at_{lo}"), F.col(f"_at_{hi}"), frac).alias(name))
+        cols.append(_interpolated(F.col(f"_at_{lo}"), F.col(f"_at_{hi}"), frac).alias(_pname(p)))
     cols.append(F.col("max"))
     return row.select(*cols)
 
 
-def ltv_summary(ltv: DataFrame, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95)) -> DataFrame:
-    return distribution_summary(ltv, "revenue_usd", "customer_id", probs)
+def ltv_summary(ltv: DataFrame, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95),
+                approximate: bool = False) -> DataFrame:
+    return distribution_summary(ltv, "revenue_usd", "customer_id", probs, approximate)
 
 
 def equal_width_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:

@@ -137,3 +137,15 @@ def test_line_sums_same_on_long_and_decimal_paths(spark, shop):
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert fast == slow
     assert dict((k, v) for k, v, _ in fast)[104] == Decimal("300.00")
+
+
+def test_summary_approximate_close_to_exact(spark):
+    vals = [(i * 37) % 1000 for i in range(2000)]
+    ltv = _ltv(spark, vals)
+    exact = R.ltv_summary(ltv).first()
+    approx = R.ltv_summary(ltv, approximate=True).first()
+    assert exact.asDict().keys() == approx.asDict().keys()
+    for k in ("count", "mean", "std", "min", "max"):
+        assert math.isclose(exact[k], approx[k], rel_tol=1e-9)
+    for k in ("p50", "p75", "p90", "p95"):
+        assert abs(exact[k] - approx[k]) <= 2.0
