@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import secrets, toxicity
 from .common import fold, table
 
 
@@ -19,8 +19,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "words", "mean_log_ratio")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.concat("base", "markov")).alias("spans"),
+        F.size("markov").cast("long").alias("n_markov"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_secret_scan": op2_secret_scan,
 }
 
 SQL: dict[str, str] = {}
