@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, secrets, toxicity
+from . import chat, quality, secrets, toxicity
 from .common import fold, table
 
 
@@ -29,6 +29,15 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("markov").cast("long").alias("n_markov"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels, fold(F.col("doc_id"), 4) != 2)
+    held = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    return quality.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 PLANTED = (-7, r"\### Assistant: </turn> ok")
 
 
@@ -59,6 +68,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
+    "op3_quality": op3_quality,
     "op9_chat_format": op9_chat_format,
 }
 
