@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality, secrets, toxicity
+from . import chat, quality, secrets, topk, toxicity
 from .common import fold, table
 
 
@@ -38,6 +38,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 PLANTED = (-7, r"\### Assistant: </turn> ok")
 
 
@@ -69,10 +73,26 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
     "op3_quality": op3_quality,
+    "op4_topk_search": op4_topk_search,
     "op9_chat_format": op9_chat_format,
 }
 
 SQL: dict[str, str] = {
+    "op4_topk_search": """
+WITH v AS (
+    SELECT CAST(vec_id AS BIGINT) AS vec_id,
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+    SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op9_chat_format": r"""
 WITH rows AS (
     SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn,
