@@ -113,15 +113,16 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 10, scale: float = 1
     dealt = F.xxhash64("vec_id", "vector")
     left = queries.select("vec_id", "vector", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int").alias("qb"),
                           blocks(candidate_blocks).alias("cb"))
-    right = rows.select("vec_id", "vector", F.pmod(dealt, F.lit(candidate_blocks)).cast("int").alias("cb"),
-                        blocks(query_blocks).alias("qb"))
+    right = rows.select(F.col("vec_id").alias("candidate"), F.col("vector").alias("point"),
+                        blocks(query_blocks).alias("qb"),
+                        F.pmod(dealt, F.lit(candidate_blocks)).cast("int").alias("cb"))
 
     def cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         out = {"part": [], "query_id": [], "vec_id": [], "score": []}
         if len(q) and len(c):
-            a, b = _matrix(list(q["vector"]), scale), _matrix(list(c["vector"]), scale)
+            a, b = _matrix(list(q["vector"]), scale), _matrix(list(c["point"]), scale)
             width = max(a.shape[1], b.shape[1])
-            ids = c["vec_id"].to_numpy(np.int64)
+            ids = c["candidate"].to_numpy(np.int64)
             found = threshold_search(ids, _widen(b, width), q["vec_id"].to_numpy(np.int64), _widen(a, width), k)
             for query, (at, scores) in zip(q["vec_id"], found, strict=True):
                 out["part"] += [int(c["cb"].iloc[0]) // 256] * len(at)
