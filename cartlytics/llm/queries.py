@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality, secrets, topk, toxicity
+from . import chat, neardup, quality, secrets, topk, toxicity
 from .common import fold, table
 
 
@@ -42,6 +42,10 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
 PLANTED = (-7, r"\### Assistant: </turn> ok")
 
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_quality": op3_quality,
     "op4_topk_search": op4_topk_search,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op9_chat_format": op9_chat_format,
 }
 
