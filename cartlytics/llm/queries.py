@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, neardup, quality, secrets, topk, toxicity
+from . import chat, neardup, packing, quality, secrets, topk, toxicity
 from .common import fold, table
 
 
@@ -73,6 +73,17 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def default_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.pieces(docs, default_vocabulary()), docs.count())
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -80,6 +91,7 @@ QUERIES = {
     "op4_topk_search": op4_topk_search,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op9_chat_format": op9_chat_format,
+    "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {
