@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, neardup, packing, quality, secrets, topk, toxicity
+from . import chat, linededup, neardup, packing, quality, secrets, topk, toxicity
 from .common import fold, table
 
 
@@ -46,6 +46,16 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = linededup.kept_lines(docs)
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    return out.select(
+        "doc_id", lines.cast("long").alias("n_lines"),
+        F.coalesce(lines - F.size("kept"), F.lit(0)).cast("long").alias("removed_lines"),
+        F.coalesce(F.array_join("kept", "\n"), "text").alias("text"))
+
+
 PLANTED = (-7, r"\### Assistant: </turn> ok")
 
 
@@ -90,6 +100,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_topk_search": op4_topk_search,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
 }
