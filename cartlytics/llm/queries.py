@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, linededup, neardup, packing, quality, secrets, topk, toxicity
+from . import chat, decontam, linededup, neardup, packing, quality, secrets, topk, toxicity
 from .common import fold, table
 
 
@@ -56,6 +56,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_join("kept", "\n"), "text").alias("text"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 PLANTED = (-7, r"\### Assistant: </turn> ok")
 
 
@@ -101,6 +105,7 @@ QUERIES = {
     "op4_topk_search": op4_topk_search,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_decontamination": op7_decontamination,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
 }
