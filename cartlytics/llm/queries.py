@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, neardup, packing, quality, secrets, topk, toxicity
+from . import chat, decontam, linededup, lm, neardup, packing, quality, secrets, topk, toxicity
 from .common import fold, table
 
 
@@ -60,6 +60,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) == 2)
+
+
 PLANTED = (-7, r"\### Assistant: </turn> ok")
 
 
@@ -106,6 +110,7 @@ QUERIES = {
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_lm_score": op8_lm_score,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
 }
