@@ -220,9 +220,9 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return single.unionByName(whole).unionByName(inner)
 
 
-def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with ``kept`` (the remaining lines, null where nothing was
-    deleted) added."""
+def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS, name: str = "kept") -> DataFrame:
+    """``docs`` with a column ``name`` added: the remaining lines, null where
+    nothing was deleted."""
     lines = line_table(docs)
     gone = later_copies(lines, min_words).groupBy("doc").agg(F.collect_set(F.struct("line", "until")).alias("gone"))
     gone = save(gone.join(lines.select("doc", *_PLACE), "doc").drop("doc"), "gone")
@@ -235,13 +235,16 @@ def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rest = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.exists(
         "gone", lambda g: (g["line"] <= i) & (i < g["until"])))
     return own.join(gone, list(_PLACE), "left").select(
-        *[F.col(f"_{i}").alias(c) for i, c in enumerate(names)], F.when(F.col("gone").isNotNull(), rest).alias("kept"))
+        *[F.col(f"_{i}").alias(c) for i, c in enumerate(names)], F.when(F.col("gone").isNotNull(), rest).alias(name))
 
 
 def filter_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without later copies; all rows and columns stay."""
-    text = F.coalesce(F.array_join("kept", "\n"), F.col("text"))
-    out = kept_lines(docs, min_words).withColumn("text", text).drop("kept")
+    name = "kept"
+    while name in (c.lower() for c in docs.columns):
+        name += "_"
+    text = F.coalesce(F.array_join(name, "\n"), F.col("text"))
+    out = kept_lines(docs, min_words, name).withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -38,9 +38,11 @@ from .common import text_bytes
 WINDOW = 2048
 END_ID = 1
 GROUP_ITEMS = 20_000
-REMEMBERED = 400_000      # parts a worker keeps, each at most LONGEST_PART bytes
+REMEMBERED = 1_000_000    # parts a worker keeps, each at most LONGEST_PART bytes
 LONGEST_PART = 48
+TOGETHER = 64             # parts tokenized in one call
 _MARK = "\x01"
+_BETWEEN = f" {_MARK} ".encode()
 
 
 class WordTokenizer:
@@ -51,45 +53,52 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ascii = Tokenizer.from_file(path)  # lower-case ASCII needs no normalizing
+        self.ascii.normalizer = None
         mark = self._whole(_MARK)
         self.mark = int(mark[0]) if len(mark) == 1 else None
         self.known: dict[bytes, bytes] = {}
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def _whole(self, text: str, by=None) -> np.ndarray:
+        return np.array((by or self.tokenizer).encode(text, add_special_tokens=False).ids, np.uint32)
 
     def learn(self, parts: list[bytes]) -> None:
-        """Tokenize many unknown parts in one call, told apart by a mark."""
-        plain = [p for p in parts if self.mark is not None and _MARK.encode() not in p]
-        for start in range(0, len(plain), 4096):
-            some = plain[start:start + 4096]
-            joined = f" {_MARK} ".join(p.decode("utf-8", "replace") for p in some)
-            ids = self._whole(joined)
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(some) - 1:  # a part holds the mark's own id
-                parts = [*parts, *some]
-                continue
-            data, at = ids.tobytes(), 0
-            for p, cut in zip(some, [*cuts.tolist(), len(ids)], strict=True):
-                self.known[p] = data[4 * at:4 * cut]
-                at = cut + 1
-        for p in parts:
+        """Tokenize unknown parts, many in one call, told apart by a mark.  A
+        comma or stop after an ASCII letter is a piece of its own."""
+        stopped = [p for p in parts if p.endswith((b",", b".")) and p[-2:-1].isalpha()]
+        whole = list(set(parts).difference(stopped).union([p[:-1] for p in stopped], (b",", b".")).difference(self.known))
+        marked = {p for p in whole if b"\x01" in p} if self.mark is not None else set(whole)
+        plain = [p for p in whole if p not in marked] if marked else whole
+        for start in range(0, len(plain), TOGETHER):
+            some = plain[start:start + TOGETHER]
+            joined = _BETWEEN.join(some)
+            lower = joined.isascii() and joined == joined.lower()
+            ids = self._whole(joined.decode("utf-8", "replace"), self.ascii if lower else None)
+            cuts = np.flatnonzero(ids == self.mark).tolist()
+            if len(cuts) == len(some) - 1:  # else a part holds the mark's own id
+                data = ids.tobytes()
+                self.known.update(zip(some, [data[4 * a:4 * b] for a, b in
+                                             zip([0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)], strict=True))
+        for p in whole:
             if p not in self.known:
                 self.known[p] = self._whole(p.decode("utf-8", "replace")).tobytes()
+        for p in stopped:
+            self.known[p] = self.known[p[:-1]] + self.known[p[-1:]]
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        split = [(t.lower() if t.isascii() else t).split() for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         special = [b"<|" in t for t in texts]  # may hold an added token's string
-        new = {p for s, odd in zip(split, special, strict=True) if not odd for p in s} - self.known.keys()
-        long = [p for p in new if len(p) > LONGEST_PART]
+        new = set().union(*(s for s, odd in zip(split, special, strict=True) if not odd)).difference(self.known)
         self.learn(list(new))
         get = self.known.__getitem__
         out = [self._whole(t.decode("utf-8", "replace")).tobytes() if odd else b"".join(map(get, s))
                for t, s, odd in zip(texts, split, special, strict=True)]
-        for p in long:
-            del self.known[p]
+        for p in new:  # long parts and what came with them are not kept
+            if len(p) > LONGEST_PART:
+                self.known.pop(p, None)
+                self.known.pop(p[:-1], None)
         return out
 
 
@@ -110,9 +119,9 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = Fa
     def run(batches):
         for batch in batches:
             texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for at in range(0, len(texts), 256):
+            for at in range(0, len(texts), 512):
                 out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
-                for doc, data in zip(ids[at:at + 256], tokenizer(path).batch(texts[at:at + 256]), strict=True):
+                for doc, data in zip(ids[at:at + 512], tokenizer(path).batch(texts[at:at + 512]), strict=True):
                     data += end
                     for start in range(0, len(data), 4 * window):
                         part = data[start:start + 4 * window]
