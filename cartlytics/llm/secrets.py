@@ -128,7 +128,7 @@ def log_ratio(token: Column, model: list[float]) -> Column:
                        lambda acc, i: acc + F.element_at(ratio, (at(i) - 1) * size + at(i + 1)))
 
 
-def scan(docs: DataFrame, model: list[float], min_ratio: float = 12.0) -> DataFrame:
+def scan(docs: DataFrame, model: list[float], min_ratio: float = 10.0) -> DataFrame:
     """(doc_id, assign, access, hex, markov): span arrays of every whole text."""
     df = base_spans(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     df = df.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
