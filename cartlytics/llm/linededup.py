@@ -30,13 +30,12 @@ brought up to date by ``filter_lines``).
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix64, save, text_bytes
+from .common import save, text_bytes
 
 MIN_WORDS = 25
 MAX_BROADCAST_DOCS = 500_000
@@ -159,26 +158,57 @@ def earlier_prefixes(places: np.ndarray, common: np.ndarray) -> np.ndarray:
     return best
 
 
-def _group_runs(min_words: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["rank", "place_id", "text_hash", "line"], kind="stable")
-        suffixes, counts = list(pdf["ids"]), list(pdf["counts"])
-        order = np.lexsort((pdf["line"].to_numpy(), pdf["text_hash"].to_numpy(), pdf["place_id"].to_numpy()))
-        places = np.empty(len(order), np.int64)
-        places[order] = np.arange(len(order))
-        common = np.zeros(len(order), np.int64)
-        for i in range(1, len(order)):
-            n = min(len(suffixes[i - 1]), len(suffixes[i]))
-            differ = np.flatnonzero(suffixes[i - 1][:n] != suffixes[i][:n])
-            common[i] = differ[0] if len(differ) else n
-        length = earlier_prefixes(places, common)
-        enough = [n > 1 and int(c[:n].sum()) >= min_words for n, c in zip(length, counts, strict=True)]
-        out = pdf.loc[enough, ["doc", "line"]].copy()
-        out["until"] = out["line"] + length[np.array(enough, bool)]
-        return out
+def _group_runs(places: np.ndarray, suffixes: list, counts: list, min_words: int) -> np.ndarray:
+    """Lengths of the runs of one group, in suffix order, that have an earlier
+    copy; 0 where that is a single line or too few words."""
+    common = np.zeros(len(places), np.int64)
+    for i in range(1, len(places)):
+        n = min(len(suffixes[i - 1]), len(suffixes[i]))
+        differ = suffixes[i - 1][:n] != suffixes[i][:n]
+        at = int(differ.argmax()) if n else 0
+        common[i] = at if n and differ[at] else n
+    length = earlier_prefixes(places, common)
+    enough = [n > 1 and int(c[:n].sum()) >= min_words for n, c in zip(length, counts, strict=True)]
+    return np.where(enough, length, 0)
+
+
+def _runs(min_words: int):
+    """Over rows in order of (pair, rank, place): one group after another."""
+    names = ["pair", "place_id", "text_hash", "doc", "line", "ids", "counts"]
+
+    def finish(rows):
+        place = np.array([(r[1], r[2], r[4]) for r in rows], np.int64)
+        order = np.lexsort(place.T[::-1])
+        places = np.empty(len(rows), np.int64)
+        places[order] = np.arange(len(rows))
+        length = _group_runs(places, [r[5] for r in rows], [r[6] for r in rows], min_words)
+        return [(r[3], r[4], r[4] + int(n)) for r, n in zip(rows, length, strict=True) if n]
+
+    def run(batches):
+        held: list[tuple] = []
+        for batch in batches:
+            out: list[tuple] = []
+            ids, counts = (batch.column(c) for c in ("ids", "counts"))
+            flat, at = ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])
+            words = counts.flatten().to_numpy()
+            plain = zip(*(batch.column(c).to_pylist() for c in names[:5]), strict=True)
+            for i, row in enumerate(plain):
+                if held and held[-1][0] != row[0]:
+                    out += finish(held)
+                    held = []
+                part = slice(at[i], at[i + 1])
+                held.append((*row, flat[part], words[part]))
+            yield _ranges(out)
+        if held:
+            yield _ranges(finish(held))
     return run
 
 
+def _ranges(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "line", "until"])
+
+
 def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, line, until): line ranges that are later copies of earlier runs."""
     repeated = repeated_lines(lines)
@@ -203,7 +233,8 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = kept.select("doc", "start", F.posexplode("ids").alias("at", "id"), "ids").select(
         "doc", "start", (F.col("start") + F.col("at")).alias("line"), "id",
         F.when(F.col("at") > 0, F.get("ids", F.col("at") - 1)).alias("before"))
-    rows = save(rows, "suffixes")
+    shared = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    rows = save(rows.join(shared, "id"), "suffixes")  # other lines break runs
     by_two, by_all = suffix_ranks(rows.select("doc", "line", "id"))
     members = rows.select("doc", "start", "line", "before").join(
         by_two.withColumnRenamed("rank", "pair"), ["doc", "line"])
@@ -216,7 +247,8 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                .select("pair", "rank", "doc", *_PLACE, "line",
                        F.slice("ids", (F.col("line") - F.col("start") + 1).cast("int"), F.size("ids")).alias("ids"),
                        F.slice("counts", (F.col("line") - F.col("start") + 1).cast("int"), F.size("ids")).alias("counts")))
-    inner = members.groupBy("pair").applyInPandas(_group_runs(min_words), "doc long, line long, until long")
+    ordered = members.repartition("pair").sortWithinPartitions("pair", "rank", *_PLACE, "line")
+    inner = ordered.mapInArrow(_runs(min_words), "doc long, line long, until long")
     return single.unionByName(whole).unionByName(inner)
 
 
@@ -224,7 +256,8 @@ def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS, name: str = "kept")
     """``docs`` with a column ``name`` added: the remaining lines, null where
     nothing was deleted."""
     lines = line_table(docs)
-    gone = later_copies(lines, min_words).groupBy("doc").agg(F.collect_set(F.struct("line", "until")).alias("gone"))
+    gone = later_copies(lines, min_words).groupBy("doc", "until").agg(F.min("line").alias("line"))
+    gone = gone.groupBy("doc").agg(F.collect_set(F.struct("line", "until")).alias("gone"))
     gone = save(gone.join(lines.select("doc", *_PLACE), "doc").drop("doc"), "gone")
     gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_DOCS else gone  # size checked
     names = docs.columns
