@@ -41,6 +41,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python workers in batches of a few megabytes (a session
+    setting): the default of 10,000 rows a batch does not bound memory."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        spark.conf.set(key, str(most))
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null for a null id)."""
     return F.crc32(doc_id.cast("string")) % modulus

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, text_bytes, word_hashes, words
+from .common import bounded_batches, mix64, text_bytes, word_hashes, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -197,6 +197,7 @@ MATCHES = "doc_id long, item_id long, start_word long, n_words long, distance in
 def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document and benchmark item that it contains."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     out = spark.createDataFrame([], MATCHES)
     for benchmark in chunks(items, similarity):
@@ -220,6 +221,7 @@ def _finder(shared):
 
 def filter_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the documents that contain a benchmark item."""
+    bounded_batches(docs.sparkSession)
     at = docs.columns.index("text")
     for benchmark in chunks(items, similarity):
         docs = docs.mapInArrow(_keeper(docs.sparkSession.sparkContext.broadcast(benchmark), at), docs.schema)

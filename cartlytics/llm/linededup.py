@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save, text_bytes
+from .common import bounded_batches, save, text_bytes
 
 MIN_WORDS = 25
 MAX_BROADCAST_DOCS = 500_000
@@ -57,6 +57,7 @@ def _line_ids(batches):
 
 def line_table(docs: DataFrame) -> DataFrame:
     """(doc, place_id, text_hash, ids, counts): one row per document, ``doc`` unique."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         _line_ids, "doc_id long, text_hash long, ids array<long>, counts array<int>")
@@ -267,8 +268,8 @@ def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS, name: str = "kept")
     text = F.col(f"_{names.index('text')}")
     rest = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.exists(
         "gone", lambda g: (g["line"] <= i) & (i < g["until"])))
-    return own.join(gone, list(_PLACE), "left").select(
-        *[F.col(f"_{i}").alias(c) for i, c in enumerate(names)], F.when(F.col("gone").isNotNull(), rest).alias(name))
+    own = own.join(gone, list(_PLACE), "left").withColumn("_rest", F.when(F.col("gone").isNotNull(), rest))
+    return own.select(*[f"_{i}" for i in range(len(names))], "_rest").toDF(*names, name)
 
 
 def filter_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

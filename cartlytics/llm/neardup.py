@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, save, shingle_hashes, text_bytes, word_hashes, words
+from .common import bounded_batches, mix64, save, shingle_hashes, text_bytes, word_hashes, words
 from .components import connected_components
 
 BANDS, WIDTH, MANTISSA = 40, 5, 10
@@ -126,6 +126,7 @@ class _Search:
     """Sketches, candidates and exact checks over one table of documents."""
 
     def __init__(self, docs: DataFrame, size: int, percent: int):
+        bounded_batches(docs.sparkSession)
         self.size, self.percent = size, percent
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
         self.sketches = save(self.texts.mapInArrow(

@@ -33,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import bounded_batches, text_bytes
 
 WINDOW = 2048
 END_ID = 1
 GROUP_ITEMS = 20_000
-REMEMBERED = 1_000_000    # parts a worker keeps, each at most LONGEST_PART bytes
+REMEMBERED = 400_000      # parts a worker keeps, each at most LONGEST_PART bytes
 LONGEST_PART = 48
 TOGETHER = 64             # parts tokenized in one call
 _MARK = "\x01"
@@ -114,6 +114,7 @@ def tokenizer(path: str) -> WordTokenizer:
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]) of every document's
     pieces: full windows and one tail."""
+    bounded_batches(docs.sparkSession)
     end = np.array([END_ID], np.uint32).tobytes()
 
     def run(batches):

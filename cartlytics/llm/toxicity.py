@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, text_bytes
+from .common import bounded_batches, mix64, text_bytes
 
 ORDER = 8
 DISCOUNT = 0.75
@@ -198,6 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
     """Fit on labelled documents.  ``labels`` has doc_id and toxic;
     ``train_rows`` is a condition on doc_id that a training row must meet."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     if train_rows is not None:
@@ -251,6 +252,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, words, mean_log_ratio) for every whole text."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -267,6 +269,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def filter_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The documents whose score is under ``threshold``, with all their columns."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     at = names.index("text")
