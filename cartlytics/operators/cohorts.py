@@ -38,22 +38,45 @@ def signup_cohort_revenue(customers: DataFrame, orders: DataFrame, order_items:
     return sorted_if(out, ordered, F.asc_nulls_last("signup_month"), F.asc_nulls_last("order_month"))
 
 
+MAX_MONTHS = 2400
+NO_MONTH = "no_month"
+
+
 def month_values(df: DataFrame, column: str) -> list[date]:
-    """Distinct non-null months of ``column`` (bounded by the calendar)."""
-    return [r[0] for r in df.select(column).where(F.col(column).isNotNull())
-            .distinct().orderBy(column).collect()]
+    """Distinct non-null months of ``column``; more than ``MAX_MONTHS`` (two
+    centuries: surely bad dates) is an error."""
+    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull())
+             .distinct().orderBy(column).limit(MAX_MONTHS + 1).collect()]
+    if len(found) > MAX_MONTHS:
+        raise ValueError(f"{column} has more than {MAX_MONTHS} months; pass the months wanted as columns")
+    return found
+
+
+def month_range(first: date, last: date) -> list[date]:
+    """Every month's first day from ``first`` to ``last``."""
+    start, stop = first.year * 12 + first.month - 1, last.year * 12 + last.month - 1
+    return [date(m // 12, m % 12 + 1, 1) for m in range(start, stop + 1)]
 
 
 def pivot_months(long: DataFrame, row_key: str, column_key: str, value: str,
                  months: Sequence[date] | None = None, fill=0) -> DataFrame:
-    """Long → wide: one column per month (named ``YYYY-MM-01``), missing = ``fill``."""
+    """Long → wide: one column per month (named ``YYYY-MM-01``) and ``no_month``
+    for rows without one; missing = ``fill``.  No row is lost: a month outside
+    a given list fails the query.
+    """
     if months is None:
         long = materialize(long)      # the value scan and the pivot read it once
         months = month_values(long, column_key)
-    values = list(months)
-    wide = long.groupBy(row_key).pivot(column_key, values).agg(F.first(value))
-    names = [c for c in wide.columns if c != row_key]
-    return wide.fillna(fill, subset=names) if names else wide
+    months = list(months)
+    month = F.col(column_key)
+    known = month.isNull() | (month.isin(months) if months else F.lit(False))
+    month = F.when(known, month).otherwise(
+        F.raise_error(F.concat(F.lit("month outside the given list: "), month.cast("string"))).cast("date"))
+    cells = [(F.lit(m).cast("date"), m.strftime("%Y-%m-01")) for m in months] + [(F.lit(None).cast("date"), NO_MONTH)]
+    return (long.select(row_key, month.alias("_month"), F.col(value).alias("_value"))
+            .groupBy(row_key)
+            .agg(*[F.coalesce(F.max(F.when(F.col("_month").eqNullSafe(m), F.col("_value"))), F.lit(fill)).alias(name)
+                   for m, name in cells]))
 
 
 def cohort_revenue_matrix(cohort_revenue: DataFrame, months: Sequence[date] | None = None) -> DataFrame:

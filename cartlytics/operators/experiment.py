@@ -56,8 +56,7 @@ def ab_ztest(experiments: DataFrame, a: str = "A", b: str = "B",
 
 def ab_pvalue(experiments: DataFrame, a: str = "A", b: str = "B",
               keys: Sequence[str] = ()) -> DataFrame:
-    """z statistic with its two-sided normal p-value (vectorised UDF on one
-    row per key)."""
+    """z statistic with its two-sided normal p-value."""
     z = ab_ztest(experiments, a, b, keys)
     return z.withColumn("p_value", two_sided_pvalue(F.col("z_stat")))
 

@@ -1,5 +1,7 @@
 """Key checks at load: primary keys (unique, not null) and the documented
-relationships.  They report violation counts and never abort."""
+relationships.  The checks report violation counts; ``enforce_primary_keys``
+raises.  A table that is not there is an error unless ``skip_missing`` is
+given; its row then says so with NULL counts."""
 
 from __future__ import annotations
 
@@ -35,15 +37,33 @@ def _spark(tables: dict[str, DataFrame]):
     return next(iter(tables.values())).sparkSession
 
 
-def check_primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = [primary_key_violations(tables[t], t, k) for t, k in PRIMARY_KEYS.items() if t in tables]
-    if not parts:
-        return _spark(tables).createDataFrame(
-            [], "table_name string, key_column string, n_rows bigint, null_keys bigint, "
-                "duplicate_keys bigint, duplicate_rows bigint")
+def _require(tables: dict[str, DataFrame], names, skip_missing: bool) -> None:
+    missing = [n for n in names if n not in tables]
+    if missing and not skip_missing or not tables:
+        raise KeyError(f"tables not given: {', '.join(missing)}")
+
+
+PK_SCHEMA = ("table_name string, key_column string, n_rows bigint, null_keys bigint, "
+             "duplicate_keys bigint, duplicate_rows bigint")
+
+
+def check_primary_keys(tables: dict[str, DataFrame], skip_missing: bool = False) -> DataFrame:
+    """One row per table with a key; NULL counts for a table that was skipped."""
+    _require(tables, PRIMARY_KEYS, skip_missing)
+    parts = [primary_key_violations(tables[t], t, k) if t in tables else
+             _spark(tables).createDataFrame([(t, k, None, None, None, None)], PK_SCHEMA)
+             for t, k in PRIMARY_KEYS.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+def enforce_primary_keys(tables: dict[str, DataFrame]) -> None:
+    """Raise on a NULL or repeated key in any of the given tables."""
+    bad = check_primary_keys(tables, skip_missing=True).where("null_keys > 0 or duplicate_keys > 0").collect()
+    if bad:
+        raise ValueError("primary key violated: " + "; ".join(
+            f"{r['table_name']}.{r['key_column']}: {r['null_keys']} null, {r['duplicate_keys']} repeated" for r in bad))
+
+
 def key_counts(df: DataFrame, col: str) -> DataFrame:
     """Rows per non-null key (partial aggregation folds hot keys map-side)."""
     return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
@@ -72,16 +92,21 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("violations"))
 
 
-def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
+EDGES = [*FOREIGN_KEYS, ("orders", "order_id", "order_items", "order_id")]
+
+
+def check_foreign_keys(tables: dict[str, DataFrame], skip_missing: bool = False) -> DataFrame:
     """edge, violations: one row per documented relationship, plus
-    ``orders.order_id -> order_items.order_id`` (every order has an item)."""
-    edges = list(FOREIGN_KEYS) + [("orders", "order_id", "order_items", "order_id")]
+    ``orders.order_id -> order_items.order_id`` (every order has an item); NULL
+    violations for an edge that was skipped."""
+    _require(tables, {t for child, _, parent, _ in EDGES for t in (child, parent)}, skip_missing)
     parts = []
-    for child, fk, parent, pk in edges:
+    for child, fk, parent, pk in EDGES:
+        edge = f"{child}.{fk} -> {parent}.{pk}"
         if child in tables and parent in tables:
             unique = PRIMARY_KEYS.get(parent) == pk
             cnt = orphan_count(tables[child], fk, tables[parent], pk, unique)
-            parts.append(cnt.select(F.lit(f"{child}.{fk} -> {parent}.{pk}").alias("edge"), "violations"))
-    if not parts:
-        return _spark(tables).createDataFrame([], "edge string, violations bigint")
+            parts.append(cnt.select(F.lit(edge).alias("edge"), "violations"))
+        else:
+            parts.append(_spark(tables).createDataFrame([(edge, None)], "edge string, violations bigint"))
     return reduce(DataFrame.unionByName, parts)

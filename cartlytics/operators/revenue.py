@@ -9,46 +9,21 @@ the join that follows sees one row per key.  Sums stay exact DECIMALs.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.columns import day_of, line_revenue
-from ..plans.global_rank import add_row_number
 from ..plans.materialize import materialize
 
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-
-
-def _ansi(df: DataFrame) -> bool:
-    return df.sparkSession.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
-
-
 def _sum_line_revenue(order_items: DataFrame, key: str) -> DataFrame:
     """key, line_revenue (Σ qty × unit price, exact), item_lines.
 
-    When the price is a DECIMAL of at most 18 digits and qty is integral,
-    each line is summed as an exact long count of the price's smallest unit
-    (cents for DECIMAL(10,2)), so the largest aggregation runs on primitive
-    longs, and the DECIMAL is rebuilt once per key.  Under ANSI mode an
-    overflow raises instead of wrapping; without ANSI, or for other types,
-    the DECIMAL product is summed directly.
+    The DECIMAL product is summed whatever the types and session settings are:
+    its precision grows with the operands, so no valid line can overflow.
     """
-    price_t = order_items.schema["unit_price_usd"].dataType
-    qty_t = order_items.schema["qty"].dataType
-    if (isinstance(price_t, T.DecimalType) and price_t.precision <= 18
-            and isinstance(qty_t, _INTEGRAL) and _ansi(order_items)):
-        scale = price_t.scale
-        shift = F.lit(10 ** scale).cast(f"decimal({scale + 1},0)")
-        units = F.col("qty").cast("long") * (F.col("unit_price_usd") * shift).cast("long")
-        one_unit = F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({max(scale, 1)},{scale})")
-        return (order_items.groupBy(key)
-                .agg(F.sum(units).alias("_units"), F.count(F.lit(1)).alias("item_lines"))
-                .select(key, (F.col("_units").cast("decimal(38,0)") * one_unit).alias("line_revenue"),
-                        "item_lines"))
     return (order_items.groupBy(key)
             .agg(F.sum(line_revenue()).alias("line_revenue"),
                  F.count(F.lit(1)).alias("item_lines")))
@@ -118,8 +93,10 @@ def customer_ltv(customers: DataFrame, orders: DataFrame, order_items: DataFrame
     """customers ⋈ orders ⋈ items: distinct orders and Σ revenue per customer.
 
     Items are summed per order, orders per customer (partial aggregation
-    absorbs a hot customer), and only then joined to the customer dimension,
-    which has one row per ``customer_id`` (its primary key).
+    absorbs a hot customer), and only then joined to the customer dimension.
+    The result is grouped by its three descriptive columns, so a customer that
+    the dimension lists twice gives one row with doubled revenue, as a join
+    before the aggregation would.
     """
     per_order = revenue_per_order(order_items).select("order_id", "line_revenue")
     per_customer = (orders.select("order_id", "customer_id")
@@ -129,73 +106,87 @@ def customer_ltv(customers: DataFrame, orders: DataFrame, order_items: DataFrame
                          F.sum("line_revenue").alias("revenue_usd")))
     out = (customers.select("customer_id", "country", "channel")
            .join(per_customer, "customer_id")
-           .select("customer_id", "country", "channel", "orders", "revenue_usd"))
-    return sorted_if(out, ordered, F.desc_nulls_last("revenue_usd"), F.asc_nulls_last("customer_id"))
+           .groupBy("customer_id", "country", "channel")
+           .agg(F.max("orders").alias("orders"), F.sum("revenue_usd").alias("revenue_usd")))
+    return by_revenue(out) if ordered else out
 
 
-def _interpolated(lo: F.Column, hi: F.Column, frac: float) -> F.Column:
-    return lo + (hi - lo) * F.lit(frac)
-
-
-def _moments(exact: bool) -> list:
-    cnt = F.count("v").cast("double")
-    if exact:
-        # exact DECIMAL sums, then one DOUBLE formula: no order-dependent rounding
-        x = F.col("x")
-        s1 = F.sum(x).cast("double")
-        s2 = F.sum(x * x).cast("double")
-        mean = F.try_divide(s1, cnt)
-        std = F.sqrt(F.try_divide(s2 - s1 * s1 / cnt, cnt - F.lit(1.0)))
-    else:
-        mean, std = F.avg("v"), F.stddev_samp("v")
-    return [F.count("v").alias("count"), mean.alias("mean"), std.alias("std"),
-            F.min("v").alias("min"), F.max("v").alias("max")]
+def by_revenue(ltv: DataFrame) -> DataFrame:
+    return ltv.orderBy(F.desc_nulls_last("revenue_usd"), F.asc_nulls_last("customer_id"))
 
 
 def _pname(p: float) -> str:
     return f"p{round(p * 100):d}"
 
 
-def distribution_summary(df: DataFrame, value: str, tiebreak: str,
-                         probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95),
+def _mean(exact: bool) -> F.Column:
+    """Σ as exact DECIMAL where the values are, divided once as DOUBLE."""
+    total = F.sum("x").cast("double") if exact else F.sum("v")
+    return F.try_divide(total, F.count("v").cast("double"))
+
+
+def distribution_summary(df: DataFrame, value: str, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95),
                          approximate: bool = False, accuracy: int = 10_000) -> DataFrame:
     """count, mean, std (sample), min, linear-interpolated percentiles, max.
 
-    The percentiles are exact without gathering the values into one task:
-    non-null values get a distributed global row number (by value, then
-    ``tiebreak``); the rows at the needed positions are picked out inside the
-    same single-pass aggregate that computes the other statistics.  With
-    ``approximate=True`` they come from one ``percentile_approx`` pass
-    instead (no materialisation, no ranking job), for very large inputs.
+    The percentiles are exact without sorting all values.  One aggregate gives
+    the moments and, per percentile, a bracket of two approximate quantiles; a
+    second counts the rows below and in each bracket (and takes the deviation
+    around the median, so that large values do not cancel); only the distinct
+    values inside the brackets are then counted and ordered.  Should a bracket
+    miss its position, it is widened to the whole range, which is slower and
+    still exact.  With ``approximate=True`` the percentiles come from
+    ``percentile_approx`` alone.
     """
     exact = isinstance(df.schema[value].dataType, T.DecimalType)
-    vals = (df.select(F.col(value).alias("x"), F.col(value).cast("double").alias("v"), F.col(tiebreak))
-            .where(F.col("x").isNotNull()))
+    vals = materialize(df.select(F.col(value).alias("x"), F.col(value).cast("double").alias("v"))
+                       .where(F.col("x").isNotNull()))
+    spark, slack = df.sparkSession, 2.0 / accuracy
+    lows, highs = [max(0.0, p - slack) for p in probs], [min(1.0, p + slack) for p in probs]
+    wanted = [*lows, *highs, *probs, 0.5]
+    first = vals.agg(F.count("v").alias("count"), _mean(exact).alias("mean"), F.min("v").alias("min"),
+                     F.max("v").alias("max"), F.percentile_approx("v", wanted, accuracy).alias("q"),
+                     F.percentile_approx("x", 0.5, accuracy).alias("middle")).first()
+    n, k, q = first["count"], len(probs), first["q"] or [None] * len(wanted)
+    schema = ", ".join(["count long", "mean double", "std double", "min double",
+                        *[f"{_pname(p)} double" for p in probs], "max double"])
+    if n == 0:
+        return spark.createDataFrame([(0, *[None] * (4 + k))], schema)
+    brackets = [(first["min"] if lows[i] <= 0 else q[i], first["max"] if highs[i] >= 1 else q[k + i]) for i in range(k)]
+    deviation = (F.col("x") - F.lit(first["middle"])).cast("double")
+    second = vals.agg(F.stddev_samp(deviation).alias("std"),
+                      *[F.count_if(F.col("v") < lo).alias(f"below_{i}") for i, (lo, _) in enumerate(brackets)],
+                      *[F.count_if(F.col("v") <= hi).alias(f"upto_{i}") for i, (_, hi) in enumerate(brackets)]).first()
+
+    def result(found):
+        return spark.createDataFrame(
+            [(n, first["mean"], second["std"], first["min"], *found, first["max"])], schema)
+
     if approximate:
-        row = vals.agg(*_moments(exact), F.percentile_approx("v", list(probs), accuracy).alias("_q"))
-        return row.select("count", "mean", "std", "min",
-                          *[F.col("_q")[i].alias(_pname(p)) for i, p in enumerate(probs)], "max")
-    numbered, n = add_row_number(vals, "v", tiebreak=[tiebreak], rn_col="rn")
-    picks = []
-    for p in probs:
-        h = (n - 1) * p if n else 0.0
-        lo = int(h) + 1
-        hi = min(lo + 1, max(n, 1))
-        picks.append((p, lo, hi, h - int(h)))
-    positions = sorted({x for _, lo, hi, _ in picks for x in (lo, hi)})
-    aggs = _moments(exact)
-    aggs += [F.max(F.when(F.col("rn") == k, F.col("v"))).alias(f"_at_{k}") for k in positions]
-    row = numbered.agg(*aggs)
-    cols = [F.col("count"), F.col("mean"), F.col("std"), F.col("min")]
-    for p, lo, hi, frac in picks:
-        cols.append(_interpolated(F.col(f"_at_{lo}"), F.col(f"_at_{hi}"), frac).alias(_pname(p)))
-    cols.append(F.col("max"))
-    return row.select(*cols)
+        return result(q[2 * k:3 * k])
+    place = [(n - 1) * p for p in probs]
+    need = [(int(h) + 1, min(int(h) + 2, n)) for h in place]
+    below = []
+    for i in range(k):
+        below.append(second[f"below_{i}"])
+        if not (below[i] < need[i][0] and need[i][1] <= second[f"upto_{i}"]):
+            brackets[i], below[i] = (first["min"], first["max"]), 0
+    inside = F.array_compact(F.array(*[
+        F.when(F.col("v").between(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(brackets)]))
+    counted = (vals.where(F.size(inside) > 0).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+               .select("v", "c", F.explode(inside).alias("i")))
+    before = F.sum("c").over(Window.partitionBy("i").orderBy("v"))
+    upto = before + F.element_at(F.array(*[F.lit(b).cast("long") for b in below]), F.col("i") + 1)
+    ranked = counted.select("v", "i", upto.alias("upto"), (upto - F.col("c")).alias("before"))
+    picks = ranked.agg(*[
+        F.max(F.when((F.col("i") == i) & (F.col("before") < at) & (at <= F.col("upto")), F.col("v"))).alias(f"{side}_{i}")
+        for i, pair in enumerate(need) for side, at in zip(("lo", "hi"), pair, strict=True)]).first()
+    return result([picks[f"lo_{i}"] + (picks[f"hi_{i}"] - picks[f"lo_{i}"]) * (place[i] - int(place[i])) for i in range(k)])
 
 
 def ltv_summary(ltv: DataFrame, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95),
                 approximate: bool = False) -> DataFrame:
-    return distribution_summary(ltv, "revenue_usd", "customer_id", probs, approximate)
+    return distribution_summary(ltv, "revenue_usd", probs, approximate)
 
 
 def equal_width_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:

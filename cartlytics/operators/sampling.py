@@ -24,18 +24,26 @@ def sample_customers(customers: DataFrame, n: int = 500, seed: int = 42) -> Data
             .orderBy("_k", "customer_id").limit(n).drop("_k"))
 
 
+BROADCAST_KEYS = 200_000
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def referential_sample(tables: dict[str, DataFrame], n: int = 500, seed: int = 42) -> dict[str, DataFrame]:
     """Sampled customers, their orders, those orders' items, their events and
     experiment rows, and all products.
 
-    The sampled customers are at most ``n`` rows, so broadcasting them is
-    bounded.  Sampled orders may be many (one customer can own a large share
-    of all orders), so that semi-join is left to the planner / AQE.
+    ``n`` is the caller's and one customer can own a large share of all
+    orders, so neither key set is broadcast unseen: both are written, counted,
+    and broadcast only up to ``BROADCAST_KEYS`` rows; beyond that the
+    semi-join is left to the planner.
     """
     customers = materialize(sample_customers(tables["customers"], n, seed))
-    keys = F.broadcast(customers.select("customer_id"))
-    orders = tables["orders"].join(keys, "customer_id", "left_semi")
-    items = tables["order_items"].join(orders.select("order_id"), "order_id", "left_semi")
+    keys = _small(customers.select("customer_id"))
+    orders = materialize(tables["orders"].join(keys, "customer_id", "left_semi"))
+    items = tables["order_items"].join(_small(orders.select("order_id")), "order_id", "left_semi")
     events = tables["events"].join(keys, "customer_id", "left_semi")
     experiments = tables["marketing_experiments"].join(
         keys.withColumnRenamed("customer_id", "user_id"), "user_id", "left_semi")

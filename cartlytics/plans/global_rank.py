@@ -1,197 +1,80 @@
 """Distributed global ROW_NUMBER / RANK.
 
-``Window.orderBy(...)`` without ``partitionBy`` moves every row into one task
-(``Exchange SinglePartition``).  Here the total order is cut into buckets
-instead:
-
-1. One aggregate pass computes ``count(*)`` and approximate quantiles of the
-   sort value (a fixed-size array, read by the driver).  A value that fills
-   several quantiles is a hot tie group; a second bounded pass takes quantiles
-   of the tiebreak inside each hot group, so a group holding a third of all
-   rows is split across buckets too.  Nulls (sorted last) are split the same
-   way when they are many.
-2. Each row's bucket is a binary search over the sorted cut points, written
-   as nested ``CASE WHEN`` (pure Catalyst expression, codegen'd).
-3. Rows per bucket (≤ #buckets rows) give prefix offsets through a window
-   over that tiny table; it is broadcast back (size bounded by the bucket
-   count).
-4. ``row_number`` / ``rank`` inside ``Window.partitionBy(bucket)`` plus the
-   offset give the global numbers.  Ranks of tie groups that span buckets
-   are fixed by the minimum over the (bounded) set of split groups.
-
-The cut points only affect balance, never correctness: any cuts give exact
-results, because the bucket is a deterministic function of the row.
+``Window.orderBy(...)`` without ``partitionBy`` moves every row into one task.
+Here the rows are range-partitioned instead:
+
+1. The input is written once and counted; the number of ranges follows from
+   the count, so that a range stays at about ``TARGET_ROWS`` rows at any size.
+2. Rows are range-partitioned by the value *and* the tiebreak columns (any
+   sortable type, strings too), so a value that a third of all rows share is
+   split over many ranges.  Each range is sorted and written with its position
+   (range number and place within the range).
+3. Rows per range (one row per range) give prefix offsets, which are broadcast
+   back; the global row number is offset + place + 1, without any window.
+4. A rank is taken in one window per range.  A value that spans ranges has its
+   rank corrected by the smallest row number of that value; there are at most
+   as many such values as ranges, and they are broadcast.
+
+The ranges only affect balance, never the result.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from typing import Any, Sequence
+import math
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .materialize import materialize
 
-MAX_DEFAULT_BUCKETS = 512
-QUANTILE_ACCURACY = 10_000
-
-
-@dataclass(frozen=True)
-class _Cut:
-    kind: str          # "value" | "tie" | "null_tie"
-    value: Any = None
-    tie: Any = None
-
-
-def _quantile_type(df: DataFrame, col: str) -> bool:
-    """Types ``percentile_approx`` accepts (numeric, date, timestamp)."""
-    t = df.schema[col].dataType
-    return isinstance(t, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-
-
-def _default_buckets(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(parts, MAX_DEFAULT_BUCKETS))
-
-
-def _plan_cuts(df: DataFrame, value: str, desc: bool, tie: str | None,
-               buckets: int) -> tuple[list[_Cut], int]:
-    probs = [i / buckets for i in range(1, buckets)]
-    aggs = [F.count(F.lit(1)).alias("n"), F.count(F.col(value)).alias("n_value")]
-    if probs:
-        aggs.append(F.percentile_approx(value, probs, QUANTILE_ACCURACY).alias("q"))
-    row = df.agg(*aggs).first()
-    n, n_value = int(row["n"]), int(row["n_value"])
-    quantiles = list(row["q"] or []) if probs else []
-    if desc:
-        quantiles.reverse()
-    # distinct quantile values in sort order, with how many quantiles they fill
-    distinct: list[tuple[Any, int]] = []
-    for q in quantiles:
-        if q is None:
-            continue
-        if distinct and distinct[-1][0] == q:
-            distinct[-1] = (q, distinct[-1][1] + 1)
-        else:
-            distinct.append((q, 1))
-    hot = {v: m for v, m in distinct if m > 1} if tie else {}
-    per_row = n / buckets if buckets else n
-    null_splits = 0
-    if tie and n - n_value > per_row and buckets > 1:
-        null_splits = min(buckets - 1, int((n - n_value) / max(per_row, 1)))
-
-    tie_cuts: dict[Any, list[Any]] = {}
-    if hot:
-        max_m = max(hot.values())
-        tprobs = [j / (max_m + 1) for j in range(1, max_m + 1)]
-        rows = (df.where(F.col(value).isin(list(hot)))
-                .groupBy(value)
-                .agg(F.percentile_approx(tie, tprobs, QUANTILE_ACCURACY).alias("tq"))
-                .collect())
-        for r in rows:
-            tie_cuts[r[value]] = sorted({t for t in (r["tq"] or []) if t is not None})
-    null_cuts: list[Any] = []
-    if null_splits:
-        nprobs = [j / (null_splits + 1) for j in range(1, null_splits + 1)]
-        r = (df.where(F.col(value).isNull())
-             .agg(F.percentile_approx(tie, nprobs, QUANTILE_ACCURACY).alias("tq")).first())
-        null_cuts = sorted({t for t in (r["tq"] or []) if t is not None})
+TARGET_ROWS = 1_000_000
+_PLACE_BITS = 33  # of monotonically_increasing_id: the place within its partition
 
-    cuts: list[_Cut] = []
-    for v, _m in distinct:
-        for t in tie_cuts.get(v, []):
-            cuts.append(_Cut("tie", v, t))
-        cuts.append(_Cut("value", v))
-    for t in null_cuts:
-        cuts.append(_Cut("null_tie", None, t))
-    return cuts, n
 
-
-def _after_non_null(cut: _Cut, v: Column, t: Column | None, desc: bool) -> Column:
-    """A row with a non-null value sorts strictly after ``cut``."""
-    x = F.lit(cut.value)
-    beyond = (v < x) if desc else (v > x)
-    if cut.kind == "value":
-        return beyond
-    return beyond | ((v == x) & (t.isNull() | (t > F.lit(cut.tie))))
-
-
-def _search(cuts: list[_Cut], after) -> Column:
-    """Number of (sorted) cuts a row sorts after: binary search as nested CASE."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(after(cuts[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
-    return build(0, len(cuts))
-
-
-def _bucket_expr(cuts: list[_Cut], v: Column, t: Column | None, desc: bool) -> Column:
-    """Bucket of a row.  NULL values (sorted last) branch off once at the top,
-    so each node of the value search is a plain comparison; this keeps the
-    generated code small enough to compile for several hundred buckets."""
-    value_cuts = [c for c in cuts if c.kind != "null_tie"]
-    null_cuts = [c for c in cuts if c.kind == "null_tie"]
-    on_values = _search(value_cuts, lambda c: _after_non_null(c, v, t, desc))
-    on_nulls = F.lit(len(value_cuts)) + _search(
-        null_cuts, lambda c: t.isNull() | (t > F.lit(c.tie)))
-    return F.when(v.isNull(), on_nulls).otherwise(on_values)
+def range_count(n: int, target_rows: int = TARGET_ROWS) -> int:
+    return max(1, math.ceil(n / target_rows))
 
 
 def add_row_number(df: DataFrame, value: str, descending: bool = False,
                    tiebreak: Sequence[str] = (), rn_col: str | None = "rn",
-                   rank_col: str | None = None,
-                   buckets: int | None = None,
-                   materialize_input: bool = True) -> tuple[DataFrame, int]:
+                   rank_col: str | None = None, buckets: int | None = None) -> tuple[DataFrame, int]:
     """Add global ``row_number`` (by ``value``, then ``tiebreak`` ascending)
     and/or ``rank`` (by ``value`` only) without a single-partition window.
 
-    Nulls of ``value`` sort last in either direction.  The first tiebreak
-    column (numeric) is also used to split hot tie groups.  Returns the new
-    DataFrame and the row count (from the planning pass).
+    Nulls sort last in either direction.  ``buckets`` overrides the number of
+    ranges.  Returns the new DataFrame and the row count.
     """
-    desc = descending
-    if not _quantile_type(df, value):
-        raise ValueError(f"global rank needs a numeric, date or timestamp sort column, not {value}")
-    # the first tiebreak also splits hot tie groups when quantiles apply to it
-    tie = tiebreak[0] if tiebreak and _quantile_type(df, tiebreak[0]) else None
-    b = buckets or _default_buckets(df)
-    if materialize_input:
-        df = materialize(df)      # the planning pass and the main job read it once
-    cuts, n = _plan_cuts(df, value, desc, tie, b)
-
+    source = materialize(df)
+    n = source.count()
     v = F.col(value)
-    t = F.col(tie) if tie else None
-    bucketed = df.withColumn("_bucket", _bucket_expr(cuts, v, t, desc).cast("int"))
-
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-
-    v_order = (v.desc_nulls_last() if desc else v.asc_nulls_last())
-    row_order = [v_order] + [F.col(c).asc_nulls_last() for c in tiebreak]
-    in_bucket = Window.partitionBy("_bucket").orderBy(*row_order)
-    by_value = Window.partitionBy("_bucket").orderBy(v_order)
-
-    out = bucketed.join(F.broadcast(offsets), "_bucket")
-    if rn_col:
-        out = out.withColumn(rn_col, F.col("_offset") + F.row_number().over(in_bucket))
+    by_value = v.desc_nulls_last() if descending else v.asc_nulls_last()
+    order = [by_value, *[F.col(c).asc_nulls_last() for c in tiebreak]]
+    placed = materialize(source.repartitionByRange(buckets or range_count(n), *order)
+                         .sortWithinPartitions(*order)
+                         .withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.select("*", F.shiftright("_id", _PLACE_BITS).alias("_range"),
+                           F.col("_id").bitwiseAND((1 << _PLACE_BITS) - 1).alias("_place")).drop("_id")
+
+    ranges = placed.groupBy("_range").agg(
+        F.count(F.lit(1)).alias("_size"), F.min_by(F.struct(value), "_place").alias("_first"),
+        F.max_by(F.struct(value), "_place").alias("_last"))
+    in_order = Window.orderBy("_range")  # one row per range
+    offset = F.coalesce(F.sum("_size").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select("_range", offset.alias("_offset"), "_first",
+                           F.lag("_last").over(in_order).alias("_before"))
+    out = placed.join(F.broadcast(ranges.select("_range", "_offset")), "_range")
+    number = F.col("_offset") + F.col("_place") + 1
     if rank_col:
-        out = out.withColumn("_grank", F.col("_offset") + F.rank().over(by_value))
-        split_values = sorted({c.value for c in cuts if c.kind == "tie"})
-        split_null = any(c.kind == "null_tie" for c in cuts)
-        if split_values or split_null:
-            cond = v.isin(split_values) if split_values else F.lit(False)
-            if split_null:
-                cond = cond | v.isNull()
-            first_rank = (out.where(cond).groupBy(value)
-                          .agg(F.min("_grank").alias("_first_rank"))
-                          .withColumnRenamed(value, "_split_value"))
-            out = (out.join(F.broadcast(first_rank), v.eqNullSafe(F.col("_split_value")), "left")
-                   .withColumn("_grank", F.coalesce(F.col("_first_rank"), F.col("_grank")))
-                   .drop("_split_value", "_first_rank"))
-        out = out.withColumnRenamed("_grank", rank_col)
-    return out.drop("_bucket", "_offset"), n
+        spanning = ranges.where(F.col("_first").eqNullSafe(F.col("_before")))
+        spanning = spanning.select(F.col(f"_first.{value}").alias("_value")).distinct()
+        starts = (out.join(F.broadcast(spanning), v.eqNullSafe(F.col("_value")))
+                  .groupBy("_value").agg(F.min(number).alias("_start")))
+        within = Window.partitionBy("_range").orderBy(by_value)
+        out = (out.withColumn("_rank", F.col("_offset") + F.rank().over(within))
+               .join(F.broadcast(starts), v.eqNullSafe(F.col("_value")), "left")
+               .withColumn(rank_col, F.coalesce("_start", "_rank")).drop("_rank", "_value", "_start"))
+    if rn_col:
+        out = out.withColumn(rn_col, number)
+    return out.drop("_range", "_place", "_offset"), n

@@ -1,21 +1,35 @@
 """Compute an intermediate result once and cut its lineage.
 
-Used where one result feeds a driver-side planning pass (quantile cut points,
-pivot column values) and then the main job: without it the upstream joins
-would run twice.  The data goes to the cluster's shared
-``spark.checkpoint.dir`` through a reliable ``checkpoint()``, so a lost
-executor does not lose it.  If the session names no checkpoint folder the
-DataFrame is returned unchanged and each job recomputes it.
+Used where one result feeds a planning pass and then the main job: without it
+the upstream joins would run twice, and a planning pass could disagree with the
+main job on an input that changes between reads.  The rows are written as
+Parquet to the folder that the cluster names in ``spark.checkpoint.dir``, which
+all executors share, so a lost executor does not lose them.  Without that
+setting a local master gets a scratch folder; any other master is refused.
+
+``clear(spark)`` removes everything this application has written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..session import shared_folder
 
-from ..session import checkpoint_dir
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/cartlytics-{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df
+    path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's materialised tables (call when done with them)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,4 +1,4 @@
-"""Named queries over the driver's test tables: one per user-level query.
+"""Named queries over the driver's test tables: one per report.
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame.  Results are
 finished for engine-independent comparison: money (exact DECIMAL sums) is
@@ -9,206 +9,61 @@ cast to DOUBLE and rounded to cents, other doubles are rounded to 6 places.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .operators import cohorts, experiment, funnel, quality, ranking, revenue, sampling, timeseries
-from .sources import tables as tbl
+from .operators.cohorts import month_range
+from .reports import REPORTS, Inputs
 from .sources.roles import RoleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The months that the test tables' orders lie in; an order outside fails the
+#: matrix queries.
+CALENDAR = month_range(date(1995, 1, 1), date(2001, 12, 1))
 
-def finish(df: DataFrame, digits: int = 6) -> DataFrame:
+#: Queries that read the order-status events, where customers drop off.
+ORDER_EVENTS = {"customer_funnel", "monthly_funnel", "monthly_funnel_rates", "order_funnel_steps"}
+#: Queries that need of the customers only their own columns (no join to nations).
+BASE_CUSTOMERS = {"check_primary_keys", "check_foreign_keys", "table_row_counts"}
+#: Places that doubles are rounded to, where not 6.
+DIGITS = {"recency_weight": 12, "ltv_summary": {"std": 4}}
+
+
+def finish(df: DataFrame, digits: int | dict = 6) -> DataFrame:
     """Money (DECIMAL) → DOUBLE rounded to cents; other DOUBLEs rounded."""
+    per_column = digits if isinstance(digits, dict) else {}
+    places = 6 if isinstance(digits, dict) else digits
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
             cols.append(F.round(c.cast("double"), 2).alias(f.name))
         elif isinstance(f.dataType, T.DoubleType):
-            cols.append(F.round(c, digits).alias(f.name))
+            cols.append(F.round(c, per_column.get(f.name, places)).alias(f.name))
         else:
             cols.append(c)
     return df.select(cols)
 
 
-def _roles(spark: SparkSession, sf_dir: str) -> RoleTables:
-    return RoleTables(spark, sf_dir)
-
-
-def q_daily_revenue(spark, sf_dir):
-    r = _roles(spark, sf_dir)
-    return finish(revenue.daily_revenue(r.orders(), r.order_items()))
-
-
-def q_category_performance(spark, sf_dir):
-    r = _roles(spark, sf_dir)
-    return finish(revenue.category_performance(r.order_items(), r.products()))
-
-
-def q_top_products(spark, sf_dir):
-    r = _roles(spark, sf_dir)
-    return finish(revenue.top_products(r.order_items(), r.products(), 10))
-
-
-def _ltv(r: RoleTables) -> DataFrame:
-    return revenue.customer_ltv(r.customers(), r.orders(), r.order_items(), ordered=False)
-
-
-def q_customer_ltv(spark, sf_dir):
-    r = _roles(spark, sf_dir)
-    return finish(revenue.customer_ltv(r.customers(), r.orders(), r.order_items()))
-
-
-def q_ltv_summary(spark, sf_dir):
-    return finish(revenue.ltv_summary(_ltv(_roles(spark, sf_dir))))
-
-
-def q_ltv_histogram(spark, sf_dir):
-    return finish(revenue.ltv_histogram(_ltv(_roles(spark, sf_dir)), 30))
-
-
-def _signup_cohorts(r: RoleTables, ordered: bool = False) -> DataFrame:
-    return cohorts.signup_cohort_revenue(r.customers(), r.orders(), r.order_items(), ordered)
-
-
-def q_signup_cohort_revenue(spark, sf_dir):
-    return finish(_signup_cohorts(_roles(spark, sf_dir), ordered=True))
-
-
-def q_cohort_revenue_matrix(spark, sf_dir):
-    return finish(cohorts.cohort_revenue_matrix(_signup_cohorts(_roles(spark, sf_dir))))
-
-
-def q_ranked_customers(spark, sf_dir):
-    r = _roles(spark, sf_dir)
-    return finish(ranking.ranked_customers(r.orders(), r.customers()))
-
-
-def q_revenue_moving_avg(spark, sf_dir):
-    r = _roles(spark, sf_dir)
-    return finish(timeseries.revenue_moving_avg(r.orders(), (7, 28)))
-
-
-def _purchase_cohorts(r: RoleTables, ordered: bool = False) -> DataFrame:
-    return cohorts.purchase_cohorts(r.orders(), ordered)
-
-
-def q_purchase_cohorts(spark, sf_dir):
-    return _purchase_cohorts(_roles(spark, sf_dir), ordered=True)
-
-
-def q_cohort_customer_matrix(spark, sf_dir):
-    return cohorts.cohort_customer_matrix(_purchase_cohorts(_roles(spark, sf_dir)))
-
-
-def q_cohort_retention(spark, sf_dir):
-    return finish(cohorts.cohort_retention(_purchase_cohorts(_roles(spark, sf_dir)), 3))
-
-
-def q_cohort_retention_calendar(spark, sf_dir):
-    return finish(cohorts.cohort_retention_calendar(_purchase_cohorts(_roles(spark, sf_dir)), 4))
-
-
-def q_customer_funnel(spark, sf_dir):
-    return funnel.customer_funnel(_roles(spark, sf_dir).order_events())
-
-
-def q_funnel_steps(spark, sf_dir):
-    return finish(funnel.funnel_steps(funnel.customer_funnel(_roles(spark, sf_dir).events())))
-
-
-def q_monthly_funnel(spark, sf_dir):
-    return funnel.monthly_funnel(_roles(spark, sf_dir).order_events())
-
-
-def q_monthly_funnel_rates(spark, sf_dir):
-    return finish(funnel.monthly_funnel_rates(funnel.monthly_funnel(_roles(spark, sf_dir).order_events())))
-
-
-def _experiments(spark, sf_dir) -> DataFrame:
-    return _roles(spark, sf_dir).marketing_experiments()
-
-
-def q_ab_conversion(spark, sf_dir):
-    return finish(experiment.ab_conversion(_experiments(spark, sf_dir)))
-
-
-def q_ab_ztest(spark, sf_dir):
-    return finish(experiment.ab_ztest(_experiments(spark, sf_dir)))
-
-
-def q_ab_pvalue(spark, sf_dir):
-    return finish(experiment.ab_pvalue(_experiments(spark, sf_dir)))
-
-
-def q_ab_confidence(spark, sf_dir):
-    conv = experiment.ab_conversion(_experiments(spark, sf_dir))
-    return finish(experiment.ab_confidence(conv, 0.05))
-
-
-def q_order_revenue(spark, sf_dir):
-    r = _roles(spark, sf_dir)
-    return finish(revenue.order_revenue(r.orders(), r.order_items()))
-
-
-def q_referential_sample(spark, sf_dir):
-    sample = sampling.referential_sample(_roles(spark, sf_dir).all(), n=500, seed=42)
-    return tbl.table_row_counts(sample)
-
-
-def q_recency_weight(spark, sf_dir):
-    # weights are ~1/n: compared unrounded (same IEEE operations in both engines)
-    return ranking.recency_weight(_roles(spark, sf_dir).customers(), 0.3)
-
-
-def q_check_primary_keys(spark, sf_dir):
-    return quality.check_primary_keys(_roles(spark, sf_dir).all())
-
-
-def q_check_foreign_keys(spark, sf_dir):
-    return quality.check_foreign_keys(_roles(spark, sf_dir).all())
-
-
-def q_table_row_counts(spark, sf_dir):
-    return tbl.table_row_counts(_roles(spark, sf_dir).all())
+def _query(name: str, report: str | None = None) -> Query:
+    build = REPORTS[report or name][1]
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        roles = RoleTables(spark, sf_dir)
+        tables = roles.all()
+        if name in ORDER_EVENTS:
+            tables["events"] = roles.order_events()
+        if name in BASE_CUSTOMERS:
+            tables["customers"] = roles.base_customers()
+        return finish(build(Inputs(tables, keep=False, months=CALENDAR)), DIGITS.get(name, 6))
 
-def q_table_preview(spark, sf_dir):
-    return finish(tbl.table_preview(_roles(spark, sf_dir).orders(), "order_id", 5))
+    run.__name__ = f"q_{name}"
+    return run
 
 
-QUERIES: dict[str, Query] = {
-    "daily_revenue": q_daily_revenue,
-    "category_performance": q_category_performance,
-    "top_products": q_top_products,
-    "customer_ltv": q_customer_ltv,
-    "ltv_summary": q_ltv_summary,
-    "ltv_histogram": q_ltv_histogram,
-    "signup_cohort_revenue": q_signup_cohort_revenue,
-    "cohort_revenue_matrix": q_cohort_revenue_matrix,
-    "ranked_customers": q_ranked_customers,
-    "revenue_moving_avg": q_revenue_moving_avg,
-    "purchase_cohorts": q_purchase_cohorts,
-    "cohort_customer_matrix": q_cohort_customer_matrix,
-    "cohort_retention": q_cohort_retention,
-    "cohort_retention_calendar": q_cohort_retention_calendar,
-    "customer_funnel": q_customer_funnel,
-    "funnel_steps": q_funnel_steps,
-    "monthly_funnel": q_monthly_funnel,
-    "monthly_funnel_rates": q_monthly_funnel_rates,
-    "ab_conversion": q_ab_conversion,
-    "ab_ztest": q_ab_ztest,
-    "ab_pvalue": q_ab_pvalue,
-    "ab_confidence": q_ab_confidence,
-    "order_revenue": q_order_revenue,
-    "referential_sample": q_referential_sample,
-    "recency_weight": q_recency_weight,
-    "check_primary_keys": q_check_primary_keys,
-    "check_foreign_keys": q_check_foreign_keys,
-    "table_row_counts": q_table_row_counts,
-    "table_preview": q_table_preview,
-}
+QUERIES: dict[str, Query] = {name: _query(name) for name in REPORTS}
+QUERIES["order_funnel_steps"] = _query("order_funnel_steps", "funnel_steps")

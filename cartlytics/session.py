@@ -1,9 +1,8 @@
 """Session helpers.
 
 ``configure`` applies the settings every operator assumes (UTC session zone,
-AQE with skew-join handling).  ``local_session`` is for tests and the bench:
-it builds a local session and, only where the cluster has not named one,
-points ``spark.checkpoint.dir`` at a fresh scratch folder.
+AQE with skew-join handling).  ``local_session`` is for tests and the bench.
+``shared_folder`` names the place for intermediate tables.
 """
 
 from __future__ import annotations
@@ -27,20 +26,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names for checkpoints, if any."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    return conf_dir or spark.sparkContext.getCheckpointDir()
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that driver and executors share.
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; set a scratch one only if unset."""
-    current = checkpoint_dir(spark)
-    if current:
-        return current
-    path = tempfile.mkdtemp(prefix="cartlytics-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    It is the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
+    folder).  Only a local master, where there is one machine, may do without:
+    it gets a scratch folder of its own.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cartlytics-shared-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def local_session(cores: int | str = "8", shuffle_partitions: int = 8,
@@ -58,6 +57,4 @@ def local_session(cores: int | str = "8", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    configure(spark)
-    ensure_checkpoint_dir(spark)
-    return spark
+    return configure(spark)

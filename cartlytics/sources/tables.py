@@ -3,6 +3,7 @@ and row counts."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -30,18 +31,30 @@ def load_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
             .csv(path))
 
 
-def load_tables_csv(spark: SparkSession, directory: str,
-                    names: tuple[str, ...] = TABLES, skip_missing: bool = True) -> dict[str, DataFrame]:
-    """The tables found as ``<directory>/<table>.csv``; absent files are
-    skipped (the published sample set has no events file)."""
-    out = {}
+def load_tables_csv(spark: SparkSession, directory: str, names: tuple[str, ...] = TABLES,
+                    enforce: bool = False) -> dict[str, DataFrame]:
+    """The tables in ``<directory>/<table>.csv``; an absent file is an error.
+    With ``enforce`` a NULL or repeated primary key is one too."""
+    out = {t: load_csv(spark, f"{directory.rstrip('/')}/{t}.csv", t) for t in names}
+    if enforce:
+        from ..operators.quality import enforce_primary_keys
+
+        enforce_primary_keys(out)
+    return out
+
+
+def load_available_csv(spark: SparkSession, directory: str,
+                       names: tuple[str, ...] = TABLES) -> tuple[dict[str, DataFrame], list[str]]:
+    """The tables whose files are there, and the names of those that are not."""
+    out, skipped = {}, []
     for t in names:
         try:
             out[t] = load_csv(spark, f"{directory.rstrip('/')}/{t}.csv", t)
         except AnalysisException as e:
-            if not (skip_missing and "PATH_NOT_FOUND" in str(e)):
+            if "PATH_NOT_FOUND" not in str(e):
                 raise
-    return out
+            skipped.append(t)
+    return out, skipped
 
 
 def load_tables_parquet(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
@@ -77,9 +90,10 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def table_preview(df: DataFrame, key: str | None = None, n: int = 5) -> DataFrame:
+def table_preview(df: DataFrame, key: str | Sequence[str] | None = None, n: int = 5) -> DataFrame:
     """First ``n`` rows by key (a bounded top-k, repeatable across runs)."""
-    return df.orderBy(key).limit(n) if key else df.limit(n)
+    keys = [key] if isinstance(key, str) else list(key or ())
+    return df.orderBy(*keys).limit(n) if keys else df.limit(n)
 
 
 def preview_all(tables: dict[str, DataFrame], n: int = 5) -> dict[str, DataFrame]:

@@ -12,11 +12,12 @@ def read_table_stream(spark: SparkSession, directory: str, table: str, fmt: str
     """Streaming DataFrame over files of ``table`` landing in ``directory``.
 
     The declared schema is applied (file streams never infer), and CSV rows
-    with a bad value fail the query, as the batch load does.
+    with a bad value, or a header in another order, fail the query, as the
+    batch load does.
     """
     reader = spark.readStream.schema(SCHEMAS[table]).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("sep", ",").option("mode", "FAILFAST")
+        reader = reader.option("header", True).option("sep", ",").option("mode", "FAILFAST").option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(directory)

@@ -38,22 +38,22 @@ def shop(spark):
     """Hand-made tables: an order without items, two orders on one day, a
     day gap, equal revenues (rank ties) and a NULL header revenue."""
     customers = spark.createDataFrame([
-        (1, d("2024-01-05"), "CO", "18-24", "<1k", "organic"),
-        (2, d("2024-01-20"), "US", "25-34", "1k-3k", "paid"),
-        (3, d("2024-02-03"), "MX", "35-44", "3k-5k", "referral"),
-        (4, d("2024-02-10"), "AR", "45-54", "5k-10k", "partner"),
+        (1, d("2024-01-05"), "QA", "age-a", "inc-a", "flyer"),
+        (2, d("2024-01-20"), "ZU", "age-b", "inc-b", "radio"),
+        (3, d("2024-02-03"), "TK", "age-c", "inc-c", "stall"),
+        (4, d("2024-02-10"), "VB", "age-d", "inc-d", "guild"),
     ], S.CUSTOMERS)
     products = spark.createDataFrame([
-        (10, "Alpha Analytics Pro", "Analytics", D(100)),
-        (11, "Beta Marketing Lite", "Marketing", D(50)),
-        (12, "Gamma Finance Max", "Finance", D(30)),
+        (10, "Brindle Kettle", "kitchen", D(100)),
+        (11, "Corvid Lantern", "lighting", D(50)),
+        (12, "Dapple Spade", "garden", D(30)),
     ], S.PRODUCTS)
     orders = spark.createDataFrame([
         (100, 1, ts("2024-03-01 10:00:00"), "web", D(250)),
         (101, 1, ts("2024-03-01 15:30:00"), "app", D(50)),
         (102, 2, ts("2024-03-03 09:00:00"), "web", D(300)),
         (103, 3, ts("2024-03-04 12:00:00"), "sales", None),
-        (104, 4, ts("2024-04-02 08:00:00"), "partner", D(300)),
+        (104, 4, ts("2024-04-02 08:00:00"), "guild", D(300)),
     ], S.ORDERS)
     items = spark.createDataFrame([
         (100, 10, 2, D(100)),

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from cartlytics.operators import cohorts as C
@@ -41,9 +43,9 @@ def test_retention_calendar_literal_form(spark):
 
 def test_customer_matrix_zero_filled(spark):
     m = C.cohort_customer_matrix(C.purchase_cohorts(_orders(spark)))
-    assert m.columns == ["cohort_month", "2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"]
+    assert m.columns == ["cohort_month", "2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01", "no_month"]
     rows = {r["cohort_month"]: tuple(r)[1:] for r in m.collect()}
-    assert rows == {d("2024-01-01"): (2, 0, 1, 1), d("2024-02-01"): (0, 1, 1, 0)}
+    assert rows == {d("2024-01-01"): (2, 0, 1, 1, 0), d("2024-02-01"): (0, 1, 1, 0, 0)}
 
 
 def test_signup_cohort_revenue_and_matrix(shop):
@@ -54,3 +56,32 @@ def test_signup_cohort_revenue_and_matrix(shop):
     rows = {r["signup_month"]: (r["2024-03-01"], r["2024-04-01"]) for r in wide.collect()}
     assert rows == {d("2024-01-01"): (600.0, 0.0), d("2024-02-01"): (0.0, 300.0)}
     assert long.agg(F.sum("revenue_usd")).first()[0] == 900
+
+
+def _long(spark):
+    return spark.createDataFrame([(d("2024-01-01"), d("2024-01-01"), 5), (d("2024-01-01"), d("2024-02-01"), 2),
+                                  (d("2024-01-01"), None, 3), (None, d("2024-02-01"), 4)],
+                                 "cohort_month date, purchase_month date, customers long")
+
+
+def test_matrix_keeps_rows_without_a_month(spark):
+    rows = {r["cohort_month"]: r for r in C.cohort_customer_matrix(_long(spark)).collect()}
+    first = rows[d("2024-01-01")]
+    assert (first["2024-01-01"], first["2024-02-01"], first["no_month"]) == (5, 2, 3)
+    assert (rows[None]["2024-01-01"], rows[None]["2024-02-01"], rows[None]["no_month"]) == (0, 4, 0)
+
+
+def test_matrix_fails_on_a_month_outside_the_list(spark):
+    with pytest.raises(PySparkException, match="month outside the given list: 2024-02-01"):
+        C.cohort_customer_matrix(_long(spark), [d("2024-01-01")]).collect()
+
+
+def test_too_many_months_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(C, "MAX_MONTHS", 1)
+    with pytest.raises(ValueError, match="more than 1 months"):
+        C.cohort_customer_matrix(_long(spark))
+
+
+def test_month_range():
+    got = C.month_range(d("2023-11-15"), d("2024-02-01"))
+    assert got == [d("2023-11-01"), d("2023-12-01"), d("2024-01-01"), d("2024-02-01")]

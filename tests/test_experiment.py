@@ -5,7 +5,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlytics.functions.stats import normal_critical_value, two_sided_pvalue_np
+from cartlytics.functions.stats import normal_critical_value, two_sided_pvalue
 from cartlytics.operators import experiment as X
 
 
@@ -57,9 +57,12 @@ def test_confidence_clipped(spark):
     assert all(0.0 <= r["ci_low"] <= r["ci_upp"] <= 1.0 for r in rows)
 
 
-def test_stats_helpers():
-    import pandas as pd
+def test_stats_helpers(spark):
     assert normal_critical_value(0.05) == 1.959963984540054
     assert math.isclose(normal_critical_value(0.1), 1.6448536269514722)
-    out = two_sided_pvalue_np(pd.Series([0.0, 1.959963984540054, None]))
-    assert math.isclose(out[0], 1.0) and math.isclose(out[1], 0.05) and math.isnan(out[2])
+    zs = [0.0, 1.959963984540054, -0.3, 2.9999, 3.0001, -8.0, 30.0, 0.3539607863]
+    df = spark.createDataFrame([(z,) for z in zs] + [(None,)], "z double").select("z", two_sided_pvalue(F.col("z")).alias("p"))
+    got = {r["z"]: r["p"] for r in df.collect()}
+    assert got.pop(None) is None
+    for z, p in got.items():
+        assert math.isclose(p, math.erfc(abs(z) / math.sqrt(2)), rel_tol=1e-9), z

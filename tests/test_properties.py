@@ -29,7 +29,7 @@ values = st.one_of(st.none(), st.integers(min_value=-3, max_value=3), st.integer
 def test_rank_matches_window(spark, vals, desc, buckets):
     df = spark.createDataFrame(list(enumerate(vals)), "id long, v long")
     out, n = add_row_number(df, "v", descending=desc, tiebreak=["id"], rn_col="rn",
-                            rank_col="rnk", buckets=buckets, materialize_input=False)
+                            rank_col="rnk", buckets=buckets)
     vo = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_last()
     exp = df.select("id", F.row_number().over(Window.orderBy(vo, "id")).alias("rn"),
                     F.rank().over(Window.orderBy(vo)).alias("rnk"))

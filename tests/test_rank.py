@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartlytics.plans.global_rank import add_row_number
+from cartlytics.plans.global_rank import TARGET_ROWS, add_row_number, range_count
 
 
 def _cases():
@@ -59,11 +59,23 @@ def test_hot_group_is_split_across_buckets(spark):
     assert sorted(r[0] for r in hot) == list(range(1, 301))
 
 
-def test_hot_group_cut_points(spark):
-    from cartlytics.plans.global_rank import _plan_cuts
-    rows = [(i, 1 if i < 300 else i) for i in range(900)]
-    df = spark.createDataFrame(rows, "id long, v long")
-    cuts, n = _plan_cuts(df, "v", False, "id", 9)
-    assert n == 900
-    # the value 1 holds a third of the rows: it is cut by its tiebreak too
-    assert sum(1 for c in cuts if c.kind == "tie" and c.value == 1) >= 2
+def test_ranges_grow_with_the_rows():
+    assert [range_count(n) for n in (0, 1, TARGET_ROWS, TARGET_ROWS + 1, 5000 * TARGET_ROWS)] == [1, 1, 1, 2, 5000]
+
+
+def test_text_tiebreak_splits_a_hot_value(spark, tmp_path):
+    rows = [(f"id{i:04d}", 1 if i < 600 else i) for i in range(900)]
+    df = spark.createDataFrame(rows, "id string, v long").repartition(5)
+    out, _ = add_row_number(df, "v", tiebreak=["id"], rn_col="rn", rank_col="rnk", buckets=9)
+    got = {r["id"]: (r["rn"], r["rnk"]) for r in out.collect()}
+    assert got == {f"id{i:04d}": (i + 1, 1 if i < 600 else i + 1) for i in range(900)}
+    placed = [len(p) for p in df.repartitionByRange(9, "v", "id").rdd.glom().collect()]
+    assert max(placed) < 300  # no range holds the hot value alone
+
+
+def test_text_values_rank_too(spark):
+    df = spark.createDataFrame([(i, f"v{i % 7}") for i in range(100)], "id long, v string")
+    out, _ = add_row_number(df, "v", descending=True, tiebreak=["id"], rank_col="rnk", buckets=4)
+    w = Window.orderBy(F.desc("v"))
+    want = {r["id"]: r["k"] for r in df.select("id", F.rank().over(w).alias("k")).collect()}
+    assert {r["id"]: r["rnk"] for r in out.collect()} == want

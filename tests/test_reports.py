@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartlytics.registry import QUERIES, finish
-from cartlytics.reports import REPORTS, build_reports
+from cartlytics.reports import REPORTS, available_reports, build_reports
 from cartlytics.sources.roles import RoleTables
 from cartlytics.sources.tables import load_tables_csv, write_tables
 from tests.conftest import SF_SMALL
@@ -21,7 +22,7 @@ def test_reports_over_csv_tables(spark, tmp_path):
     write_tables(typed, out, "csv")
     tables = load_tables_csv(spark, out)
     assert set(tables) == set(SCHEMAS)
-    assert set(REPORTS) == set(QUERIES)
+    assert set(REPORTS) <= set(QUERIES)
     built = build_reports(tables)
     assert set(built) == set(REPORTS)
     for name, df in built.items():
@@ -32,7 +33,24 @@ def test_reports_over_csv_tables(spark, tmp_path):
     assert got == exp
 
 
-def test_reports_skip_missing_tables(spark):
+def test_missing_tables_fail_unless_asked(spark):
     roles = RoleTables(spark, SF_SMALL)
-    built = build_reports({"orders": roles.orders()})
-    assert "revenue_moving_avg" in built and "daily_revenue" not in built
+    with pytest.raises(KeyError, match="customers"):
+        build_reports({"orders": roles.orders()})
+    built, skipped = available_reports({"orders": roles.orders()})
+    assert "revenue_moving_avg" in built and "daily_revenue" in skipped
+    assert set(built) | set(skipped) == set(REPORTS)
+
+
+def test_shared_inputs_are_computed_once(spark, monkeypatch):
+    from cartlytics.operators import cohorts, revenue
+
+    calls = []
+    for module, name in ((revenue, "customer_ltv"), (cohorts, "purchase_cohorts"), (cohorts, "signup_cohort_revenue")):
+        monkeypatch.setattr(module, name, lambda *a, f=getattr(module, name), name=name, **k: calls.append(name) or f(*a, **k))
+    names = ("customer_ltv", "ltv_summary", "ltv_histogram", "signup_cohort_revenue", "cohort_revenue_matrix",
+             "purchase_cohorts", "cohort_customer_matrix", "cohort_retention", "cohort_retention_calendar")
+    built = build_reports(RoleTables(spark, SF_SMALL).all(), names)
+    assert sorted(calls) == ["customer_ltv", "purchase_cohorts", "signup_cohort_revenue"]
+    for name in ("customer_ltv", "signup_cohort_revenue", "cohort_revenue_matrix", "purchase_cohorts"):
+        assert "lineitem" not in built[name]._jdf.queryExecution().executedPlan().toString()

@@ -23,11 +23,11 @@ def test_daily_revenue_inner_join_drops_order_without_items(shop):
 def test_category_and_top_products(shop):
     cat = {r["category"]: (r["revenue_usd"], r["products_sold"])
            for r in R.category_performance(shop["order_items"], shop["products"]).collect()}
-    assert cat == {"Analytics": (Decimal("500.00"), 1), "Marketing": (Decimal("370.00"), 1),
-                   "Finance": (Decimal("30.00"), 1)}
+    assert cat == {"kitchen": (Decimal("500.00"), 1), "lighting": (Decimal("370.00"), 1),
+                   "garden": (Decimal("30.00"), 1)}
     top = R.top_products(shop["order_items"], shop["products"], 2).collect()
     assert [(r["product_name"], r["item_lines"]) for r in top] == [
-        ("Alpha Analytics Pro", 2), ("Beta Marketing Lite", 3)]
+        ("Brindle Kettle", 2), ("Corvid Lantern", 3)]
 
 
 def test_sums_agree_across_keys(shop):
@@ -116,8 +116,8 @@ def test_top_products_merges_equal_names_and_breaks_ties(spark):
     from cartlytics.sources import schemas as S
     from tests.conftest import D
     products = spark.createDataFrame([
-        (1, "Twin", "Analytics", D(10)), (2, "Twin", "Analytics", D(10)),   # same name+category merge
-        (3, "Bravo", "Finance", D(10)), (4, "Alpha", "Finance", D(10)), (5, "Zulu", "Finance", D(10)),
+        (1, "Twin", "kitchen", D(10)), (2, "Twin", "kitchen", D(10)),   # same name+category merge
+        (3, "Bravo", "garden", D(10)), (4, "Alpha", "garden", D(10)), (5, "Zulu", "garden", D(10)),
     ], S.PRODUCTS)
     items = spark.createDataFrame([
         (1, 1, 1, D(30)), (2, 2, 1, D(30)),                 # Twin: 60 over 2 lines
@@ -149,3 +149,39 @@ def test_summary_approximate_close_to_exact(spark):
         assert math.isclose(exact[k], approx[k], rel_tol=1e-9)
     for k in ("p50", "p75", "p90", "p95"):
         assert abs(exact[k] - approx[k]) <= 2.0
+
+
+def test_large_lines_do_not_overflow(spark):
+    items = spark.createDataFrame([(1, 2, 1000, Decimal("9999999999999999.99"))],
+                                  "order_id int, product_id int, qty int, unit_price_usd decimal(18,2)")
+    assert R.revenue_per_order(items).first()["line_revenue"] == Decimal("9999999999999999990.00")
+
+
+@pytest.mark.parametrize("values,std", [
+    ([Decimal("1000000000.00"), Decimal("1000000000.01"), Decimal("1000000000.02")], 0.01),
+    ([Decimal("50000000.00") + Decimal(i % 100) / 100 for i in range(100_000)],
+     math.sqrt(9999 / 12 * 100_000 / 99_999) / 100),
+])
+def test_deviation_of_large_values_does_not_cancel(spark, values, std):
+    df = spark.createDataFrame([(v,) for v in values], "x decimal(14,2)")
+    assert abs(R.distribution_summary(df, "x").first()["std"] - std) < 1e-6
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_percentiles_equal_numpy(spark, seed):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    x = {1: rng.normal(size=3000), 2: rng.integers(0, 4, 5000).astype(float), 3: np.array([7.5])}[seed]
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double")
+    row = R.distribution_summary(df, "x", (0.0, 0.01, 0.5, 0.9), accuracy=50).first()
+    for p, name in ((0, "p0"), (0.01, "p1"), (0.5, "p50"), (0.9, "p90")):
+        assert abs(row[name] - np.quantile(x, p)) < 1e-9, p
+    assert row["count"] == len(x)
+
+
+def test_customer_listed_twice_gives_one_row(spark, shop):
+    twice = shop["customers"].unionByName(shop["customers"].where("customer_id = 1"))
+    rows = R.customer_ltv(twice, shop["orders"], shop["order_items"]).where("customer_id = 1").collect()
+    once = R.customer_ltv(shop["customers"], shop["orders"], shop["order_items"]).where("customer_id = 1").first()
+    assert len(rows) == 1 and rows[0]["orders"] == once["orders"] and rows[0]["revenue_usd"] == 2 * once["revenue_usd"]

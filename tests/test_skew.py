@@ -25,9 +25,9 @@ def skewed(spark):
         ((F.col("id") % 13) + 2).cast("decimal(10,2)").alias("unit_price_usd"))
     customers = spark.range(100, 500).select(
         F.col("id").alias("customer_id"), F.lit(None).cast("date").alias("signup_date"),
-        F.lit("CO").alias("country"), F.lit("x").alias("channel"))
+        F.lit("QA").alias("country"), F.lit("x").alias("channel"))
     customers = customers.unionByName(spark.createDataFrame(
-        [(7, None, "US", "paid")], "customer_id long, signup_date date, country string, channel string"))
+        [(7, None, "ZU", "radio")], "customer_id long, signup_date date, country string, channel string"))
     return {"orders": orders, "order_items": items, "customers": customers}
 
 
@@ -60,6 +60,6 @@ def test_cohorts_and_keys_with_hot_customer(skewed):
     assert pc == {(r[0], r[1]): r[2] for r in plain}
     fk = {r["edge"]: r["violations"] for r in quality.check_foreign_keys(
         {"orders": skewed["orders"], "customers": skewed["customers"],
-         "order_items": skewed["order_items"]}).collect()}
+         "order_items": skewed["order_items"]}, skip_missing=True).collect()}
     assert fk["orders.customer_id -> customers.customer_id"] == 0
     assert fk["orders.order_id -> order_items.order_id"] == 0

@@ -5,13 +5,13 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 
 from cartlytics.sources import tables as tbl
 from cartlytics.sources.schemas import SCHEMAS
 
-SAMPLES = os.environ.get("CARTLYTICS_SAMPLE_CSV_DIR", "")
+SAMPLES = os.path.join(os.path.dirname(__file__), "data")
 
 
 def _write(tmp_path, name, text):
@@ -43,7 +43,7 @@ def test_csv_types_and_text_cases(spark, tmp_path):
 
 def test_csv_bad_value_fails(spark, tmp_path):
     bad = _write(tmp_path, "order_items", "order_id,product_id,qty,unit_price_usd\n1,2,three,9.99\n")
-    with pytest.raises((Py4JJavaError, PySparkException, Exception)):
+    with pytest.raises(Py4JJavaError, match="MALFORMED_RECORD_IN_PARSING"):
         tbl.load_csv(spark, bad, "order_items").collect()
 
 
@@ -79,10 +79,26 @@ def test_register_count_preview(spark, shop):
     assert set(tbl.preview_all(shop, 1)) == set(shop)
 
 
-@pytest.mark.skipif(not SAMPLES or not os.path.isdir(SAMPLES), reason="CARTLYTICS_SAMPLE_CSV_DIR not set")
-def test_reference_sample_csvs_load(spark):
-    counts = {}
-    for t in ("customers", "products", "orders", "order_items", "marketing_experiments"):
-        counts[t] = tbl.load_csv(spark, f"{SAMPLES}/{t}.csv", t).count()
-    assert counts == {"customers": 500, "products": 40, "orders": 778, "order_items": 1260,
-                      "marketing_experiments": 500}
+def test_header_in_another_order_fails(spark, tmp_path):
+    bad = _write(tmp_path, "order_items", "product_id,order_id,qty,unit_price_usd\n1,2,3,9.99\n")
+    with pytest.raises(Py4JJavaError, match="CSV header does not conform to the schema"):
+        tbl.load_csv(spark, bad, "order_items").collect()
+
+
+def test_missing_files_fail_unless_asked(spark, tmp_path):
+    _write(tmp_path, "order_items", "order_id,product_id,qty,unit_price_usd\n1,2,3,9.99\n")
+    with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
+        tbl.load_tables_csv(spark, str(tmp_path))
+    found, skipped = tbl.load_available_csv(spark, str(tmp_path))
+    assert set(found) == {"order_items"} and set(skipped) == set(SCHEMAS) - {"order_items"}
+
+
+def test_enforced_keys_abort_the_load(spark, tmp_path):
+    for name in SCHEMAS:
+        text = open(f"{SAMPLES}/{name}.csv").read()
+        if name == "products":
+            text += "1,Again,garden,5.00\n,No key,garden,5.00\n"
+        _write(tmp_path, name, text)
+    assert len(tbl.load_tables_csv(spark, str(tmp_path))) == 6
+    with pytest.raises(ValueError, match="products.product_id: 1 null, 1 repeated"):
+        tbl.load_tables_csv(spark, str(tmp_path), enforce=True)

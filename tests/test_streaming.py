@@ -2,6 +2,9 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from cartlytics.streaming.files import read_table_stream
 
 
@@ -23,3 +26,16 @@ def test_csv_stream_uses_declared_schema(spark, tmp_path):
         q.stop()
     rows = spark.sql("SELECT order_id, revenue_usd FROM orders_stream_test ORDER BY order_id").collect()
     assert [(r[0], r[1]) for r in rows] == [(1, Decimal("1052.13")), (2, Decimal("5.00"))]
+
+
+def test_swapped_header_fails_the_stream(spark, tmp_path):
+    src = tmp_path / "orders"
+    src.mkdir()
+    (src / "part-1.csv").write_text("customer_id,order_id,order_ts,source,revenue_usd\n7,1,2024-11-24,web,5\n")
+    q = (read_table_stream(spark, str(src), "orders").writeStream.format("memory").queryName("swapped_header")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    try:
+        with pytest.raises(StreamingQueryException):
+            q.processAllAvailable()
+    finally:
+        q.stop()
