@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
 
 import numpy as np
@@ -45,6 +46,21 @@ _MARK = "\x01"
 _BETWEEN = f" {_MARK} ".encode()
 
 
+#: Latin letters, then ASCII marks: the marks are a piece of their own.
+_WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)").fullmatch
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """Byte-level BPE spells a byte by its own character if that is printable,
+    else by the next free character from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    out, free = {}, 256
+    for byte in range(256):
+        out[byte] = chr(byte) if byte in printable else chr(free)
+        free += byte not in printable
+    return out
+
+
 class WordTokenizer:
     """Ids (little-endian uint32 bytes) of texts, part by part."""
 
@@ -53,37 +69,57 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.ascii = Tokenizer.from_file(path)  # lower-case ASCII needs no normalizing
-        self.ascii.normalizer = None
+        self.model = self.tokenizer.model
+        self.alphabet = _byte_alphabet()
+        self.packed = [np.uint32(i).tobytes() for i in range(self.tokenizer.get_vocab_size())]
         mark = self._whole(_MARK)
         self.mark = int(mark[0]) if len(mark) == 1 else None
         self.known: dict[bytes, bytes] = {}
+        self.plain = self._whole("Déjà vu").tobytes() == self._letters("Déjà".encode()) + self._letters(b"vu")
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _whole(self, text: str, by=None) -> np.ndarray:
-        return np.array((by or self.tokenizer).encode(text, add_special_tokens=False).ids, np.uint32)
+    def _letters(self, word: bytes) -> bytes:
+        """Ids of one run of Latin letters, straight from the merges."""
+        if word.isascii():
+            spelled = word.lower().decode()
+        else:
+            spelled = word.decode().lower().encode().decode("latin-1").translate(self.alphabet)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(spelled)])
 
     def learn(self, parts: list[bytes]) -> None:
-        """Tokenize unknown parts, many in one call, told apart by a mark.  A
-        comma or stop after an ASCII letter is a piece of its own."""
-        stopped = [p for p in parts if p.endswith((b",", b".")) and p[-2:-1].isalpha()]
-        whole = list(set(parts).difference(stopped).union([p[:-1] for p in stopped], (b",", b".")).difference(self.known))
-        marked = {p for p in whole if b"\x01" in p} if self.mark is not None else set(whole)
-        plain = [p for p in whole if p not in marked] if marked else whole
+        """Tokenize unknown parts: letters and marks by themselves, the others
+        many in one call, told apart by a mark of its own."""
+        known, others = self.known, []
+        for p in parts:
+            found = _WORD(p) if self.plain else None
+            if found is None:
+                others.append(p)
+                continue
+            word, marks = found.groups()
+            ids = known.get(word) or self._letters(word)
+            if marks:
+                known[word] = ids
+                if marks not in known:
+                    known[marks] = self._whole(marks.decode()).tobytes()
+                known[p] = ids + known[marks]
+            else:
+                known[p] = ids
+        marked = {p for p in others if b"\x01" in p} if self.mark is not None else set(others)
+        plain = [p for p in others if p not in marked]
         for start in range(0, len(plain), TOGETHER):
             some = plain[start:start + TOGETHER]
-            joined = _BETWEEN.join(some)
-            lower = joined.isascii() and joined == joined.lower()
-            ids = self._whole(joined.decode("utf-8", "replace"), self.ascii if lower else None)
+            ids = self._whole(_BETWEEN.join(some).decode("utf-8", "replace"))
             cuts = np.flatnonzero(ids == self.mark).tolist()
             if len(cuts) == len(some) - 1:  # else a part holds the mark's own id
                 data = ids.tobytes()
-                self.known.update(zip(some, [data[4 * a:4 * b] for a, b in
-                                             zip([0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)], strict=True))
-        for p in whole:
-            if p not in self.known:
-                self.known[p] = self._whole(p.decode("utf-8", "replace")).tobytes()
-        for p in stopped:
-            self.known[p] = self.known[p[:-1]] + self.known[p[-1:]]
+                known.update(zip(some, [data[4 * a:4 * b] for a, b in
+                                        zip([0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)], strict=True))
+        for p in others:
+            if p not in known:
+                known[p] = self._whole(p.decode("utf-8", "replace")).tobytes()
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
         split = [(t.lower() if t.isascii() else t).split() for t in texts]
@@ -97,8 +133,9 @@ class WordTokenizer:
                for t, s, odd in zip(texts, split, special, strict=True)]
         for p in new:  # long parts and what came with them are not kept
             if len(p) > LONGEST_PART:
+                found = _WORD(p)
                 self.known.pop(p, None)
-                self.known.pop(p[:-1], None)
+                self.known.pop(found[1] if found else p, None)
         return out
 
 

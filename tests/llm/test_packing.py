@@ -62,7 +62,7 @@ def test_round_trip_and_little_padding(spark, vocabulary):
 def test_words_one_by_one_equal_whole_texts(vocabulary):
     rng = random.Random(4)
     bits = ["the", "Word", "word,", "word.", "a.b,", ",", ".", "'s", "don't", "é,", "J̌", "İ", "123", "4.5,", "\x01", " ", "\n",
-            " ", " ", "\x1c", "\U0001f600", "<|endoftext|>", "ﬁ", "x" * 100, "İ.", "ab\x01,", "<|"]
+            " ", " ", "\x1c", "\U0001f600", "<|endoftext|>", "ﬁ", "x" * 100, "İ.", "ab\x01,", "<|", "ÀÉß", "naïve", "x÷y", "×", "!!", "$$$", "a_b", "_", "don't!", "'S,", "éÉ.,", "ÿ", "ŸŁ"]
     words = packing.tokenizer(vocabulary)
     texts = ["".join(rng.choice(bits) + rng.choice(["", " ", "  "]) for _ in range(rng.randrange(30))) for _ in range(400)]
     for text, ids in zip(texts, words.batch([t.encode() for t in texts]), strict=True):
