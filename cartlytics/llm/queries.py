@@ -131,6 +131,50 @@ WITH v AS (
     SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op5_minhash_dedup": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(COALESCE(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+           ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+    FROM words
+), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 80 * (a.n + b.n - COUNT(*))
+), sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT r.a, l.b FROM reach r JOIN sides l ON r.b = l.a
+), least AS (SELECT a, MIN(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least ON a = doc_id""",
+    # every diagonal of equal lines with an earlier place, cut into unbroken runs
+    "op6_line_dedup": r"""
+WITH split AS (SELECT doc_id, text, string_split(COALESCE(text, ''), chr(10)) AS s FROM documents
+), lines AS (
+    SELECT doc_id, pos, line, len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n
+    FROM (SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS pos FROM split)
+), pairs AS (
+    SELECT x.doc_id, y.doc_id AS other, x.pos - y.pos AS diagonal, x.pos, x.n
+    FROM lines x JOIN lines y ON x.line = y.line
+     AND (y.doc_id < x.doc_id OR (y.doc_id = x.doc_id AND y.pos < x.pos))
+), numbered AS (
+    SELECT *, pos - ROW_NUMBER() OVER (PARTITION BY doc_id, other, diagonal ORDER BY pos) AS run FROM pairs
+), runs AS (
+    SELECT doc_id, MIN(pos) AS lo, MAX(pos) AS hi FROM numbered
+    GROUP BY doc_id, other, diagonal, run HAVING SUM(n) >= 25
+), gone AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS pos FROM runs
+), kept AS (
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS rest
+    FROM lines ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+), removed AS (SELECT doc_id, COUNT(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_lines, COALESCE(removed.n, 0) AS removed_lines,
+       CASE WHEN removed.n IS NULL THEN text ELSE COALESCE(rest, '') END AS text
+FROM split LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op9_chat_format": r"""
 WITH rows AS (
     SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn,
