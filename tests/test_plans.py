@@ -85,3 +85,8 @@ def test_sampled_items_broadcast_only_measured_keys(spark, monkeypatch):
 def test_pvalue_has_no_python(spark):
     plan = _plan(QUERIES["ab_pvalue"](spark, SF_SMALL))
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_customer_ranking_is_sorted(spark):
+    rows = QUERIES["ranked_customers"](spark, SF_SMALL).collect()
+    assert [r["rn"] for r in rows] == list(range(1, len(rows) + 1))

@@ -72,6 +72,8 @@ def test_register_count_preview(spark, shop):
     names = tbl.register_tables(shop)
     assert {"customers", "orders", "order_items", "products"} <= set(names)
     assert spark.sql("SELECT COUNT(*) FROM orders").first()[0] == 5
+    by_ordinal = spark.sql("SELECT source, COUNT(*) AS n FROM orders GROUP BY 1 ORDER BY 2 DESC, 1").collect()
+    assert [tuple(r) for r in by_ordinal] == [("web", 2), ("app", 1), ("guild", 1), ("sales", 1)]
     counts = {r["table_name"]: r["n_rows"] for r in tbl.table_row_counts(shop).collect()}
     assert counts == {"customers": 4, "products": 3, "orders": 5, "order_items": 6}
     prev = tbl.table_preview(shop["orders"].repartition(3), "order_id", 2).collect()
