@@ -39,7 +39,7 @@ from .common import bounded_batches, text_bytes
 WINDOW = 2048
 END_ID = 1
 GROUP_ITEMS = 20_000
-REMEMBERED = 400_000      # parts a worker keeps, each at most LONGEST_PART bytes
+REMEMBERED = 250_000      # parts a worker keeps, each at most LONGEST_PART bytes
 LONGEST_PART = 48
 TOGETHER = 64             # parts tokenized in one call
 _MARK = "\x01"
