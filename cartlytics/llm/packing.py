@@ -49,6 +49,8 @@ _BETWEEN = f" {_MARK} ".encode()
 #: Latin letters, then ASCII marks: the marks are a piece of their own.
 _WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)").fullmatch
 
+_USUAL = frozenset((b",", b".", b"!", b"?", b";", b":"))
+
 
 def _byte_alphabet() -> dict[int, str]:
     """Byte-level BPE spells a byte by its own character if that is printable,
@@ -94,11 +96,18 @@ class WordTokenizer:
         many in one call, told apart by a mark of its own."""
         known, others = self.known, []
         for p in parts:
-            found = _WORD(p) if self.plain else None
-            if found is None:
+            if not self.plain:
+                others.append(p)
+                continue
+            if p.isalpha():  # the usual cases, without a search
+                word, marks = p, b""
+            elif p[:-1].isalpha() and p[-1:] in _USUAL:
+                word, marks = p[:-1], p[-1:]
+            elif found := _WORD(p):
+                word, marks = found.groups()
+            else:
                 others.append(p)
                 continue
-            word, marks = found.groups()
             ids = known.get(word) or self._letters(word)
             if marks:
                 known[word] = ids

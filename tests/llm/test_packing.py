@@ -91,7 +91,7 @@ def test_best_fit_decreasing_equals_a_plain_one():
 
 
 def test_odd_rows_several_groups_and_empty_tables(spark, vocabulary):
-    check(spark, ODD_ROWS, vocabulary, window=64, groups=3)
+    check(spark, ODD_ROWS, vocabulary, window=1024, groups=3)
     docs = documents(spark, ODD_ROWS).withColumn("length", F.lit("x")).withColumn("_group", F.lit(1))
     assert packing.pack(packing.pieces(docs, vocabulary), 10).select("doc_id").distinct().count() == 10
     assert packing.pack(packing.pieces(documents(spark, []), vocabulary), 0).count() == 0
