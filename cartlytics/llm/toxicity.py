@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, mix64, text_bytes
 
 ORDER = 8
-DISCOUNT = 0.75
+DISCOUNT = 4.0   # of every count, to the backoff: a few sights in one class say little
 MIN_COUNT = 3
 WORD = re.compile(rb"[a-z0-9\x80-\xff']+")
 _MASKS = np.array([(1 << (8 * n)) - 1 for n in range(1, ORDER + 1)], np.uint64)
