@@ -206,7 +206,6 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
     order = F.xxhash64("doc_id", F.lit(17))
     rows = rows.withColumn("_order", order).withColumn("_fit", F.pmod(F.shiftrightunsigned(order, 33), F.lit(10)) < 7)
     found = {r["toxic"]: r["n"] for r in rows.where("_fit").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    per_class = min(found.get(0, 0), found.get(1, 0), max_per_class)
 
     def first(df, n):
         return df.orderBy("_order", "doc_id").limit(n)
@@ -217,9 +216,9 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
         return own.join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id")
 
     model = Model()
-    if per_class:
-        chosen = first(rows.where("_fit and toxic = 1"), per_class).unionByName(
-            first(rows.where("_fit and toxic = 0"), per_class))
+    if found.get(0) and found.get(1):
+        chosen = first(rows.where("_fit and toxic = 1"), max_per_class).unionByName(
+            first(rows.where("_fit and toxic = 0"), max_per_class))
         by_word = (texts(chosen).select("text", "toxic")
                    .mapInArrow(_count_words, "gram long, n_toxic long, n_ordinary long")
                    .groupBy("gram").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary")))

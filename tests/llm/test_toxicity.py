@@ -73,3 +73,14 @@ def test_odd_rows_and_empty_tables(spark):
     untrained = toxicity.train(none, labels.limit(0))
     assert all(r["score"] < 0.5 for r in toxicity.score(documents(spark, ODD_ROWS), untrained).collect())
     assert toxicity.filter_toxic(docs, untrained).count() == 120
+
+
+def test_every_class_counts_up_to_its_own_bound(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "build_nodes", lambda nodes, build=toxicity.build_nodes: seen.append(nodes) or build(nodes))
+    rows = [(i, "grr" if i < 10 else "hello") for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i < 10)) for i, _ in rows], "doc_id long, toxic int")
+    toxicity.train(documents(spark, rows), labels)
+    assert seen[0]["n_ordinary"].max() > 150 > 10 >= seen[0]["n_toxic"].max()
+    toxicity.train(documents(spark, rows), labels, max_per_class=20)
+    assert seen[1]["n_ordinary"].max() == 20
