@@ -1,25 +1,27 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-A document is its set of distinct lower-cased words.  Each class (toxic,
-ordinary) has a Kneser-Ney model that spells a word byte by byte: the context
-is the word's beginning, up to ``ORDER`` bytes, with absolute discounting.
-What a class has not seen after a beginning backs off to one distribution of
-continuation counts (in how many different beginnings a byte follows a byte
-pair), which both classes share.  Rare expressions thus inherit the evidence
-of their beginnings, and words that neither class knows cancel out.
-
-The score compares the two length-normalised log-likelihoods: the mean log
-ratio over the words, the same scaled by the root of their number, and the
-strongest single word, weighed by a logistic calibration on rows that the
-counts have not seen.
+A document is the sequence of all its lower-cased words up to an end mark.  A
+character of a script written without spaces (Chinese, Japanese, Thai and the
+like) is a word.  Two Kneser-Ney models per class (toxic, ordinary) count every
+occurrence: one spells each word byte by byte up to an end symbol, its context
+being the ``ORDER`` bytes before within the word; the other predicts each word
+from the word before it.  What a class has not seen in a context backs off to
+the counts of both classes in it, and those to continuation counts (in how many
+different contexts a byte follows a byte pair, or a word follows another), which
+both classes share.  Rare expressions thus inherit the evidence of their
+beginnings, and words that neither class knows cancel out.
+
+The score compares the length-normalised log-likelihoods: for either model the
+mean log ratio over the occurrences, the same scaled by the root of their
+number, and the strongest single one, weighed by a logistic calibration on rows
+that the counts have not seen.
 
 Bounds (parameters): ``max_per_class`` documents of each class give the
-counts, ``max_calibration`` rows the calibration, ``max_nodes`` beginnings at
-most are kept (the most frequent); the model that goes to every executor is
-therefore bounded.
+counts, ``max_calibration`` rows the calibration.  The model that goes to every
+executor holds the contexts of those documents.
 
 Defined results: null or empty text, or text without words, has log ratio 0
-on all three features and gets the calibrated score for that.  A null doc_id
+on all features and gets the calibrated score for that.  A null doc_id
 is never a training row and is not held out.  Without usable labels of both
 classes every score is the share of toxic rows seen (0 without any).
 Repeated rows are scored alike; a doc_id labelled more than once counts as
@@ -36,73 +38,127 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, mix64, text_bytes
+from .common import bounded_batches, mix64, text_bytes, word_hashes
 
 ORDER = 8
 DISCOUNT = 4.0   # of every count, to the backoff: a few sights in one class say little
 MIN_COUNT = 3
-WORD = re.compile(rb"[a-z0-9\x80-\xff']+")
-_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(1, ORDER + 1)], np.uint64)
+PAIR = ORDER + 1         # level of the contexts that are a whole word
+N_FEATURES = 6
+#: Characters of scripts written without spaces: Thai, Lao, Tibetan, Myanmar,
+#: Khmer, kana and ideographs; and all of four bytes.
+_ALONE = rb"\xe0[\xb8-\xbf].|\xe1[\x80-\x82\x9e\x9f].|\xe2[\xba-\xbf].|[\xe3-\xe9]..|\xf0..."
+WORD = re.compile(rb"(?:[a-z0-9'\x80-\xdf\xea-\xef\xf1-\xff]+|(?!" + _ALONE + rb")[\xe0-\xe2].)+|" + _ALONE + rb"|[\xe0-\xf0]",
+                  re.DOTALL)
+_START, _END = np.array([0x5BD1E995A3B8C6F1, 0x3C6EF372FE94F82B], np.uint64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(level, context, symbol, word number) of every byte and end symbol."""
+    x = np.frombuffer(b" ".join(words) + b" ", np.uint8)
+    n = len(x)
+    number = np.concatenate([[0], np.cumsum(x == 0x20)[:-1]])
+    opens = np.concatenate([[True], x[:-1] == 0x20])
+    place = np.arange(n) - np.maximum.accumulate(np.where(opens, np.arange(n), 0))
+    context = np.zeros(n, np.uint64)
+    for k in range(1, ORDER + 1):
+        previous = np.zeros(n, np.uint64)
+        previous[k:] = x[:-k]
+        context |= np.where(place >= k, previous, np.uint64(0)) << np.uint64(8 * (k - 1))
+    return np.minimum(place, ORDER), context, x.astype(np.uint64), number
+
+
+def context_keys(level: np.ndarray, context: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix64(mix64(context) * _ODD + (np.asarray(level) + 1).astype(np.uint64))
 
 
-def distinct_words(text: bytes) -> np.ndarray:
-    """The first ORDER bytes of each distinct word, packed (zero-padded)."""
-    found = set(WORD.findall(text.lower()))
-    return np.array(list(found), dtype=f"S{ORDER}").view(np.uint64) if found else np.empty(0, np.uint64)
+def node_keys(contexts: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix64(contexts * _ODD + mix64(symbol + np.uint64(1)))
 
 
-def node_key(grams: np.ndarray, level) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix64(grams * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level))
+@dataclass
+class Words:
+    """A batch: distinct words, the occurrences of each text one after another,
+    and the occurrences with the start and end mark of texts that have words."""
+    known: list[bytes]
+    at: np.ndarray
+    lengths: np.ndarray
+
+    def hashes(self) -> np.ndarray:
+        return np.concatenate([word_hashes(self.known), [_START, _END]])
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word before, word, pairs per text), as places in ``hashes``."""
+        start, end = len(self.known), len(self.known) + 1
+        closing = np.cumsum(self.lengths)[self.lengths > 0]
+        words = np.insert(self.at, closing, end)
+        before = np.concatenate([[start], words[:-1]])[:len(words)]
+        before[before == end] = start
+        return before, words, np.where(self.lengths > 0, self.lengths + 1, 0)
+
+
+def batch_words(texts: list) -> Words:
+    lists = [WORD.findall(t.lower()) for t in texts]
+    flat = [w for x in lists for w in x]
+    index = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+    return Words(list(index), np.fromiter(map(index.__getitem__, flat), np.int64, len(flat)),
+                 np.array([len(x) for x in lists], np.int64))
 
 
 @dataclass
 class Model:
-    """Sorted node keys with the log ratio gathered on the way there and the
-    log ratio of leaving the known beginnings there."""
+    """Sorted keys with log ratios: of a symbol after a context where either
+    class has seen it, and of any other symbol after a known context."""
     keys: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-    gathered: np.ndarray = field(default_factory=lambda: np.empty(0))
-    leaving: np.ndarray = field(default_factory=lambda: np.empty(0))
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    ratios: np.ndarray = field(default_factory=lambda: np.empty(0, np.float32))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(N_FEATURES + 1))
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == keys, at, -1)
-
-    def word_ratios(self, grams: np.ndarray) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary) of packed words."""
-        out = np.zeros(len(grams))
-        if not len(self.keys) or not len(grams):
-            return out
-        alive, last = np.arange(len(grams)), np.full(len(grams), -1)
-        for level in range(1, ORDER + 1):
-            at = self.find(node_key(grams[alive] & _MASKS[level - 1], level))
-            left = at < 0
-            gone = alive[left]
-            known = last[gone] >= 0
-            out[gone[known]] = self.gathered[last[gone[known]]] + self.leaving[last[gone[known]]]
-            alive, at = alive[~left], at[~left]
-            last[alive] = at
-            out[alive] = self.gathered[at]
-            ended = ((grams[alive] >> np.uint64(8 * (level - 1))) & np.uint64(255)) == 0
-            alive = alive[~ended]
-            if not len(alive):
-                break
+        return self.ratios[at].astype(float), self.keys[at] == keys
+
+    def steps(self, level, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """log P(symbol | context, toxic) - log P(symbol | context, ordinary)."""
+        if not len(self.keys) or not len(context):
+            return np.zeros(len(context))
+        contexts = context_keys(level, context)
+        out, seen = self.find(node_keys(contexts, symbol))
+        leaving, known = self.find(contexts[~seen])
+        out[~seen] = np.where(known, leaving, 0.0)
         return out
 
-    def features(self, grams: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Mean, root-scaled sum and maximum of the word log ratios per document."""
-        out = np.zeros((len(lengths), 3))
-        known, inverse = np.unique(grams, return_inverse=True)
-        ratios = self.word_ratios(known)[inverse] if len(grams) else np.empty(0)
-        full = np.flatnonzero(lengths)
-        if len(full):
-            starts = (np.cumsum(lengths) - lengths)[full]
+    def spelled_ratios(self, words: list[bytes]) -> np.ndarray:
+        """log P(word | toxic) - log P(word | ordinary) by spelling."""
+        if not words:
+            return np.empty(0)
+        level, context, symbol, number = _spelled(words)
+        return np.bincount(number, weights=self.steps(level, context, symbol), minlength=len(words))
+
+    def word_ratios(self, packed: np.ndarray) -> np.ndarray:
+        """``spelled_ratios`` of words of up to 8 bytes, packed (zero-padded)."""
+        return self.spelled_ratios(packed.view("S8").tolist())
+
+    def features(self, words: Words) -> np.ndarray:
+        """Per text mean, root-scaled sum and maximum of the log ratios, of the
+        words as spelled and of the words after the word before."""
+        out = np.zeros((len(words.lengths), N_FEATURES))
+        if not len(words.at):
+            return out
+        before, after, lengths = words.pairs()
+        known, inverse = np.unique(before * (len(words.known) + 2) + after, return_inverse=True)
+        hashes = words.hashes()
+        pairs = self.steps(PAIR, hashes[known // len(hashes)], hashes[known % len(hashes)])[inverse]
+        for k, ratios, n in ((0, self.spelled_ratios(words.known)[words.at], words.lengths), (3, pairs, lengths)):
+            full = np.flatnonzero(n)
+            starts = (np.cumsum(n) - n)[full]
             sums = np.add.reduceat(ratios, starts)
-            out[full, 0] = sums / lengths[full]
-            out[full, 1] = sums / np.sqrt(lengths[full])
-            out[full, 2] = np.maximum.reduceat(ratios, starts)
+            out[full, k] = sums / n[full]
+            out[full, k + 1] = sums / np.sqrt(n[full])
+            out[full, k + 2] = np.maximum.reduceat(ratios, starts)
         return out
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -110,67 +166,78 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def batch_words(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    parts = [distinct_words(t) for t in texts]
-    lengths = np.array([len(p) for p in parts], np.int64)
-    return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), lengths
-
-
 def _count_words(batches):
     for batch in batches:
-        grams, lengths = batch_words(batch.column("text").to_pylist())
-        toxic = np.repeat(np.asarray(batch.column("toxic").to_numpy(zero_copy_only=False), np.int64), lengths)
-        known, inverse = np.unique(grams, return_inverse=True)
-        n_toxic = np.bincount(inverse, weights=toxic, minlength=len(known)).astype(np.int64)
-        n_all = np.bincount(inverse, minlength=len(known)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(known.view(np.int64)), pa.array(n_toxic), pa.array(n_all - n_toxic)],
-            names=["gram", "n_toxic", "n_ordinary"])
+        words = batch_words(batch.column("text").to_pylist())
+        if not len(words.at):
+            continue
+        toxic = np.asarray(batch.column("toxic").to_numpy(zero_copy_only=False), float)
+        n_all = np.bincount(words.at)
+        n_toxic = np.bincount(words.at, weights=np.repeat(toxic, words.lengths))
+        level, context, symbol, number = _spelled(words.known)
+        _, first, inverse = np.unique(node_keys(context_keys(level, context), symbol), return_index=True, return_inverse=True)
+        rows = [(level[first], context[first], symbol[first],
+                 np.bincount(inverse, weights=n_toxic[number]), np.bincount(inverse, weights=n_all[number]))]
+        before, after, lengths = words.pairs()
+        hashes = words.hashes()
+        known, inverse = np.unique(before * len(hashes) + after, return_inverse=True)
+        rows.append((np.full(len(known), PAIR), hashes[known // len(hashes)], hashes[known % len(hashes)],
+                     np.bincount(inverse, weights=np.repeat(toxic, lengths)), np.bincount(inverse)))
+        for lv, ctx, sym, n1, n in rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lv.astype(np.int32)), pa.array(ctx.view(np.int64)), pa.array(sym.view(np.int64)),
+                 pa.array(n1.astype(np.int64)), pa.array((n - n1).astype(np.int64))],
+                names=["level", "context", "symbol", "n_toxic", "n_ordinary"])
+
+
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """What is taken off every count."""
+    return np.minimum(counts, DISCOUNT)
 
 
 def build_nodes(nodes) -> Model:
-    """Log ratios per node from pooled rows (level, gram, n_toxic, n_ordinary)."""
-    nodes = nodes.sort_values(["level", "gram"])
+    """Log ratios from pooled rows (level, context, symbol, n_toxic, n_ordinary)."""
     level = nodes["level"].to_numpy(np.int64)
-    gram = nodes["gram"].to_numpy(np.int64).view(np.uint64)
-    counts = np.stack([nodes["n_toxic"].to_numpy(float), nodes["n_ordinary"].to_numpy(float)])
-    keys = node_key(gram, level.astype(np.uint64))
-    order = np.argsort(keys)
-    keys, level, gram, counts = keys[order], level[order], gram[order], counts[:, order]
-    n = len(keys)
-    model = Model(keys, np.zeros(n), np.zeros(n))
-    parent = np.full(n, -1)
-    deep = level > 1
-    parent[deep] = model.find(node_key(gram[deep] & _MASKS[level[deep] - 2], (level[deep] - 1).astype(np.uint64)))
-    # shared backoff: continuation types of a byte after the two bytes before it
-    byte = (gram >> (8 * (level - 1)).astype(np.uint64)) & np.uint64(255)
-    before = np.where(level > 2, (gram >> (8 * np.maximum(level - 3, 0)).astype(np.uint64)) & np.uint64(0xFFFF),
-                      np.where(level == 2, gram & np.uint64(255), np.uint64(0)))
-    pair, pair_at, pair_n = np.unique(before * np.uint64(256) + byte, return_inverse=True, return_counts=True)
-    _, ctx_at, ctx_n = np.unique(before, return_inverse=True, return_counts=True)
+    context = nodes["context"].to_numpy(np.int64).view(np.uint64)
+    symbol = nodes["symbol"].to_numpy(np.int64).view(np.uint64)
+    counts = [nodes["n_toxic"].to_numpy(float), nodes["n_ordinary"].to_numpy(float)]
+    contexts = context_keys(level, context)
+    keys = node_keys(contexts, symbol)
+    known, first, ctx_at = np.unique(contexts, return_index=True, return_inverse=True)
+    # continuation types: of a byte after the two bytes before it, of a word after any
+    shared = np.empty(len(keys))
+    spelled = np.flatnonzero(level < PAIR)
+    byte, before = symbol[spelled], context[spelled] & np.uint64(0xFFFF)
+    _, pair_at, pair_n = np.unique(before * np.uint64(256) + byte, return_inverse=True, return_counts=True)
+    _, before_at, before_n = np.unique(before, return_inverse=True, return_counts=True)
     _, byte_at, byte_n = np.unique(byte, return_inverse=True, return_counts=True)
-    single = (byte_n[byte_at] + 1) / (n + 256)
-    shared = (pair_n[pair_at] + single) / (ctx_n[ctx_at] + 1)
-    roots = counts[:, level == 1].sum(axis=1)
-    known_parent = parent >= 0
-    logs = np.zeros((2, n))
-    left_over = np.ones((2, n))
-    for k in range(2):
-        total = np.where(known_parent, counts[k][parent], np.where(level == 1, roots[k], 0.0))
-        kept = np.maximum(counts[k] - DISCOUNT, 0) / np.maximum(total, 1)
-        used = np.zeros(n)
-        np.add.at(used, parent[known_parent], kept[known_parent])
-        left_over[k] = np.where(counts[k] > 0, np.clip(1 - used, 1e-4, 1), 1.0)
-        root_left = np.clip(1 - kept[level == 1].sum(), 1e-4, 1)
-        spare = np.where(known_parent, left_over[k][parent], root_left)
-        logs[k] = np.log(kept + spare * shared)
-    step = np.where(known_parent | (level == 1), logs[0] - logs[1], 0.0)
-    for lv in range(1, ORDER + 1):
-        at = np.flatnonzero(level == lv)
-        base = np.where(parent[at] >= 0, model.gathered[parent[at]], 0.0)
-        model.gathered[at] = base + step[at]
-    model.leaving = np.log(left_over[0]) - np.log(left_over[1])
-    return model
+    single = (byte_n[byte_at] + 1) / (len(spelled) + 256)
+    shared[spelled] = (pair_n[pair_at] + single) / (before_n[before_at] + 1)
+    paired = np.flatnonzero(level == PAIR)
+    _, word_at, word_n = np.unique(symbol[paired], return_inverse=True, return_counts=True)
+    shared[paired] = word_n[word_at] / (len(paired) + 1)
+
+    def parts(count):
+        """What a count keeps of its context's total, and what the context gives away."""
+        off = np.empty(len(count))
+        for rows in (spelled, paired):
+            off[rows] = discounts(count[rows])
+        total = np.bincount(ctx_at, weights=count, minlength=len(known))
+        left = np.where(total > 0, np.bincount(ctx_at, weights=off, minlength=len(known)) / np.maximum(total, 1), 1.0)
+        return (count - off) / np.maximum(total, 1)[ctx_at], np.clip(left, 1e-4, 1)
+
+    kept, left = parts(counts[0] + counts[1])
+    both = kept + left[ctx_at] * shared
+    logs, leaving = [], []
+    for count in counts:
+        kept, left = parts(count)
+        logs.append(np.log(kept + left[ctx_at] * both))
+        leaving.append(np.log(left))
+    inner = level[first] > 0  # beginnings that neither class knows cancel
+    keys = np.concatenate([keys, known[inner]])
+    order = np.argsort(keys)
+    ratios = np.concatenate([logs[0] - logs[1], (leaving[0] - leaving[1])[inner]]).astype(np.float32)
+    return Model(keys[order], ratios[order])
 
 
 def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -178,7 +245,7 @@ def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) ->
     n = len(labels)
     if n == 0 or labels.min() == labels.max():
         share = float(labels.mean()) if n else 0.0
-        return np.array([np.log((share + 1e-9) / (1 - share + 1e-9)), 0, 0, 0])
+        return np.concatenate([[np.log((share + 1e-9) / (1 - share + 1e-9))], np.zeros(features.shape[1])])
     scale = features.std(axis=0) + 1e-9
     x = np.hstack([np.ones((n, 1)), features / scale])
     w = np.zeros(x.shape[1])
@@ -194,7 +261,7 @@ def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None, *,
-          max_per_class: int = 10_000, max_calibration: int = 6_000, max_nodes: int = 1_000_000) -> Model:
+          max_per_class: int = 10_000, max_calibration: int = 6_000) -> Model:
     """Fit on labelled documents.  ``labels`` has doc_id and toxic;
     ``train_rows`` is a condition on doc_id that a training row must meet."""
     spark = docs.sparkSession
@@ -219,33 +286,24 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
     if found.get(0) and found.get(1):
         chosen = first(rows.where("_fit and toxic = 1"), max_per_class).unionByName(
             first(rows.where("_fit and toxic = 0"), max_per_class))
-        by_word = (texts(chosen).select("text", "toxic")
-                   .mapInArrow(_count_words, "gram long, n_toxic long, n_ordinary long")
-                   .groupBy("gram").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary")))
-        levels = F.explode(F.array(*[
-            F.struct(F.lit(n).alias("level"),
-                     F.col("gram").bitwiseAND(F.lit((1 << (8 * n)) - 1 if n < 8 else -1)).alias("part"),
-                     (F.lit(True) if n == 1 else
-                      F.shiftrightunsigned("gram", 8 * (n - 2)).bitwiseAND(F.lit(255)) != 0).alias("real"))
-            for n in range(1, ORDER + 1)])).alias("node")
-        nodes = (by_word.select("n_toxic", "n_ordinary", levels).where("node.real")
-                 .groupBy(F.col("node.level").alias("level"), F.col("node.part").alias("gram"))
-                 .agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary"))
-                 .where(F.col("n_toxic") + F.col("n_ordinary") >= MIN_COUNT)
-                 .orderBy((F.col("n_toxic") + F.col("n_ordinary")).desc(), "level", "gram").limit(max_nodes))
+        n_toxic, n_ordinary = F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary")
+        nodes = (texts(chosen).select("text", "toxic")
+                 .mapInArrow(_count_words, "level int, context long, symbol long, n_toxic long, n_ordinary long")
+                 .groupBy("level", "context", "symbol").agg(n_toxic, n_ordinary)
+                 .where(F.col("n_toxic") + F.col("n_ordinary") >= MIN_COUNT))
         model = build_nodes(nodes.toPandas())
     shared = spark.sparkContext.broadcast(model)
 
+    names = [f"f{k}" for k in range(N_FEATURES)]
+
     def features(batches):
         for batch in batches:
-            grams, lengths = batch_words(batch.column("text").to_pylist())
-            f = shared.value.features(grams, lengths)
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *map(pa.array, f.T)],
-                                             names=["toxic", "mean", "scaled", "most"])
+            f = shared.value.features(batch_words(batch.column("text").to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *map(pa.array, f.T)], names=["toxic", *names])
 
     seen = (texts(first(rows.where("not _fit"), max_calibration)).select("text", "toxic")
-            .mapInArrow(features, "toxic int, mean double, scaled double, most double").toPandas())
-    model.weights = calibrate(seen[["mean", "scaled", "most"]].to_numpy(float), seen["toxic"].to_numpy(float))
+            .mapInArrow(features, ", ".join(["toxic int", *[f"{n} double" for n in names]])).toPandas())
+    model.weights = calibrate(seen[names].to_numpy(float), seen["toxic"].to_numpy(float))
     return model
 
 
@@ -256,10 +314,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            grams, lengths = batch_words(batch.column("text").to_pylist())
-            f = shared.value.features(grams, lengths)
+            words = batch_words(batch.column("text").to_pylist())
+            f = shared.value.features(words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(shared.value.score(f)), pa.array(lengths), pa.array(f[:, 0])],
+                [batch.column("doc_id"), pa.array(shared.value.score(f)), pa.array(words.lengths), pa.array(f[:, 0])],
                 names=["doc_id", "score", "words", "mean_log_ratio"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
@@ -276,7 +334,7 @@ def filter_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataF
     def run(batches):
         for batch in batches:
             texts = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in batch.column(at).to_pylist()]
-            keep = shared.value.score(shared.value.features(*batch_words(texts))) < threshold
+            keep = shared.value.score(shared.value.features(batch_words(texts))) < threshold
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

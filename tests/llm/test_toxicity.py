@@ -84,3 +84,35 @@ def test_every_class_counts_up_to_its_own_bound(spark, monkeypatch):
     assert seen[0]["n_ordinary"].max() > 150 > 10 >= seen[0]["n_toxic"].max()
     toxicity.train(documents(spark, rows), labels, max_per_class=20)
     assert seen[1]["n_ordinary"].max() == 20
+
+
+def told_apart(spark, toxic, ordinary, n=300):
+    """Whether held-out texts around the two expressions get their labels."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        at = [f"w{rng.randrange(60)}" for _ in range(20)]
+        at.insert(rng.randrange(20), (toxic if i % 2 else ordinary)(rng))
+        rows.append((i, " ".join(at)))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int")
+    docs = documents(spark, rows)
+    out = toxicity.score(docs, toxicity.train(docs, labels, F.col("doc_id") % 5 != 0)).where("doc_id % 5 = 0").collect()
+    return len(out) == n // 5 and all((r["score"] >= 0.5) == bool(r["doc_id"] % 2) for r in out)
+
+
+def test_words_are_read_to_their_end(spark):
+    assert told_apart(spark, lambda rng: "abcdefghijklmTOXIC", lambda rng: "abcdefghijklmclean")
+    assert told_apart(spark, lambda rng: "commonbeginning", lambda rng: "commonbe")
+
+
+def test_scripts_without_spaces_are_read_whole(spark):
+    def run(rng, middle):
+        return "".join(rng.choice("天地玄黄宇宙洪荒") for _ in range(30)) + middle + "日月盈昃"
+
+    assert toxicity.batch_words(["中文字 ไทย abc日".encode()]).lengths[0] == 8
+    assert told_apart(spark, lambda rng: run(rng, "坏人"), lambda rng: run(rng, "人坏"))
+
+
+def test_word_order_and_repeats_count(spark):
+    assert told_apart(spark, lambda rng: "alpha beta", lambda rng: "beta alpha")
+    assert toxicity.batch_words([b"one two one"]).lengths[0] == 3
