@@ -41,8 +41,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, mix64, text_bytes, word_hashes
 
 ORDER = 8
-DISCOUNT = 4.0   # of every count, to the backoff: a few sights in one class say little
-MIN_COUNT = 3
+TIMES = (1.0, 2.0, 4.0)  # of the estimated discounts, for what a class yields to both; the calibration rows choose
 PAIR = ORDER + 1         # level of the contexts that are a whole word
 N_FEATURES = 6
 #: Characters of scripts written without spaces: Thai, Lao, Tibetan, Myanmar,
@@ -113,7 +112,7 @@ class Model:
     """Sorted keys with log ratios: of a symbol after a context where either
     class has seen it, and of any other symbol after a known context."""
     keys: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-    ratios: np.ndarray = field(default_factory=lambda: np.empty(0, np.float32))
+    ratios: np.ndarray = field(default_factory=lambda: np.empty(0, np.float16))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(N_FEATURES + 1))
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,89 +174,144 @@ def _count_words(batches):
         n_all = np.bincount(words.at)
         n_toxic = np.bincount(words.at, weights=np.repeat(toxic, words.lengths))
         level, context, symbol, number = _spelled(words.known)
-        _, first, inverse = np.unique(node_keys(context_keys(level, context), symbol), return_index=True, return_inverse=True)
-        rows = [(level[first], context[first], symbol[first],
+        contexts = context_keys(level, context)
+        _, first, inverse = np.unique(node_keys(contexts, symbol), return_index=True, return_inverse=True)
+        tail = (context & np.uint64(0xFFFF)) << np.uint64(8) | symbol
+        rows = [(contexts[first], tail[first], False,
                  np.bincount(inverse, weights=n_toxic[number]), np.bincount(inverse, weights=n_all[number]))]
         before, after, lengths = words.pairs()
         hashes = words.hashes()
         known, inverse = np.unique(before * len(hashes) + after, return_inverse=True)
-        rows.append((np.full(len(known), PAIR), hashes[known // len(hashes)], hashes[known % len(hashes)],
+        contexts, symbol = context_keys(PAIR, hashes[known // len(hashes)]), hashes[known % len(hashes)]
+        rows.append((contexts, symbol, True,
                      np.bincount(inverse, weights=np.repeat(toxic, lengths)), np.bincount(inverse)))
-        for lv, ctx, sym, n1, n in rows:
+        for *longs, pair, n1, n in rows:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(lv.astype(np.int32)), pa.array(ctx.view(np.int64)), pa.array(sym.view(np.int64)),
+                [*[pa.array(x.view(np.int64)) for x in longs], pa.array(np.full(len(n), pair)),
                  pa.array(n1.astype(np.int64)), pa.array((n - n1).astype(np.int64))],
-                names=["level", "context", "symbol", "n_toxic", "n_ordinary"])
+                names=["context", "tail", "pair", "n_toxic", "n_ordinary"])
 
 
 def discounts(counts: np.ndarray) -> np.ndarray:
-    """What is taken off every count."""
-    return np.minimum(counts, DISCOUNT)
-
-
-def build_nodes(nodes) -> Model:
-    """Log ratios from pooled rows (level, context, symbol, n_toxic, n_ordinary)."""
-    level = nodes["level"].to_numpy(np.int64)
-    context = nodes["context"].to_numpy(np.int64).view(np.uint64)
-    symbol = nodes["symbol"].to_numpy(np.int64).view(np.uint64)
-    counts = [nodes["n_toxic"].to_numpy(float), nodes["n_ordinary"].to_numpy(float)]
-    contexts = context_keys(level, context)
-    keys = node_keys(contexts, symbol)
-    known, first, ctx_at = np.unique(contexts, return_index=True, return_inverse=True)
+    """What is taken off every count: the modified Kneser-Ney discounts of 1, 2
+    and more sights, estimated from the counts of counts; halves of the count
+    (at most 1.5) where those are missing."""
+    n = np.bincount(np.minimum(counts, 5).astype(np.int8), minlength=6)[1:5].astype(float)
+    off = np.array([0.0, 0.5, 1.0, 1.5], np.float32)
+    if n.all():
+        share = n[0] / (n[0] + 2 * n[1])
+        seen = np.arange(1, 4)
+        off[1:] = np.clip(seen - (seen + 1) * share * n[1:] / n[:3], 0.05 * seen, 0.95 * seen)
+    return off[np.minimum(counts, 3).astype(np.int8)]
+
+
+def columns(nodes: DataFrame) -> dict:
+    found = nodes.toArrow()
+    return {name: found.column(name).to_numpy() for name in found.column_names}
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and the number of each, in little memory."""
+    order = np.argsort(values).astype(np.int32)
+    values = values[order]
+    opens = np.ones(len(values), bool)
+    opens[1:] = values[1:] != values[:-1]
+    at = np.empty(len(values), np.int32)
+    at[order] = np.cumsum(opens, dtype=np.int32) - 1
+    return values[opens], at
+
+
+def build_nodes(nodes: dict, times=TIMES) -> list[Model]:
+    """Log ratios from pooled columns (context, tail, pair, n_toxic, n_ordinary),
+    with the discounts of the classes taken each of ``times``.  The tail is the
+    word, or the symbol and the two bytes before it, which continuation counts
+    go by.  Takes the first two columns out of ``nodes``, to be freed early."""
+    paired = nodes["pair"]
+    spelled = ~paired
+    counts = [nodes["n_toxic"], nodes["n_ordinary"]]
+    context, tail = nodes.pop("context").view(np.uint64), nodes.pop("tail").view(np.uint64)
+    keys = node_keys(context, np.where(paired, tail, tail & np.uint64(255)))
+    known, ctx_at = _numbered(context)
+    del context
     # continuation types: of a byte after the two bytes before it, of a word after any
-    shared = np.empty(len(keys))
-    spelled = np.flatnonzero(level < PAIR)
-    byte, before = symbol[spelled], context[spelled] & np.uint64(0xFFFF)
-    _, pair_at, pair_n = np.unique(before * np.uint64(256) + byte, return_inverse=True, return_counts=True)
-    _, before_at, before_n = np.unique(before, return_inverse=True, return_counts=True)
-    _, byte_at, byte_n = np.unique(byte, return_inverse=True, return_counts=True)
-    single = (byte_n[byte_at] + 1) / (len(spelled) + 256)
+    shared = np.empty(len(paired), np.float32)
+    own = tail[spelled]
+    _, pair_at, pair_n = np.unique(own, return_inverse=True, return_counts=True)
+    _, before_at, before_n = np.unique(own >> np.uint64(8), return_inverse=True, return_counts=True)
+    _, byte_at, byte_n = np.unique(own & np.uint64(255), return_inverse=True, return_counts=True)
+    single = (byte_n[byte_at] + 1) / (len(own) + 256)
     shared[spelled] = (pair_n[pair_at] + single) / (before_n[before_at] + 1)
-    paired = np.flatnonzero(level == PAIR)
-    _, word_at, word_n = np.unique(symbol[paired], return_inverse=True, return_counts=True)
-    shared[paired] = word_n[word_at] / (len(paired) + 1)
+    del own, pair_at, before_at, byte_at, single
+    _, word_at = _numbered(tail[paired])
+    shared[paired] = (np.bincount(word_at) / (len(word_at) + 1)).astype(np.float32)[word_at]
+    del tail, word_at
 
-    def parts(count):
+    def parts(count, times=1.0):
         """What a count keeps of its context's total, and what the context gives away."""
-        off = np.empty(len(count))
+        off = np.empty(len(count), np.float32)
         for rows in (spelled, paired):
-            off[rows] = discounts(count[rows])
+            off[rows] = np.minimum(times * discounts(count[rows]), count[rows])
         total = np.bincount(ctx_at, weights=count, minlength=len(known))
         left = np.where(total > 0, np.bincount(ctx_at, weights=off, minlength=len(known)) / np.maximum(total, 1), 1.0)
-        return (count - off) / np.maximum(total, 1)[ctx_at], np.clip(left, 1e-4, 1)
-
-    kept, left = parts(counts[0] + counts[1])
-    both = kept + left[ctx_at] * shared
-    logs, leaving = [], []
-    for count in counts:
-        kept, left = parts(count)
-        logs.append(np.log(kept + left[ctx_at] * both))
-        leaving.append(np.log(left))
-    inner = level[first] > 0  # beginnings that neither class knows cancel
+        np.subtract(count, off, out=off, casting="unsafe")
+        off /= np.maximum(total, 1).astype(np.float32)[ctx_at]
+        return off, np.clip(left, 1e-4, 1).astype(np.float32)
+
+    both, left = parts(counts[0] + counts[1])
+    shared *= left[ctx_at]
+    both += shared
+    del shared
+    inner = known != context_keys(np.zeros(1), np.zeros(1, np.uint64))  # beginnings that neither class knows cancel
     keys = np.concatenate([keys, known[inner]])
     order = np.argsort(keys)
-    ratios = np.concatenate([logs[0] - logs[1], (leaving[0] - leaving[1])[inner]]).astype(np.float32)
-    return Model(keys[order], ratios[order])
+    keys, out = keys[order], []
+    for t in times:
+        ratio, leaving = 0, 0
+        for count, sign in zip(counts, (1, -1), strict=True):
+            kept, left = parts(count, t)
+            kept += left[ctx_at] * both
+            ratio += sign * np.log(kept, out=kept)
+            leaving += sign * np.log(left)
+        out.append(Model(keys, np.concatenate([ratio, leaving[inner]])[order].astype(np.float16)))
+    return out
 
 
 def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Logistic weights (intercept first) by Newton steps on scaled features."""
-    n = len(labels)
+    """Logistic weights (intercept first) by damped Newton steps on scaled
+    features.  A log ratio never counts against its sign: the most negative
+    weight is set to 0 until none is left."""
+    n, width = len(labels), features.shape[1]
     if n == 0 or labels.min() == labels.max():
         share = float(labels.mean()) if n else 0.0
-        return np.concatenate([[np.log((share + 1e-9) / (1 - share + 1e-9))], np.zeros(features.shape[1])])
+        return np.concatenate([[np.log((share + 1e-9) / (1 - share + 1e-9))], np.zeros(width)])
     scale = features.std(axis=0) + 1e-9
     x = np.hstack([np.ones((n, 1)), features / scale])
+    penalty = ridge * np.diag([0.0] + [1.0] * width)
+    used = np.arange(width + 1)
+    while True:
+        w = np.zeros(width + 1)
+        w[used] = _newton(x[:, used], labels, penalty[np.ix_(used, used)])
+        if w[1:].min() >= 0:
+            return np.concatenate([w[:1], w[1:] / scale])
+        used = used[used != 1 + int(w[1:].argmin())]
+
+
+def _newton(x: np.ndarray, labels: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+    def cost(w):
+        z = x @ w
+        return (np.logaddexp(0, z) - labels * z).sum() + w @ penalty @ w / 2
+
     w = np.zeros(x.shape[1])
-    penalty = ridge * np.diag([0.0] + [1.0] * features.shape[1])
-    for _ in range(40):
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         hessian = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty
-        step = np.linalg.solve(hessian, x.T @ (labels - p) - penalty @ w)
-        w += np.clip(step, -5, 5)
+        step, now = np.linalg.solve(hessian, x.T @ (labels - p) - penalty @ w), cost(w)
+        while cost(w + step) > now and np.abs(step).max() > 1e-8:
+            step = step / 2
+        w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    return np.concatenate([w[:1], w[1:] / scale])
+    return w
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None, *,
@@ -282,29 +336,34 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
     def texts(sample):  # at most max_per_class * 2 or max_calibration ids
         return own.join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id")
 
-    model = Model()
+    models = [Model()]
     if found.get(0) and found.get(1):
         chosen = first(rows.where("_fit and toxic = 1"), max_per_class).unionByName(
             first(rows.where("_fit and toxic = 0"), max_per_class))
-        n_toxic, n_ordinary = F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary")
+        n_toxic, n_ordinary = (F.sum(c).cast("int").alias(c) for c in ("n_toxic", "n_ordinary"))
         nodes = (texts(chosen).select("text", "toxic")
-                 .mapInArrow(_count_words, "level int, context long, symbol long, n_toxic long, n_ordinary long")
-                 .groupBy("level", "context", "symbol").agg(n_toxic, n_ordinary)
-                 .where(F.col("n_toxic") + F.col("n_ordinary") >= MIN_COUNT))
-        model = build_nodes(nodes.toPandas())
-    shared = spark.sparkContext.broadcast(model)
-
-    names = [f"f{k}" for k in range(N_FEATURES)]
+                 .mapInArrow(_count_words, "context long, tail long, pair boolean, n_toxic long, n_ordinary long")
+                 .groupBy("context", "tail", "pair").agg(n_toxic, n_ordinary))
+        models = build_nodes(columns(nodes))
+    shared = spark.sparkContext.broadcast(models)
+    names = [f"f{k}" for k in range(N_FEATURES * len(models))]
 
     def features(batches):
         for batch in batches:
-            f = shared.value.features(batch_words(batch.column("text").to_pylist()))
+            words = batch_words(batch.column("text").to_pylist())
+            f = np.hstack([model.features(words) for model in shared.value])
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *map(pa.array, f.T)], names=["toxic", *names])
 
     seen = (texts(first(rows.where("not _fit"), max_calibration)).select("text", "toxic")
             .mapInArrow(features, ", ".join(["toxic int", *[f"{n} double" for n in names]])).toPandas())
-    model.weights = calibrate(seen[names].to_numpy(float), seen["toxic"].to_numpy(float))
-    return model
+    shared.destroy()
+    labels_seen, losses = seen["toxic"].to_numpy(float), []
+    for k, model in enumerate(models):
+        own = seen[names[k * N_FEATURES:(k + 1) * N_FEATURES]].to_numpy(float)
+        model.weights = calibrate(own, labels_seen)
+        p = np.clip(model.score(own), 1e-9, 1 - 1e-9)
+        losses.append(-np.log(np.where(labels_seen > 0, p, 1 - p)).sum())
+    return models[int(np.argmin(losses))]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -116,3 +116,17 @@ def test_scripts_without_spaces_are_read_whole(spark):
 def test_word_order_and_repeats_count(spark):
     assert told_apart(spark, lambda rng: "alpha beta", lambda rng: "beta alpha")
     assert toxicity.batch_words([b"one two one"]).lengths[0] == 3
+
+
+def test_discounts_come_from_the_counts_of_counts():
+    counts = np.repeat([1.0, 2, 3, 4, 9], [100, 30, 12, 6, 3])
+    share = 100 / 160
+    want = [1 - 2 * share * 0.3, 2 - 3 * share * 0.4, 3 - 4 * share * 0.5]
+    assert np.allclose(toxicity.discounts(counts), np.repeat([want[0], want[1], want[2]], [100, 30, 21]))
+
+
+def test_few_sights_are_evidence(spark):
+    rows = [(i, f"the usual text {'grr' if i < 6 else 'here'}") for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i < 6)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(documents(spark, rows), labels)
+    assert model.word_ratios(np.array([b"grr"], "S8").view(np.uint64))[0] > 1
