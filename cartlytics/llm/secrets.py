@@ -132,13 +132,27 @@ def scan(docs: DataFrame, model: list[float], min_ratio: float = 10.0) -> DataFr
     """(doc_id, assign, access, hex, markov): span arrays of every whole text."""
     df = base_spans(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     df = df.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-    df = df.withColumn("m_markov", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
+    df = df.withColumn("rest", F.when(F.size("base") > 0, _blanked(F.col("text"), F.col("base"))).otherwise(F.col("text")))
+    df = df.withColumn("m_markov", F.regexp_extract_all("rest", F.lit(CANDIDATE), F.lit(0)))
     df = df.withColumn("hits", F.transform("m_markov", lambda t: log_ratio(t, model) >= min_ratio))
-    df = df.withColumn("p_markov", F.when(F.exists("hits", lambda h: h), F.split("text", CANDIDATE, -1)))
+    df = df.withColumn("p_markov", F.when(F.exists("hits", lambda h: h), F.split("rest", CANDIDATE, -1)))
     found = F.when(F.col("p_markov").isNotNull(), _flagged(F.col("m_markov"), F.col("p_markov"), F.col("hits")))
-    df = df.withColumn("markov", F.coalesce(found, F.array().cast(f"array<{_SPAN}>")))
-    clear = F.filter("markov", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"])))
-    return df.select("doc_id", "assign", "access", "hex", "base", clear.alias("markov"))
+    return df.select("doc_id", "assign", "access", "hex", "base",
+                     F.coalesce(found, F.array().cast(f"array<{_SPAN}>")).alias("markov"))
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with the characters of sorted spans made spaces: offsets stay."""
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(acc, span):
+        start = F.greatest(span["start"], acc["at"])
+        more = F.array(F.substr(text, acc["at"] + 1, start - acc["at"]), F.repeat(F.lit(" "), span["end"] - start))
+        return F.when(span["end"] > acc["at"], F.struct(
+            span["end"].alias("at"), F.concat(acc["parts"], more).alias("parts"))).otherwise(acc)
+
+    return F.aggregate(spans, empty, step, lambda acc: F.concat(
+        F.array_join(acc["parts"], ""), F.substr(text, acc["at"] + 1, F.length(text))))
 
 
 def _flagged(matches: Column, pieces: Column, hits: Column) -> Column:

@@ -85,3 +85,15 @@ def test_odd_rows_and_empty_tables(spark):
 def test_main_path_is_native(spark):
     plan = scanned(spark, [(1, "x")], trained(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_pieces_beside_base_spans_are_scored(spark):
+    rng = random.Random(12)
+    one, two = random_token(rng, 40), random_token(rng, 30)
+    key, digits = "AKIA" + "B" * 16, "0123456789abcdef" * 2
+    text = f"é {key}/{one} then G{two}Z{digits}Y{one} and password = {one}"
+    row = scanned(spark, [(1, text)], trained(spark)).first()
+    spans = [s.split(":")[1:] for s in row["markov"].split(",")]
+    found = [text[int(a):int(b)] for a, b in spans]
+    assert found == ["/" + one, f"G{two}Z", "Y" + one]
+    assert row["base"] == brute_force(text)
