@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, lm, neardup, packing, quality, secrets, topk, toxicity
-from .common import fold, table
+from . import bytededup, chat, decontam, linededup, lm, neardup, packing, quality, secrets, topk, toxicity
+from .common import fold, table, text_bytes
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +102,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, default_vocabulary()), docs.count())
 
 
+def op11_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bytededup.cut_repeats(docs)
+    n_bytes = F.length(text_bytes()).cast("long")
+    return out.select(
+        "doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -113,6 +122,7 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op11_byte_dedup": op11_byte_dedup,
 }
 
 SQL: dict[str, str] = {

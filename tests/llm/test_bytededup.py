@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cartlytics.llm import bytededup
+
+from .conftest import DOCS, ODD_ROWS, documents
+
+
+def brute(texts: list[bytes], length: int) -> list[bytes]:
+    """The remaining bytes, by a count of every string."""
+    count = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if count[t[i:i + length]] > 1:
+                gone[i:i + length] = b"\1" * length
+        out.append(bytes(x for x, y in zip(t, gone, strict=True) if not y))
+    return out
+
+
+def check(spark, texts, length, parts=5):
+    df = documents(spark, list(enumerate(texts))).repartition(parts)
+    got = {r.doc_id: r for r in bytededup.cut_repeats(df, length).collect()}
+    raw = [(t or "").encode() for t in texts]
+    want = brute(raw, length)
+    assert [bytes(got[i].kept) for i in range(len(raw))] == want
+    for i, t in enumerate(raw):
+        spans = [(s.start, s.end) for s in got[i].removed]
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))  # maximal and in order
+        assert sum(b - a for a, b in spans) == len(t) - len(want[i])
+    return sum(map(len, raw)) - sum(map(len, want))
+
+
+def spliced(rng, length, n=50):
+    """Texts with passages, cut at random, between random characters."""
+    def noise(k):
+        return "".join(rng.choice("abcdefgh ijkl") for _ in range(k))
+    passages = [noise(rng.randint(length // 2, 3 * length)) for _ in range(6)]
+    for _ in range(n):
+        t = noise(rng.randint(0, length))
+        for _ in range(rng.randint(0, 4)):
+            p, a = rng.choice(passages), rng.randint(0, length // 3)
+            t += p[a:a + rng.randint(0, len(p))] + noise(rng.randint(0, length // 3))
+        yield t
+
+
+@pytest.mark.parametrize("length", [400, 64, 170])
+def test_equals_brute_force(spark, length):
+    texts = list(spliced(random.Random(length), length))
+    assert check(spark, texts + ["", None, texts[0], texts[1]], length) > 0
+
+
+def test_periodic_and_plain_texts(spark):
+    texts = ["z" * 3000, "z" * 403, "y" * 400 + "x", "ab" * 700 + "q" * 500 + "ab" * 300, "long text " * 300,
+             "abcdefgh" * 60 + "x", "y" * 400 + "abcdefgh" * 60, "abcdefgh" * 51, "0123456789abcde" * 27, "é" * 900]
+    assert check(spark, texts, 400) > 0
+
+
+def test_strings_at_the_limit(spark):
+    rng = random.Random(3)
+    shared = "".join(rng.choice("abcdefghij") for _ in range(400))
+    assert check(spark, ["<" + shared + ">", "(" + shared + ")"], 400) == 800
+    assert check(spark, ["<" + shared[:399] + ">", "(" + shared[:399] + ")"], 400) == 0
+
+
+def test_long_text_is_cut_into_pieces(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(spliced(rng, 64, 40)), *spliced(rng, 64, 10)]
+    texts.append(texts[0][500:3000])
+    length, grams = 64, bytededup.Grams(1 << 20, 32)
+    raw = [t.encode() for t in texts]
+    whole = [x and (x[0].tolist(), x[1].tolist()) for x in bytededup._runs(raw, length, grams)]
+    monkeypatch.setattr(bytededup, "PIECE", 700)
+    pieces = [x and (x[0].tolist(), x[1].tolist()) for x in bytededup._runs(raw, length, grams)]
+    assert pieces == whole
+    check(spark, texts, length)
+
+
+def test_many_near_copies_meet_in_few_rows(spark):
+    """Of a group of near copies only one cell of each kind is read string by string."""
+    rng = random.Random(4)
+    base = "".join(rng.choice("abcdefghij ") for _ in range(3000))
+    texts = []
+    for _ in range(60):
+        at = rng.randrange(3000)
+        texts.append(base[:at] + "#" + base[at + 1:])
+    check(spark, texts, 400, parts=3)
+
+
+def test_suffix_order_sorts_inside_documents():
+    rng = np.random.default_rng(1)
+    symbols, doc = rng.integers(0, 3, 300), np.repeat(np.arange(30), 10)
+    values, symbols = np.unique(symbols, return_inverse=True)
+    order = bytededup.suffix_order(symbols, doc)
+    key = [tuple(symbols[i:(doc[i] + 1) * 10]) + (-1,) for i in range(300)]
+    assert order.tolist() == sorted(range(300), key=lambda i: (key[i], i))
+
+
+def test_odd_rows_and_clashing_names(spark):
+    rows = documents(spark, ODD_ROWS)
+    got = bytededup.cut_repeats(rows.withColumnRenamed("lang", "block").withColumnRenamed("source", "_doc"))
+    assert got.columns == ["doc_id", "text", "block", "_doc", "n_chars", "removed", "kept"]
+    out = {(r.doc_id, r.text): r for r in got.collect()}
+    assert len(out) == len({(i, t) for i, t in ODD_ROWS}) and got.count() == len(ODD_ROWS)
+    assert out[(None, None)].kept == b"" and out[(4, "one")].kept == b"one"
+    assert out[(7, "z" * 70_000)].kept == b"" and out[(8, "long text " * 20_000)].kept == b""
+    assert bytededup.cut_repeats(spark.createDataFrame([], DOCS)).count() == 0
+    with pytest.raises(ValueError):
+        bytededup.window_for(32)
