@@ -38,6 +38,8 @@ in bytes) and ``kept`` the remaining bytes, which may cut a character.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -52,7 +54,7 @@ LENGTH = 400
 WINDOW = 128  # at most; a power of two
 GRAM = 32
 PERIOD = 16
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 PIECE = 1 << 19
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -76,17 +78,16 @@ def window_for(length: int) -> int:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
-        up, down = (np.multiply.accumulate(np.concatenate([[1], np.full(n, base)]).astype(np.uint64))
-                    for base in (np.uint64(0x9E3779B97F4A7C15), np.uint64(_INVERSE)))
-    return up, down
+        return tuple(np.multiply.accumulate(np.array([1] + [base] * n, np.uint64))
+                     for base in (0x9E3779B97F4A7C15, _INVERSE))
 
 
 class Grams:
     """Hashes of all grams of a buffer of bytes, and the anchor of every window."""
 
-    def __init__(self, room: int, window: int):
-        self.window = window
-        self.up, self.down = _powers(room)
+    def __init__(self, window: int, piece: int = PIECE):
+        self.window, self.piece = window, piece
+        self.up, self.down = _powers(piece + window + GRAM)
         self.table = mix64(np.arange(1, 257, dtype=np.uint64))
 
     def hashes(self, data: np.ndarray) -> np.ndarray:
@@ -141,9 +142,9 @@ def _runs(texts: list[bytes], length: int, grams: Grams):
     for k, text in enumerate(texts):
         if len(text) < length:
             continue
-        for offset in range(0, len(text) - reach, PIECE):
-            piece = text[offset:offset + PIECE + reach]
-            if size + len(piece) > PIECE + reach and held:
+        for offset in range(0, len(text) - reach, grams.piece):
+            piece = text[offset:offset + grams.piece + reach]
+            if size + len(piece) > grams.piece + reach and held:
                 flush()
                 size = 0
             held.append((k, offset, piece))
@@ -271,7 +272,7 @@ class _Shard:
 def _build(length: int, window: int):
     def run(batches):
         number = TaskContext.get().partitionId() << 32
-        grams = Grams(PIECE + 2 * (window + GRAM) + 1, window)
+        grams = Grams(window)
         shard = _Shard(length, window)
         for batch in batches:
             docs, texts = batch.column("doc").to_pylist(), batch.column("text").to_pylist()
@@ -285,6 +286,18 @@ def _build(length: int, window: int):
     return run
 
 
+@contextmanager
+def _few_rows_at_once(spark):
+    """Rows of shards are large: the Parquet reader takes a few at a time."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shards(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row a shard of (doc, text) rows: its transform, cells and strings without anchor."""
     bounded_batches(texts.sparkSession)
@@ -419,6 +432,11 @@ def _strings(length: int):
 def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, first, last): ranges of starts of strings that also start elsewhere."""
     rows = shards(texts, length)
+    with _few_rows_at_once(texts.sparkSession):
+        return save(_repeated_starts(texts, rows, length), "ranges")
+
+
+def _repeated_starts(texts: DataFrame, rows: DataFrame, length: int) -> DataFrame:
     deepest = rows.agg(F.max(F.array_max("cell_depth"))).first()[0]
     found = merge(rows, deepest or 0)
 
@@ -497,7 +515,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, names: tuple[str, str] =
     texts = own.select(F.col("_doc").alias("doc"), text.alias("text"))
     ranges = repeated_starts(texts, length).groupBy("doc").agg(
         F.collect_list(F.struct("first", "last")).alias("_ranges"))
-    ranges = save(ranges.withColumnRenamed("doc", "_doc"), "ranges")
+    ranges = ranges.withColumnRenamed("doc", "_doc")
     joined = own.withColumn("_bytes", text).join(ranges, "_doc", "left").drop("_doc")
     fields = [StructField(f"_{i}", f.dataType) for i, f in enumerate(docs.schema)]
     spans = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))

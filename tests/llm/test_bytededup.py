@@ -69,17 +69,15 @@ def test_strings_at_the_limit(spark):
     assert check(spark, ["<" + shared[:399] + ">", "(" + shared[:399] + ")"], 400) == 0
 
 
-def test_long_text_is_cut_into_pieces(spark, monkeypatch):
+def test_long_text_is_cut_into_pieces(spark):
     rng = random.Random(8)
     texts = ["".join(spliced(rng, 64, 40)), *spliced(rng, 64, 10)]
     texts.append(texts[0][500:3000])
-    length, grams = 64, bytededup.Grams(1 << 20, 32)
     raw = [t.encode() for t in texts]
-    whole = [x and (x[0].tolist(), x[1].tolist()) for x in bytededup._runs(raw, length, grams)]
-    monkeypatch.setattr(bytededup, "PIECE", 700)
-    pieces = [x and (x[0].tolist(), x[1].tolist()) for x in bytededup._runs(raw, length, grams)]
-    assert pieces == whole
-    check(spark, texts, length)
+    whole, pieces = ([x and (x[0].tolist(), x[1].tolist()) for x in bytededup._runs(raw, 64, bytededup.Grams(32, piece))]
+                     for piece in (1 << 20, 700))
+    assert pieces == whole and sum(len(x[0]) for x in whole if x) > 100
+    check(spark, texts, 64)
 
 
 def test_many_near_copies_meet_in_few_rows(spark):
