@@ -18,16 +18,19 @@ are judged on the input, and matches never cross documents.
    merged order is one interval in each shard; at depth k its suffixes share k
    phrases.  A round maps every interval through the shard's transform, one
    phrase to the left, and equal (phrase, block) pairs of all shards meet in a
-   new block.  Blocks of one suffix are settled and leave; no suffix is sorted
-   again.  Blocks that stay are repeated intervals, their depth the common
-   prefix; rounds end with the depth of the deepest cell.
-4. A cell whose core lies in a repeated interval is compared in whole with the
-   others of its block (128-bit hashes of its bytes).  Cells that are alone,
-   at the borders of a repeat, are compared string by string with one
-   representative of each other kind of cell in the block.
+   new block.  Blocks of one suffix are settled and leave, as do intervals that
+   no deeper cell needs; no suffix is sorted again.  Blocks that stay are
+   repeated intervals, their depth the common prefix.
+4. A cell whose core is a repeated interval is compared in whole with the others
+   of its block.  Cells that are alone, at the borders of a repeat, are compared
+   string by string with one representative of each other kind of cell in the
+   block.  Blocks are named by 64 bits and contents inside a block by 64 more.
 5. Strings without any anchor have a period under ``PERIOD`` throughout.  They
    are compared by 128-bit hashes, each different one once a document.
 
+A document is named by two hashes of its text, so equal texts count as often as
+they occur but travel once, and no table of texts is written.
+
 Defined results: null text is empty and stays null; texts shorter than
 ``length`` lose nothing.  Repeated rows are documents of their own, so copies of
 ``length`` bytes or more remove each other.  ``doc_id`` plays no part and may
@@ -39,12 +42,13 @@ in bytes) and ``kept`` the remaining bytes, which may cut a character.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import StorageLevel, TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
@@ -56,16 +60,22 @@ GRAM = 32
 PERIOD = 16
 SHARD_BYTES = 2 << 20
 PIECE = 1 << 19
-NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-_INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-_LONGS, _INTS = "array<long>", "array<int>"
-_SHARD = {"shard": "long", "sym": _LONGS, "lf": _INTS, "gram": _LONGS, "place": _INTS,
-          "cell_suffix": _INTS, "cell_depth": _INTS, "cell_doc": _LONGS, "cell_at": _INTS, "cell_from": _INTS,
-          "cell_until": _INTS, "cell_h1": _LONGS, "cell_h2": _LONGS,
-          "lone_doc": _LONGS, "lone_from": _INTS, "lone_n": _INTS, "lone_h1": _LONGS, "lone_h2": _LONGS,
-          "sure_doc": _LONGS, "sure_from": _INTS}
-_ARROW = {"long": pa.int64(), _LONGS: pa.list_(pa.int64()), _INTS: pa.list_(pa.int32())}
+BASE = 0x9E3779B97F4A7C15
+NONE = np.uint64(0xFFFFFFFF)  # the hash of a gram that cannot be an anchor
+
+#: A shard's columns: numbers packed as bytes.  By place in the suffix order: the
+#: phrase before (0: none), the place of the suffix that begins with it, the gram
+#: it begins with, and the depth that cells need.  By anchor: place in the order,
+#: position and ordinal of its document.  By cell: ordinal of its first anchor,
+#: depth, first and last start as distances before that anchor, hash.  By document:
+#: its two names.  Then strings without anchor, by document.
+_SHARD = {"sym": "<i8", "lf": "<i4", "gram": "<i8", "need": "<i2", "place": "<i4", "at": "<i4", "own": "<i4",
+          "cell_anchor": "<i4", "cell_depth": "<i2", "cell_back": "<i4", "cell_reach": "<i4", "cell_hash": "<i8",
+          "doc": "<i8", "doc2": "<i8"}
+_LONE = {"lone_own": "<i4", "lone_from": "<i4", "lone_n": "<i4", "lone_h1": "<i8", "lone_h2": "<i8",
+         "sure_own": "<i4", "sure_from": "<i4"}
+#: what the rounds read
+_HELD = [c for c in _SHARD if c != "gram"]
 
 
 def window_for(length: int) -> int:
@@ -76,30 +86,28 @@ def window_for(length: int) -> int:
     return min(WINDOW, 1 << (room.bit_length() - 1))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        return tuple(np.multiply.accumulate(np.array([1] + [base] * n, np.uint64))
-                     for base in (0x9E3779B97F4A7C15, _INVERSE))
-
-
 class Grams:
     """Hashes of all grams of a buffer of bytes, and the anchor of every window."""
 
     def __init__(self, window: int, piece: int = PIECE):
         self.window, self.piece = window, piece
-        self.up, self.down = _powers(piece + window + GRAM)
+        room = piece + window + GRAM
+        with np.errstate(over="ignore"):
+            self.up, self.down = (np.multiply.accumulate(np.array([1] + [b] * room, np.uint64))
+                                  for b in (BASE, pow(BASE, -1, 1 << 64)))
         self.table = mix64(np.arange(1, 257, dtype=np.uint64))
 
     def hashes(self, data: np.ndarray) -> np.ndarray:
-        """One hash a gram; ``NONE`` for grams with a period under ``PERIOD``."""
+        """32 bits a gram; ``NONE`` for grams with a period under ``PERIOD``."""
         n, half = len(data), GRAM // 2
+        count = n - GRAM + 1
         with np.errstate(over="ignore"):
-            total = np.concatenate([[np.uint64(0)], np.cumsum(self.table[data] * self.up[:n])])
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum(self.table[data] * self.up[:n], out=total[1:])
             short = (total[half:] - total[:-half]) * self.down[:n - half + 1]
-            count = n - GRAM + 1
-            out = mix64(short[:count] + mix64(short[half:half + count]))
-        plain = np.zeros(count, bool)
-        for d in range(1, PERIOD):
+            out = mix64((total[GRAM:] - total[:-GRAM]) * self.down[:count]) >> np.uint64(32)
+        plain = short[:count] == short[1:1 + count]
+        for d in range(2, PERIOD):
             plain |= short[:count] == short[d:d + count]
         out[out == NONE] = 0
         out[plain] = NONE
@@ -107,89 +115,81 @@ class Grams:
 
     def anchors(self, hashes: np.ndarray) -> np.ndarray:
         """The place of the first least hash in every window; -1 if all are NONE."""
-        least, at, step = hashes, np.arange(len(hashes), dtype=np.int32), 1
+        least = (hashes << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
+        step = 1
         while step < self.window:
-            right = least[step:] < least[:-step]
-            least = np.where(right, least[step:], least[:-step])
-            at = np.where(right, at[step:], at[:-step])
+            least = np.minimum(least[step:], least[:-step])
             step *= 2
-        return np.where(least == NONE, np.int32(-1), at)
+        return np.where(least >> np.uint64(32) == NONE, -1, (least & NONE).astype(np.int64))
 
 
-def _runs(texts: list[bytes], length: int, grams: Grams):
-    """For every text: starts of runs of windows with one anchor, and the anchors.
+def anchor_runs(texts: list[bytes], length: int, grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, anchor): runs of windows with one anchor, in order; -1 for none.
 
-    Texts are laid end to end in buffers; a long one is cut into pieces that
-    overlap by the reach of a window, so memory does not grow with it."""
-    reach = grams.window + GRAM - 2  # bytes after the start of a window's first byte
-    found: list[list] = [[] for _ in texts]
+    Places count over all texts laid end to end.  Buffers hold several texts; a
+    long one is cut into pieces that overlap by the reach of a window, so memory
+    does not grow with it."""
+    reach = grams.window + GRAM - 2  # bytes after a window's first byte
+    found: list[tuple] = []
     held: list[tuple[int, int, bytes]] = []
 
     def flush():
-        data = np.frombuffer(b"".join(p for _, _, p in held), np.uint8)
-        if len(data) > reach:
-            anchors = grams.anchors(grams.hashes(data))
-            base = 0
-            for k, offset, piece in held:
-                own = anchors[base:base + len(piece) - reach]
-                starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                value = own[starts].astype(np.int64)
-                found[k].append((starts + offset, np.where(value < 0, -1, value - base + offset)))
-                base += len(piece)
+        anchors = grams.anchors(grams.hashes(np.frombuffer(b"".join(p for _, _, p in held), np.uint8)))
+        at = 0
+        for k, offset, piece in held:
+            own = anchors[at:at + len(piece) - reach]
+            starts = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
+            value = own[starts]
+            found.append((np.full(len(starts), k), starts + offset, np.where(value < 0, -1, value + (offset - at))))
+            at += len(piece)
         held.clear()
 
-    size = 0
+    size = base = 0
     for k, text in enumerate(texts):
-        if len(text) < length:
-            continue
-        for offset in range(0, len(text) - reach, grams.piece):
+        for offset in range(0, len(text) - reach if len(text) >= length else 0, grams.piece):
             piece = text[offset:offset + grams.piece + reach]
             if size + len(piece) > grams.piece + reach and held:
                 flush()
                 size = 0
-            held.append((k, offset, piece))
+            held.append((k, base + offset, piece))
             size += len(piece)
+        base += len(text)
     if held:
         flush()
-    for parts in found:
-        if not parts:
-            yield None
-            continue
-        starts, value = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-        new = np.concatenate([[True], value[1:] != value[:-1]])
-        yield starts[new], value[new]
-
-
-def _cells(starts: np.ndarray, anchors: np.ndarray, size: int, length: int, window: int):
-    """(anchors in order, cells (first anchor, depth, from, until), ranges without anchor)."""
-    inner = length - window - GRAM + 1  # the last window inside a string starts here
-    last = size - length
-    finite = anchors >= 0
+    if not found:
+        return tuple(np.empty(0, np.int64) for _ in range(3))
+    text, start, anchor = (np.concatenate(x) for x in zip(*found, strict=True))
+    new = np.concatenate([[True], (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])])
+    return text[new], start[new], anchor[new]
+
+
+def cells_of(text: np.ndarray, start: np.ndarray, anchor: np.ndarray, last: np.ndarray, inner: int):
+    """Cells (first anchor's ordinal, depth, first start, last start), and ranges
+    (text, first start, last start) of strings without anchor.  ``last`` is the
+    last start of a string of each text, ``inner`` the distance from a string's
+    start to that of its last window."""
+    finite = anchor >= 0
     ordinal = np.cumsum(finite) - 1
-    runs = np.arange(len(starts))
+    runs = np.arange(len(start))
     after = np.minimum.accumulate(np.where(finite, runs, len(runs))[::-1])[::-1]
     before = np.maximum.accumulate(np.where(finite, runs, -1))
-    points = np.unique(np.concatenate([starts, starts - inner]))
-    points = points[(points >= 0) & (points <= last)]
-    until = np.concatenate([points[1:] - 1, [last]])
-    lo = np.searchsorted(starts, points, "right") - 1
-    hi = np.searchsorted(starts, points + inner, "right") - 1
+    head = np.concatenate([[True], text[1:] != text[:-1]])
+    begin = start[head][np.cumsum(head) - 1]  # of each run's text
+    earlier = start - inner
+    points = np.concatenate([start[start <= last[text]], earlier[earlier >= begin]])
+    owner = np.concatenate([text[start <= last[text]], text[earlier >= begin]])
+    points, first_of = np.unique(points, return_index=True)
+    owner = owner[first_of]
+    follows = np.append(owner[1:] == owner[:-1], False)
+    until = np.where(follows, np.append(points[1:], 0) - 1, last[owner])
+    lo = np.searchsorted(start, points, "right") - 1
+    hi = np.searchsorted(start, points + inner, "right") - 1
     first, final = after[lo], before[hi]
     has = first <= hi
     own = np.flatnonzero(has)
     cells = (ordinal[first[own]], ordinal[final[own]] - ordinal[first[own]], points[own], until[own])
     bare = np.flatnonzero(~has)
-    return anchors[finite], cells, list(zip(points[bare].tolist(), until[bare].tolist(), strict=True))
-
-
-def _signed(values) -> np.ndarray:
-    return np.asarray(values, np.uint64).view(np.int64)
-
-
-def _hash128(pieces) -> tuple[np.ndarray, np.ndarray]:
-    data = b"".join(map(xxhash.xxh3_128_digest, pieces))
-    pairs = np.frombuffer(data, np.int64).reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1]
+    return cells, (owner[bare], points[bare], until[bare])
 
 
 def suffix_order(symbols: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -209,80 +209,86 @@ def suffix_order(symbols: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
-class _Shard:
-    """Anchors, phrases and cells of some documents, and their transform."""
-
-    def __init__(self, length: int, window: int):
-        self.length, self.window, self.bytes, self.anchors = length, window, 0, 0
-        self.parts: dict[str, list] = {k: [] for k in ("doc", "gram", "phrase", *list(_SHARD)[5:])}
-
-    def add(self, doc: int, text: bytes, runs) -> None:
-        self.bytes += len(text)
-        if runs is None:
-            return
-        anchors, cells, bare = _cells(*runs, len(text), self.length, self.window)
-        out, view = self.parts, memoryview(text)
-        at = anchors.tolist()
-        hash64 = xxhash.xxh3_64_intdigest
-        out["gram"].append(_signed([hash64(view[p:p + GRAM]) for p in at]))
-        # 0: none; the last anchor of a document begins no whole phrase
-        ends = [q + GRAM for q in at[1:]]
-        out["phrase"].append(_signed([hash64(view[p:q]) | 1 for p, q in zip(at, ends, strict=False)] + [0] * bool(at)))
-        out["doc"].append(np.full(len(at), doc))
-        first, depth, lo, hi = cells
-        h1, h2 = _hash128(view[a:b + self.length] for a, b in zip(lo.tolist(), hi.tolist(), strict=True))
-        for k, v in zip(list(_SHARD)[5:13], (first + self.anchors, depth, np.full(len(lo), doc), anchors[first], lo, hi,
-                                             h1, h2), strict=True):
-            out[k].append(v)
-        self.anchors += len(at)
-        if bare:
-            seen: dict[bytes, list[int]] = {}
-            for a, b in bare:
-                for i in range(a, b + 1):
-                    seen.setdefault(xxhash.xxh3_128_digest(view[i:i + self.length]), []).append(i)
-            pairs = np.frombuffer(b"".join(seen), np.int64).reshape(-1, 2)
-            sure = [i for found in seen.values() if len(found) > 1 for i in found]
-            for k, v in (("lone_doc", np.full(len(seen), doc)), ("lone_from", [x[0] for x in seen.values()]),
-                         ("lone_n", [len(x) for x in seen.values()]), ("lone_h1", pairs[:, 0]), ("lone_h2", pairs[:, 1]),
-                         ("sure_doc", np.full(len(sure), doc)), ("sure_from", sure)):
-                out[k].append(np.asarray(v))
-
-    def row(self, shard: int) -> pa.RecordBatch:
-        x = {k: np.concatenate(v).astype(np.int64) if v else np.empty(0, np.int64) for k, v in self.parts.items()}
-        doc, phrase, m = x["doc"], x["phrase"], self.anchors
-        # symbols in order of (gram, phrase), so that equal grams stand together
-        order = np.lexsort((phrase, x["gram"]))
-        new = np.ones(m, np.int64)
-        if m:
-            new[0] = 0
-            new[1:] = (np.diff(x["gram"][order]) != 0) | (np.diff(phrase[order]) != 0)
-        symbols = np.empty(m, np.int64)
-        symbols[order] = np.cumsum(new)
-        order = suffix_order(symbols, doc)
-        place = np.empty(m, np.int64)
-        place[order] = np.arange(m)
-        prior = order - 1
-        has = (order > 0) & (doc[prior] == doc[order]) if m else np.empty(0, bool)
-        x |= {"shard": shard, "sym": np.where(has, phrase[prior], 0), "lf": np.where(has, place[prior], -1),
-              "gram": x["gram"][order], "place": place}
-        arrays = [pa.array([x[k].astype(np.int32) if t == _INTS else x[k]], _ARROW[t]) for k, t in _SHARD.items()]
-        return pa.RecordBatch.from_arrays(arrays, names=list(_SHARD))
-
-
-def _build(length: int, window: int):
+def _hashes64(view, lo, hi) -> np.ndarray:
+    digest = xxhash.xxh3_64_intdigest
+    return np.array([digest(view[a:b]) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], np.uint64).view(np.int64)
+
+
+def _lone(view, base: np.ndarray, length: int, bare) -> dict:
+    """Strings without anchor: each different one of a text once, and the starts
+    of those that the text itself repeats."""
+    seen: dict[tuple, list[int]] = {}
+    for k, a, b in zip(*(x.tolist() for x in bare), strict=True):
+        for i in range(a, b + 1):
+            seen.setdefault((k, xxhash.xxh3_128_digest(view[i:i + length])), []).append(i)
+    pairs = np.frombuffer(b"".join(h for _, h in seen), np.int64).reshape(-1, 2)
+    own = np.array([k for k, _ in seen], np.int64)
+    starts = list(seen.values())
+    sure = [(k, i) for (k, _), many in seen.items() if len(many) > 1 for i in many]
+    sure_own, sure_from = np.array(sure, np.int64).reshape(-1, 2).T
+    return {"lone_own": own, "lone_from": np.array([x[0] for x in starts], np.int64) - base[own],
+            "lone_n": np.array([len(x) for x in starts], np.int64), "lone_h1": pairs[:, 0], "lone_h2": pairs[:, 1],
+            "sure_own": sure_own, "sure_from": sure_from - base[sure_own]}
+
+
+def build_shard(texts: list[bytes], doc: np.ndarray, doc2: np.ndarray, length: int, grams: Grams) -> dict:
+    """The transform over phrases of some texts, their cells and lone strings."""
+    size = np.array([len(t) for t in texts], np.int64)
+    base = np.cumsum(size) - size
+    inner = length - grams.window - GRAM + 1
+    text, start, anchor = anchor_runs(texts, length, grams)
+    (first, depth, lo, hi), bare = cells_of(text, start, anchor, base + size - length, inner)
+    view = memoryview(b"".join(texts))
+    at, own = anchor[anchor >= 0], text[anchor >= 0]
+    m = len(at)
+    follows = np.append(own[1:] == own[:-1], False)[:m]
+    phrase = np.zeros(m, np.int64)  # the last anchor of a text begins no whole phrase
+    begins = np.flatnonzero(follows)
+    phrase[begins] = _hashes64(view, at[begins], at[np.minimum(begins + 1, m - 1)] + GRAM) | 1
+    gram = _hashes64(view, at, at + GRAM)
+    # symbols in order of (gram, phrase), so that equal grams stand together
+    order = np.lexsort((phrase, gram))
+    symbols = np.empty(m, np.int64)
+    symbols[order] = np.cumsum(np.concatenate([[False], (np.diff(gram[order]) != 0) | (np.diff(phrase[order]) != 0)])[:m])
+    order = suffix_order(symbols, own)
+    place = np.empty(m, np.int64)
+    place[order] = np.arange(m)
+    has = (order > 0) & (own[order - 1] == own[order]) if m else np.empty(0, bool)
+    # how deep a suffix must be known, for its own cells and those before it
+    number, apart = np.arange(m), own * (2 * m + 2)
+    deepest = np.full(m, -1)
+    np.maximum.at(deepest, first, depth)
+    need = np.maximum.accumulate(deepest + number + apart) - number - apart
+    return {"sym": np.where(has, phrase[order - 1], 0), "lf": np.where(has, place[order - 1], -1), "gram": gram[order],
+            "need": np.minimum(need, 32_767)[order], "place": place, "at": at - base[own], "own": own,
+            "cell_anchor": first, "cell_depth": depth, "cell_back": at[first] - lo, "cell_reach": at[first] - hi,
+            "cell_hash": _hashes64(view, lo, hi + length), "doc": doc, "doc2": doc2,
+            **_lone(view, base, length, bare)}
+
+
+def _build(length: int):
     def run(batches):
         number = TaskContext.get().partitionId() << 32
-        grams = Grams(window)
-        shard = _Shard(length, window)
+        grams = Grams(window_for(length))
+        names = {**_SHARD, **_LONE}
+
+        def row(texts, doc, doc2):
+            shard = build_shard(texts, np.array(doc, np.int64), np.array(doc2, np.int64), length, grams)
+            arrays = [pa.array([shard[k].astype(t).tobytes()], pa.binary()) for k, t in names.items()]
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *arrays], names=["shard", *names])
+
+        texts, doc, doc2, held = [], [], [], 0
         for batch in batches:
-            docs, texts = batch.column("doc").to_pylist(), batch.column("text").to_pylist()
-            for doc, text, runs in zip(docs, texts, _runs(texts, length, grams), strict=True):
-                shard.add(doc, text, runs)
-                if shard.bytes >= SHARD_BYTES:
-                    yield shard.row(number)
-                    number, shard = number + 1, _Shard(length, window)
-        if shard.bytes:
-            yield shard.row(number)
+            for text, a, b in zip(*(batch.column(c).to_pylist() for c in ("text", "doc", "doc2")), strict=True):
+                texts.append(text)
+                doc.append(a)
+                doc2.append(b)
+                held += len(text)
+                if held >= SHARD_BYTES:
+                    yield row(texts, doc, doc2)
+                    number, texts, doc, doc2, held = number + 1, [], [], [], 0
+        if texts:
+            yield row(texts, doc, doc2)
     return run
 
 
@@ -298,29 +304,63 @@ def _few_rows_at_once(spark):
         spark.conf.set(key, before)
 
 
+def text_names(text: Column) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of a text."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def named_texts(texts: DataFrame, length: int) -> DataFrame:
+    """(doc, doc2, text) of texts that hold a string of ``length`` bytes."""
+    a, b = text_names(F.col("text"))
+    return texts.where(F.length("text") >= length).select(a.alias("doc"), b.alias("doc2"), "text")
+
+
 def shards(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """One row a shard of (doc, text) rows: its transform, cells and strings without anchor."""
+    """One row a shard of (doc, doc2, text) rows: its transform, cells and lone strings."""
     bounded_batches(texts.sparkSession)
-    schema = ", ".join(f"{k} {t}" for k, t in _SHARD.items())
-    return save(texts.mapInArrow(_build(length, window_for(length)), schema), "shards")
+    schema = ", ".join(["shard long", *(f"{k} binary" for k in {**_SHARD, **_LONE})])
+    return save(texts.mapInArrow(_build(length), schema), "shards")
+
+
+_INTERVAL = {"block": pa.int64(), "shard": pa.int64(), "lo": pa.int32(), "hi": pa.int32()}
+_CELL = {"back": pa.int32(), "reach": pa.int32(), "hash": pa.int64(), "doc": pa.int64(), "doc2": pa.int64(),
+         "at": pa.int32()}
+_STRING = {"block": pa.int64(), "hash": pa.int64(), "alone": pa.bool_(), "doc": pa.int64(), "doc2": pa.int64(),
+           "start": pa.int32()}
+_LONE_ROW = {"h1": pa.int64(), "h2": pa.int64(), "n": pa.int64(), "doc": pa.int64(), "doc2": pa.int64(),
+             "start": pa.int32()}
+_DDL = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean"}
+
+
+def _ddl(columns: dict) -> str:
+    return ", ".join(f"{k} {_DDL[t]}" for k, t in columns.items())
+
+
+def _rows(columns: dict, parts: list[tuple]) -> pa.RecordBatch:
+    """Parts are tuples of arrays, one for each of the first columns; other columns are null."""
+    joined = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else []
+    n = len(joined[0]) if joined else 0
+    arrays = [pa.array(x, t) for x, t in zip(joined, columns.values(), strict=False)]
+    arrays += [pa.nulls(n, t) for t in list(columns.values())[len(arrays):]]
+    return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
-def _intervals(rows: list[tuple]) -> pa.RecordBatch:
-    parts = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (zip(*rows, strict=True) if rows else [[]] * 4)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(p, t) for p, t in zip(parts, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)],
-        names=["block", "shard", "lo", "hi"])
+def _unpacked(batch, k: int, *names) -> list[np.ndarray]:
+    kinds = {**_SHARD, **_LONE}
+    return [np.frombuffer(batch.column(c)[k].as_buffer(), kinds[c]) for c in names]
 
 
 def _grams_first(batches):
     """The interleave by grams alone: one interval for every gram of a shard."""
     for batch in batches:
-        rows = []
-        for shard, gram in zip(batch.column("shard").to_pylist(), batch.column("gram"), strict=True):
-            gram = gram.values.to_numpy()
-            lo = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.empty(0, int)
-            rows.append((gram[lo], np.full(len(lo), shard), lo, np.append(lo[1:], len(gram)) if len(lo) else lo))
-        yield _intervals(rows)
+        out = []
+        for k, shard in enumerate(batch.column("shard").to_pylist()):
+            gram, need = _unpacked(batch, k, "gram", "need")
+            if len(gram):
+                lo = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+                own = np.flatnonzero(np.maximum.reduceat(need, lo) >= 0)
+                out.append((gram[lo[own]], np.full(len(own), shard), lo[own], np.append(lo[1:], len(gram))[own]))
+        yield _rows(_INTERVAL, out)
 
 
 def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -330,36 +370,54 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + lo[which], which
 
 
-def _struct_arrays(cell, *names) -> list[np.ndarray]:
-    flat = cell.values
-    return [flat.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names]
-
-
-def _refine(batches):
-    """One round in a shard: intervals mapped one phrase to the left."""
-    for batch in batches:
-        rows = []
-        for k, shard in enumerate(batch.column("shard").to_pylist()):
-            sym, lf = (batch.column(c)[k].values.to_numpy() for c in ("sym", "lf"))
-            block, lo, hi = _struct_arrays(batch.column("intervals")[k], "block", "lo", "hi")
-            at, which = _ranges(lo, hi)
-            kept = lf[at] >= 0
-            at, which = at[kept], which[kept]
-            order = np.lexsort((at, sym[at], which))
-            at, which = at[order], which[order]
-            if not len(at):
-                continue
-            new = np.flatnonzero(np.concatenate([[True], (np.diff(which) != 0) | (np.diff(sym[at]) != 0)]))
-            size = np.diff(np.append(new, len(at)))
-            with np.errstate(over="ignore"):
-                name = mix64(mix64(block[which[new]].view(np.uint64)) * np.uint64(3) + sym[at[new]].view(np.uint64))
-            # places of one phrase before one block are consecutive in the shard's order
-            to = lf[at[new]].astype(np.int64)
-            rows.append((name.view(np.int64), np.full(len(new), shard), to, to + size))
-        yield _intervals(rows)
-
-
-_INTERVAL = "block long, shard long, lo int, hi int"
+def _moved(shard: int, depth: int, block, lo, hi, sym, lf, need) -> tuple | None:
+    """Intervals mapped one phrase to the left, to ``depth``; those whose
+    suffixes no cell needs so deep are left out."""
+    at, which = _ranges(lo, hi)
+    kept = lf[at] >= 0
+    at, which = at[kept], which[kept]
+    order = np.lexsort((at, sym[at], which))
+    at, which = at[order], which[order]
+    if not len(at):
+        return None
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(which) != 0) | (np.diff(sym[at]) != 0)]))
+    size = np.diff(np.append(new, len(at)))
+    own = np.flatnonzero(np.maximum.reduceat(need[lf[at]], new) >= depth)
+    new, size = new[own], size[own]
+    with np.errstate(over="ignore"):
+        name = mix64(mix64(block[which[new]].view(np.uint64)) * np.uint64(3) + sym[at[new]].view(np.uint64))
+    # places of one phrase before one block are consecutive in the shard's order
+    to = lf[at[new]].astype(np.int64)
+    return name.view(np.int64), np.full(len(new), shard), to, to + size
+
+
+def _repeated_cells(shard: int, depth: int, block, lo, hi, batch, k: int) -> tuple:
+    """Cells of this depth whose core is a repeated interval, named by its block."""
+    anchor, level, back, reach, digest = _unpacked(batch, k, "cell_anchor", "cell_depth", "cell_back", "cell_reach", "cell_hash")
+    place, pos, owner, doc, doc2 = _unpacked(batch, k, "place", "at", "own", "doc", "doc2")
+    own = np.flatnonzero(level == depth)
+    rank = place[anchor[own]]
+    order = np.argsort(lo)
+    at = order[np.maximum(np.searchsorted(lo[order], rank, "right") - 1, 0)]
+    held = (lo[at] <= rank) & (rank < hi[at])
+    own, at = own[held], at[held]
+    none, of = np.zeros(len(own), np.int64), owner[anchor[own]]
+    return (block[at], np.full(len(own), shard), none, none, back[own], reach[own], digest[own], doc[of], doc2[of],
+            pos[anchor[own]])
+
+
+def _round(depth: int):
+    """A round in each shard: its repeated cells of this depth, and its intervals one deeper."""
+    def run(batches):
+        for batch in batches:
+            for k, shard in enumerate(batch.column("shard").to_pylist()):
+                flat = batch.column("intervals")[k].values
+                block, lo, hi = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("block", "lo", "hi"))
+                yield _rows(_INTERVAL | _CELL, [_repeated_cells(shard, depth, block, lo, hi, batch, k)])
+                moved = _moved(shard, depth + 1, block, lo, hi, *_unpacked(batch, k, "sym", "lf", "need"))
+                if moved is not None:
+                    yield _rows(_INTERVAL | _CELL, [moved])
+    return run
 
 
 def _unsettled(intervals: DataFrame) -> DataFrame:
@@ -368,111 +426,90 @@ def _unsettled(intervals: DataFrame) -> DataFrame:
     return intervals.withColumn("total", total).where("total > 1").drop("total")
 
 
-def merge(shard_rows: DataFrame, depth: int) -> list[DataFrame]:
-    """Repeated intervals (block, shard, lo, hi) at every depth up to ``depth``."""
+def merge(shard_rows: DataFrame) -> DataFrame:
+    """Cells whose core is a repeated interval of the merged transforms:
+    (block, back, reach, hash, doc, doc2, at); ``block`` names core and depth."""
     spark = shard_rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    transform = shard_rows.select("shard", "sym", "lf").repartition(parts, "shard").persist(StorageLevel.MEMORY_AND_DISK)
-    found = [save(_unsettled(shard_rows.select("shard", "gram").mapInArrow(_grams_first, _INTERVAL)), "depth0")]
-    for k in range(depth):
-        here = found[-1].groupBy("shard").agg(F.collect_list(F.struct("block", "lo", "hi")).alias("intervals"))
-        moved = transform.join(here, "shard").mapInArrow(_refine, _INTERVAL)
-        found.append(save(_unsettled(moved), f"depth{k + 1}"))
-        if found[-1].isEmpty():
+    held = shard_rows.select("shard", *_HELD).repartition(parts, "shard").persist(StorageLevel.MEMORY_AND_DISK)
+    intervals = shard_rows.select("shard", "gram", "need").mapInArrow(_grams_first, _ddl(_INTERVAL))
+    rounds: list[DataFrame] = []
+    while True:
+        here = _unsettled(intervals).groupBy("shard").agg(F.collect_list(F.struct("block", "lo", "hi")).alias("intervals"))
+        out = save(held.join(here, "shard").mapInArrow(_round(len(rounds)), _ddl(_INTERVAL | _CELL)), "round")
+        rounds.append(out.where("doc IS NOT NULL").select("block", *_CELL))
+        intervals = out.where("doc IS NULL").select(*_INTERVAL)
+        if intervals.isEmpty():
             break
-    transform.unpersist()
-    return found
-
-
-_CELL = "block long, back int, reach int, h1 long, h2 long, doc long, at int"
-
-
-def _repeated_cells(batches):
-    """Cells whose core is a repeated interval, named by its block."""
-    for batch in batches:
-        out = []
-        for k in range(batch.num_rows):
-            x = {c: batch.column(c)[k].values.to_numpy() for c in list(_SHARD)[4:13]}
-            level, block, lo, hi = _struct_arrays(batch.column("intervals")[k], "depth", "block", "lo", "hi")
-            order = np.lexsort((lo, level))
-            level, block, lo, hi = level[order], block[order], lo[order], hi[order]
-            width = np.int64(1) << 32
-            rank = x["place"][x["cell_suffix"]].astype(np.int64)
-            at = np.searchsorted(level * width + lo, x["cell_depth"] * width + rank, "right") - 1
-            own = np.flatnonzero((at >= 0) & (level[at] == x["cell_depth"]) & (hi[at] > rank))
-            anchor = x["cell_at"][own]
-            out.append((block[at[own]], anchor - x["cell_from"][own], anchor - x["cell_until"][own],
-                        x["cell_h1"][own], x["cell_h2"][own], x["cell_doc"][own], anchor))
-        parts = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[]] * 7
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(p, t) for p, t in zip(parts, kinds, strict=True)],
-                                         names=[c.split()[0] for c in _CELL.split(", ")])
+    held.unpersist()
+    return reduce(DataFrame.unionByName, rounds)
 
 
 def _strings(length: int):
-    """Every string of the given cells by itself: (block, back, h1, h2, alone, doc, start)."""
+    """Every string of the given cells by itself."""
     def run(batches):
         for batch in batches:
             out = []
-            for doc, text, cells in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "cells")), strict=True):
+            for doc, doc2, text, cells in zip(*(batch.column(c).to_pylist() for c in ("doc", "doc2", "text", "cells")), strict=True):
                 view = memoryview(text)
                 for c in cells:
                     start = np.arange(c["at"] - c["back"], c["at"] - c["reach"] + 1)
-                    h1, h2 = _hash128(view[i:i + length] for i in start.tolist())
                     n = len(start)
-                    out.append((np.full(n, c["block"]), c["at"] - start, h1, h2, np.full(n, c["alone"]),
-                                np.full(n, doc), start))
-            parts = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[]] * 7
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(p, t) for p, t in zip(parts, kinds, strict=True)],
-                                             names=["block", "back", "h1", "h2", "alone", "doc", "start"])
+                    with np.errstate(over="ignore"):  # the place in the block's strings is part of the name
+                        digest = mix64(_hashes64(view, start, start + length).view(np.uint64)
+                                       + (c["at"] - start).astype(np.uint64)).view(np.int64)
+                    out.append((np.full(n, c["block"]), digest, np.full(n, c["alone"]), np.full(n, doc), np.full(n, doc2), start))
+            yield _rows(_STRING, out)
     return run
 
 
+def _lone_rows(batches):
+    """Strings without anchor, and (n null) starts known to repeat."""
+    for batch in batches:
+        out, sure = [], []
+        for k in range(batch.num_rows):
+            own, start, n, h1, h2, own2, start2, doc, doc2 = _unpacked(batch, k, *_LONE, "doc", "doc2")
+            out.append((h1, h2, n, doc[own], doc2[own], start))
+            sure.append((doc[own2], doc2[own2], start2))
+        yield _rows(_LONE_ROW, out)
+        found = [np.concatenate(x) for x in zip(*sure, strict=True)] if sure else [np.empty(0, np.int64)] * 3
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(found[0]), pa.int64())] * 3 + [pa.array(x, t) for x, t in zip(found, list(_LONE_ROW.values())[3:], strict=True)],
+            names=list(_LONE_ROW))
+
+
 def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, first, last): ranges of starts of strings that also start elsewhere."""
+    """(doc, doc2, first, last): ranges of starts of strings that also start
+    elsewhere, for (doc, doc2, text) rows."""
     rows = shards(texts, length)
     with _few_rows_at_once(texts.sparkSession):
-        return save(_repeated_starts(texts, rows, length), "ranges")
-
-
-def _repeated_starts(texts: DataFrame, rows: DataFrame, length: int) -> DataFrame:
-    deepest = rows.agg(F.max(F.array_max("cell_depth"))).first()[0]
-    found = merge(rows, deepest or 0)
-
-    # cells of repeated intervals, compared in whole
-    levels = [x.withColumn("depth", F.lit(k)) for k, x in enumerate(found)]
-    every = levels[0]
-    for x in levels[1:]:
-        every = every.unionByName(x)
-    every = every.groupBy("shard").agg(F.collect_list(F.struct("depth", "block", "lo", "hi")).alias("intervals"))
-    cells = rows.select("shard", *list(_SHARD)[4:13]).join(every, "shard").mapInArrow(_repeated_cells, _CELL)
-    cells = save(cells, "cells")
-    kind = ["block", "back", "reach", "h1", "h2"]
-    kinds = save(cells.groupBy(*kind).agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("one")), "kinds")
+        found = merge(rows)
+        lone = save(rows.select("doc", "doc2", *_LONE).mapInArrow(_lone_rows, _ddl(_LONE_ROW)), "lone")
+    doc = ["doc", "doc2"]
+
+    # cells of repeated intervals, compared in whole; equal texts travel once
+    kind = ["block", "back", "reach", "hash"]
+    cells = save(found.groupBy(*kind, *doc, "at").agg(F.count("*").alias("copies")), "cells")
+    kinds = save(cells.groupBy(*kind).agg(F.sum("copies").alias("n"), F.min(F.struct(*doc, "at")).alias("one")), "kinds")
     whole = cells.join(kinds.where("n > 1").select(*kind), kind).select(
-        "doc", (F.col("at") - F.col("back")).alias("first"), (F.col("at") - F.col("reach")).alias("last"))
+        *doc, (F.col("at") - F.col("back")).alias("first"), (F.col("at") - F.col("reach")).alias("last"))
 
     # cells that are alone, string by string against one of each kind in the block
     several = kinds.groupBy("block").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
     several = several.where("kinds > 1 and least = 1").select("block")
-    ones = kinds.join(several, "block").groupBy("one.doc").agg(F.collect_list(F.struct(
+    ones = kinds.join(several, "block").groupBy("one.doc", "one.doc2").agg(F.collect_list(F.struct(
         "block", "back", "reach", F.col("one.at").alias("at"), (F.col("n") == 1).alias("alone"))).alias("cells"))
-    strings = save(texts.join(ones, "doc").mapInArrow(
-        _strings(length), "block long, back int, h1 long, h2 long, alone boolean, doc long, start int"), "strings")
-    name = ["block", "back", "h1", "h2"]
-    again = strings.groupBy(*name).agg(F.count("*").alias("n"), F.max("alone").alias("any")).where("n > 1 and any")
-    border = strings.where("alone").join(again.select(*name), name).select(
-        "doc", F.col("start").alias("first"), F.col("start").alias("last"))
+    strings = save(texts.join(ones, doc).mapInArrow(_strings(length), _ddl(_STRING)), "strings")
+    again = strings.groupBy("block", "hash").agg(F.count("*").alias("n"), F.max("alone").alias("any"))
+    again = again.where("n > 1 and any").select("block", "hash")
+    at = [F.col("start").alias("first"), F.col("start").alias("last")]
+    border = strings.where("alone").join(again, ["block", "hash"]).select(*doc, *at)
 
     # strings without an anchor
-    lone = rows.select(F.explode(F.arrays_zip(*list(_SHARD)[13:18])).alias("x")).select("x.*")
-    twice = lone.groupBy("lone_h1", "lone_h2").agg(F.sum("lone_n").alias("n")).where("n > 1").drop("n")
-    lone = lone.where("lone_n = 1").join(twice, ["lone_h1", "lone_h2"]).select(
-        F.col("lone_doc").alias("doc"), F.col("lone_from").alias("first"), F.col("lone_from").alias("last"))
-    sure = rows.select(F.explode(F.arrays_zip("sure_doc", "sure_from")).alias("x")).select(
-        F.col("x.sure_doc").alias("doc"), F.col("x.sure_from").alias("first"), F.col("x.sure_from").alias("last"))
-    return whole.unionByName(border).unionByName(lone).unionByName(sure)
+    some = lone.where("n IS NOT NULL")
+    twice = some.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2")
+    rest = some.where("n = 1").join(twice, ["h1", "h2"]).unionByName(lone.where("n IS NULL")).select(*doc, *at).distinct()
+    return whole.unionByName(border).unionByName(rest)
 
 
 def covered(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -509,14 +546,14 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, names: tuple[str, str] =
     """``docs`` with two columns added: the removed runs and the remaining bytes."""
     bounded_batches(docs.sparkSession)
     columns = docs.columns
-    own = save(docs.select(F.monotonically_increasing_id().alias("_doc"),
-                           *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)]), "documents")
+    own = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)])
     text = text_bytes(f"_{columns.index('text')}")
-    texts = own.select(F.col("_doc").alias("doc"), text.alias("text"))
-    ranges = repeated_starts(texts, length).groupBy("doc").agg(
+    texts = named_texts(own.select(text.alias("text")), length)
+    ranges = repeated_starts(texts, length).groupBy("doc", "doc2").agg(
         F.collect_list(F.struct("first", "last")).alias("_ranges"))
-    ranges = ranges.withColumnRenamed("doc", "_doc")
-    joined = own.withColumn("_bytes", text).join(ranges, "_doc", "left").drop("_doc")
+    ranges = save(ranges, "ranges")
+    a, b = text_names(text)
+    joined = own.withColumns({"_bytes": text, "doc": a, "doc2": b}).join(ranges, ["doc", "doc2"], "left").drop("doc", "doc2")
     fields = [StructField(f"_{i}", f.dataType) for i, f in enumerate(docs.schema)]
     spans = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
     out = joined.mapInArrow(_cut(length, len(columns)), StructType(

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytededup, chat, decontam, linededup, lm, neardup, packing, quality, secrets, topk, toxicity
+from . import bytededup, chat, decontam, linededup, lm, neardup, packing, quality, secrets, spelling, topk, toxicity, whitening
 from .common import fold, table, text_bytes
 
 
@@ -111,6 +111,16 @@ def op11_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, components=16).drop("embedding")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"))
+    return spelling.variants(words)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -123,6 +133,8 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
     "op11_byte_dedup": op11_byte_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_spelling": op13_spelling,
 }
 
 SQL: dict[str, str] = {
@@ -203,4 +215,45 @@ SELECT conv_id, COUNT(*) AS n_turns,
        sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(SUM(marks + length(body)) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    # CRC-32 by its table, near words by the neighbourhood of single deletions
+    "op13_spelling": r"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+               CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)) AS t
+), runs AS (
+    SELECT doc_id, run, COUNT(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+    WHERE length(run) >= 7 GROUP BY doc_id, run
+), coded AS (
+    SELECT run, n, hex(doc_id || ':' || run) AS code FROM runs
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+               list_transform(range(0, length(code), 2), lambda i: ('0x' || code[i + 1:i + 2])::BIGINT),
+               lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295)) AS h
+    FROM coded, crc
+), words AS (
+    SELECT word, CAST(SUM(n) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING SUM(n) >= 2
+), cut AS (
+    SELECT word, unnest(range(length(word))) AS at, unnest(list_transform(range(length(word)),
+               lambda i: word[:i] || word[i + 2:])) AS rest FROM words
+), near AS (
+    SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.rest = b.rest AND a.at = b.at AND a.word <> b.word
+    UNION SELECT cut.word, words.word FROM cut JOIN words ON cut.rest = words.word
+    UNION SELECT words.word, cut.word FROM cut JOIN words ON cut.rest = words.word
+), best AS (
+    SELECT near.word, COUNT(*) AS n_near, MAX(o.n) AS most FROM near JOIN words o ON o.word = near.other GROUP BY near.word
+), forms AS (
+    SELECT w.word, MIN(o.word) AS form, MAX(o.n) AS form_n
+    FROM words w JOIN best USING (word) JOIN near USING (word) JOIN words o ON o.word = near.other AND o.n = best.most
+    WHERE best.most >= 10 * w.n GROUP BY w.word
+), steps AS (
+    SELECT word, word AS root FROM words UNION ALL
+    SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.root
+)
+SELECT word, form, root, n, COALESCE(n_near, 0) AS n_near, form_n
+FROM words LEFT JOIN best USING (word) LEFT JOIN forms USING (word)
+JOIN (SELECT * FROM steps ANTI JOIN (SELECT word AS root FROM forms) USING (root)) USING (word)""",
 }
