@@ -9,6 +9,7 @@ to cents, other doubles to 6 places unless said otherwise.
 
 from __future__ import annotations
 
+from .extended_sql import SQL as EXTENDED_SQL
 from .functions.stats import normal_critical_value
 from .sources.roles import ROLE_SQL, with_roles
 
@@ -23,34 +24,34 @@ def _money(expr: str) -> str:
     return _MONEY.format(expr)
 
 
-_LTV = f"""ltv AS (
-    SELECT c.customer_id, c.country, c.channel,
-           COUNT(DISTINCT o.order_id) AS orders,
-           SUM({_LINE}) AS revenue_usd
-    FROM r_customers c
-    JOIN r_orders o USING (customer_id)
-    JOIN r_order_items oi USING (order_id)
-    GROUP BY 1, 2, 3)"""
+# one row per order that has items, then per customer
+_PAID = """paid AS (SELECT order_id, SUM(qty * unit_price_usd) AS usd FROM r_order_items GROUP BY order_id)"""
 
-_SIGNUP_COHORTS = f"""customer_signup AS (
-    SELECT customer_id, CAST(date_trunc('month', signup_date) AS DATE) AS signup_month
-    FROM r_customers
+_LTV = f"""{_PAID}, spent AS (
+    SELECT r_orders.customer_id, COUNT(DISTINCT r_orders.order_id) AS orders, SUM(usd) AS revenue_usd
+    FROM paid, r_orders WHERE paid.order_id = r_orders.order_id GROUP BY r_orders.customer_id
+), ltv AS (
+    SELECT spent.customer_id, r_customers.country, r_customers.channel, spent.orders, spent.revenue_usd
+    FROM spent, r_customers WHERE spent.customer_id = r_customers.customer_id)"""
+
+# what each customer spent in each month, added up by the month of signup
+_SIGNUP_COHORTS = f"""{_PAID}, active AS (
+    SELECT r_orders.customer_id AS who, last_day(CAST(order_ts AS DATE)) AS until, SUM(usd) AS usd
+    FROM r_orders, paid WHERE paid.order_id = r_orders.order_id GROUP BY ALL
 ), cohort_revenue AS (
-    SELECT cs.signup_month,
-           CAST(date_trunc('month', o.order_ts) AS DATE) AS order_month,
-           SUM({_LINE}) AS revenue_usd
-    FROM customer_signup cs
-    JOIN r_orders o USING (customer_id)
-    JOIN r_order_items oi USING (order_id)
-    GROUP BY 1, 2)"""
-
-# the months of each customer as a list, its least element, and one row per element
+    SELECT make_date(year(signup_date), month(signup_date), 1) AS signup_month,
+           make_date(year(until), month(until), 1) AS order_month, SUM(usd) AS revenue_usd
+    FROM active, r_customers WHERE who = customer_id GROUP BY ALL)"""
+
+# the months of each customer as a list, its least element, and one row per element;
+# orders without a time are one more month, NULL
 _PURCHASE_COHORTS = """bought AS (
-    SELECT customer_id, list_sort(list_distinct(list(CAST(datetrunc('month', order_ts) AS DATE)))) AS months
-    FROM r_orders WHERE customer_id IS NOT NULL AND order_ts IS NOT NULL GROUP BY customer_id
+    SELECT customer_id, list_sort(list_distinct(list(CAST(datetrunc('month', order_ts) AS DATE)))) AS months,
+           COUNT(*) > COUNT(order_ts) AS undated
+    FROM r_orders WHERE customer_id IS NOT NULL GROUP BY customer_id
 ), pc AS (
     SELECT months[1] AS cohort_month, active.m AS purchase_month, COUNT(*) AS customers
-    FROM bought, unnest(months) AS active(m)
+    FROM bought, unnest(CASE WHEN undated THEN list_append(months, NULL) ELSE months END) AS active(m)
     GROUP BY ALL)"""
 
 
@@ -76,10 +77,9 @@ def _funnel(events: str) -> str:
 
 def _monthly(events: str) -> str:
     return _first_events(events) + """, monthly AS (
-    SELECT CAST(datetrunc('month', visit_ts) AS DATE) AS month, COUNT(*) AS visitors,
-           SUM(IF(signup_ts IS NULL, 0, 1))::BIGINT AS signups,
-           SUM(IF(purchase_ts IS NULL, 0, 1))::BIGINT AS purchasers
-    FROM steps GROUP BY ALL)"""
+    SELECT CAST(date_trunc('month', visit_ts) AS DATE) AS month, COUNT(*) AS visitors,
+           COUNT(signup_ts) AS signups, COUNT(purchase_ts) AS purchasers
+    FROM steps GROUP BY 1)"""
 
 
 def _ratio(num: str, den: str) -> str:
@@ -87,8 +87,8 @@ def _ratio(num: str, den: str) -> str:
 
 
 _ARMS = """arms AS (
-    SELECT "group" AS grp, COUNT(user_id) AS users, COUNT_IF(converted) AS converters
-    FROM r_experiments GROUP BY "group")"""
+    SELECT "group" AS grp, COUNT(*) AS users, COUNT(*) FILTER (WHERE converted) AS converters
+    FROM r_experiments GROUP BY 1)"""
 
 
 def _matrix(long: str, row: str, column: str, value: str, zero: str) -> str:
@@ -387,3 +387,5 @@ for _table, _order in _FIRST_BY.items():
 , head AS (SELECT * FROM {_ROLE[_table]} ORDER BY {_order} LIMIT 5)
 SELECT {_columns(_table)} FROM head""", _ROLE[_table])
 SQL["table_preview"] = SQL["preview_orders"]
+
+SQL.update(EXTENDED_SQL)

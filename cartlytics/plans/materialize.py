@@ -23,8 +23,13 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/cartlytics-{spark.sparkContext.applicationId}"
 
 
+def new_path(spark: SparkSession) -> str:
+    """A fresh path in the shared folder, removed by ``clear`` like the others."""
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .extended import BUILDERS
 from .operators.cohorts import month_range
 from .reports import REPORTS, Inputs
 from .sources.roles import RoleTables
@@ -67,3 +68,14 @@ def _query(name: str, report: str | None = None) -> Query:
 
 QUERIES: dict[str, Query] = {name: _query(name) for name in REPORTS}
 QUERIES["order_funnel_steps"] = _query("order_funnel_steps", "funnel_steps")
+
+
+def _extended(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finish(BUILDERS[name](RoleTables(spark, sf_dir)))
+
+    run.__name__ = f"q_{name}"
+    return run
+
+
+QUERIES.update({name: _extended(name) for name in BUILDERS})
