@@ -32,12 +32,11 @@ def two_sided_pvalue(z: Column) -> Column:
     """
     x = F.abs(z) / F.lit(math.sqrt(2.0))
     square = x * x
-    series = F.lit(0.0)
-    for n in range(44, -1, -1):
-        series = F.lit((-1) ** n / (math.factorial(n) * (2 * n + 1))) + square * series
+    # Horner's rule and the fraction as folds over a short array: one small expression each
+    terms = F.array(*[F.lit((-1) ** n / (math.factorial(n) * (2 * n + 1))) for n in range(44, -1, -1)])
+    series = F.aggregate(terms, F.lit(0.0), lambda done, term: term + square * done)
     near = F.lit(1.0) - F.lit(2.0 / math.sqrt(math.pi)) * x * series
-    fraction = x
-    for n in range(60, 0, -1):
-        fraction = x + F.lit(n / 2.0) / fraction
+    halves = F.array(*[F.lit(n / 2.0) for n in range(60, 0, -1)])
+    fraction = F.aggregate(halves, x, lambda done, half: x + half / done)
     far = F.exp(-square) / (F.lit(math.sqrt(math.pi)) * fraction)
     return F.when(F.abs(z) <= 3.0, near).otherwise(far)

@@ -67,16 +67,16 @@ def pivot_months(long: DataFrame, row_key: str, column_key: str, value: str,
     if months is None:
         long = materialize(long)      # the value scan and the pivot read it once
         months = month_values(long, column_key)
-    months = list(months)
+    names = [m.strftime("%Y-%m-01") for m in months]
     month = F.col(column_key)
-    known = month.isNull() | (month.isin(months) if months else F.lit(False))
-    month = F.when(known, month).otherwise(
-        F.raise_error(F.concat(F.lit("month outside the given list: "), month.cast("string"))).cast("date"))
-    cells = [(F.lit(m).cast("date"), m.strftime("%Y-%m-01")) for m in months] + [(F.lit(None).cast("date"), NO_MONTH)]
-    return (long.select(row_key, month.alias("_month"), F.col(value).alias("_value"))
-            .groupBy(row_key)
-            .agg(*[F.coalesce(F.max(F.when(F.col("_month").eqNullSafe(m), F.col("_value"))), F.lit(fill)).alias(name)
-                   for m, name in cells]))
+    known = F.col("_month").isin(names) if names else F.lit(False)
+    named = long.select(row_key, F.coalesce(F.date_format(month, "yyyy-MM-01"), F.lit(NO_MONTH)).alias("_month"),
+                        F.col(value).alias("_value"))
+    named = named.withColumn("_month", F.when(known | (F.col("_month") == NO_MONTH), F.col("_month")).otherwise(
+        F.raise_error(F.concat(F.lit("month outside the given list: "), F.col("_month"))).cast("string")))
+    # one maximum per row and month, then one place in an array for each month
+    wide = named.groupBy(row_key).pivot("_month", [*names, NO_MONTH]).agg(F.max("_value"))
+    return wide.select(row_key, *[F.coalesce(F.col(f"`{c}`"), F.lit(fill)).alias(c) for c in [*names, NO_MONTH]])
 
 
 def cohort_revenue_matrix(cohort_revenue: DataFrame, months: Sequence[date] | None = None) -> DataFrame:

@@ -125,6 +125,46 @@ def _mean(exact: bool) -> F.Column:
     return F.try_divide(total, F.count("v").cast("double"))
 
 
+def narrowed(vals: DataFrame, span: tuple[float, float], bracket: tuple[float, float], need: tuple[int, int],
+             counts: tuple[int, int], n: int, accuracy: int) -> tuple[tuple[float, float], int]:
+    """A bracket of the values ``v`` that holds the positions ``need`` (1-based),
+    and how many rows lie below it.
+
+    ``bracket`` missed them: ``counts`` rows lie below it and up to its end.
+    Each pass takes the side where they lie, asks for approximate quantiles of
+    that side's rows alone and counts again; a side has fewer distinct values
+    than the one before, so this ends, at worst with the side itself.
+    """
+    lo, hi = span
+    before, last = 0, n  # rows below lo, and up to hi
+    while True:
+        (a, b), (below, upto) = bracket, counts
+        if below < need[0] and need[1] <= upto:
+            return bracket, vals.where(F.col("v") < bracket[0]).count()
+        side = (lo, hi)
+        if need[1] <= below:  # all below the bracket
+            lo, hi, last = lo, a, below
+            rows = vals.where((F.col("v") >= lo) & (F.col("v") < hi))
+        elif need[0] > upto:  # all above
+            lo, hi, before = b, hi, upto
+            rows = vals.where((F.col("v") > lo) & (F.col("v") <= hi))
+        elif need[0] <= below:  # one on either side of the bracket's start
+            bracket, counts = (lo, b), (before, upto)
+            continue
+        else:  # one on either side of its end
+            bracket, counts = (a, hi), (below, last)
+            continue
+        size = max(1, last - before)
+        slack = 2.0 / accuracy
+        shares = [min(1.0, max(0.0, (at - before) / size + off)) for at, off in zip(need, (-slack, slack), strict=True)]
+        q = rows.agg(F.percentile_approx("v", shares, accuracy).alias("q")).first()["q"]
+        bracket = (q[0], q[1])
+        if (lo, hi) == side and bracket == (a, b):  # nothing narrower: the side itself
+            return (lo, hi), vals.where(F.col("v") < lo).count()
+        found = vals.agg(F.count_if(F.col("v") < q[0]).alias("below"), F.count_if(F.col("v") <= q[1]).alias("upto")).first()
+        counts = (found["below"], found["upto"])
+
+
 def distribution_summary(df: DataFrame, value: str, probs: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95),
                          approximate: bool = False, accuracy: int = 10_000) -> DataFrame:
     """count, mean, std (sample), min, linear-interpolated percentiles, max.
@@ -134,8 +174,7 @@ def distribution_summary(df: DataFrame, value: str, probs: tuple[float, ...] = (
     second counts the rows below and in each bracket (and takes the deviation
     around the median, so that large values do not cancel); only the distinct
     values inside the brackets are then counted and ordered.  Should a bracket
-    miss its position, it is widened to the whole range, which is slower and
-    still exact.  With ``approximate=True`` the percentiles come from
+    miss its position, a new one is sought on the side where it lies.  With ``approximate=True`` the percentiles come from
     ``percentile_approx`` alone.
     """
     exact = isinstance(df.schema[value].dataType, T.DecimalType)
@@ -170,7 +209,8 @@ def distribution_summary(df: DataFrame, value: str, probs: tuple[float, ...] = (
     for i in range(k):
         below.append(second[f"below_{i}"])
         if not (below[i] < need[i][0] and need[i][1] <= second[f"upto_{i}"]):
-            brackets[i], below[i] = (first["min"], first["max"]), 0
+            brackets[i], below[i] = narrowed(vals, (first["min"], first["max"]), brackets[i], need[i],
+                                             (below[i], second[f"upto_{i}"]), n, accuracy)
     inside = F.array_compact(F.array(*[
         F.when(F.col("v").between(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(brackets)]))
     counted = (vals.where(F.size(inside) > 0).groupBy("v").agg(F.count(F.lit(1)).alias("c"))

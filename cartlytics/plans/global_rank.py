@@ -3,12 +3,12 @@
 ``Window.orderBy(...)`` without ``partitionBy`` moves every row into one task.
 Here the rows are range-partitioned instead:
 
-1. The input is written once and counted; the number of ranges follows from
-   the count, so that a range stays at about ``TARGET_ROWS`` rows at any size.
-2. Rows are range-partitioned by the value *and* the tiebreak columns (any
+1. Rows are range-partitioned by the value *and* the tiebreak columns (any
    sortable type, strings too), so a value that a third of all rows share is
-   split over many ranges.  Each range is sorted and written with its position
-   (range number and place within the range).
+   split over many ranges.  Their number is the session's shuffle partitions,
+   of which the planner joins small neighbours, so it follows the data's size.
+2. Each range is sorted and written, once, with its position (range number and
+   place within the range).
 3. Rows per range (one row per range) give prefix offsets, which are broadcast
    back; the global row number is offset + place + 1, without any window.
 4. A rank is taken in one window per range.  A value that spans ranges has its
@@ -46,14 +46,12 @@ def add_row_number(df: DataFrame, value: str, descending: bool = False,
     Nulls sort last in either direction.  ``buckets`` overrides the number of
     ranges.  Returns the new DataFrame and the row count.
     """
-    source = materialize(df)
-    n = source.count()
     v = F.col(value)
     by_value = v.desc_nulls_last() if descending else v.asc_nulls_last()
     order = [by_value, *[F.col(c).asc_nulls_last() for c in tiebreak]]
-    placed = materialize(source.repartitionByRange(buckets or range_count(n), *order)
-                         .sortWithinPartitions(*order)
-                         .withColumn("_id", F.monotonically_increasing_id()))
+    ranged = df.repartitionByRange(buckets, *order) if buckets else df.repartitionByRange(*order)
+    placed = materialize(ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    n = placed.count()
     placed = placed.select("*", F.shiftright("_id", _PLACE_BITS).alias("_range"),
                            F.col("_id").bitwiseAND((1 << _PLACE_BITS) - 1).alias("_place")).drop("_id")
 

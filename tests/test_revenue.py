@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 from decimal import Decimal
 
 import pytest
@@ -185,3 +186,22 @@ def test_customer_listed_twice_gives_one_row(spark, shop):
     rows = R.customer_ltv(twice, shop["orders"], shop["order_items"]).where("customer_id = 1").collect()
     once = R.customer_ltv(shop["customers"], shop["orders"], shop["order_items"]).where("customer_id = 1").first()
     assert len(rows) == 1 and rows[0]["orders"] == once["orders"] and rows[0]["revenue_usd"] == 2 * once["revenue_usd"]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_missed_bracket_is_sought_on_its_side(spark, seed):
+    """Whatever bracket was missed, the new one holds the positions and is narrow."""
+    from cartlytics.operators.revenue import narrowed
+
+    rng = random.Random(seed)
+    values = sorted(float(rng.choice([5, 5, rng.randrange(10), rng.randrange(2000)])) for _ in range(900))
+    vals = spark.createDataFrame([(v,) for v in values], "v double").cache()
+    for bracket in ((3.0, 4.0), (700.0, 900.0), (5.0, 5.0), (-9.0, -1.0), (1e9, 2e9), (1500.0, 1500.5)):
+        counts = (sum(v < bracket[0] for v in values), sum(v <= bracket[1] for v in values))
+        at = rng.randrange(1, 900)
+        need = (at, at + 1)
+        (lo, hi), below = narrowed(vals, (values[0], values[-1]), bracket, need, counts, 900, 200)
+        inside = [v for v in values if lo <= v <= hi]
+        assert below == sum(v < lo for v in values) and below < need[0] and need[1] <= below + len(inside)
+        held = below < need[0] <= need[1] <= counts[1] and lo == bracket[0]
+        assert held or len(set(inside)) <= 120
