@@ -63,26 +63,27 @@ PIECE = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 NONE = np.uint64(0xFFFFFFFF)  # the hash of a gram that cannot be an anchor
 
-#: A shard's columns: numbers packed as bytes.  By place in the suffix order: the
-#: phrase before (0: none), the place of the suffix that begins with it, the gram
-#: it begins with, and the depth that cells need.  By anchor: place in the order,
-#: position and ordinal of its document.  By cell: ordinal of its first anchor,
-#: depth, first and last start as distances before that anchor, hash.  By document:
-#: its two names.  Then strings without anchor, by document.
-_SHARD = {"sym": "<i8", "lf": "<i4", "gram": "<i8", "need": "<i2", "place": "<i4", "at": "<i4", "own": "<i4",
-          "cell_anchor": "<i4", "cell_depth": "<i2", "cell_back": "<i4", "cell_reach": "<i4", "cell_hash": "<i8",
-          "doc": "<i8", "doc2": "<i8"}
+#: A shard's columns: numbers packed as bytes.  By anchor, in order of the texts:
+#: the phrase that begins there (0: none), the gram, the depth that cells need, the
+#: place of its suffix in the suffix order, the position, and how many cells begin
+#: there.  By cell: depth, first and last start as distances before the first
+#: anchor, hash.  By document: two names, copies in the shard, and anchors.  Then
+#: strings without anchor, by document.
+_SHARD = {"phrase": "<i8", "gram": "<i8", "need": "<i2", "place": "<i4", "at": "<i4", "n_cells": "<i2",
+          "cell_depth": "<i2", "cell_back": "<i2", "cell_reach": "<i2", "cell_hash": "<i8",
+          "doc": "<i8", "doc2": "<i8", "copies": "<i4", "n_anchors": "<i4"}
 _LONE = {"lone_own": "<i4", "lone_from": "<i4", "lone_n": "<i4", "lone_h1": "<i8", "lone_h2": "<i8",
          "sure_own": "<i4", "sure_from": "<i4"}
 #: what the rounds read
 _HELD = [c for c in _SHARD if c != "gram"]
+MOST_LENGTH = 30_000  # distances within a string are packed in two bytes
 
 
 def window_for(length: int) -> int:
     """The largest window of grams, a power of two, that a string contains whole."""
     room = length - GRAM + 1
-    if room < 2:
-        raise ValueError(f"length must be {GRAM + 1} at least")
+    if room < 2 or length > MOST_LENGTH:
+        raise ValueError(f"length must be from {GRAM + 1} to {MOST_LENGTH}")
     return min(WINDOW, 1 << (room.bit_length() - 1))
 
 
@@ -214,9 +215,9 @@ def _hashes64(view, lo, hi) -> np.ndarray:
     return np.array([digest(view[a:b]) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], np.uint64).view(np.int64)
 
 
-def _lone(view, base: np.ndarray, length: int, bare) -> dict:
+def _lone(view, base: np.ndarray, copies: np.ndarray, length: int, bare) -> dict:
     """Strings without anchor: each different one of a text once, and the starts
-    of those that the text itself repeats."""
+    of those that the text itself, or a copy of it, repeats."""
     seen: dict[tuple, list[int]] = {}
     for k, a, b in zip(*(x.tolist() for x in bare), strict=True):
         for i in range(a, b + 1):
@@ -224,15 +225,20 @@ def _lone(view, base: np.ndarray, length: int, bare) -> dict:
     pairs = np.frombuffer(b"".join(h for _, h in seen), np.int64).reshape(-1, 2)
     own = np.array([k for k, _ in seen], np.int64)
     starts = list(seen.values())
-    sure = [(k, i) for (k, _), many in seen.items() if len(many) > 1 for i in many]
+    times = np.array([len(x) for x in starts], np.int64) * copies[own]
+    sure = [(k, i) for (k, _), many, n in zip(seen, starts, times.tolist(), strict=True) if n > 1 for i in many]
     sure_own, sure_from = np.array(sure, np.int64).reshape(-1, 2).T
     return {"lone_own": own, "lone_from": np.array([x[0] for x in starts], np.int64) - base[own],
-            "lone_n": np.array([len(x) for x in starts], np.int64), "lone_h1": pairs[:, 0], "lone_h2": pairs[:, 1],
+            "lone_n": times, "lone_h1": pairs[:, 0], "lone_h2": pairs[:, 1],
             "sure_own": sure_own, "sure_from": sure_from - base[sure_own]}
 
 
-def build_shard(texts: list[bytes], doc: np.ndarray, doc2: np.ndarray, length: int, grams: Grams) -> dict:
-    """The transform over phrases of some texts, their cells and lone strings."""
+def build_shard(named: dict[tuple[int, int], list], length: int, grams: Grams) -> dict:
+    """The transform over phrases of some texts, their cells and lone strings,
+    for {(name, second name): [text, copies]}."""
+    texts = [t for t, _ in named.values()]
+    doc, doc2 = np.array(list(named), np.int64).T
+    copies = np.array([n for _, n in named.values()], np.int64)
     size = np.array([len(t) for t in texts], np.int64)
     base = np.cumsum(size) - size
     inner = length - grams.window - GRAM + 1
@@ -250,20 +256,18 @@ def build_shard(texts: list[bytes], doc: np.ndarray, doc2: np.ndarray, length: i
     order = np.lexsort((phrase, gram))
     symbols = np.empty(m, np.int64)
     symbols[order] = np.cumsum(np.concatenate([[False], (np.diff(gram[order]) != 0) | (np.diff(phrase[order]) != 0)])[:m])
-    order = suffix_order(symbols, own)
     place = np.empty(m, np.int64)
-    place[order] = np.arange(m)
-    has = (order > 0) & (own[order - 1] == own[order]) if m else np.empty(0, bool)
+    place[suffix_order(symbols, own)] = np.arange(m)
     # how deep a suffix must be known, for its own cells and those before it
     number, apart = np.arange(m), own * (2 * m + 2)
     deepest = np.full(m, -1)
     np.maximum.at(deepest, first, depth)
     need = np.maximum.accumulate(deepest + number + apart) - number - apart
-    return {"sym": np.where(has, phrase[order - 1], 0), "lf": np.where(has, place[order - 1], -1), "gram": gram[order],
-            "need": np.minimum(need, 32_767)[order], "place": place, "at": at - base[own], "own": own,
-            "cell_anchor": first, "cell_depth": depth, "cell_back": at[first] - lo, "cell_reach": at[first] - hi,
-            "cell_hash": _hashes64(view, lo, hi + length), "doc": doc, "doc2": doc2,
-            **_lone(view, base, length, bare)}
+    return {"phrase": phrase, "gram": gram, "need": need, "place": place, "at": at - base[own],
+            "n_cells": np.bincount(first, minlength=m), "cell_depth": depth, "cell_back": at[first] - lo,
+            "cell_reach": at[first] - hi, "cell_hash": _hashes64(view, lo, hi + length), "doc": doc, "doc2": doc2,
+            "copies": copies, "n_anchors": np.bincount(own, minlength=len(texts)),
+            **_lone(view, base, copies, length, bare)}
 
 
 def _build(length: int):
@@ -272,26 +276,40 @@ def _build(length: int):
         grams = Grams(window_for(length))
         names = {**_SHARD, **_LONE}
 
-        def row(texts, doc, doc2):
-            shard = build_shard(texts, np.array(doc, np.int64), np.array(doc2, np.int64), length, grams)
+        def row(named):
+            shard = build_shard(named, length, grams)
             arrays = [pa.array([shard[k].astype(t).tobytes()], pa.binary()) for k, t in names.items()]
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *arrays], names=["shard", *names])
 
-        texts, doc, doc2, held = [], [], [], 0
+        named: dict[tuple[int, int], list] = {}  # equal texts of a shard are one
+        held = 0
         for batch in batches:
             for text, a, b in zip(*(batch.column(c).to_pylist() for c in ("text", "doc", "doc2")), strict=True):
-                texts.append(text)
-                doc.append(a)
-                doc2.append(b)
-                held += len(text)
+                known = named.setdefault((a, b), [text, 0])
+                known[1] += 1
+                held += len(text) if known[1] == 1 else 0
                 if held >= SHARD_BYTES:
-                    yield row(texts, doc, doc2)
-                    number, texts, doc, doc2, held = number + 1, [], [], [], 0
-        if texts:
-            yield row(texts, doc, doc2)
+                    yield row(named)
+                    number, named, held = number + 1, {}, 0
+        if named:
+            yield row(named)
     return run
 
 
+def _clean(spark) -> None:
+    """Shuffle files of finished jobs go when the driver collects its garbage,
+    which a small driver program may not do for long."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def _forget(df: DataFrame) -> None:
+    """Delete a table of ``save`` that nothing reads any more."""
+    files, jvm = df.inputFiles(), df.sparkSession._jvm
+    if files:
+        path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def _few_rows_at_once(spark):
     """Rows of shards are large: the Parquet reader takes a few at a time."""
@@ -324,7 +342,7 @@ def shards(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
 _INTERVAL = {"block": pa.int64(), "shard": pa.int64(), "lo": pa.int32(), "hi": pa.int32()}
 _CELL = {"back": pa.int32(), "reach": pa.int32(), "hash": pa.int64(), "doc": pa.int64(), "doc2": pa.int64(),
-         "at": pa.int32()}
+         "at": pa.int32(), "copies": pa.int32()}
 _STRING = {"block": pa.int64(), "hash": pa.int64(), "alone": pa.bool_(), "doc": pa.int64(), "doc2": pa.int64(),
            "start": pa.int32()}
 _LONE_ROW = {"h1": pa.int64(), "h2": pa.int64(), "n": pa.int64(), "doc": pa.int64(), "doc2": pa.int64(),
@@ -355,8 +373,11 @@ def _grams_first(batches):
     for batch in batches:
         out = []
         for k, shard in enumerate(batch.column("shard").to_pylist()):
-            gram, need = _unpacked(batch, k, "gram", "need")
+            gram, need, place = _unpacked(batch, k, "gram", "need", "place")
             if len(gram):
+                order = np.empty(len(place), np.int64)
+                order[place] = np.arange(len(place))
+                gram, need = gram[order], need[order]
                 lo = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
                 own = np.flatnonzero(np.maximum.reduceat(need, lo) >= 0)
                 out.append((gram[lo[own]], np.full(len(own), shard), lo[own], np.append(lo[1:], len(gram))[own]))
@@ -370,40 +391,45 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + lo[which], which
 
 
-def _moved(shard: int, depth: int, block, lo, hi, sym, lf, need) -> tuple | None:
+def _moved(shard: int, depth: int, block, lo, hi, phrase, need, place, n_anchors) -> tuple | None:
     """Intervals mapped one phrase to the left, to ``depth``; those whose
     suffixes no cell needs so deep are left out."""
+    order = np.empty(len(place), np.int64)  # anchors by suffix order
+    order[place] = np.arange(len(place))
+    head = np.zeros(len(place) + 1, bool)  # first anchors of texts, which nothing precedes
+    head[np.cumsum(n_anchors) - n_anchors] = True
     at, which = _ranges(lo, hi)
-    kept = lf[at] >= 0
-    at, which = at[kept], which[kept]
-    order = np.lexsort((at, sym[at], which))
-    at, which = at[order], which[order]
-    if not len(at):
+    after = order[at]
+    kept = ~head[after]
+    before, which = after[kept] - 1, which[kept]
+    to = place[before].astype(np.int64)
+    by = np.lexsort((to, phrase[before], which))
+    before, which, to = before[by], which[by], to[by]
+    if not len(to):
         return None
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(which) != 0) | (np.diff(sym[at]) != 0)]))
-    size = np.diff(np.append(new, len(at)))
-    own = np.flatnonzero(np.maximum.reduceat(need[lf[at]], new) >= depth)
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(which) != 0) | (np.diff(phrase[before]) != 0)]))
+    size = np.diff(np.append(new, len(to)))
+    own = np.flatnonzero(np.maximum.reduceat(need[before], new) >= depth)
     new, size = new[own], size[own]
     with np.errstate(over="ignore"):
-        name = mix64(mix64(block[which[new]].view(np.uint64)) * np.uint64(3) + sym[at[new]].view(np.uint64))
+        name = mix64(mix64(block[which[new]].view(np.uint64)) * np.uint64(3) + phrase[before[new]].view(np.uint64))
     # places of one phrase before one block are consecutive in the shard's order
-    to = lf[at[new]].astype(np.int64)
-    return name.view(np.int64), np.full(len(new), shard), to, to + size
+    return name.view(np.int64), np.full(len(new), shard), to[new], to[new] + size
 
 
 def _repeated_cells(shard: int, depth: int, block, lo, hi, batch, k: int) -> tuple:
     """Cells of this depth whose core is a repeated interval, named by its block."""
-    anchor, level, back, reach, digest = _unpacked(batch, k, "cell_anchor", "cell_depth", "cell_back", "cell_reach", "cell_hash")
-    place, pos, owner, doc, doc2 = _unpacked(batch, k, "place", "at", "own", "doc", "doc2")
+    level, back, reach, digest = _unpacked(batch, k, "cell_depth", "cell_back", "cell_reach", "cell_hash")
+    place, pos, n_cells, doc, doc2, copies, n_anchors = _unpacked(batch, k, "place", "at", "n_cells", "doc", "doc2", "copies", "n_anchors")
     own = np.flatnonzero(level == depth)
-    rank = place[anchor[own]]
+    anchor = np.repeat(np.arange(len(place)), n_cells)[own]
     order = np.argsort(lo)
-    at = order[np.maximum(np.searchsorted(lo[order], rank, "right") - 1, 0)]
-    held = (lo[at] <= rank) & (rank < hi[at])
-    own, at = own[held], at[held]
-    none, of = np.zeros(len(own), np.int64), owner[anchor[own]]
+    at = order[np.maximum(np.searchsorted(lo[order], place[anchor], "right") - 1, 0)]
+    held = (lo[at] <= place[anchor]) & (place[anchor] < hi[at])
+    own, at, anchor = own[held], at[held], anchor[held]
+    none, of = np.zeros(len(own), np.int64), np.repeat(np.arange(len(doc)), n_anchors)[anchor]
     return (block[at], np.full(len(own), shard), none, none, back[own], reach[own], digest[own], doc[of], doc2[of],
-            pos[anchor[own]])
+            pos[anchor], copies[of])
 
 
 def _round(depth: int):
@@ -414,7 +440,7 @@ def _round(depth: int):
                 flat = batch.column("intervals")[k].values
                 block, lo, hi = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("block", "lo", "hi"))
                 yield _rows(_INTERVAL | _CELL, [_repeated_cells(shard, depth, block, lo, hi, batch, k)])
-                moved = _moved(shard, depth + 1, block, lo, hi, *_unpacked(batch, k, "sym", "lf", "need"))
+                moved = _moved(shard, depth + 1, block, lo, hi, *_unpacked(batch, k, "phrase", "need", "place", "n_anchors"))
                 if moved is not None:
                     yield _rows(_INTERVAL | _CELL, [moved])
     return run
@@ -428,17 +454,18 @@ def _unsettled(intervals: DataFrame) -> DataFrame:
 
 def merge(shard_rows: DataFrame) -> DataFrame:
     """Cells whose core is a repeated interval of the merged transforms:
-    (block, back, reach, hash, doc, doc2, at); ``block`` names core and depth."""
+    (block, back, reach, hash, doc, doc2, at, copies); ``block`` names core and depth."""
     spark = shard_rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = shard_rows.select("shard", *_HELD).repartition(parts, "shard").persist(StorageLevel.MEMORY_AND_DISK)
-    intervals = shard_rows.select("shard", "gram", "need").mapInArrow(_grams_first, _ddl(_INTERVAL))
+    intervals = shard_rows.select("shard", "gram", "need", "place").mapInArrow(_grams_first, _ddl(_INTERVAL))
     rounds: list[DataFrame] = []
     while True:
         here = _unsettled(intervals).groupBy("shard").agg(F.collect_list(F.struct("block", "lo", "hi")).alias("intervals"))
         out = save(held.join(here, "shard").mapInArrow(_round(len(rounds)), _ddl(_INTERVAL | _CELL)), "round")
         rounds.append(out.where("doc IS NOT NULL").select("block", *_CELL))
         intervals = out.where("doc IS NULL").select(*_INTERVAL)
+        _clean(spark)
         if intervals.isEmpty():
             break
     held.unpersist()
@@ -480,16 +507,16 @@ def _lone_rows(batches):
 
 def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, doc2, first, last): ranges of starts of strings that also start
-    elsewhere, for (doc, doc2, text) rows."""
+    elsewhere, for (doc, doc2, text) rows; a range may occur several times."""
     rows = shards(texts, length)
     with _few_rows_at_once(texts.sparkSession):
-        found = merge(rows)
+        cells = merge(rows)
         lone = save(rows.select("doc", "doc2", *_LONE).mapInArrow(_lone_rows, _ddl(_LONE_ROW)), "lone")
+    _forget(rows)
     doc = ["doc", "doc2"]
 
-    # cells of repeated intervals, compared in whole; equal texts travel once
+    # cells of repeated intervals, compared in whole
     kind = ["block", "back", "reach", "hash"]
-    cells = save(found.groupBy(*kind, *doc, "at").agg(F.count("*").alias("copies")), "cells")
     kinds = save(cells.groupBy(*kind).agg(F.sum("copies").alias("n"), F.min(F.struct(*doc, "at")).alias("one")), "kinds")
     whole = cells.join(kinds.where("n > 1").select(*kind), kind).select(
         *doc, (F.col("at") - F.col("back")).alias("first"), (F.col("at") - F.col("reach")).alias("last"))
@@ -508,7 +535,7 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     # strings without an anchor
     some = lone.where("n IS NOT NULL")
     twice = some.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2")
-    rest = some.where("n = 1").join(twice, ["h1", "h2"]).unionByName(lone.where("n IS NULL")).select(*doc, *at).distinct()
+    rest = some.where("n = 1").join(twice, ["h1", "h2"]).unionByName(lone.where("n IS NULL")).select(*doc, *at)
     return whole.unionByName(border).unionByName(rest)
 
 
@@ -550,8 +577,9 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, names: tuple[str, str] =
     text = text_bytes(f"_{columns.index('text')}")
     texts = named_texts(own.select(text.alias("text")), length)
     ranges = repeated_starts(texts, length).groupBy("doc", "doc2").agg(
-        F.collect_list(F.struct("first", "last")).alias("_ranges"))
+        F.collect_set(F.struct("first", "last")).alias("_ranges"))
     ranges = save(ranges, "ranges")
+    _clean(docs.sparkSession)
     a, b = text_names(text)
     joined = own.withColumns({"_bytes": text, "doc": a, "doc2": b}).join(ranges, ["doc", "doc2"], "left").drop("doc", "doc2")
     fields = [StructField(f"_{i}", f.dataType) for i, f in enumerate(docs.schema)]
