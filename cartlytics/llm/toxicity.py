@@ -38,12 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, mix64, text_bytes, word_hashes
+from .common import bounded_batches, mix64, save, text_bytes, word_hashes
 
 ORDER = 8
 TIMES = (1.0, 2.0, 4.0)  # of the estimated discounts, for what a class yields to both; the calibration rows choose
 PAIR = ORDER + 1         # level of the contexts that are a whole word
 N_FEATURES = 6
+KNOWN_WORDS = 200_000
 #: Characters of scripts written without spaces: Thai, Lao, Tibetan, Myanmar,
 #: Khmer, kana and ideographs; and all of four bytes.
 _ALONE = rb"\xe0[\xb8-\xbf].|\xe1[\x80-\x82\x9e\x9f].|\xe2[\xba-\xbf].|[\xe3-\xe9]..|\xf0..."
@@ -114,9 +115,16 @@ class Model:
     keys: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
     ratios: np.ndarray = field(default_factory=lambda: np.empty(0, np.float16))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(N_FEATURES + 1))
+    #: spelled ratios of words met before in this worker, ``KNOWN_WORDS`` at most
+    met: dict[bytes, float] = field(default_factory=dict, repr=False, compare=False)
+
+    def __getstate__(self):
+        return {**self.__dict__, "met": {}}
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.keys, keys)
+        order = np.argsort(keys)  # in order, neighbours' searches touch the same places
+        at = np.empty(len(keys), np.int64)
+        at[order] = np.searchsorted(self.keys, keys[order])
         at[at == len(self.keys)] = 0
         return self.ratios[at].astype(float), self.keys[at] == keys
 
@@ -137,9 +145,13 @@ class Model:
         level, context, symbol, number = _spelled(words)
         return np.bincount(number, weights=self.steps(level, context, symbol), minlength=len(words))
 
-    def word_ratios(self, packed: np.ndarray) -> np.ndarray:
-        """``spelled_ratios`` of words of up to 8 bytes, packed (zero-padded)."""
-        return self.spelled_ratios(packed.view("S8").tolist())
+    def known_ratios(self, words: list[bytes]) -> np.ndarray:
+        """``spelled_ratios``, spelling only words that this worker has not met."""
+        if len(self.met) > KNOWN_WORDS:
+            self.met.clear()
+        new = [w for w in words if w not in self.met]
+        self.met.update(zip(new, self.spelled_ratios(new).tolist(), strict=True))
+        return np.fromiter(map(self.met.__getitem__, words), float, len(words))
 
     def features(self, words: Words) -> np.ndarray:
         """Per text mean, root-scaled sum and maximum of the log ratios, of the
@@ -151,7 +163,7 @@ class Model:
         known, inverse = np.unique(before * (len(words.known) + 2) + after, return_inverse=True)
         hashes = words.hashes()
         pairs = self.steps(PAIR, hashes[known // len(hashes)], hashes[known % len(hashes)])[inverse]
-        for k, ratios, n in ((0, self.spelled_ratios(words.known)[words.at], words.lengths), (3, pairs, lengths)):
+        for k, ratios, n in ((0, self.known_ratios(words.known)[words.at], words.lengths), (3, pairs, lengths)):
             full = np.flatnonzero(n)
             starts = (np.cumsum(n) - n)[full]
             sums = np.add.reduceat(ratios, starts)
@@ -192,107 +204,133 @@ def _count_words(batches):
                 names=["context", "tail", "pair", "n_toxic", "n_ordinary"])
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """What is taken off every count: the modified Kneser-Ney discounts of 1, 2
-    and more sights, estimated from the counts of counts; halves of the count
-    (at most 1.5) where those are missing."""
-    n = np.bincount(np.minimum(counts, 5).astype(np.int8), minlength=6)[1:5].astype(float)
-    off = np.array([0.0, 0.5, 1.0, 1.5], np.float32)
-    if n.all():
-        share = n[0] / (n[0] + 2 * n[1])
-        seen = np.arange(1, 4)
-        off[1:] = np.clip(seen - (seen + 1) * share * n[1:] / n[:3], 0.05 * seen, 0.95 * seen)
-    return off[np.minimum(counts, 3).astype(np.int8)]
-
-
-def columns(nodes: DataFrame) -> dict:
-    found = nodes.toArrow()
-    return {name: found.column(name).to_numpy() for name in found.column_names}
-
-
-def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct values and the number of each, in little memory."""
-    order = np.argsort(values).astype(np.int32)
-    values = values[order]
-    opens = np.ones(len(values), bool)
-    opens[1:] = values[1:] != values[:-1]
-    at = np.empty(len(values), np.int32)
-    at[order] = np.cumsum(opens, dtype=np.int32) - 1
-    return values[opens], at
-
-
-def build_nodes(nodes: dict, times=TIMES) -> list[Model]:
-    """Log ratios from pooled columns (context, tail, pair, n_toxic, n_ordinary),
-    with the discounts of the classes taken each of ``times``.  The tail is the
-    word, or the symbol and the two bytes before it, which continuation counts
-    go by.  Takes the first two columns out of ``nodes``, to be freed early."""
-    paired = nodes["pair"]
-    spelled = ~paired
-    counts = [nodes["n_toxic"], nodes["n_ordinary"]]
-    context, tail = nodes.pop("context").view(np.uint64), nodes.pop("tail").view(np.uint64)
-    keys = node_keys(context, np.where(paired, tail, tail & np.uint64(255)))
-    known, ctx_at = _numbered(context)
-    del context
-    # continuation types: of a byte after the two bytes before it, of a word after any
-    shared = np.empty(len(paired), np.float32)
-    own = tail[spelled]
-    _, pair_at, pair_n = np.unique(own, return_inverse=True, return_counts=True)
-    _, before_at, before_n = np.unique(own >> np.uint64(8), return_inverse=True, return_counts=True)
-    _, byte_at, byte_n = np.unique(own & np.uint64(255), return_inverse=True, return_counts=True)
-    single = (byte_n[byte_at] + 1) / (len(own) + 256)
-    shared[spelled] = (pair_n[pair_at] + single) / (before_n[before_at] + 1)
-    del own, pair_at, before_at, byte_at, single
-    _, word_at = _numbered(tail[paired])
-    shared[paired] = (np.bincount(word_at) / (len(word_at) + 1)).astype(np.float32)[word_at]
-    del tail, word_at
-
-    def parts(count, times=1.0):
-        """What a count keeps of its context's total, and what the context gives away."""
-        off = np.empty(len(count), np.float32)
-        for rows in (spelled, paired):
-            off[rows] = np.minimum(times * discounts(count[rows]), count[rows])
-        total = np.bincount(ctx_at, weights=count, minlength=len(known))
-        left = np.where(total > 0, np.bincount(ctx_at, weights=off, minlength=len(known)) / np.maximum(total, 1), 1.0)
-        np.subtract(count, off, out=off, casting="unsafe")
-        off /= np.maximum(total, 1).astype(np.float32)[ctx_at]
-        return off, np.clip(left, 1e-4, 1).astype(np.float32)
-
-    both, left = parts(counts[0] + counts[1])
-    shared *= left[ctx_at]
-    both += shared
-    del shared
-    inner = known != context_keys(np.zeros(1), np.zeros(1, np.uint64))  # beginnings that neither class knows cancel
-    keys = np.concatenate([keys, known[inner]])
+def discounts(n: list[int]) -> list[float]:
+    """What is taken off counts of 1, 2 and more: the modified Kneser-Ney
+    discounts from ``n``, how many counts are 1, 2, 3 and 4; halves of the count
+    (at most 1.5) where one of those is missing."""
+    if not all(n):
+        return [0.5, 1.0, 1.5]
+    share = n[0] / (n[0] + 2 * n[1])
+    return [min(max(k - (k + 1) * share * n[k] / n[k - 1], 0.05 * k), 0.95 * k) for k in (1, 2, 3)]
+
+
+def shared_counts(nodes: DataFrame) -> DataFrame:
+    """(pair, tail, shared): continuation probabilities that both classes share,
+    of a byte after the two bytes before it and of a word after any.
+
+    Tails of bytes are three bytes, so their tables are bounded by the alphabet."""
+    tails = nodes.groupBy("pair", "tail").agg(F.count("*").alias("n"))
+    spelled, paired = tails.where("NOT pair"), tails.where("pair")
+    before = spelled.groupBy(F.shiftright("tail", 8).alias("_before")).agg(F.sum("n").alias("before_n"))
+    byte = spelled.groupBy(F.col("tail").bitwiseAND(255).alias("_byte")).agg(F.sum("n").alias("byte_n"))
+    total = spelled.agg(F.sum("n").alias("total"))
+    single = byte.withColumn("_all", F.lit(1)).join(total.withColumn("_all", F.lit(1)), "_all").drop("_all")  # 256 rows at most
+    by_byte = (spelled.withColumn("_before", F.shiftright("tail", 8)).withColumn("_byte", F.col("tail").bitwiseAND(255))
+               .join(before, "_before").join(single, "_byte"))
+    alone = (F.col("byte_n") + 1) / (F.col("total") + 256)
+    by_byte = by_byte.select("pair", "tail", ((F.col("n") + alone) / (F.col("before_n") + 1)).alias("shared"))
+    words = paired.agg(F.sum("n").alias("total")).withColumn("pair", F.lit(True))
+    by_word = paired.join(words, "pair").select("pair", "tail", (F.col("n") / (F.col("total") + 1)).alias("shared"))
+    return by_byte.unionByName(by_word)
+
+
+def node_ratios(nodes: DataFrame, times=TIMES) -> tuple[DataFrame, DataFrame]:
+    """Log ratios of pooled (context, tail, pair, n_toxic, n_ordinary) rows, with
+    the discounts of the classes taken each of ``times``: (context, tail, pair,
+    r0, r1, ...) of symbols after contexts that have seen them, and (context,
+    pair, r0, ...) of any other symbol after a context.
+
+    The tail is the word, or the symbol and the two bytes before it."""
+    nodes = nodes.withColumn("n_both", F.col("n_toxic") + F.col("n_ordinary"))
+    classes = [("toxic", t, f"toxic{k}") for k, t in enumerate(times)]
+    classes += [("ordinary", t, f"ordinary{k}") for k, t in enumerate(times)] + [("both", 1.0, "both")]
+    sizes = {r["pair"]: r for r in nodes.groupBy("pair").agg(*[  # two rows
+        F.count_if(F.col(f"n_{c}") == k).alias(f"{c}{k}") for c in ("toxic", "ordinary", "both") for k in range(1, 5)]).collect()}
+    taken = {(c, pair): discounts([r[f"{c}{k}"] for k in range(1, 5)]) for pair, r in sizes.items()
+             for c in ("toxic", "ordinary", "both")}
+
+    def off(c: str, t: float) -> Column:
+        n, out = F.col(f"n_{c}"), F.lit(0.0)
+        for (name, pair), steps in taken.items():
+            if name == c:
+                by_count = F.when(n == 1, t * steps[0]).when(n == 2, t * steps[1]).otherwise(t * steps[2])
+                out = F.when((F.col("pair") == pair) & (n > 0), F.least(by_count, n.cast("double"))).otherwise(out)
+        return out
+
+    nodes = nodes.select("*", *[off(c, t).alias(f"off_{name}") for c, t, name in classes])
+    contexts = nodes.groupBy("context", "pair").agg(
+        *[F.sum(f"n_{c}").alias(f"total_{c}") for c in ("toxic", "ordinary", "both")],
+        *[F.sum(f"off_{name}").alias(f"given_{name}") for *_, name in classes])
+    left = [F.greatest(F.lit(1e-4), F.least(F.lit(1.0), F.when(
+        F.col(f"total_{c}") > 0, F.col(f"given_{name}") / F.col(f"total_{c}")).otherwise(1.0))).alias(f"left_{name}")
+        for c, _, name in classes]
+    contexts = save(contexts.select("context", "pair", *[f"total_{c}" for c in ("toxic", "ordinary", "both")], *left), "contexts")
+    full = nodes.join(contexts, ["context", "pair"]).join(shared_counts(nodes), ["pair", "tail"])
+
+    def kept(c: str, name: str) -> Column:
+        return (F.col(f"n_{c}") - F.col(f"off_{name}")) / F.greatest(F.col(f"total_{c}"), F.lit(1))
+
+    full = full.withColumn("both", kept("both", "both") + F.col("left_both") * F.col("shared"))
+
+    def log_of(c: str, k: int) -> Column:
+        return F.log(kept(c, f"{c}{k}") + F.col(f"left_{c}{k}") * F.col("both"))
+
+    ratios = full.select("context", "tail", "pair", *[
+        (log_of("toxic", k) - log_of("ordinary", k)).alias(f"r{k}") for k in range(len(times))])
+    leaving = contexts.select("context", "pair", *[
+        (F.log(f"left_toxic{k}") - F.log(f"left_ordinary{k}")).alias(f"r{k}") for k in range(len(times))])
+    return ratios, leaving
+
+
+def _keyed(batches):
+    """(context, tail, pair, r...) to (key, r...); without a tail the key is the context."""
+    for batch in batches:
+        key = batch.column("context").to_numpy().view(np.uint64)
+        if "tail" in batch.schema.names:
+            tail = batch.column("tail").to_numpy().view(np.uint64)
+            pair = batch.column("pair").to_numpy(zero_copy_only=False)
+            key = node_keys(key, np.where(pair, tail, tail & np.uint64(255)))
+        ratios = [c for c in batch.schema.names if c.startswith("r")]
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *[batch.column(c) for c in ratios]], names=["key", *ratios])
+
+
+def build_models(nodes: DataFrame, times=TIMES) -> list[Model]:
+    """One model for each of ``times``.  Only keys and ratios reach the driver,
+    as many as the ``max_per_class`` documents of each class have contexts."""
+    names = [f"r{k}" for k in range(len(times))]
+    schema = ", ".join(["key long", *[f"{n} float" for n in names]])
+    ratios, leaving = node_ratios(save(nodes, "nodes"), times)
+    first = int(context_keys(np.zeros(1), np.zeros(1, np.uint64)).view(np.int64)[0])
+    inner = leaving.where(F.col("context") != first)  # beginnings that neither class knows cancel
+    floats = [F.col(n).cast("float").alias(n) for n in names]
+    rows = ratios.select("context", "tail", "pair", *floats).mapInArrow(_keyed, schema).unionByName(
+        inner.select("context", *floats).mapInArrow(_keyed, schema)).toArrow()
+    keys = rows.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    keys, out = keys[order], []
-    for t in times:
-        ratio, leaving = 0, 0
-        for count, sign in zip(counts, (1, -1), strict=True):
-            kept, left = parts(count, t)
-            kept += left[ctx_at] * both
-            ratio += sign * np.log(kept, out=kept)
-            leaving += sign * np.log(left)
-        out.append(Model(keys, np.concatenate([ratio, leaving[inner]])[order].astype(np.float16)))
-    return out
+    keys = keys[order]
+    return [Model(keys, rows.column(n).to_numpy()[order].astype(np.float16)) for n in names]
 
 
 def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Logistic weights (intercept first) by damped Newton steps on scaled
-    features.  A log ratio never counts against its sign: the most negative
-    weight is set to 0 until none is left."""
+    """Logistic weights (intercept first) by damped Newton steps on centred and
+    scaled features; those that never vary get no weight.  A log ratio never
+    counts against its sign: the most negative weight is set to 0 until none is
+    left."""
     n, width = len(labels), features.shape[1]
     if n == 0 or labels.min() == labels.max():
         share = float(labels.mean()) if n else 0.0
         return np.concatenate([[np.log((share + 1e-9) / (1 - share + 1e-9))], np.zeros(width)])
-    scale = features.std(axis=0) + 1e-9
-    x = np.hstack([np.ones((n, 1)), features / scale])
+    middle, spread = features.mean(axis=0), features.std(axis=0)
+    varies = spread > 1e-9 * (1 + np.abs(middle))
+    scale = np.where(varies, spread, 1.0)
+    x = np.hstack([np.ones((n, 1)), (features - middle) / scale])
     penalty = ridge * np.diag([0.0] + [1.0] * width)
-    used = np.arange(width + 1)
+    used = np.concatenate([[0], 1 + np.flatnonzero(varies)])
     while True:
         w = np.zeros(width + 1)
         w[used] = _newton(x[:, used], labels, penalty[np.ix_(used, used)])
         if w[1:].min() >= 0:
-            return np.concatenate([w[:1], w[1:] / scale])
+            return np.concatenate([[w[0] - (w[1:] / scale * middle).sum()], w[1:] / scale])
         used = used[used != 1 + int(w[1:].argmin())]
 
 
@@ -305,7 +343,7 @@ def _newton(x: np.ndarray, labels: np.ndarray, penalty: np.ndarray) -> np.ndarra
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         hessian = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty
-        step, now = np.linalg.solve(hessian, x.T @ (labels - p) - penalty @ w), cost(w)
+        step, now = np.linalg.lstsq(hessian, x.T @ (labels - p) - penalty @ w, rcond=None)[0], cost(w)
         while cost(w + step) > now and np.abs(step).max() > 1e-8:
             step = step / 2
         w = w + step
@@ -344,7 +382,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
         nodes = (texts(chosen).select("text", "toxic")
                  .mapInArrow(_count_words, "context long, tail long, pair boolean, n_toxic long, n_ordinary long")
                  .groupBy("context", "tail", "pair").agg(n_toxic, n_ordinary))
-        models = build_nodes(columns(nodes))
+        models = build_models(nodes)
     shared = spark.sparkContext.broadcast(models)
     names = [f"f{k}" for k in range(N_FEATURES * len(models))]
 
