@@ -474,19 +474,27 @@ def merge(shard_rows: DataFrame) -> DataFrame:
 
 def _strings(length: int):
     """Every string of the given cells by itself."""
+    digest64 = xxhash.xxh3_64_intdigest
+
     def run(batches):
         for batch in batches:
-            out = []
-            for doc, doc2, text, cells in zip(*(batch.column(c).to_pylist() for c in ("doc", "doc2", "text", "cells")), strict=True):
+            cells = batch.column("cells")
+            flat, many = cells.flatten(), cells.value_lengths().to_numpy()
+            block, back, reach, at, alone = (flat.field(c).to_numpy(zero_copy_only=False)
+                                             for c in ("block", "back", "reach", "at", "alone"))
+            lo, hi = at - back, at - reach + 1
+            digests: list[int] = []
+            k = 0
+            for text, n in zip(batch.column("text").to_pylist(), many.tolist(), strict=True):
                 view = memoryview(text)
-                for c in cells:
-                    start = np.arange(c["at"] - c["back"], c["at"] - c["reach"] + 1)
-                    n = len(start)
-                    with np.errstate(over="ignore"):  # the place in the block's strings is part of the name
-                        digest = mix64(_hashes64(view, start, start + length).view(np.uint64)
-                                       + (c["at"] - start).astype(np.uint64)).view(np.int64)
-                    out.append((np.full(n, c["block"]), digest, np.full(n, c["alone"]), np.full(n, doc), np.full(n, doc2), start))
-            yield _rows(_STRING, out)
+                for a, b in zip(lo[k:k + n].tolist(), hi[k:k + n].tolist(), strict=True):
+                    digests += [digest64(view[i:i + length]) for i in range(a, b)]
+                k += n
+            start, cell = _ranges(lo, hi)
+            with np.errstate(over="ignore"):  # the place in the block's strings is part of the name
+                name = mix64(np.array(digests, np.uint64) + (at[cell] - start).astype(np.uint64)).view(np.int64)
+            doc, doc2 = (np.repeat(batch.column(c).to_numpy(), many)[cell] for c in ("doc", "doc2"))
+            yield _rows(_STRING, [(block[cell], name, alone[cell].astype(bool), doc, doc2, start)])
     return run
 
 
@@ -506,8 +514,8 @@ def _lone_rows(batches):
 
 
 def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, doc2, first, last): ranges of starts of strings that also start
-    elsewhere, for (doc, doc2, text) rows; a range may occur several times."""
+    """(doc, doc2, ranges, starts): where strings start that also start elsewhere,
+    for (doc, doc2, text) rows: ranges (first, last) and single starts, one row a text."""
     rows = shards(texts, length)
     with _few_rows_at_once(texts.sparkSession):
         cells = merge(rows)
@@ -518,6 +526,7 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     # cells of repeated intervals, compared in whole
     kind = ["block", "back", "reach", "hash"]
     kinds = save(cells.groupBy(*kind).agg(F.sum("copies").alias("n"), F.min(F.struct(*doc, "at")).alias("one")), "kinds")
+    _clean(texts.sparkSession)
     whole = cells.join(kinds.where("n > 1").select(*kind), kind).select(
         *doc, (F.col("at") - F.col("back")).alias("first"), (F.col("at") - F.col("reach")).alias("last"))
 
@@ -527,16 +536,21 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     ones = kinds.join(several, "block").groupBy("one.doc", "one.doc2").agg(F.collect_list(F.struct(
         "block", "back", "reach", F.col("one.at").alias("at"), (F.col("n") == 1).alias("alone"))).alias("cells"))
     strings = save(texts.join(ones, doc).mapInArrow(_strings(length), _ddl(_STRING)), "strings")
+    _clean(texts.sparkSession)
     again = strings.groupBy("block", "hash").agg(F.count("*").alias("n"), F.max("alone").alias("any"))
     again = again.where("n > 1 and any").select("block", "hash")
-    at = [F.col("start").alias("first"), F.col("start").alias("last")]
-    border = strings.where("alone").join(again, ["block", "hash"]).select(*doc, *at)
+    border = save(strings.where("alone").join(again, ["block", "hash"]).groupBy(*doc).agg(
+        F.collect_list("start").alias("starts")), "border")
+    _forget(strings)
+    _clean(texts.sparkSession)
 
     # strings without an anchor
     some = lone.where("n IS NOT NULL")
     twice = some.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2")
-    rest = some.where("n = 1").join(twice, ["h1", "h2"]).unionByName(lone.where("n IS NULL")).select(*doc, *at)
-    return whole.unionByName(border).unionByName(rest)
+    rest = some.where("n = 1").join(twice, ["h1", "h2"]).unionByName(lone.where("n IS NULL")).select(
+        *doc, F.col("start").alias("first"), F.col("start").alias("last"))
+    ranges = whole.unionByName(rest).groupBy(*doc).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
+    return save(ranges.join(border, doc, "full"), "ranges")
 
 
 def covered(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -554,8 +568,8 @@ def _cut(length: int, at: int):
     def run(batches):
         for batch in batches:
             removed, kept = [], []
-            for text, ranges in zip(*(batch.column(c).to_pylist() for c in ("_bytes", "_ranges")), strict=True):
-                runs = covered([(r["first"], r["last"]) for r in ranges or []], length)
+            for text, ranges, starts in zip(*(batch.column(c).to_pylist() for c in ("_bytes", "ranges", "starts")), strict=True):
+                runs = covered([*((r["first"], r["last"]) for r in ranges or []), *((i, i) for i in starts or [])], length)
                 parts, done = [], 0
                 for a, b in runs:
                     parts.append(text[done:a])
@@ -576,9 +590,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, names: tuple[str, str] =
     own = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)])
     text = text_bytes(f"_{columns.index('text')}")
     texts = named_texts(own.select(text.alias("text")), length)
-    ranges = repeated_starts(texts, length).groupBy("doc", "doc2").agg(
-        F.collect_set(F.struct("first", "last")).alias("_ranges"))
-    ranges = save(ranges, "ranges")
+    ranges = repeated_starts(texts, length)
     _clean(docs.sparkSession)
     a, b = text_names(text)
     joined = own.withColumns({"_bytes": text, "doc": a, "doc2": b}).join(ranges, ["doc", "doc2"], "left").drop("doc", "doc2")
