@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.columns import month_of
-from .operators import cubes, ordered_funnel, props, reconcile, resampling, sessions, sketches, temporal, trailing
+from .operators import cohorts, cubes, ordered_funnel, props, reconcile, resampling, revenue, sessions, sketches, temporal, trailing
 from .plans.materialize import materialize, new_path
-from .sources import report_table
+from .sources import report_table, tables
 from .sources.roles import RoleTables, read_table
 from .streaming import revenue as revenue_stream
 
@@ -172,8 +172,32 @@ def ab_bootstrap(t: RoleTables) -> DataFrame:
     return resampling.bootstrap_summary(users, replicates=100)
 
 
+def retention_matrix(t: RoleTables) -> DataFrame:
+    return cohorts.retention_matrix(cohorts.purchase_cohorts(t.orders(), ordered=False))
+
+
+def sql_category_months(t: RoleTables) -> DataFrame:
+    """SQL over the role tables as views, with ordinals."""
+    tables.register_tables({name: getattr(t, name)() for name in ("orders", "order_items", "products")})
+    return t.spark.sql("""
+SELECT p.category, CAST(date_trunc('YEAR', o.order_ts) AS DATE) AS year, SUM(i.qty * i.unit_price_usd) AS revenue_usd,
+       COUNT(DISTINCT i.order_id) AS orders
+FROM order_items i JOIN orders o ON o.order_id = i.order_id JOIN products p ON p.product_id = i.product_id
+GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2""")
+
+
+def table_list(t: RoleTables) -> DataFrame:
+    return tables.list_tables(t.all())
+
+
+def preview_daily_revenue(t: RoleTables) -> DataFrame:
+    """The first rows of a report, as of a table."""
+    return tables.table_preview(revenue.daily_revenue(t.orders(), t.order_items()), "order_date", 10)
+
+
 BUILDERS: dict[str, Callable[[RoleTables], DataFrame]] = {f.__name__: f for f in (
     purchase_last_visit, order_last_finished, purchase_touches, ordered_funnel_levels, ordered_order_funnel,
     sketch_months, sketch_range, revenue_cube, revenue_rollup, trailing_revenue, trailing_event_count,
     customer_trailing_orders, customer_sessions, time_to_next_purchase, streamed_daily_revenue, merged_daily_revenue,
-    reconciliation, customers_difference, event_props, event_props_keys, ab_bootstrap)}
+    reconciliation, customers_difference, event_props, event_props_keys, ab_bootstrap,
+    retention_matrix, sql_category_months, table_list, preview_daily_revenue)}

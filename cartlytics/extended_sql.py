@@ -59,7 +59,7 @@ SELECT customer_id, CAST(COALESCE(level, 0) AS INTEGER) AS level FROM people LEF
     SELECT a.customer_id, a.event_ts AS started, MIN(b.event_ts) AS second
     FROM r_order_events a LEFT JOIN r_order_events b ON b.customer_id = a.customer_id AND b.event_type = 'signup'
      AND b.event_ts >= a.event_ts AND b.event_ts <= a.event_ts + INTERVAL 180 DAY
-    WHERE a.event_type = 'visit' GROUP BY ALL
+    WHERE a.event_type = 'visit' AND a.customer_id IS NOT NULL AND a.event_ts IS NOT NULL GROUP BY ALL
 ), levels AS (
     SELECT r.customer_id, COUNT(r.second) > 0 AS two, COUNT(c.event_id) > 0 AS three
     FROM runs r LEFT JOIN r_order_events c ON c.customer_id = r.customer_id AND c.event_type = 'purchase'
@@ -203,4 +203,38 @@ FROM v GROUP BY 1, 2""",
     FROM every GROUP BY arm)
 SELECT arm, users, ROUND(mean, 6) AS mean, ROUND(std_error, 6) AS std_error, ROUND(low, 6) AS low, ROUND(high, 6) AS high
 FROM points LEFT JOIN spread USING (arm)""", "r_experiments", "r_orders"),
+
+    "retention_matrix": with_roles("""
+, active AS (
+    SELECT DISTINCT customer_id, CAST(date_trunc('month', order_ts) AS DATE) AS m FROM r_orders WHERE customer_id IS NOT NULL
+), placed AS (
+    SELECT MIN(m) OVER (PARTITION BY customer_id) AS cohort_month, m FROM active
+), calendar AS (
+    SELECT m, ROW_NUMBER() OVER (ORDER BY m) - 1 AS k FROM (SELECT DISTINCT m FROM active WHERE m IS NOT NULL) ORDER BY m LIMIT 4
+), n AS (
+    SELECT cohort_month, COUNT_IF(k = 0) AS n0, COUNT_IF(k = 1) AS n1, COUNT_IF(k = 2) AS n2, COUNT_IF(k = 3) AS n3
+    FROM placed LEFT JOIN calendar USING (m) GROUP BY 1)
+SELECT cohort_month, ROUND(n0 / NULLIF(n0, 0), 6) AS m0, ROUND(n1 / NULLIF(n0, 0), 6) AS m1,
+       ROUND(n2 / NULLIF(n0, 0), 6) AS m2, ROUND(n3 / NULLIF(n0, 0), 6) AS m3 FROM n""", "r_orders"),
+
+    "sql_category_months": with_roles(f"""
+, sold AS (SELECT order_id, product_id, SUM(qty * unit_price_usd) AS usd FROM r_order_items GROUP BY ALL)
+SELECT category, make_date(year(order_ts), 1, 1) AS year, {_money('SUM(usd)')} AS revenue_usd, COUNT(DISTINCT order_id) AS orders
+FROM sold JOIN r_orders USING (order_id) JOIN r_products USING (product_id) GROUP BY ALL""",
+                                      "r_order_items", "r_orders", "r_products"),
+
+    "table_list": """
+SELECT * FROM (VALUES
+    ('customers', 6, 'customer_id, signup_date, country, age_band, income_band, channel', 'customer_id'),
+    ('products', 4, 'product_id, product_name, category, price_usd', 'product_id'),
+    ('orders', 5, 'order_id, customer_id, order_ts, source, revenue_usd', 'order_id'),
+    ('order_items', 4, 'order_id, product_id, qty, unit_price_usd', NULL),
+    ('events', 4, 'event_id, customer_id, event_ts, event_type', 'event_id'),
+    ('marketing_experiments', 6, 'exp_id, user_id, group, exposed_ts, converted, conversion_ts', 'exp_id')
+) t(table_name, n_columns, columns, primary_key)""",
+
+    "preview_daily_revenue": with_roles(f"""
+, sold AS (SELECT order_id, SUM(qty * unit_price_usd) AS usd FROM r_order_items GROUP BY 1)
+SELECT CAST(order_ts AS DATE) AS order_date, {_money('SUM(usd)')} AS daily_revenue_usd
+FROM sold JOIN r_orders USING (order_id) GROUP BY 1 ORDER BY 1 NULLS FIRST LIMIT 10""", "r_order_items", "r_orders"),
 }

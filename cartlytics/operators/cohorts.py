@@ -148,3 +148,15 @@ def cohort_retention_calendar(cohorts: DataFrame, n_months: int = 4, ordered: bo
     out = (cells.withColumn("base", F.coalesce(base, F.lit(0)))
            .select("cohort_month", "purchase_month", ratio("customers", "base").alias("retention")))
     return sorted_if(out, ordered, F.asc_nulls_last("cohort_month"), "purchase_month")
+
+
+def retention_matrix(cohorts: DataFrame, n_months: int = 4) -> DataFrame:
+    """``cohort_retention_calendar`` as a matrix: cohort_month, then ``m0`` to
+    ``m{n-1}`` for the first calendar months; a month that does not occur is NULL.
+
+    One row a cohort; the places come from at most ``n_months`` dates."""
+    long = materialize(cohort_retention_calendar(cohorts, n_months, ordered=False))
+    months = [r[0] for r in long.select("purchase_month").distinct().orderBy("purchase_month").collect()]
+    places = [F.col("purchase_month") == F.lit(m) for m in months] + [F.lit(False)] * (n_months - len(months))
+    return long.groupBy("cohort_month").agg(
+        *[F.max(F.when(at, F.col("retention"))).alias(f"m{k}") for k, at in enumerate(places)])

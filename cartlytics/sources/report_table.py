@@ -1,7 +1,7 @@
 """A stored daily revenue report that changed orders are merged into.
 
-The table has one folder a month and one row a day: revenue, orders and the
-number of the last batch that touched the month.  A batch of changes becomes
+The table has one folder a month and one row a day: revenue, orders, how many of
+them have a revenue, and the number of the last batch that touched the month.  A batch of changes becomes
 differences per day; only the months they fall in are read, added up and
 overwritten.
 
@@ -22,23 +22,25 @@ from pyspark.sql import functions as F
 from ..functions.columns import day_of, month_of
 from ..plans.materialize import materialize
 
-SCHEMA = "day date, revenue decimal(38,2), orders long, batch long, month string"
+SCHEMA = "day date, revenue decimal(38,2), orders long, priced long, batch long, month string"
+_SUMS = ("revenue", "orders", "priced")
 NO_MONTH = "none"
 
 
 def _daily(orders: DataFrame, sign: int) -> DataFrame:
     return orders.groupBy(day_of("order_ts").alias("day")).agg(
-        (F.sum("revenue_usd") * sign).cast("decimal(38,2)").alias("revenue"), (F.count(F.lit(1)) * sign).alias("orders"))
+        (F.coalesce(F.sum("revenue_usd"), F.lit(0)) * sign).cast("decimal(38,2)").alias("revenue"),
+        (F.count(F.lit(1)) * sign).alias("orders"), (F.count("revenue_usd") * sign).alias("priced"))
 
 
 def differences(before: DataFrame | None, after: DataFrame | None) -> DataFrame:
-    """(day, revenue, orders): what changes when orders ``before`` become
+    """(day, revenue, orders, priced): what changes when orders ``before`` become
     ``after``; None for no such orders (pure inserts or deletions)."""
     parts = [_daily(rows, sign) for rows, sign in ((before, -1), (after, 1)) if rows is not None]
     if not parts:
         raise ValueError("before or after is needed")
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return both.groupBy("day").agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
+    return both.groupBy("day").agg(*[F.sum(c).alias(c) for c in _SUMS])
 
 
 def _with_month(days: DataFrame) -> DataFrame:
@@ -64,12 +66,13 @@ def apply_changes(spark: SparkSession, path: str, changes: DataFrame, batch: int
     old = _stored(spark, path).where(F.col("month").isin(months))
     done = [r.month for r in old.groupBy("month").agg(F.max("batch").alias("b")).where(F.col("b") >= batch).collect()]
     due = ~F.col("month").isin(done) if done else F.lit(True)
-    added = old.select("day", "revenue", "orders", "month").unionByName(changes).where(due).groupBy("day", "month").agg(
-        F.sum("revenue").cast("decimal(38,2)").alias("revenue"), F.sum("orders").alias("orders"))
+    added = old.select("day", *_SUMS, "month").unionByName(changes).where(due).groupBy("day", "month").agg(
+        *[F.sum(c).cast("decimal(38,2)" if c == "revenue" else "long").alias(c) for c in _SUMS])
     new = materialize(added.withColumn("batch", F.lit(batch).cast("long")))
     new.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(day, revenue, orders): days with orders."""
-    return _stored(spark, path).where("orders <> 0").select("day", "revenue", "orders")
+    """(day, revenue, orders): days with orders; revenue is NULL over NULLs only."""
+    return _stored(spark, path).where("orders <> 0").select(
+        "day", F.when(F.col("priced") > 0, F.col("revenue")).alias("revenue"), "orders")

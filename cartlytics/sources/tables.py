@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sampling import referential_sample
 from .schemas import PRIMARY_KEYS, SCHEMAS
 
 TABLES = tuple(SCHEMAS)
@@ -98,3 +99,20 @@ def table_preview(df: DataFrame, key: str | Sequence[str] | None = None, n: int
 
 def preview_all(tables: dict[str, DataFrame], n: int = 5) -> dict[str, DataFrame]:
     return {t: table_preview(df, PRIMARY_KEYS.get(t), n) for t, df in tables.items()}
+
+
+def list_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, n_columns, columns, primary_key) of the given tables, read from their schemas."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(name, len(df.columns), ", ".join(df.columns), PRIMARY_KEYS.get(name)) for name, df in tables.items()]
+    return spark.createDataFrame(rows, "table_name string, n_columns int, columns string, primary_key string")
+
+
+def export_with_sample(tables: dict[str, DataFrame], directory: str, n: int = 500, seed: int = 42,
+                       fmt: str = "csv", mode: str = "overwrite") -> dict[str, dict[str, DataFrame]]:
+    """Write all tables to ``full`` and a referentially intact sample of ``n``
+    customers to ``samples``, under ``directory``; returns both sets."""
+    sample = referential_sample(tables, n, seed)
+    for name, chosen in (("full", tables), ("samples", sample)):
+        write_tables(chosen, f"{directory.rstrip('/')}/{name}", fmt, mode)
+    return {"full": tables, "samples": sample}

@@ -6,16 +6,20 @@ import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from cartlytics.extended import BUILDERS
 from cartlytics.functions.columns import month_of
 from cartlytics.operators import cubes, props, reconcile, resampling, sketches
+from cartlytics.oracle import SQL
+from cartlytics.registry import QUERIES
 from cartlytics.sources import report_table
 from cartlytics.sources.roles import RoleTables
 from cartlytics.streaming import revenue as stream
 from tests.conftest import SF_SMALL, D, ts
+from tests.test_oracle import _canon
 
 ORDERS = "order_id long, customer_id long, order_ts timestamp_ntz, revenue_usd decimal(12,2)"
 
@@ -24,6 +28,34 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+#: Every so many rows a NULL, in the columns that the roles read.
+NULLS = {"orders": ("o_orderkey", {"o_orderdate": 17, "o_custkey": 23, "o_totalprice": 29}),
+         "events": ("event_id", {"user_id": 13, "ts": 19, "props": 7, "event_type": 31}),
+         "lineitem": ("l_orderkey * 7 + l_linenumber", {"l_quantity": 37, "l_partkey": 41}),
+         "part": ("p_partkey", {"p_type": 11}), "customer": ("c_custkey", {"c_nationkey": 9})}
+
+
+@pytest.fixture(scope="module")
+def with_nulls(tmp_path_factory):
+    folder, con = tmp_path_factory.mktemp("nulls"), duckdb.connect()
+    for t in "nation customer part orders lineitem events".split():
+        key, every = NULLS.get(t, ("", {}))
+        put = ", ".join(f"CASE WHEN ({key}) % {n} = 0 THEN NULL ELSE {c} END AS {c}" for c, n in every.items())
+        con.execute(f"COPY (SELECT * {f'REPLACE ({put})' if put else ''} FROM '{SF_SMALL}/{t}.parquet') TO '{folder}/{t}.parquet'")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("name", [*BUILDERS, "purchase_cohorts", "cohort_customer_matrix", "ab_conversion", "monthly_funnel",
+                                  "signup_cohort_revenue", "customer_ltv", "ranked_customers"])
+def test_queries_over_null_keys_times_and_amounts(spark, with_nulls, name):
+    folder, con = with_nulls
+    df = QUERIES[name](spark, folder)
+    got = _canon(df.columns, [tuple(r) for r in df.collect()])
+    res = con.execute(SQL[name])
+    assert got == _canon([d[0] for d in res.description], res.fetchall())
+
+
 # --- sketches
 
 

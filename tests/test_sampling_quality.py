@@ -64,3 +64,17 @@ def test_role_checks_on_test_tables(spark):
     tables = RoleTables(spark, SF_SMALL).all()
     pk = Q.check_primary_keys(tables, skip_missing=True)
     assert pk.agg(F.sum("duplicate_keys") + F.sum("null_keys")).first()[0] == 0
+
+
+def test_export_with_sample_writes_both_sets(spark, tmp_path):
+    from cartlytics.sources.roles import RoleTables
+    from cartlytics.sources.tables import export_with_sample, list_tables
+
+    tables = RoleTables(spark, SF_SMALL).all()
+    sets = export_with_sample(tables, str(tmp_path), n=20, fmt="parquet")
+    for name in tables:
+        full, sample = (spark.read.parquet(f"{tmp_path}/{kind}/{name}.parquet") for kind in ("full", "samples"))
+        assert full.count() == tables[name].count() and sample.count() == sets["samples"][name].count()
+    customers, orders = (spark.read.parquet(f"{tmp_path}/samples/{t}.parquet") for t in ("customers", "orders"))
+    assert customers.count() == 20 and orders.join(customers, "customer_id", "left_anti").isEmpty()
+    assert list_tables(tables).count() == 6
