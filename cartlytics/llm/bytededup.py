@@ -41,6 +41,7 @@ in bytes) and ``kept`` the remaining bytes, which may cut a character.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -217,18 +218,35 @@ def _hashes64(view, lo, hi) -> np.ndarray:
 
 def _lone(view, base: np.ndarray, copies: np.ndarray, length: int, bare) -> dict:
     """Strings without anchor: each different one of a text once, and the starts
-    of those that the text itself, or a copy of it, repeats."""
-    seen: dict[tuple, list[int]] = {}
+    of those that the text itself, or a copy of it, repeats.
+
+    As far as a range keeps one period under ``PERIOD``, its first few strings
+    tell the others."""
+    digest = xxhash.xxh3_128_digest
+    seen: dict[tuple, list] = {}  # (text, hash): number, (first start, step, number) of each part
     for k, a, b in zip(*(x.tolist() for x in bare), strict=True):
-        for i in range(a, b + 1):
-            seen.setdefault((k, xxhash.xxh3_128_digest(view[i:i + length])), []).append(i)
+        n = b - a + 1
+        digests = [digest(view[i:i + length]) for i in range(a, a + min(n, PERIOD))]
+        step = next((d for d in range(1, len(digests)) if digests[d] == digests[0]), 0)
+        periodic = 0
+        if step:
+            data = np.frombuffer(view[a:b + length], np.uint8)
+            differ = np.flatnonzero(data[:-step] != data[step:])
+            periodic = min(n, (int(differ[0]) if len(differ) else len(data) - step) - (length - step) + 1)
+        parts = [(digests[r], a + r, step, (periodic - 1 - r) // step + 1) for r in range(min(step, periodic))]
+        parts += [(digest(view[i:i + length]), i, 1, 1) for i in range(a + periodic, b + 1)]
+        for name, at, by, many in parts:
+            found = seen.setdefault((k, name), [0, []])
+            found[0] += many
+            found[1].append((at, by, many))
     pairs = np.frombuffer(b"".join(h for _, h in seen), np.int64).reshape(-1, 2)
     own = np.array([k for k, _ in seen], np.int64)
-    starts = list(seen.values())
-    times = np.array([len(x) for x in starts], np.int64) * copies[own]
-    sure = [(k, i) for (k, _), many, n in zip(seen, starts, times.tolist(), strict=True) if n > 1 for i in many]
-    sure_own, sure_from = np.array(sure, np.int64).reshape(-1, 2).T
-    return {"lone_own": own, "lone_from": np.array([x[0] for x in starts], np.int64) - base[own],
+    times = np.array([n for n, _ in seen.values()], np.int64) * copies[own]
+    sure = [(k, np.arange(at, at + n * step, step)) for (k, _), (_, parts), total in zip(seen, seen.values(), times.tolist(), strict=True)
+            if total > 1 for at, step, n in parts]
+    sure_own = np.repeat(np.array([k for k, _ in sure], np.int64), [len(x) for _, x in sure])
+    sure_from = np.concatenate([x for _, x in sure]) if sure else np.empty(0, np.int64)
+    return {"lone_own": own, "lone_from": np.array([x[1][0][0] for x in seen.values()], np.int64) - base[own],
             "lone_n": times, "lone_h1": pairs[:, 0], "lone_h2": pairs[:, 1],
             "sure_own": sure_own, "sure_from": sure_from - base[sure_own]}
 
@@ -452,8 +470,8 @@ def _unsettled(intervals: DataFrame) -> DataFrame:
     return intervals.withColumn("total", total).where("total > 1").drop("total")
 
 
-def merge(shard_rows: DataFrame) -> DataFrame:
-    """Cells whose core is a repeated interval of the merged transforms:
+def merge(shard_rows: DataFrame) -> list[DataFrame]:
+    """By depth, the cells whose core is a repeated interval of the merged transforms:
     (block, back, reach, hash, doc, doc2, at, copies); ``block`` names core and depth."""
     spark = shard_rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -469,7 +487,7 @@ def merge(shard_rows: DataFrame) -> DataFrame:
         if intervals.isEmpty():
             break
     held.unpersist()
-    return reduce(DataFrame.unionByName, rounds)
+    return rounds
 
 
 def _strings(length: int):
@@ -514,11 +532,12 @@ def _lone_rows(batches):
 
 
 def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, doc2, ranges, starts): where strings start that also start elsewhere,
-    for (doc, doc2, text) rows: ranges (first, last) and single starts, one row a text."""
+    """(doc, doc2, whole, border, lone): where strings start that also start elsewhere,
+    one row a text of (doc, doc2, text) rows: packed ranges and single starts."""
     rows = shards(texts, length)
     with _few_rows_at_once(texts.sparkSession):
-        cells = merge(rows)
+        rounds = merge(rows)
+        cells = reduce(DataFrame.unionByName, rounds)
         lone = save(rows.select("doc", "doc2", *_LONE).mapInArrow(_lone_rows, _ddl(_LONE_ROW)), "lone")
     _forget(rows)
     doc = ["doc", "doc2"]
@@ -527,8 +546,11 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     kind = ["block", "back", "reach", "hash"]
     kinds = save(cells.groupBy(*kind).agg(F.sum("copies").alias("n"), F.min(F.struct(*doc, "at")).alias("one")), "kinds")
     _clean(texts.sparkSession)
-    whole = cells.join(kinds.where("n > 1").select(*kind), kind).select(
-        *doc, (F.col("at") - F.col("back")).alias("first"), (F.col("at") - F.col("reach")).alias("last"))
+    whole = save(cells.join(kinds.where("n > 1").select(*kind), kind).groupBy(*doc).agg(F.collect_set(
+        _packed(F.col("at") - F.col("back"), F.col("at") - F.col("reach"))).alias("whole")), "whole")
+    for table in rounds:
+        _forget(table)
+    _clean(texts.sparkSession)
 
     # cells that are alone, string by string against one of each kind in the block
     several = kinds.groupBy("block").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
@@ -540,62 +562,80 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     again = strings.groupBy("block", "hash").agg(F.count("*").alias("n"), F.max("alone").alias("any"))
     again = again.where("n > 1 and any").select("block", "hash")
     border = save(strings.where("alone").join(again, ["block", "hash"]).groupBy(*doc).agg(
-        F.collect_list("start").alias("starts")), "border")
+        F.collect_list("start").alias("border")), "border")
     _forget(strings)
     _clean(texts.sparkSession)
 
     # strings without an anchor
     some = lone.where("n IS NOT NULL")
     twice = some.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2")
-    rest = some.where("n = 1").join(twice, ["h1", "h2"]).unionByName(lone.where("n IS NULL")).select(
-        *doc, F.col("start").alias("first"), F.col("start").alias("last"))
-    ranges = whole.unionByName(rest).groupBy(*doc).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
-    return save(ranges.join(border, doc, "full"), "ranges")
+    rest = some.where("n = 1").join(twice, ["h1", "h2"]).unionByName(lone.where("n IS NULL"))
+    rest = rest.groupBy(*doc).agg(F.collect_set("start").alias("lone"))
+    return save(whole.join(border, doc, "full").join(rest, doc, "full"), "ranges")
+
+
+def _packed(first: Column, last: Column) -> Column:
+    """A range of starts as one number."""
+    return F.shiftleft(first.cast("long"), 32).bitwiseOR(last.cast("long"))
 
 
-def covered(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
-    """Maximal runs of bytes covered by strings that start in the given ranges."""
-    out: list[list[int]] = []
-    for first, last in sorted(ranges):
-        if out and first <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], last + length)
-        else:
-            out.append([first, last + length])
-    return [(a, b) for a, b in out]
+def covered(first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs (start, end) of bytes covered by strings that start in the given ranges."""
+    order = np.argsort(first)
+    start, end = first[order], np.maximum.accumulate(last[order] + length) if len(first) else last
+    new = np.append(True, start[1:] > end[:-1])[:len(start)]
+    return start[new], end[np.append(new[1:], True)[:len(start)]]
 
 
 def _cut(length: int, at: int):
     def run(batches):
         for batch in batches:
-            removed, kept = [], []
-            for text, ranges, starts in zip(*(batch.column(c).to_pylist() for c in ("_bytes", "ranges", "starts")), strict=True):
-                runs = covered([*((r["first"], r["last"]) for r in ranges or []), *((i, i) for i in starts or [])], length)
-                parts, done = [], 0
-                for a, b in runs:
-                    parts.append(text[done:a])
-                    done = b
-                removed.append([{"start": a, "end": b} for a, b in runs])
-                kept.append(b"".join([*parts, text[done:]]))
-            spans = pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+            texts = batch.column("_bytes").to_pylist()
+            size = np.array([len(t) for t in texts], np.int64)
+            base = np.cumsum(size + 1) - size  # all texts in a row, apart, so that runs end with their text
+            first, last = [], []
+            for name in ("whole", "border", "lone"):
+                lists = batch.column(name)
+                flat = lists.flatten().to_numpy().astype(np.int64)
+                own = np.repeat(base, np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
+                first.append(own + (flat >> 32 if name == "whole" else flat))
+                last.append(own + (flat & 0xFFFFFFFF if name == "whole" else flat))
+            start, end = covered(np.concatenate(first), np.concatenate(last), length)
+            of = np.searchsorted(base, start, "right") - 1
+            start, end = start - base[of], end - base[of]
+            offsets = np.searchsorted(of, np.arange(len(texts) + 1))
+            kept = []
+            for k, text in enumerate(texts):
+                a, b = offsets[k], offsets[k + 1]
+                if a == b:
+                    kept.append(text)
+                    continue
+                edges = [0, *np.column_stack([start[a:b], end[a:b]]).ravel().tolist(), len(text)]
+                kept.append(b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)))
+            runs = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32())], ["start", "end"])
             names = [f"_{i}" for i in range(at)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), spans, pa.array(kept, pa.binary())],
-                                             names=[*names, "_removed", "_kept"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), runs),
+                 pa.array(kept, pa.binary())], names=[*names, "_removed", "_kept"])
     return run
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH, names: tuple[str, str] = ("removed", "kept")) -> DataFrame:
-    """``docs`` with two columns added: the removed runs and the remaining bytes."""
+def cut_repeats(docs: DataFrame, length: int = LENGTH, names: tuple[str, str] = ("removed", "kept"),
+                keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (default: all) with two added: the removed
+    runs and the remaining bytes."""
     bounded_batches(docs.sparkSession)
     columns = docs.columns
     own = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)])
     text = text_bytes(f"_{columns.index('text')}")
-    texts = named_texts(own.select(text.alias("text")), length)
-    ranges = repeated_starts(texts, length)
+    ranges = repeated_starts(named_texts(own.select(text.alias("text")), length), length)
     _clean(docs.sparkSession)
+    wanted = [columns.index(c) for c in (columns if keep is None else keep)]
     a, b = text_names(text)
-    joined = own.withColumns({"_bytes": text, "doc": a, "doc2": b}).join(ranges, ["doc", "doc2"], "left").drop("doc", "doc2")
-    fields = [StructField(f"_{i}", f.dataType) for i, f in enumerate(docs.schema)]
+    joined = own.withColumns({"_bytes": text, "doc": a, "doc2": b}).join(ranges, ["doc", "doc2"], "left").select(
+        *[F.col(f"_{i}").alias(f"_{k}") for k, i in enumerate(wanted)], "_bytes", "whole", "border", "lone")
+    fields = [StructField(f"_{k}", docs.schema[i].dataType) for k, i in enumerate(wanted)]
     spans = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
-    out = joined.mapInArrow(_cut(length, len(columns)), StructType(
+    out = joined.mapInArrow(_cut(length, len(wanted)), StructType(
         [*fields, StructField("_removed", spans), StructField("_kept", BinaryType())]))
-    return out.toDF(*columns, *names)
+    return out.toDF(*[columns[i] for i in wanted], *names)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytededup, chat, decontam, linededup, lm, neardup, packing, quality, secrets, spelling, topk, toxicity, whitening
-from .common import fold, table, text_bytes
+from .common import fold, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,10 +104,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = bytededup.cut_repeats(docs)
-    n_bytes = F.length(text_bytes()).cast("long")
+    out = bytededup.cut_repeats(docs, keep=["doc_id"])
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     return out.select(
-        "doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.length("kept")).alias("n_removed"),
+        "doc_id", (F.length("kept") + gone).alias("n_bytes"), gone.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 

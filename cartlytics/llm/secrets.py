@@ -37,21 +37,47 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-
 _SPAN = "struct<start:int,kind:int,end:int>"
 
 
-def _located(matches: Column, pieces: Column, kind: int, keep) -> Column:
-    """Spans of the kept matches; the pieces between matches give the offsets."""
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
+BLOCK = 128
 
-    def step(acc, i):
-        match = F.element_at(matches, i)
-        start = acc["at"] + F.length(F.element_at(pieces, i))
-        end = start + F.length(match)
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"),
-                        F.when(keep(match, start, end), F.array_append(acc["found"], span))
-                        .otherwise(acc["found"]).alias("found"))
 
-    walked = F.aggregate(F.sequence(F.lit(1), F.size(matches)), empty, step, lambda acc: acc["found"])
-    return F.when(F.size(matches) > 0, walked).otherwise(F.array().cast(f"array<{_SPAN}>"))
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _running(values: Column, start: int, step) -> Column:
+    """Running folds of an array of ints, by blocks: every fold appends to a short
+    array, so long arrays take time in proportion to their length."""
+    def block(v, b):
+        return F.slice(v, b * BLOCK + 1, F.lit(BLOCK))
+
+    def along(x, first):
+        begun = F.struct(first.alias("at"), F.array().cast("array<int>").alias("all"))
+
+        def push(acc, v):
+            at = step(acc["at"], v)
+            return F.struct(at.alias("at"), F.array_append(acc["all"], at).alias("all"))
+
+        return F.aggregate(x, begun, push, lambda acc: acc["all"])
+
+    def whole(v):
+        blocks = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+        folded = F.transform(blocks, lambda b: F.aggregate(block(v, b), F.lit(start), step))
+        return _let(F.concat(F.array(F.lit(start)), along(folded, F.lit(start))), lambda first: F.flatten(
+            F.transform(blocks, lambda b: along(block(v, b), F.element_at(first, b + 1)))))
+
+    return F.when(F.size(values) > 0, _let(values, whole)).otherwise(F.array().cast("array<int>"))
+
+
+def _located(matches: Column, pieces: Column, kind: int, keep: Column) -> Column:
+    """Spans of the matches flagged in ``keep``; the pieces between matches give the offsets."""
+    sizes = F.transform(F.arrays_zip(matches.alias("m"), F.slice(pieces, 1, F.size(matches)).alias("p")),
+                        lambda x: F.length(x["m"]) + F.length(x["p"]))
+    ends = _running(sizes, 0, lambda a, b: a + b)
+    rows = F.filter(F.arrays_zip(matches.alias("m"), ends.alias("end"), keep.alias("keep")), lambda x: x["keep"])
+    spans = F.transform(rows, lambda x: F.struct((x["end"] - F.length(x["m"])).alias("start"), F.lit(kind).alias("kind"),
+                                                 x["end"].alias("end")))
+    return F.when(F.size(matches) > 0, spans).otherwise(F.array()).cast(f"array<{_SPAN}>")
 
 
 def _matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
@@ -59,17 +85,17 @@ def _matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
             .withColumn(f"p_{name}", F.when(F.size(f"m_{name}") > 0, F.split("text", pattern, -1))))
 
 
+def _assigned(match: Column) -> Column:
+    return F.length(F.regexp_extract(match, ASSIGN, 1)) >= 6
+
+
 def base_spans(df: DataFrame) -> DataFrame:
     """Adds ``assign``, ``access`` and ``hex`` span arrays to rows with ``text``."""
     for name, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX)):
         df = _matches(df, name, pattern)
-    long_enough = {
-        "assign": lambda m, s, e: F.length(F.regexp_extract(m, ASSIGN, 1)) >= 6,
-        "access": lambda m, s, e: F.lit(True),
-        "hex": lambda m, s, e: F.lit(True),
-    }
     for kind, name in enumerate(KINDS[:3]):
-        df = df.withColumn(name, _located(F.col(f"m_{name}"), F.col(f"p_{name}"), kind, long_enough[name]))
+        long_enough = F.transform(f"m_{name}", _assigned if name == "assign" else lambda m: F.lit(True))
+        df = df.withColumn(name, _located(F.col(f"m_{name}"), F.col(f"p_{name}"), kind, long_enough))
     return df.drop(*[f"{x}_{n}" for n in KINDS[:3] for x in "mp"])
 
 
@@ -121,11 +147,13 @@ def log_ratio(token: Column, model: list[float]) -> Column:
     code = F.lit(codes)
     ratio = F.lit([float(x) for x in model])
 
-    def at(i):
-        return F.element_at(code, F.ascii(F.substr(token, i, F.lit(1))) + 1)
+    def step(acc, c):
+        pair = F.when(acc["code"] > 0, F.element_at(ratio, (acc["code"] - 1) * size + c)).otherwise(0.0)
+        return F.struct(c.alias("code"), (acc["sum"] + pair).alias("sum"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0),
-                       lambda acc, i: acc + F.element_at(ratio, (at(i) - 1) * size + at(i + 1)))
+    chars = F.filter(F.split(token, ""), lambda c: c != "")
+    codes = F.transform(chars, lambda c: F.element_at(code, F.ascii(c) + 1))
+    return F.aggregate(codes, F.struct(F.lit(0).alias("code"), F.lit(0.0).alias("sum")), step, lambda acc: acc["sum"])
 
 
 def scan(docs: DataFrame, model: list[float], min_ratio: float = 10.0) -> DataFrame:
@@ -136,36 +164,26 @@ def scan(docs: DataFrame, model: list[float], min_ratio: float = 10.0) -> DataFr
     df = df.withColumn("m_markov", F.regexp_extract_all("rest", F.lit(CANDIDATE), F.lit(0)))
     df = df.withColumn("hits", F.transform("m_markov", lambda t: log_ratio(t, model) >= min_ratio))
     df = df.withColumn("p_markov", F.when(F.exists("hits", lambda h: h), F.split("rest", CANDIDATE, -1)))
-    found = F.when(F.col("p_markov").isNotNull(), _flagged(F.col("m_markov"), F.col("p_markov"), F.col("hits")))
+    found = F.when(F.col("p_markov").isNotNull(), _located(F.col("m_markov"), F.col("p_markov"), KINDS.index("markov"), F.col("hits")))
     return df.select("doc_id", "assign", "access", "hex", "base",
                      F.coalesce(found, F.array().cast(f"array<{_SPAN}>")).alias("markov"))
 
 
 def _blanked(text: Column, spans: Column) -> Column:
     """The text with the characters of sorted spans made spaces: offsets stay."""
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(acc, span):
-        start = F.greatest(span["start"], acc["at"])
-        more = F.array(F.substr(text, acc["at"] + 1, start - acc["at"]), F.repeat(F.lit(" "), span["end"] - start))
-        return F.when(span["end"] > acc["at"], F.struct(
-            span["end"].alias("at"), F.concat(acc["parts"], more).alias("parts"))).otherwise(acc)
-
-    return F.aggregate(spans, empty, step, lambda acc: F.concat(
-        F.array_join(acc["parts"], ""), F.substr(text, acc["at"] + 1, F.length(text))))
-
-
-def _flagged(matches: Column, pieces: Column, hits: Column) -> Column:
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
-
-    def step(acc, i):
-        start = acc["at"] + F.length(F.element_at(pieces, i))
-        end = start + F.length(F.element_at(matches, i))
-        span = F.struct(start.alias("start"), F.lit(KINDS.index("markov")).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(F.element_at(hits, i), F.array_append(acc["found"], span))
-                        .otherwise(acc["found"]).alias("found"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.size(matches)), empty, step, lambda acc: acc["found"])
+    def parts(chars, spans, ends):  # ends: how far spans reach so far
+        def part(i):
+            start, end = F.element_at(spans, i)["start"], F.element_at(ends, i)
+            done = F.when(i > 1, F.element_at(ends, F.greatest(i - 1, F.lit(1)))).otherwise(0)
+            plain = F.array_join(F.slice(chars, done + 1, F.greatest(start - done, F.lit(0))), "")
+            return F.concat(plain, F.repeat(F.lit(" "), end - F.greatest(start, done)))
+
+        rest = F.slice(chars, F.element_at(ends, -1) + 1, F.size(chars))
+        return F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.size(spans)), part), ""), F.array_join(rest, ""))
+
+    chars = F.filter(F.split(text, ""), lambda c: c != "")
+    return _let(spans, lambda known: _let(_running(F.transform(known, lambda x: x["end"]), 0, lambda a, b: F.greatest(a, b)), lambda ends: _let(
+        chars, lambda c: parts(c, known, ends))))
 
 
 def joined(spans: Column) -> Column:

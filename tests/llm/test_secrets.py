@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -97,3 +98,43 @@ def test_pieces_beside_base_spans_are_scored(spark):
     found = [text[int(a):int(b)] for a, b in spans]
     assert found == ["/" + one, f"G{two}Z", "Y" + one]
     assert row["base"] == brute_force(text)
+
+
+def pair_ratio(token, model):
+    size, at = len(secrets.ALPHABET), secrets.ALPHABET.index
+    return sum(model[at(a) * size + at(b)] for a, b in zip(token, token[1:], strict=False))
+
+
+def brute_markov(text, model, least=10.0):
+    taken = sorted((m.start(), m.end()) for _, rule, ok in RULES for m in rule.finditer(text) if ok(m))
+    chars = list(text)
+    for a, b in taken:
+        chars[a:b] = " " * (b - a)
+    return ",".join(f"markov:{m.start()}:{m.end()}" for m in re.finditer(secrets.CANDIDATE, "".join(chars))
+                    if pair_ratio(m[0], model) >= least)
+
+
+def test_markov_spans_match_brute_force(spark):
+    rng, model = random.Random(21), trained(spark)
+    words = ["user_account_total_number", "index_name_value_customer_x", "é", "\U0001f600", "password=", "AKIA" + "C" * 16, " ", "\n", "/"]
+    rows = [(i, "".join(rng.choice([*words, random_token(rng, rng.randrange(5, 45)), "0123456789abcdef" * 2])
+                        for _ in range(rng.randrange(1, 25)))) for i in range(300)]
+    got = {r["doc_id"]: r for r in scanned(spark, rows, model).collect()}
+    assert {i: got[i]["markov"] for i, _ in rows} == {i: brute_markov(t, model) for i, t in rows}
+    assert {i: got[i]["base"] for i, _ in rows} == {i: brute_force(t) for i, t in rows}
+    assert sum(bool(r["markov"]) for r in got.values()) > 50
+
+
+def test_time_grows_with_length_and_not_its_square(spark):
+    """A run of a million characters, 50,000 matches of rules and 30,000 Markov runs in one text."""
+    rng, model = random.Random(22), trained(spark)
+    run = random_token(rng, 1_000_000)
+    many = " ".join(f"é secret: {rng.randrange(10**9):012d}" for _ in range(50_000))
+    tokens = " ".join(random_token(rng, 24) for _ in range(30_000))
+    rows = [(1, run), (2, many), (3, tokens)]
+    began = time.time()
+    got = {r["doc_id"]: r for r in scanned(spark, rows, model).collect()}
+    assert time.time() - began < 60
+    for i, text in rows:
+        assert got[i]["base"] == brute_force(text) and got[i]["markov"] == brute_markov(text, model)
+    assert got[2]["base"].count(",") == 49_999 and got[3]["markov"].count(",") > 20_000
