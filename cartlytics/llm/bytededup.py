@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import bounded_batches, mix64, save, text_bytes
+from .common import bounded_batches, forget, free_shuffles, mix64, save, text_bytes
 
 LENGTH = 400
 WINDOW = 128  # at most; a power of two
@@ -314,20 +314,6 @@ def _build(length: int):
     return run
 
 
-def _clean(spark) -> None:
-    """Shuffle files of finished jobs go when the driver collects its garbage,
-    which a small driver program may not do for long."""
-    spark.sparkContext._jvm.System.gc()
-
-
-def _forget(df: DataFrame) -> None:
-    """Delete a table of ``save`` that nothing reads any more."""
-    files, jvm = df.inputFiles(), df.sparkSession._jvm
-    if files:
-        path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
 @contextmanager
 def _few_rows_at_once(spark):
     """Rows of shards are large: the Parquet reader takes a few at a time."""
@@ -483,7 +469,7 @@ def merge(shard_rows: DataFrame) -> list[DataFrame]:
         out = save(held.join(here, "shard").mapInArrow(_round(len(rounds)), _ddl(_INTERVAL | _CELL)), "round")
         rounds.append(out.where("doc IS NOT NULL").select("block", *_CELL))
         intervals = out.where("doc IS NULL").select(*_INTERVAL)
-        _clean(spark)
+        free_shuffles(spark)
         if intervals.isEmpty():
             break
     held.unpersist()
@@ -539,18 +525,18 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         rounds = merge(rows)
         cells = reduce(DataFrame.unionByName, rounds)
         lone = save(rows.select("doc", "doc2", *_LONE).mapInArrow(_lone_rows, _ddl(_LONE_ROW)), "lone")
-    _forget(rows)
+    forget(rows)
     doc = ["doc", "doc2"]
 
     # cells of repeated intervals, compared in whole
     kind = ["block", "back", "reach", "hash"]
     kinds = save(cells.groupBy(*kind).agg(F.sum("copies").alias("n"), F.min(F.struct(*doc, "at")).alias("one")), "kinds")
-    _clean(texts.sparkSession)
+    free_shuffles(texts.sparkSession)
     whole = save(cells.join(kinds.where("n > 1").select(*kind), kind).groupBy(*doc).agg(F.collect_set(
         _packed(F.col("at") - F.col("back"), F.col("at") - F.col("reach"))).alias("whole")), "whole")
     for table in rounds:
-        _forget(table)
-    _clean(texts.sparkSession)
+        forget(table)
+    free_shuffles(texts.sparkSession)
 
     # cells that are alone, string by string against one of each kind in the block
     several = kinds.groupBy("block").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
@@ -558,13 +544,13 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     ones = kinds.join(several, "block").groupBy("one.doc", "one.doc2").agg(F.collect_list(F.struct(
         "block", "back", "reach", F.col("one.at").alias("at"), (F.col("n") == 1).alias("alone"))).alias("cells"))
     strings = save(texts.join(ones, doc).mapInArrow(_strings(length), _ddl(_STRING)), "strings")
-    _clean(texts.sparkSession)
+    free_shuffles(texts.sparkSession)
     again = strings.groupBy("block", "hash").agg(F.count("*").alias("n"), F.max("alone").alias("any"))
     again = again.where("n > 1 and any").select("block", "hash")
     border = save(strings.where("alone").join(again, ["block", "hash"]).groupBy(*doc).agg(
         F.collect_list("start").alias("border")), "border")
-    _forget(strings)
-    _clean(texts.sparkSession)
+    forget(strings)
+    free_shuffles(texts.sparkSession)
 
     # strings without an anchor
     some = lone.where("n IS NOT NULL")
@@ -629,7 +615,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, names: tuple[str, str] =
     own = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)])
     text = text_bytes(f"_{columns.index('text')}")
     ranges = repeated_starts(named_texts(own.select(text.alias("text")), length), length)
-    _clean(docs.sparkSession)
+    free_shuffles(docs.sparkSession)
     wanted = [columns.index(c) for c in (columns if keep is None else keep)]
     a, b = text_names(text)
     joined = own.withColumns({"_bytes": text, "doc": a, "doc2": b}).join(ranges, ["doc", "doc2"], "left").select(

@@ -41,6 +41,20 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of finished jobs go when the driver collects its garbage,
+    which a small driver program may not do for long."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table of ``save`` that nothing reads any more."""
+    files, jvm = df.inputFiles(), df.sparkSession._jvm
+    if files:
+        path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Texts go to Python workers in batches of a few megabytes (a session
     setting): the default of 10,000 rows a batch does not bound memory."""

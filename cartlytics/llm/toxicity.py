@@ -35,10 +35,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, mix64, save, text_bytes, word_hashes
+from .common import bounded_batches, forget, free_shuffles, mix64, save, text_bytes, word_hashes
 
 ORDER = 8
 TIMES = (1.0, 2.0, 4.0)  # of the estimated discounts, for what a class yields to both; the calibration rows choose
@@ -214,40 +214,35 @@ def discounts(n: list[int]) -> list[float]:
     return [min(max(k - (k + 1) * share * n[k] / n[k - 1], 0.05 * k), 0.95 * k) for k in (1, 2, 3)]
 
 
-def shared_counts(nodes: DataFrame) -> DataFrame:
+def shared_counts(nodes: DataFrame, sizes: dict[bool, int]) -> DataFrame:
     """(pair, tail, shared): continuation probabilities that both classes share,
-    of a byte after the two bytes before it and of a word after any.
+    of a byte after the two bytes before it and of a word after any; ``sizes``
+    are the numbers of nodes that spell and of those that pair words.
 
     Tails of bytes are three bytes, so their tables are bounded by the alphabet."""
     tails = nodes.groupBy("pair", "tail").agg(F.count("*").alias("n"))
     spelled, paired = tails.where("NOT pair"), tails.where("pair")
-    before = spelled.groupBy(F.shiftright("tail", 8).alias("_before")).agg(F.sum("n").alias("before_n"))
-    byte = spelled.groupBy(F.col("tail").bitwiseAND(255).alias("_byte")).agg(F.sum("n").alias("byte_n"))
-    total = spelled.agg(F.sum("n").alias("total"))
-    single = byte.withColumn("_all", F.lit(1)).join(total.withColumn("_all", F.lit(1)), "_all").drop("_all")  # 256 rows at most
-    by_byte = (spelled.withColumn("_before", F.shiftright("tail", 8)).withColumn("_byte", F.col("tail").bitwiseAND(255))
-               .join(before, "_before").join(single, "_byte"))
-    alone = (F.col("byte_n") + 1) / (F.col("total") + 256)
+    before, byte = F.shiftright("tail", 8).alias("_before"), F.col("tail").bitwiseAND(255).alias("_byte")
+    by_byte = (spelled.select("*", before, byte)
+               .join(spelled.groupBy(before).agg(F.sum("n").alias("before_n")), "_before")
+               .join(spelled.groupBy(byte).agg(F.sum("n").alias("byte_n")), "_byte"))
+    alone = (F.col("byte_n") + 1) / (sizes.get(False, 0) + 256)
     by_byte = by_byte.select("pair", "tail", ((F.col("n") + alone) / (F.col("before_n") + 1)).alias("shared"))
-    words = paired.agg(F.sum("n").alias("total")).withColumn("pair", F.lit(True))
-    by_word = paired.join(words, "pair").select("pair", "tail", (F.col("n") / (F.col("total") + 1)).alias("shared"))
-    return by_byte.unionByName(by_word)
+    return by_byte.unionByName(paired.select("pair", "tail", (F.col("n") / (sizes.get(True, 0) + 1)).alias("shared")))
 
 
-def node_ratios(nodes: DataFrame, times=TIMES) -> tuple[DataFrame, DataFrame]:
+def node_ratios(nodes: DataFrame, times=TIMES) -> DataFrame:
     """Log ratios of pooled (context, tail, pair, n_toxic, n_ordinary) rows, with
     the discounts of the classes taken each of ``times``: (context, tail, pair,
-    r0, r1, ...) of symbols after contexts that have seen them, and (context,
-    pair, r0, ...) of any other symbol after a context.
+    r0, r1, ..., first, e0, e1, ...).  r is of the symbol after its context, e of
+    any other symbol, to be read from one row of each context, the ``first``.
 
     The tail is the word, or the symbol and the two bytes before it."""
+    every = ("toxic", "ordinary", "both")
     nodes = nodes.withColumn("n_both", F.col("n_toxic") + F.col("n_ordinary"))
-    classes = [("toxic", t, f"toxic{k}") for k, t in enumerate(times)]
-    classes += [("ordinary", t, f"ordinary{k}") for k, t in enumerate(times)] + [("both", 1.0, "both")]
-    sizes = {r["pair"]: r for r in nodes.groupBy("pair").agg(*[  # two rows
-        F.count_if(F.col(f"n_{c}") == k).alias(f"{c}{k}") for c in ("toxic", "ordinary", "both") for k in range(1, 5)]).collect()}
-    taken = {(c, pair): discounts([r[f"{c}{k}"] for k in range(1, 5)]) for pair, r in sizes.items()
-             for c in ("toxic", "ordinary", "both")}
+    counted = nodes.groupBy("pair").agg(F.count("*").alias("n"), *[  # two rows
+        F.count_if(F.col(f"n_{c}") == k).alias(f"{c}{k}") for c in every for k in range(1, 5)]).collect()
+    taken = {(c, r["pair"]): discounts([r[f"{c}{k}"] for k in range(1, 5)]) for r in counted for c in every}
 
     def off(c: str, t: float) -> Column:
         n, out = F.col(f"n_{c}"), F.lit(0.0)
@@ -257,58 +252,64 @@ def node_ratios(nodes: DataFrame, times=TIMES) -> tuple[DataFrame, DataFrame]:
                 out = F.when((F.col("pair") == pair) & (n > 0), F.least(by_count, n.cast("double"))).otherwise(out)
         return out
 
-    nodes = nodes.select("*", *[off(c, t).alias(f"off_{name}") for c, t, name in classes])
-    contexts = nodes.groupBy("context", "pair").agg(
-        *[F.sum(f"n_{c}").alias(f"total_{c}") for c in ("toxic", "ordinary", "both")],
-        *[F.sum(f"off_{name}").alias(f"given_{name}") for *_, name in classes])
-    left = [F.greatest(F.lit(1e-4), F.least(F.lit(1.0), F.when(
-        F.col(f"total_{c}") > 0, F.col(f"given_{name}") / F.col(f"total_{c}")).otherwise(1.0))).alias(f"left_{name}")
-        for c, _, name in classes]
-    contexts = save(contexts.select("context", "pair", *[f"total_{c}" for c in ("toxic", "ordinary", "both")], *left), "contexts")
-    full = nodes.join(contexts, ["context", "pair"]).join(shared_counts(nodes), ["pair", "tail"])
+    full = nodes.join(shared_counts(nodes, {r["pair"]: r["n"] for r in counted}), ["pair", "tail"])
+    context = Window.partitionBy("context")  # a context's symbols, of a bounded number of documents
+    classes = [(c, t, f"{c}{k}") for c in every[:2] for k, t in enumerate(times)] + [("both", 1.0, "both")]
+    full = full.select("context", "tail", "pair", "shared", *[f"n_{c}" for c in every],
+                       *[F.sum(f"n_{c}").over(context).alias(f"total_{c}") for c in every],
+                       *[F.sum(off(c, t)).over(context).alias(f"given_{name}") for c, t, name in classes],
+                       (F.min("tail").over(context) == F.col("tail")).alias("first"))
 
-    def kept(c: str, name: str) -> Column:
-        return (F.col(f"n_{c}") - F.col(f"off_{name}")) / F.greatest(F.col(f"total_{c}"), F.lit(1))
+    def left(c: str, name: str) -> Column:
+        """What a context gives away."""
+        share = F.when(F.col(f"total_{c}") > 0, F.col(f"given_{name}") / F.col(f"total_{c}")).otherwise(1.0)
+        return F.greatest(F.lit(1e-4), F.least(F.lit(1.0), share))
 
-    full = full.withColumn("both", kept("both", "both") + F.col("left_both") * F.col("shared"))
+    def kept(c: str, t: float) -> Column:
+        """What a count keeps of its context's total."""
+        return (F.col(f"n_{c}") - off(c, t)) / F.greatest(F.col(f"total_{c}"), F.lit(1))
+
+    both = kept("both", 1.0) + left("both", "both") * F.col("shared")
 
     def log_of(c: str, k: int) -> Column:
-        return F.log(kept(c, f"{c}{k}") + F.col(f"left_{c}{k}") * F.col("both"))
+        return F.log(kept(c, times[k]) + left(c, f"{c}{k}") * both)
 
-    ratios = full.select("context", "tail", "pair", *[
-        (log_of("toxic", k) - log_of("ordinary", k)).alias(f"r{k}") for k in range(len(times))])
-    leaving = contexts.select("context", "pair", *[
-        (F.log(f"left_toxic{k}") - F.log(f"left_ordinary{k}")).alias(f"r{k}") for k in range(len(times))])
-    return ratios, leaving
+    return full.select("context", "tail", "pair", "first", *[
+        (log_of("toxic", k) - log_of("ordinary", k)).cast("float").alias(f"r{k}") for k in range(len(times))], *[
+        (F.log(left("toxic", f"toxic{k}")) - F.log(left("ordinary", f"ordinary{k}"))).cast("float").alias(f"e{k}")
+        for k in range(len(times))])
 
 
-def _keyed(batches):
-    """(context, tail, pair, r...) to (key, r...); without a tail the key is the context."""
-    for batch in batches:
-        key = batch.column("context").to_numpy().view(np.uint64)
-        if "tail" in batch.schema.names:
-            tail = batch.column("tail").to_numpy().view(np.uint64)
-            pair = batch.column("pair").to_numpy(zero_copy_only=False)
-            key = node_keys(key, np.where(pair, tail, tail & np.uint64(255)))
-        ratios = [c for c in batch.schema.names if c.startswith("r")]
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *[batch.column(c) for c in ratios]], names=["key", *ratios])
+def _keyed(width: int):
+    """Rows of ``node_ratios`` as (key, r...), the contexts among them; beginnings
+    that neither class knows cancel, so the empty context has no row."""
+    empty = context_keys(np.zeros(1), np.zeros(1, np.uint64))[0]
+
+    def run(batches):
+        for batch in batches:
+            context, tail = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "tail"))
+            pair, first = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "first"))
+            key = node_keys(context, np.where(pair, tail, tail & np.uint64(255)))
+            own = first & (context != empty)
+            ratios = [np.concatenate([batch.column(f"r{k}").to_numpy(), batch.column(f"e{k}").to_numpy()[own]]) for k in range(width)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([key, context[own]]).view(np.int64)), *map(pa.array, ratios)],
+                names=["key", *[f"r{k}" for k in range(width)]])
+    return run
 
 
 def build_models(nodes: DataFrame, times=TIMES) -> list[Model]:
     """One model for each of ``times``.  Only keys and ratios reach the driver,
     as many as the ``max_per_class`` documents of each class have contexts."""
-    names = [f"r{k}" for k in range(len(times))]
-    schema = ", ".join(["key long", *[f"{n} float" for n in names]])
-    ratios, leaving = node_ratios(save(nodes, "nodes"), times)
-    first = int(context_keys(np.zeros(1), np.zeros(1, np.uint64)).view(np.int64)[0])
-    inner = leaving.where(F.col("context") != first)  # beginnings that neither class knows cancel
-    floats = [F.col(n).cast("float").alias(n) for n in names]
-    rows = ratios.select("context", "tail", "pair", *floats).mapInArrow(_keyed, schema).unionByName(
-        inner.select("context", *floats).mapInArrow(_keyed, schema)).toArrow()
+    nodes = save(nodes, "nodes")
+    free_shuffles(nodes.sparkSession)
+    schema = ", ".join(["key long", *[f"r{k} float" for k in range(len(times))]])
+    rows = node_ratios(nodes, times).mapInArrow(_keyed(len(times)), schema).toArrow()
+    forget(nodes)
     keys = rows.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     keys = keys[order]
-    return [Model(keys, rows.column(n).to_numpy()[order].astype(np.float16)) for n in names]
+    return [Model(keys, rows.column(f"r{k}").to_numpy()[order].astype(np.float16)) for k in range(len(times))]
 
 
 def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
