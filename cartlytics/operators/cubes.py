@@ -26,7 +26,8 @@ def cell_rows(order_items: DataFrame, orders: DataFrame, products: DataFrame, cu
     """(category, country, month, order_id's customer, revenue, lines) per order
     and category: inner joins on intact keys, line items read once."""
     lines = order_items.join(products.select("product_id", "category"), "product_id")
-    lines = lines.groupBy("order_id", "category").agg(F.sum(line_revenue()).alias("revenue"),
+    # dealt by order once: for the sums of its categories and for the join below
+    lines = lines.repartition("order_id").groupBy("order_id", "category").agg(F.sum(line_revenue()).alias("revenue"),
                                                       F.count(F.lit(1)).alias("lines"))
     placed = lines.join(orders.select("order_id", "customer_id", month_of("order_ts").alias("month")), "order_id")
     return placed.join(customers.select("customer_id", "country"), "customer_id")

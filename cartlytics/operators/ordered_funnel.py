@@ -49,8 +49,7 @@ def chunk_states(events: DataFrame, steps: Sequence[str], within: timedelta, chu
     rows = events.select("customer_id", micros("event_ts").alias("at"), step.alias("step"))
     rows = rows.where("customer_id IS NOT NULL AND at IS NOT NULL AND step IS NOT NULL")
     rows = rows.withColumn("chunk", bucket_of(F.col("at"), chunk // timedelta(microseconds=1)))
-    # repeated events at one time change nothing
-    rows = rows.distinct()
+    # repeated events at one time change nothing, so they need not be sought out
     so_far = Window.partitionBy("customer_id", "chunk").orderBy("at", "step").rowsBetween(Window.unboundedPreceding, 0)
     is_step = [F.col("step") == n for n in range(k + 1)]
     rows = rows.withColumn("s1", F.when(is_step[1], F.col("at")))

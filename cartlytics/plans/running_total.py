@@ -14,20 +14,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .global_rank import TARGET_ROWS, range_count
 from .materialize import materialize
 
 _PLACE_BITS = 33  # of monotonically_increasing_id: the place within its partition
 
 
 def add_running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str], suffix: str = "_so_far",
-                       target_rows: int = TARGET_ROWS, buckets: int | None = None) -> DataFrame:
+                       buckets: int | None = None) -> DataFrame:
     """``df`` with the sum of each of ``values`` over all rows up to and with
-    this one by ``order`` (NULLs first; ties in any order).  NULL values count as 0."""
-    source = materialize(df)
-    n = buckets or range_count(source.count(), target_rows)
-    placed = materialize(source.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                         .withColumn("_id", F.monotonically_increasing_id()))
+    this one by ``order`` (NULLs first; ties in any order).  NULL values count as 0.
+
+    Rows are written once, in order.  ``buckets`` overrides the number of ranges
+    (the session's shuffle partitions, of which AQE joins small neighbours)."""
+    ranged = df.repartitionByRange(buckets, *order) if buckets else df.repartitionByRange(*order)
+    placed = materialize(ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
     placed = placed.withColumn("_range", F.shiftright("_id", _PLACE_BITS))
     totals = placed.groupBy("_range").agg(*[F.sum(v).alias(v) for v in values])
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
