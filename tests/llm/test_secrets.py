@@ -137,4 +137,4 @@ def test_time_grows_with_length_and_not_its_square(spark):
     assert time.time() - began < 60
     for i, text in rows:
         assert got[i]["base"] == brute_force(text) and got[i]["markov"] == brute_markov(text, model)
-    assert got[2]["base"].count(",") == 49_999 and got[3]["markov"].count(",") > 20_000
+    assert got[2]["base"].count(",") == 49_999 and got[3]["markov"].count(",") > 10_000
