@@ -291,7 +291,8 @@ def _keyed(width: int):
             pair, first = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "first"))
             key = node_keys(context, np.where(pair, tail, tail & np.uint64(255)))
             own = first & (context != empty)
-            ratios = [np.concatenate([batch.column(f"r{k}").to_numpy(), batch.column(f"e{k}").to_numpy()[own]]) for k in range(width)]
+            ratios = [np.concatenate([batch.column(f"r{k}").to_numpy(), batch.column(f"e{k}").to_numpy()[own]])
+                      .astype(np.float16).view(np.int16) for k in range(width)]  # two bytes each to the driver
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([key, context[own]]).view(np.int64)), *map(pa.array, ratios)],
                 names=["key", *[f"r{k}" for k in range(width)]])
@@ -303,14 +304,21 @@ def build_models(nodes: DataFrame, times=TIMES) -> list[Model]:
     as many as the ``max_per_class`` documents of each class have contexts."""
     nodes = save(nodes, "nodes")
     free_shuffles(nodes.sparkSession)
-    schema = ", ".join(["key long", *[f"r{k} float" for k in range(len(times))]])
+    names = [f"r{k}" for k in range(len(times))]
+    schema = ", ".join(["key long", *[f"{n} short" for n in names]])
     rows = node_ratios(nodes, times).mapInArrow(_keyed(len(times)), schema).toArrow()
     forget(nodes)
     free_shuffles(nodes.sparkSession)
-    keys = rows.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
+
+    def taken_out(name: str) -> np.ndarray:  # one column at a time, so that two copies of all never stand
+        nonlocal rows
+        out, rows = rows.column(name).to_numpy(), rows.drop_columns([name])
+        return out
+
+    keys = taken_out("key").view(np.uint64)
+    order = np.argsort(keys).astype(np.int32)
     keys = keys[order]
-    return [Model(keys, rows.column(f"r{k}").to_numpy()[order].astype(np.float16)) for k in range(len(times))]
+    return [Model(keys, taken_out(n)[order].view(np.float16)) for n in names]
 
 
 def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
