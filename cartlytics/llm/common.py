@@ -7,6 +7,7 @@ folder; on a cluster a missing setting is an error.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,6 +45,7 @@ def save(df: DataFrame, name: str) -> DataFrame:
 def free_shuffles(spark: SparkSession) -> None:
     """Shuffle files of finished jobs go when the driver collects its garbage,
     which a small driver program may not do for long."""
+    gc.collect()  # Python's handles first: they hold the driver's plans
     spark.sparkContext._jvm.System.gc()
 
 
