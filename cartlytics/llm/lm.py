@@ -1,13 +1,18 @@
 """Language-model scoring: token counts plus context mixing over token bits.
 
-A text is its lower-cased words and one end token.  Every text belongs to one
+A text is its lower-cased words and one end token.  A token's probability is
+that of its code (a byte of its hash) after the words before it, times its own
+among the tokens of that code.  The first is mixed bit by bit from the counts of
+all occurrences in training texts (``mixing``), so the order of words tells; the
+second is the token's share below over that of its code, where spelling's share
+of a code is taken as 1/256, its mean over hashes.  Every text belongs to one
 of ``GATES`` classes by its most frequent byte outside ASCII, which tells
 scripts and languages apart without any fitting; the class itself is priced
 first.  A token's probability in a class is its discounted share of the class's
 training tokens, backed off to its share of all training tokens, backed off to
 being spelled bit by bit by the context mixer (``mixing``), which is what
-prices unknown words; its tables count the bits of every distinct training
-token.  The weight of spelling is how often a training token is a first sight
+prices unknown words; its tables count the bits of every training token as
+often as it occurs.  The weight of spelling is how often a training token is a first sight
 (tokens counted once over all tokens).
 
 How it runs: tasks reduce chunks of documents to their distinct tokens with
@@ -16,7 +21,9 @@ lists of (document, times), cut by token hash into one part for every
 not once per occurrence, so frequent words are no hot keys.  Parts sum the
 counts; the tables are summed over parts; mixer weights are trained online
 over all tokens of every part and averaged by tokens; then each part prices its tokens once, and sums per
-document go back by chunk.  Only the mixer (a fixed size) is broadcast.
+document go back by chunk.  The words of a chunk are kept in their order as hashes
+of 32 bits, over which the codes are counted, trained and priced chunk by chunk.
+Only the two mixers (of a fixed size) are broadcast.
 
 Defined results: null text counts as empty, which is the end token alone.  A
 null doc_id is neither training nor held out.  Without training documents all
@@ -29,6 +36,7 @@ the order of its rows, which a task that is run again has to find unchanged.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -49,7 +57,9 @@ SOME = 10_000           # tokens priced at once
 PART_BYTES = 32 << 20   # text that makes a part
 SLICE = 100_000         # tokens spelled at once
 
-_INFO = "chunk long, doc_id array<long>, held array<boolean>, train array<boolean>, gate array<long>, n_tokens array<long>, n_bytes array<long>"
+END_HASH = int(word_hashes([mixing.END])[0]) >> 32
+
+_INFO = "chunk long, doc_id array<long>, held array<boolean>, train array<boolean>, gate array<long>, n_tokens array<long>, n_bytes array<long>, words binary"
 _BLOB = "chunk long, tokens binary, gates binary, train binary, degree binary, docs binary, times binary"
 
 
@@ -63,17 +73,20 @@ def _chunk_rows(chunk: int, docs: list[tuple], parts: int) -> list[dict]:
     """One chunk's documents (doc_id, text, train, held) as rows by part."""
     split = [words(d[1]) for d in docs]
     lengths = np.array([len(s) for s in split], np.int64)
+    tokens = [t for s in split for t in s]
+    hashes = word_hashes(tokens)
+    ordered = np.insert((hashes >> np.uint64(32)).astype(np.uint32), np.cumsum(lengths), END_HASH)
     gates = np.array([gate(d[1]) for d in docs], np.int64)
     in_training = np.array([d[2] for d in docs], np.uint8)
     info = {"chunk": chunk, "doc_id": [d[0] for d in docs], "held": [d[3] for d in docs],
             "train": [d[2] for d in docs],
-            "gate": gates.tolist(), "n_tokens": (lengths + 1).tolist(), "n_bytes": [len(d[1]) for d in docs]}
+            "gate": gates.tolist(), "n_tokens": (lengths + 1).tolist(), "n_bytes": [len(d[1]) for d in docs],
+            "words": ordered.tobytes()}
     rows = [{"part": chunk % parts, "info": info, "blob": None}]
-    tokens = [t for s in split for t in s]
     if not tokens:
         return rows
     doc = np.repeat(np.arange(len(docs)), lengths)
-    known, first, inverse = np.unique(word_hashes(tokens), return_index=True, return_inverse=True)
+    known, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     part = (known % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     place = np.empty(len(order), np.int64)
@@ -137,6 +150,10 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
         refs.append({"chunk": b["chunk"], "index": index.tobytes(), "gates": b["gates"],
                      "degree": b["degree"], "docs": b["docs"], "times": b["times"]})
     total = counts.sum(axis=1)
+    by_code = np.zeros((2, 256, GATES), np.int64)
+    code = (known >> np.uint64(56)).astype(np.int64)
+    np.add.at(by_code[0], code, counts)
+    np.add.at(by_code[1], code, counts > 0)
     ends = np.zeros(GATES, np.int64)
     for i in infos:
         np.add.at(ends, np.array(i["gate"], np.int64), np.array(i["train"], np.int64))
@@ -144,7 +161,8 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
         "part": [int(pdf["part"].iloc[0])], "tokens": [b" ".join(tokens[i] for i in first)],
         "counts": [_packed(counts)], "refs": [refs], "infos": [infos],
         "n_distinct": [int((total > 0).sum())], "n_single": [int((total == 1).sum())],
-        "by_gate": [np.stack([counts.sum(axis=0), (counts > 0).sum(axis=0), ends]).ravel().tolist()]})
+        "by_gate": [np.stack([counts.sum(axis=0), (counts > 0).sum(axis=0), ends]).ravel().tolist()],
+        "by_code": [by_code.ravel().tolist()]})
 
 
 def _packed(counts: np.ndarray) -> bytes:
@@ -164,19 +182,15 @@ def _split(text: bytes) -> list[bytes]:
     return text.split(b" ") if text else []
 
 
-def _known_tokens(batch, i) -> list[bytes]:
+def _known_tokens(batch, i) -> tuple[list[bytes], np.ndarray]:
+    """Training tokens of a part, and how often they occur."""
     tokens = _split(batch.column("tokens")[i].as_py())
-    place = np.frombuffer(batch.column("counts")[i].as_py(), np.int64).reshape(2, -1)[0]
-    return [tokens[k] for k in np.unique(place // GATES).tolist()]
+    total = _unpacked(batch.column("counts")[i].as_py(), len(tokens)).sum(axis=1)
+    seen = np.flatnonzero(total)
+    return [tokens[k] for k in seen.tolist()], total[seen]
 
 
-def _count_tables(batches):
-    table = np.zeros((2, mixing.ORDERS * mixing.SLOTS), np.int64)
-    for batch in batches:
-        for i in range(batch.num_rows):
-            tokens = _known_tokens(batch, i)
-            for a in range(0, len(tokens), SLICE):
-                mixing.count(mixing.spell(tokens[a:a + SLICE]), table)
+def _in_segments(table: np.ndarray):
     width = table.shape[1] // SEGMENTS
     cut = [table[:, s * width:(s + 1) * width].tobytes() for s in range(SEGMENTS)]
     if table.any():
@@ -184,10 +198,112 @@ def _count_tables(batches):
                                          names=["segment", "counts"])
 
 
-def _trained(mixer: mixing.Mixer, table: np.ndarray, tokens: list[bytes]) -> mixing.Mixer:
+def _count_tables(batches):
+    """Bits of the spelled training tokens, each as often as it occurs."""
+    table = np.zeros((2, mixing.ORDERS * mixing.SLOTS), np.int64)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            tokens, times = _known_tokens(batch, i)
+            for a in range(0, len(tokens), SLICE):
+                mixing.count(mixing.spell(tokens[a:a + SLICE]), table, times[a:a + SLICE])
+    yield from _in_segments(table)
+
+
+def _texts(batches, training: bool):
+    """(chunk, hashes of words with ends, tokens a text, their classes) of chunks."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            chunk, gates, train, sizes, told = (batch.column(k)[i].as_py() for k in range(5))
+            seen = np.frombuffer(told, np.uint32)
+            sizes, gates, train = np.array(sizes, np.int64), np.array(gates, np.int64), np.array(train, bool)
+            if training:
+                seen, sizes, gates = seen[np.repeat(train, sizes)], sizes[train], gates[train]
+            if len(sizes):
+                yield chunk, seen, sizes, gates
+
+
+def _count_order(batches):
+    """Bits of the words' codes after the words before, over all training texts."""
+    table = np.zeros((2, mixing.WORD_ORDERS << mixing.WORD_SLOT_BITS), np.int64)
+    for _, seen, sizes, gates in _texts(batches, True):
+        mixing.count_bits(mixing.codes(seen), mixing.word_contexts(seen, sizes, gates), table, mixing.WORD_SLOT_BITS)
+    yield from _in_segments(table)
+
+
+def _joined(texts):
+    """(words, sizes, classes) of chunks together, ordered by the hashes of
+    their texts: neither small chunks nor their order tell in training."""
+    held: list[tuple] = []
+
+    def together():
+        seen, sizes, gates = (np.concatenate(x) for x in zip(*held, strict=True))
+        split = np.split(seen, np.cumsum(sizes)[:-1])
+        order = np.argsort([zlib.crc32(t.tobytes()) for t in split], kind="stable")
+        return np.concatenate([split[k] for k in order]), sizes[order], gates[order]
+
+    for _, *text in texts:
+        held.append(text)
+        if sum(len(t[0]) for t in held) >= SLICE:
+            yield together()
+            held.clear()
+    if held:
+        yield together()
+
+
+def _train_order(shared):
+    def run(batches):
+        mixer, table = shared.value
+        n = 0
+        for seen, sizes, gates in _joined(_texts(batches, True)):
+            mixer = mixing.train_bytes(mixer, table, mixing.codes(seen), mixing.word_contexts(seen, sizes, gates))
+            n += len(seen)
+        if n:
+            yield _learned(mixer, n)
+    return run
+
+
+def _price_order(shared):
+    """Rows like those of ``_price``: the codes' part of the scores."""
+    def run(batches):
+        for chunk, seen, sizes, gates in _texts(batches, False):
+            cost = shared.value.log10_bytes(mixing.codes(seen), mixing.word_contexts(seen, sizes, gates))
+            n = len(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64())] + [pa.array([x.tobytes()], pa.binary()) for x in (
+                    np.arange(n, dtype=np.uint16), np.zeros(n, np.uint32), np.zeros(n),
+                    np.add.reduceat(cost, np.cumsum(sizes) - sizes))], names=["chunk", "docs", "known", "base", "score"])
+    return run
+
+
+def _learned(mixer: mixing.Mixer, n: int) -> pa.RecordBatch:
+    values = np.concatenate([mixer.weights.ravel(), mixer.refine.ravel()])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(len(values)), pa.int32()), pa.array(values), pa.array(np.full(len(values), n))],
+        names=["place", "value", "n"])
+
+
+def _averaged(mixer: mixing.Mixer, learned: DataFrame) -> None:
+    """Sets what the tasks learned, averaged by tokens."""
+    rows = (learned.groupBy("place").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value"))
+            .orderBy("place").collect())
+    if rows:
+        values, n = np.array([r["value"] for r in rows]), mixer.weights.size
+        mixer.weights, mixer.refine = values[:n].reshape(mixer.weights.shape), values[n:].reshape(256, -1)
+
+
+def _summed(tables: DataFrame, slots: int) -> np.ndarray:
+    table = np.zeros((2, slots), np.int64)
+    width = slots // SEGMENTS
+    for r in tables.groupBy("segment").applyInPandas(_sum_tables, "segment int, counts binary").collect():
+        table[:, r["segment"] * width:(r["segment"] + 1) * width] = np.frombuffer(r["counts"], np.int64).reshape(2, -1)
+    return table
+
+
+def _trained(mixer: mixing.Mixer, table: np.ndarray, tokens: list[bytes], times: np.ndarray | None = None) -> mixing.Mixer:
     """One online pass over all ``tokens``, in bounded slices."""
     for a in range(0, len(tokens), SLICE):
-        mixer = mixing.train_online(mixer, table, mixing.spell(tokens[a:a + SLICE]))
+        counted = {} if times is None else {"times": times[a:a + SLICE]}
+        mixer = mixing.train_online(mixer, table, mixing.spell(tokens[a:a + SLICE]), **counted)
     return mixer
 
 
@@ -201,7 +317,7 @@ def _sum_tables(pdf: pd.DataFrame) -> pd.DataFrame:
 class Model:
     """The mixer with the totals that turn counts into probabilities."""
 
-    def __init__(self, mixer: mixing.Mixer, distinct: int, single: int, by_gate: np.ndarray):
+    def __init__(self, mixer: mixing.Mixer, distinct: int, single: int, by_gate: np.ndarray, by_code: np.ndarray):
         tokens, types, self.ends = by_gate
         self.mixer = mixer
         self.gate_total = np.maximum(tokens + self.ends, 1)
@@ -210,6 +326,15 @@ class Model:
         self.distinct = distinct + int(self.ends.sum() > 0)
         self.novel = min(1.0, (single + 1) / (self.total + 1)) if self.total else 1.0
         self.gate_price = np.log10((self.ends + 1) / (self.ends.sum() + GATES))
+        counts, types = by_code  # [code, gate]
+        end = END_HASH >> 24
+        counts[end] += self.ends
+        types[end] += self.ends > 0
+        everywhere = counts.sum(axis=1) / max(self.total, 1) * (1 - self.novel) + self.novel / 256
+        self.code_price = np.log10((counts - DISCOUNT * types) / self.gate_total + self.left() * everywhere[:, None])
+
+    def left(self) -> np.ndarray:
+        return np.where(self.gate_types > 0, DISCOUNT * self.gate_types / self.gate_total, 1.0)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         """log10 of the add-one share, from [token, gate] counts."""
@@ -220,8 +345,7 @@ class Model:
         share = counts.sum(axis=1) / max(self.total, 1) * (1 - self.novel)
         everywhere = np.logaddexp(np.log(np.maximum(share, 1e-300)), math.log(self.novel) + spelled * math.log(10))
         own = np.maximum(counts - DISCOUNT, 0) / self.gate_total
-        left = np.where(self.gate_types > 0, DISCOUNT * self.gate_types / self.gate_total, 1.0)
-        return np.logaddexp(np.log(np.maximum(own, 1e-300)), np.log(left) + everywhere[:, None]) / math.log(10)
+        return np.logaddexp(np.log(np.maximum(own, 1e-300)), np.log(self.left()) + everywhere[:, None]) / math.log(10)
 
 
 def _price(shared):
@@ -235,7 +359,8 @@ def _price(shared):
                 score = np.empty(counts.shape, np.float32)
                 for a in range(0, len(tokens), SOME):
                     spelled = model.mixer.log10_tokens(mixing.spell(tokens[a:a + SOME]))
-                    score[a:a + SOME] = model.token(spelled, counts[a:a + SOME])
+                    code = (word_hashes(tokens[a:a + SOME]) >> np.uint64(56)).astype(np.int64)
+                    score[a:a + SOME] = model.token(spelled, counts[a:a + SOME]) - model.code_price[code]
                 out: dict[str, list] = {k: [] for k in ("chunk", "docs", "known", "base", "score")}
                 for ref in batch.column("refs")[i].as_py():
                     token = np.repeat(np.frombuffer(ref["index"], np.uint32), np.frombuffer(ref["degree"], np.uint32))
@@ -293,18 +418,18 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     merged = save(rows.mapInArrow(_chunks(parts, arrow), schema).groupBy("part").applyInPandas(
         _merge, "part int, tokens binary, counts binary, "
         "refs array<struct<chunk:long,index:binary,gates:binary,degree:binary,docs:binary,times:binary>>, "
-        f"infos array<struct<{_struct(_INFO)}>>, n_distinct long, n_single long, by_gate array<long>"), "parts")
+        f"infos array<struct<{_struct(_INFO)}>>, n_distinct long, n_single long, by_gate array<long>, by_code array<long>"), "parts")
     distinct, single, *by_gate = merged.agg(
         *[F.coalesce(F.sum(c), F.lit(0)) for c in
           ("n_distinct", "n_single", *[F.get("by_gate", F.lit(k)) for k in range(3 * GATES)])]).first()
 
-    spelled = merged.select("tokens", "counts")
-    tables = (spelled.coalesce(max(4, parts // 8)).mapInArrow(_count_tables, "segment int, counts binary")
-              .groupBy("segment").applyInPandas(_sum_tables, "segment int, counts binary").collect())
-    table = np.zeros((2, mixing.ORDERS * mixing.SLOTS), np.int64)
-    width = table.shape[1] // SEGMENTS
-    for r in tables:
-        table[:, r["segment"] * width:(r["segment"] + 1) * width] = np.frombuffer(r["counts"], np.int64).reshape(2, -1)
+    by_code = np.zeros(2 * 256 * GATES, np.int64)
+    for r in merged.select(F.posexplode("by_code").alias("place", "n")).groupBy("place").agg(F.sum("n").alias("n")).collect():
+        by_code[r["place"]] = r["n"]
+
+    tasks = max(12, parts // 8)
+    spelled = merged.select("tokens", "counts").coalesce(tasks)
+    table = _summed(spelled.mapInArrow(_count_tables, "segment int, counts binary"), mixing.ORDERS * mixing.SLOTS)
     mixer = mixing.start(table)
     shared_table = spark.sparkContext.broadcast((mixer, np.minimum(table, 2 ** 31 - 1).astype(np.int32)))
 
@@ -312,29 +437,30 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         mixer, table = shared_table.value
         for batch in batches:
             for i in range(batch.num_rows):
-                tokens = _known_tokens(batch, i)
+                tokens, times = _known_tokens(batch, i)
                 if tokens:
-                    got = _trained(mixer, table, tokens)
-                    values = np.concatenate([got.weights.ravel(), got.refine.ravel()])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(range(len(values)), pa.int32()), pa.array(values), pa.array(np.full(len(values), len(tokens)))],
-                        names=["place", "value", "n"])
-
-    learned = (spelled.coalesce(max(4, parts // 8)).mapInArrow(online, "place int, value double, n long")
-               .groupBy("place").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value")).orderBy("place").collect())
-    if learned:
-        values = np.array([r["value"] for r in learned])
-        n = mixing.GATES * mixing.ORDERS
-        mixer.weights, mixer.refine = values[:n].reshape(mixing.GATES, -1), values[n:].reshape(256, -1)
-    model = Model(mixer, distinct, single, np.array(by_gate, np.int64).reshape(3, GATES))
+                    yield _learned(_trained(mixer, table, tokens, times), len(tokens))
+
+    _averaged(mixer, spelled.mapInArrow(online, "place int, value double, n long"))
+
+    infos = merged.select(F.explode("infos").alias("i")).select("i.*")
+    texts = infos.select("chunk", "gate", "train", "n_tokens", "words")
+    table = _summed(texts.coalesce(tasks).mapInArrow(_count_order, "segment int, counts binary"),
+                    mixing.WORD_ORDERS << mixing.WORD_SLOT_BITS)
+    order = mixing.start(table, mixing.WORD_ORDERS, mixing.WORD_SLOT_BITS, 1)
+    shared_order = spark.sparkContext.broadcast((order, np.minimum(table, 2 ** 31 - 1).astype(np.int32)))
+    _averaged(order, texts.mapInArrow(_train_order(shared_order), "place int, value double, n long"))
+
+    model = Model(mixer, distinct, single, np.array(by_gate, np.int64).reshape(3, GATES), by_code.reshape(2, 256, GATES))
     ends = model.ends[None, :]
-    end = (float(model.base(ends)[0]), model.token(mixer.log10_tokens(mixing.END), ends)[0] + model.gate_price,
+    end = (float(model.base(ends)[0]), model.token(mixer.log10_tokens(mixing.END), ends)[0] - model.code_price[END_HASH >> 24] + model.gate_price,
            bool(model.ends.sum() > 0))
     shared = spark.sparkContext.broadcast(model)
     priced = merged.select("tokens", "counts", "refs").mapInArrow(
         _price(shared), "chunk long, docs binary, known binary, base binary, score binary")
-    infos = merged.select(F.explode("infos").alias("i")).select("i.*")
-    return infos.groupBy("chunk").cogroup(priced.withColumnRenamed("chunk", "of").groupBy("of")).applyInPandas(
+    ordered = texts.mapInArrow(_price_order(spark.sparkContext.broadcast(order)), priced.schema)
+    priced = priced.unionByName(ordered)
+    return infos.drop("words").groupBy("chunk").cogroup(priced.withColumnRenamed("chunk", "of").groupBy("of")).applyInPandas(
         _finish(*end, model.total), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, bits_per_byte double")
 

@@ -10,7 +10,12 @@ cost, with a token's own counts left out.  The mixed probability is refined by
 an adaptive map (interpolated buckets of the vote per bit node), trained in
 the same pass.
 
-All tables have a fixed size: ``ORDERS`` times ``2**SLOT_BITS`` slots.
+The order of words is mixed in the same way: every word, the end of a text too,
+stands for a byte of its hash, whose bits are predicted from the class of the
+text and the one and two words before, counted wherever they occur.
+
+All tables have a fixed size: ``ORDERS`` times ``2**SLOT_BITS`` slots, and
+``WORD_ORDERS`` times ``2**WORD_SLOT_BITS``.
 """
 
 from __future__ import annotations
@@ -28,9 +33,11 @@ PRIOR = 0.4
 GATES = 8 * 6
 BUCKETS = 25            # of the adaptive map, from -12 to 12
 SLICE = 1 << 14         # bytes handled at once
+BATCH = 512             # bits of a gradient step
+WORD_ORDERS = 3
+WORD_SLOT_BITS = 19
 END = b"\n"
 
-_SHIFT = np.uint64(64 - SLOT_BITS)
 _NODE = np.uint64(0xD6E8FEB86659FD93)
 _LEVELS = np.arange(8)
 
@@ -59,26 +66,56 @@ def byte_contexts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         return x, mix64(out * np.uint64(ORDERS) + np.arange(ORDERS, dtype=np.uint64))
 
 
-def slots(x: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_contexts(tokens: np.ndarray, sizes: np.ndarray, gates: np.ndarray) -> np.ndarray:
+    """[token, order] context hashes of texts of ``sizes`` tokens, given by the
+    hashes of their words: the class of the text, one and two words before."""
+    n = len(tokens)
+    place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    one[1:], two[2:] = tokens[:-1], tokens[:-2]
+    one[place < 1] = 1 << 32  # no hash of 32 bits
+    two[place < 2] = 1 << 32
+    out = np.stack([np.repeat(gates, sizes).astype(np.uint64), one, mix64(one) ^ two], axis=1)
+    with np.errstate(over="ignore"):
+        return mix64(mix64(out) * np.uint64(WORD_ORDERS) + np.arange(WORD_ORDERS, dtype=np.uint64))
+
+
+def codes(hashes: np.ndarray) -> np.ndarray:
+    """The byte that stands for a word: the first of its hash (32 bits)."""
+    return (hashes >> np.uint32(24)).astype(np.uint8)
+
+
+def slots(x: np.ndarray, contexts: np.ndarray, slot_bits: int = SLOT_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """([byte, bit, order] slots over all orders, [byte, bit] bits and nodes)."""
     value = x.astype(np.int64)[:, None]
     nodes = (256 | value) >> (8 - _LEVELS)
     bits = (value >> (7 - _LEVELS)) & 1
     with np.errstate(over="ignore"):
-        at = (contexts[:, None, :] + nodes.astype(np.uint64)[:, :, None]) * _NODE >> _SHIFT
-    return at.astype(np.int64) + np.arange(ORDERS) * SLOTS, bits, nodes
+        at = (contexts[:, None, :] + nodes.astype(np.uint64)[:, :, None]) * _NODE >> np.uint64(64 - slot_bits)
+    return at.astype(np.int64) + (np.arange(contexts.shape[1]) << slot_bits), bits, nodes
 
 
-def count(data: bytes, table: np.ndarray) -> None:
-    """Adds every bit of the spelled tokens to ``table`` [bit, slot]."""
-    if not data:
-        return
-    x, contexts = byte_contexts(data)
+def count_bits(x: np.ndarray, contexts: np.ndarray, table: np.ndarray, slot_bits: int = SLOT_BITS,
+               times: np.ndarray | None = None) -> None:
+    """Adds every bit of the bytes to ``table`` [bit, slot], each ``times`` over."""
+    flat, width = table.reshape(-1), table.shape[1]
     for a in range(0, len(x), SLICE):
-        at, bits, _ = slots(x[a:a + SLICE], contexts[a:a + SLICE])
-        for k in range(ORDERS):
-            own = (at[:, :, k] - k * SLOTS + bits * SLOTS).reshape(-1)
-            table[:, k * SLOTS:(k + 1) * SLOTS] += np.bincount(own, minlength=2 * SLOTS).reshape(2, -1)
+        at, bits, _ = slots(x[a:a + SLICE], contexts[a:a + SLICE], slot_bits)
+        own = (at + bits[:, :, None] * width).reshape(-1)
+        np.add.at(flat, own, 1 if times is None else np.repeat(times[a:a + SLICE], len(own) // len(bits)))
+
+
+def count(data: bytes, table: np.ndarray, times: np.ndarray | None = None) -> None:
+    """Adds every bit of the spelled tokens to ``table`` [bit, slot], as often as
+    a token occurs (once without ``times``)."""
+    if data:
+        x, contexts = byte_contexts(data)
+        count_bits(x, contexts, table, times=None if times is None else by_byte(x, times))
+
+
+def by_byte(x: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Values of spelled tokens, for each of their bytes."""
+    return np.repeat(times, np.diff(np.flatnonzero(x == 0x20), prepend=-1))
 
 
 @dataclass
@@ -87,6 +124,8 @@ class Mixer:
     seen: np.ndarray         # [slot] gate step of how often the slot was seen
     weights: np.ndarray      # [gate, order]
     refine: np.ndarray       # [node, bucket] probabilities
+    slot_bits: int = SLOT_BITS
+    gate_order: int = 4      # the order whose slots choose the gate
 
     def _mix(self, votes, gates):
         return np.clip((self.weights[gates] * votes).sum(axis=-1), -11.99, 11.99)
@@ -99,17 +138,22 @@ class Mixer:
         mapped = self.refine[nodes, low] * (1 - part) + self.refine[nodes, low + 1] * part
         return np.clip(0.5 * (plain + mapped), 1e-6, 1 - 1e-6)
 
+    def log10_bytes(self, x: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+        """log10 probability of every byte."""
+        cost = np.empty(len(x))
+        for a in range(0, len(x), SLICE):
+            at, bits, nodes = slots(x[a:a + SLICE], contexts[a:a + SLICE], self.slot_bits)
+            gates = _LEVELS * 6 + self.seen[at[:, :, self.gate_order]]
+            p = self._refined(self._mix(self.votes[at], gates), nodes)
+            cost[a:a + SLICE] = np.log10(np.where(bits == 1, p, 1 - p)).sum(axis=1)
+        return cost
+
     def log10_tokens(self, data: bytes) -> np.ndarray:
         """log10 probability of every spelled token in ``data``."""
         if not data:
             return np.empty(0)
         x, contexts = byte_contexts(data)
-        cost = np.empty(len(x))
-        for a in range(0, len(x), SLICE):
-            at, bits, nodes = slots(x[a:a + SLICE], contexts[a:a + SLICE])
-            gates = _LEVELS * 6 + self.seen[at[:, :, 4]]
-            p = self._refined(self._mix(self.votes[at], gates), nodes)
-            cost[a:a + SLICE] = np.log10(np.where(bits == 1, p, 1 - p)).sum(axis=1)
+        cost = self.log10_bytes(x, contexts)
         closing = np.flatnonzero((x == 0x20) | (x == 0x0A))
         opening = np.concatenate([[0], closing[:-1] + 1])
         return np.add.reduceat(cost, opening)
@@ -119,39 +163,47 @@ def gate_steps(total: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(total + 1).astype(np.int64) // 2, 5)
 
 
-def start(table: np.ndarray) -> Mixer:
+def start(table: np.ndarray, orders: int = ORDERS, slot_bits: int = SLOT_BITS, gate_order: int = 4) -> Mixer:
     zeros, ones = table[0].astype(np.float64), table[1].astype(np.float64)
     votes = np.log((ones + PRIOR) / (zeros + PRIOR)).astype(np.float32)
     centers = 1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS // 2.0)))
     return Mixer(votes, gate_steps(zeros + ones).astype(np.int8),
-                 np.full((GATES, ORDERS), 0.3), np.tile(centers, (256, 1)))
+                 np.full((GATES, orders), 0.3), np.tile(centers, (256, 1)), slot_bits, gate_order)
 
 
-def train_online(mixer: Mixer, table: np.ndarray, data: bytes, rate: float = 0.02, batch: int = 512) -> Mixer:
-    """One online pass over spelled tokens, each of which the table has
-    counted once: its own count is left out of its votes."""
-    weights, refine = mixer.weights.copy(), mixer.refine.copy()
-    out = Mixer(mixer.votes, mixer.seen, weights, refine)
+def train_online(mixer: Mixer, table: np.ndarray, data: bytes, rate: float = 0.02, batch: int = BATCH,
+                 times: np.ndarray | None = None) -> Mixer:
+    """One online pass over spelled tokens, each of which the table has counted
+    ``times`` over (once without): its own counts are left out of its votes, so
+    that it is met as a new word."""
     if not data:
-        return out
+        return train_bytes(mixer, table, np.empty(0, np.uint8), np.empty((0, ORDERS), np.uint64))
     x, contexts = byte_contexts(data)
+    return train_bytes(mixer, table, x, contexts, rate, batch, None if times is None else by_byte(x, times))
+
+
+def train_bytes(mixer: Mixer, table: np.ndarray, x: np.ndarray, contexts: np.ndarray, rate: float = 0.02,
+                batch: int = BATCH, own: np.ndarray | None = None) -> Mixer:
+    """One online pass over bytes that the table has counted ``own`` times."""
+    weights, refine = mixer.weights.copy(), mixer.refine.copy()
+    out = Mixer(mixer.votes, mixer.seen, weights, refine, mixer.slot_bits, mixer.gate_order)
+    orders, near_map = weights.shape[1], refine.reshape(-1)
     for a in range(0, len(x), SLICE):
-        at, bits, nodes = slots(x[a:a + SLICE], contexts[a:a + SLICE])
-        one = bits[:, :, None]
-        ones = np.maximum(table[1][at].astype(np.float64) - one, 0)
-        zeros = np.maximum(table[0][at].astype(np.float64) - (1 - one), 0)
-        votes = np.log((ones + PRIOR) / (zeros + PRIOR)).reshape(-1, ORDERS)
-        gates = (_LEVELS * 6 + gate_steps(ones[:, :, 4] + zeros[:, :, 4])).reshape(-1)
+        at, bits, nodes = slots(x[a:a + SLICE], contexts[a:a + SLICE], mixer.slot_bits)
+        one, left = bits[:, :, None], 1 if own is None else own[a:a + SLICE, None, None]
+        ones = np.maximum(table[1][at] - one * left, 0)
+        zeros = np.maximum(table[0][at] - (1 - one) * left, 0)
+        votes = np.log((ones + PRIOR) / (zeros + PRIOR)).reshape(-1, orders)
+        gates = (_LEVELS * 6 + gate_steps(ones[:, :, mixer.gate_order] + zeros[:, :, mixer.gate_order])).reshape(-1)
         bits, nodes = bits.reshape(-1), nodes.reshape(-1)
         for b in range(0, len(bits), batch):
             g, v, y, node = gates[b:b + batch], votes[b:b + batch], bits[b:b + batch], nodes[b:b + batch]
             mixed = out._mix(v, g)
             error = y - 1 / (1 + np.exp(-mixed))
-            step = np.zeros_like(weights)
-            np.add.at(step, g, error[:, None] * v)
+            step = np.stack([np.bincount(g, error * v[:, k], GATES) for k in range(orders)], axis=1)
             used = np.bincount(g, minlength=GATES)
             weights += rate * step / np.sqrt(np.maximum(used, 1))[:, None]
-            near = np.rint(mixed).astype(np.int64) + BUCKETS // 2
-            np.add.at(refine, (node, near), 0.02 * (y - refine[node, near]))
+            near = node * BUCKETS + np.rint(mixed).astype(np.int64) + BUCKETS // 2
+            np.add.at(near_map, near, 0.02 * (y - near_map[near]))
         np.clip(refine, 1e-4, 1 - 1e-4, out=refine)
     return out

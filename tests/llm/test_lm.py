@@ -114,3 +114,40 @@ def test_session_partitions_do_not_change_scores(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert all(math.isclose(got[0][i], got[1][i], rel_tol=1e-9) for i in got[0])
+
+
+def test_bits_are_counted_as_often_as_tokens_occur():
+    whole, weighed = (np.zeros((2, mixing.ORDERS * mixing.SLOTS), np.int64) for _ in range(2))
+    mixing.count(mixing.spell([b"lorem", b"ipsum", b"lorem", b"lorem"]), whole)
+    mixing.count(mixing.spell([b"lorem", b"ipsum"]), weighed, np.array([3, 1]))
+    assert (whole == weighed).all() and whole.sum() == (3 * 6 + 6) * 8 * mixing.ORDERS
+
+
+def test_the_order_of_words_changes_scores(spark):
+    rng = random.Random(7)
+    chain = [b"w%d" % i for i in range(40)]
+
+    def text(shuffled):
+        at = rng.randrange(40)
+        said = [chain[(at + k) % 40].decode() for k in range(30)]
+        if shuffled:
+            rng.shuffle(said)
+        return " ".join(said)
+
+    rows = [(i, text(False)) for i in range(200)]
+    probe = text(False).split()
+    rows += [(1000, " ".join(probe)), (1001, " ".join(rng.sample(probe, len(probe))))]
+    got = {r["doc_id"]: r for r in scored(spark, documents(spark, rows), F.col("doc_id") >= 1000)}
+    assert abs(got[1000]["base_score"] - got[1001]["base_score"]) < 1e-9
+    assert got[1000]["score"] > got[1001]["score"] + 5
+    # at least two bits a word under what the shares alone give
+    assert got[1000]["score"] > got[1000]["base_score"] + 30 * 2 * math.log10(2)
+
+
+def test_codes_are_a_distribution():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 4, (2, 256, lm.GATES)).astype(np.int64)
+    counts[1] = np.minimum(counts[0], 1)
+    by_gate = np.stack([counts[0].sum(axis=0), counts[1].sum(axis=0), np.full(lm.GATES, 5)])
+    model = lm.Model(None, int((counts[0].sum(axis=1) > 0).sum()), 3, by_gate, counts)
+    assert np.allclose((10 ** model.code_price).sum(axis=0), 1)
