@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -143,6 +144,16 @@ def test_cube_reads_line_items_once_and_shuffles_words_not_customers(spark):
     assert out.where("customers < 10").isEmpty() and out.where("level = 3").count() == 1
 
 
+def test_cube_tasks_follow_the_line_items(spark, monkeypatch):
+    t = RoleTables(spark, SF_SMALL)
+    lines = t.order_items().count()
+    for most in (1000, 300):
+        monkeypatch.setattr(cubes, "TASK_ROWS", most)
+        plan = BUILDERS["revenue_cube"](t)._jdf.queryExecution().executedPlan().toString()
+        dealt = re.findall(r"hashpartitioning\((\w+)#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan)
+        assert set(dealt) == {(key, str(-(-lines // most))) for key in ("order_id", "_word")}
+
+
 # --- stored report
 
 
