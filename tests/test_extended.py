@@ -304,6 +304,13 @@ def test_bootstrap_error_is_near_the_formula(spark):
     assert [r.arm for r in resampling.bootstrap_summary(one).collect()] == ["A"]
 
 
+def test_replicates_are_drawn_once(spark):
+    users = spark.range(50).selectExpr("id AS user_id", "IF(id % 2 = 0, 'A', 'B') AS arm", "CAST(id AS decimal(12,2)) AS revenue")
+    plan = resampling.bootstrap_means(users, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan.split("Generate")[0].split("Aggregate")[-1]  # no second hash for a filter
+    assert "md5" not in _plan(resampling.bootstrap_summary(users, 5))
+
+
 def test_revenue_per_user_starts_with_the_exposure(spark):
     arms = spark.createDataFrame([(1, 1, "A", ts("2024-01-02 00:00:00")), (2, 2, "B", None), (3, None, "A", ts("2024-01-02 00:00:00"))],
                                  "exp_id long, user_id long, group string, exposed_ts timestamp_ntz")
