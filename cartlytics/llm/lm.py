@@ -54,7 +54,7 @@ SEGMENTS = 64
 GATES = 16
 DISCOUNT = 0.75
 SOME = 10_000           # tokens priced at once
-PART_BYTES = 32 << 20   # text that makes a part
+PART_BYTES = 16 << 20   # text that makes a part
 SLICE = 100_000         # tokens spelled at once
 
 END_HASH = int(word_hashes([mixing.END])[0]) >> 32
