@@ -154,6 +154,19 @@ def test_cube_tasks_follow_the_line_items(spark, monkeypatch):
         assert set(dealt) == {(key, str(-(-lines // most))) for key in ("order_id", "_word")}
 
 
+def test_tasks_of_the_sql_follow_the_line_items(spark, monkeypatch):
+    t = RoleTables(spark, SF_SMALL)
+    lines, before = t.order_items().count(), spark.conf.getAll
+    monkeypatch.setattr(cubes, "TASK_ROWS", 300)
+    df = BUILDERS["sql_category_months"](t)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(category#\d+, [^()]*, (\d+)\)", plan)
+    assert dealt and set(dealt) == {str(-(-lines // 300))}
+    monkeypatch.undo()
+    assert spark.conf.getAll == before  # the caller's session is left alone
+    assert df.collect() == BUILDERS["sql_category_months"](t).collect()
+
+
 # --- stored report
 
 
