@@ -45,6 +45,9 @@ TIMES = (1.0, 2.0, 4.0)  # of the estimated discounts, for what a class yields t
 PAIR = ORDER + 1         # level of the contexts that are a whole word
 N_FEATURES = 6
 KNOWN_WORDS = 200_000
+RANGE_BITS = 6          # the first bits of a key, by which the driver puts keys in order
+RANGES = 1 << RANGE_BITS
+HELD_KEYS = 500_000     # that a task holds at once
 #: Characters of scripts written without spaces: Thai, Lao, Tibetan, Myanmar,
 #: Khmer, kana and ideographs; and all of four bytes.
 _ALONE = rb"\xe0[\xb8-\xbf].|\xe1[\x80-\x82\x9e\x9f].|\xe2[\xba-\xbf].|[\xe3-\xe9]..|\xf0..."
@@ -281,44 +284,67 @@ def node_ratios(nodes: DataFrame, times=TIMES) -> DataFrame:
 
 
 def _keyed(width: int):
-    """Rows of ``node_ratios`` as (key, r...), the contexts among them; beginnings
+    """Rows of ``node_ratios`` as sorted keys with ratios, the contexts among
+    them: a few rows of bytes for each of ``RANGES`` ranges of keys.  Beginnings
     that neither class knows cancel, so the empty context has no row."""
     empty = context_keys(np.zeros(1), np.zeros(1, np.uint64))[0]
+    names = [f"r{k}" for k in range(width)]
+
+    def packed(held):
+        key, *ratios = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(key)
+        key, ratios = key[order], [r[order] for r in ratios]
+        cuts = np.searchsorted(key >> np.uint64(64 - RANGE_BITS), np.arange(RANGES + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            yield pa.RecordBatch.from_pydict({"range": pa.array([k], pa.int32()), **{
+                name: [x[cuts[k]:cuts[k + 1]].tobytes()] for name, x in zip(("key", *names), (key, *ratios), strict=True)}})
 
     def run(batches):
+        held: list[tuple] = []
         for batch in batches:
             context, tail = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "tail"))
             pair, first = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "first"))
             key = node_keys(context, np.where(pair, tail, tail & np.uint64(255)))
             own = first & (context != empty)
-            ratios = [np.concatenate([batch.column(f"r{k}").to_numpy(), batch.column(f"e{k}").to_numpy()[own]])
-                      .astype(np.float16).view(np.int16) for k in range(width)]  # two bytes each to the driver
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([key, context[own]]).view(np.int64)), *map(pa.array, ratios)],
-                names=["key", *[f"r{k}" for k in range(width)]])
+            held.append((np.concatenate([key, context[own]]), *[
+                np.concatenate([batch.column(f"r{k}").to_numpy(), batch.column(f"e{k}").to_numpy()[own]])
+                .astype(np.float16) for k in range(width)]))  # two bytes each to the driver
+            if sum(len(h[0]) for h in held) >= HELD_KEYS:
+                yield from packed(held)
+                held.clear()
+        if held:
+            yield from packed(held)
     return run
 
 
 def build_models(nodes: DataFrame, times=TIMES) -> list[Model]:
     """One model for each of ``times``.  Only keys and ratios reach the driver,
-    as many as the ``max_per_class`` documents of each class have contexts."""
+    as many as the ``max_per_class`` documents of each class have contexts: a
+    partition or two at a time, put in order range by range, so that neither the
+    driver's JVM holds them nor its Python two copies of all."""
     nodes = save(nodes, "nodes")
     free_shuffles(nodes.sparkSession)
     names = [f"r{k}" for k in range(len(times))]
-    schema = ", ".join(["key long", *[f"{n} short" for n in names]])
-    rows = node_ratios(nodes, times).mapInArrow(_keyed(len(times)), schema).toArrow()
+    schema = ", ".join(["range int, key binary", *[f"{n} binary" for n in names]])
+    pieces: list[list] = [[] for _ in range(RANGES)]
+    for r in node_ratios(nodes, times).mapInArrow(_keyed(len(times)), schema).toLocalIterator(prefetchPartitions=True):
+        pieces[r["range"]].append([bytes(r["key"]), *[bytes(r[n]) for n in names]])
     forget(nodes)
     free_shuffles(nodes.sparkSession)
-
-    def taken_out(name: str) -> np.ndarray:  # one column at a time, so that two copies of all never stand
-        nonlocal rows
-        out, rows = rows.column(name).to_numpy(), rows.drop_columns([name])
-        return out
-
-    keys = taken_out("key").view(np.uint64)
-    order = np.argsort(keys).astype(np.int32)
-    keys = keys[order]
-    return [Model(keys, taken_out(n)[order].view(np.float16)) for n in names]
+    n = sum(len(p[0]) for x in pieces for p in x) // 8
+    keys, ratios, at = np.empty(n, np.uint64), [np.empty(n, np.float16) for _ in names], 0
+    for k, held in enumerate(pieces):
+        pieces[k] = []
+        if not held:
+            continue
+        own, *of_own = (b"".join(x) for x in zip(*held, strict=True))
+        own = np.frombuffer(own, np.uint64)
+        order = np.argsort(own)
+        keys[at:at + len(own)] = own[order]
+        for out, x in zip(ratios, of_own, strict=True):
+            out[at:at + len(own)] = np.frombuffer(x, np.float16)[order]
+        at += len(own)
+    return [Model(keys, r) for r in ratios]
 
 
 def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) -> np.ndarray:

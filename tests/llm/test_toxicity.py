@@ -218,6 +218,22 @@ def test_models_equal_brute_force_kneser_ney(spark):
                 assert known[0] and abs(got[0] - want) < 2e-3 * max(1, abs(want)), x
 
 
+def test_the_driver_gets_keys_in_pieces_and_orders_them(spark, monkeypatch):
+    texts = [("alpha beta alpha gamma delta", 1), ("beta gamma epsilon alpha", 0)] * 3
+    nodes = spark.createDataFrame([(bytearray(t, "utf-8"), c) for t, c in texts], "text binary, toxic int").mapInArrow(
+        toxicity._count_words, "context long, tail long, pair boolean, n_toxic long, n_ordinary long").groupBy(
+        "context", "tail", "pair").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary")).persist()
+    monkeypatch.setattr(toxicity.DataFrame, "toArrow", None)  # all at once to the driver
+    got = []
+    for held in (1, 1_000_000):
+        monkeypatch.setattr(toxicity, "HELD_KEYS", held)
+        got.append(toxicity.build_models(nodes, (1.0, 4.0)))
+    keys = got[0][0].keys
+    assert len(keys) > 20 and (keys[1:] > keys[:-1]).all()
+    for few, many in zip(*got, strict=True):
+        assert (few.keys == many.keys).all() and (few.ratios == many.ratios).all()
+
+
 def test_calibration_on_few_equal_or_separable_rows():
     for n in (1, 2, 4, 5):
         equal = np.tile(np.array([0.5, 2.0, 0.0, 1.0, 1e3, -3.0]), (n, 1))
