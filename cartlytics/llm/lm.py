@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,8 @@ DISCOUNT = 0.75
 SOME = 10_000           # tokens priced at once
 PART_BYTES = 16 << 20   # text that makes a part
 SLICE = 100_000         # tokens spelled at once
+#: Rows of megabytes: a page ends with the row that fills it, not after a hundred.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1"}
 
 END_HASH = int(word_hashes([mixing.END])[0]) >> 32
 
@@ -131,38 +134,51 @@ def _chunks(parts: int, schema: pa.Schema):
     return run
 
 
-def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
-    """All chunks' rows of one part: distinct tokens, counts, references."""
-    infos = [x for x in pdf["info"] if x is not None]
-    blobs = [x for x in pdf["blob"] if x is not None]
-    lists = [bytes(b["tokens"]).split(b" ") for b in blobs]
-    tokens = [t for x in lists for t in x]
-    known, first, inverse = np.unique(word_hashes(tokens), return_index=True, return_inverse=True)
-    counts = np.zeros((len(known), GATES), np.int64)
-    refs, at = [], 0
-    for b, own in zip(blobs, lists, strict=True):
-        index = inverse[at:at + len(own)].astype(np.uint32)
-        at += len(own)
-        docs = np.frombuffer(b["docs"], np.uint16)
-        token = np.repeat(index, np.frombuffer(b["degree"], np.uint32))
-        times = np.frombuffer(b["times"], np.uint8) * np.frombuffer(b["train"], np.uint8)[docs].astype(np.int64)
-        np.add.at(counts, (token, np.frombuffer(b["gates"], np.uint8)[docs]), times)
-        refs.append({"chunk": b["chunk"], "index": index.tobytes(), "gates": b["gates"],
-                     "degree": b["degree"], "docs": b["docs"], "times": b["times"]})
-    total = counts.sum(axis=1)
-    by_code = np.zeros((2, 256, GATES), np.int64)
-    code = (known >> np.uint64(56)).astype(np.int64)
-    np.add.at(by_code[0], code, counts)
-    np.add.at(by_code[1], code, counts > 0)
-    ends = np.zeros(GATES, np.int64)
-    for i in infos:
-        np.add.at(ends, np.array(i["gate"], np.int64), np.array(i["train"], np.int64))
-    return pd.DataFrame({
-        "part": [int(pdf["part"].iloc[0])], "tokens": [b" ".join(tokens[i] for i in first)],
-        "counts": [_packed(counts)], "refs": [refs], "infos": [infos],
-        "n_distinct": [int((total > 0).sum())], "n_single": [int((total == 1).sum())],
-        "by_gate": [np.stack([counts.sum(axis=0), (counts > 0).sum(axis=0), ends]).ravel().tolist()],
-        "by_code": [by_code.ravel().tolist()]})
+def _merge(schema: pa.Schema):
+    """All chunks' rows of one part: distinct tokens, counts, references.  What
+    tells of a whole chunk passes through as rows of its own, batch by batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs, ends, part = [], np.zeros(GATES, np.int64), None
+        for batch in batches:
+            part = batch.column("part")[0].as_py()
+            info, blob = batch.column("info"), batch.column("blob")
+            infos = info.filter(info.is_valid())
+            for i in infos:
+                np.add.at(ends, np.array(i["gate"].as_py(), np.int64), np.array(i["train"].as_py(), np.int64))
+            if len(infos):
+                yield pa.RecordBatch.from_arrays([
+                    infos.cast(f.type) if f.name == "info" else pa.nulls(len(infos), f.type) for f in schema], schema=schema)
+            blobs.extend(blob.filter(blob.is_valid()).to_pylist())
+            del batch, info, blob, infos
+        hashes = [word_hashes(b["tokens"].split(b" ")) for b in blobs]
+        starts = np.cumsum([0, *map(len, hashes)])
+        known, first, inverse = np.unique(np.concatenate([np.empty(0, np.uint64), *hashes]), return_index=True, return_inverse=True)
+        order = np.argsort(first)
+        cuts = np.searchsorted(first[order], starts)
+        tokens: list[bytes] = [b""] * len(known)
+        counts = np.zeros((len(known), GATES), np.int64)
+        refs = []
+        for k, b in enumerate(blobs):
+            own = b.pop("tokens").split(b" ")
+            for i in order[cuts[k]:cuts[k + 1]].tolist():
+                tokens[i] = own[first[i] - starts[k]]
+            index = inverse[starts[k]:starts[k + 1]].astype(np.uint32)
+            docs = np.frombuffer(b["docs"], np.uint16)
+            token = np.repeat(index, np.frombuffer(b["degree"], np.uint32))
+            times = np.frombuffer(b["times"], np.uint8) * np.frombuffer(b.pop("train"), np.uint8)[docs].astype(np.int64)
+            np.add.at(counts, (token, np.frombuffer(b["gates"], np.uint8)[docs]), times)
+            refs.append({**b, "index": index.tobytes()})
+        total = counts.sum(axis=1)
+        by_code = np.zeros((2, 256, GATES), np.int64)
+        code = (known >> np.uint64(56)).astype(np.int64)
+        np.add.at(by_code[0], code, counts)
+        np.add.at(by_code[1], code, counts > 0)
+        yield pa.RecordBatch.from_pylist([{
+            "part": part, "tokens": b" ".join(tokens), "counts": _packed(counts), "refs": refs, "info": None,
+            "n_distinct": int((total > 0).sum()), "n_single": int((total == 1).sum()),
+            "by_gate": np.stack([counts.sum(axis=0), (counts > 0).sum(axis=0), ends]).ravel().tolist(),
+            "by_code": by_code.ravel().tolist()}], schema)
+    return run
 
 
 def _packed(counts: np.ndarray) -> bytes:
@@ -415,10 +431,12 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                        F.coalesce(held_out, F.lit(False)).alias("held"))
     schema = f"part int, info struct<{_struct(_INFO)}>, blob struct<{_struct(_BLOB)}>"
     arrow = _arrow_schema(spark, schema)
-    merged = save(rows.mapInArrow(_chunks(parts, arrow), schema).groupBy("part").applyInPandas(
-        _merge, "part int, tokens binary, counts binary, "
-        "refs array<struct<chunk:long,index:binary,gates:binary,degree:binary,docs:binary,times:binary>>, "
-        f"infos array<struct<{_struct(_INFO)}>>, n_distinct long, n_single long, by_gate array<long>, by_code array<long>"), "parts")
+    of_part = ("part int, tokens binary, counts binary, "
+               "refs array<struct<chunk:long,index:binary,gates:binary,degree:binary,docs:binary,times:binary>>, "
+               f"info struct<{_struct(_INFO)}>, n_distinct long, n_single long, by_gate array<long>, by_code array<long>")
+    merged = save(rows.mapInArrow(_chunks(parts, arrow), schema).groupBy("part").applyInArrow(
+        _merge(_arrow_schema(spark, of_part)), of_part), "parts", **LARGE_ROWS)
+    tables, infos = merged.where("tokens IS NOT NULL"), merged.where("info IS NOT NULL").select("info.*")
     distinct, single, *by_gate = merged.agg(
         *[F.coalesce(F.sum(c), F.lit(0)) for c in
           ("n_distinct", "n_single", *[F.get("by_gate", F.lit(k)) for k in range(3 * GATES)])]).first()
@@ -428,7 +446,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         by_code[r["place"]] = r["n"]
 
     tasks = max(12, parts // 8)
-    spelled = merged.select("tokens", "counts").coalesce(tasks)
+    spelled = tables.select("tokens", "counts").coalesce(tasks)
     table = _summed(spelled.mapInArrow(_count_tables, "segment int, counts binary"), mixing.ORDERS * mixing.SLOTS)
     mixer = mixing.start(table)
     shared_table = spark.sparkContext.broadcast((mixer, np.minimum(table, 2 ** 31 - 1).astype(np.int32)))
@@ -443,7 +461,6 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
 
     _averaged(mixer, spelled.mapInArrow(online, "place int, value double, n long"))
 
-    infos = merged.select(F.explode("infos").alias("i")).select("i.*")
     texts = infos.select("chunk", "gate", "train", "n_tokens", "words")
     table = _summed(texts.coalesce(tasks).mapInArrow(_count_order, "segment int, counts binary"),
                     mixing.WORD_ORDERS << mixing.WORD_SLOT_BITS)
@@ -456,7 +473,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     end = (float(model.base(ends)[0]), model.token(mixer.log10_tokens(mixing.END), ends)[0] - model.code_price[END_HASH >> 24] + model.gate_price,
            bool(model.ends.sum() > 0))
     shared = spark.sparkContext.broadcast(model)
-    priced = merged.select("tokens", "counts", "refs").mapInArrow(
+    priced = tables.select("tokens", "counts", "refs").mapInArrow(
         _price(shared), "chunk long, docs binary, known binary, base binary, score binary")
     ordered = texts.mapInArrow(_price_order(spark.sparkContext.broadcast(order)), priced.schema)
     priced = priced.unionByName(ordered)

@@ -46,6 +46,16 @@ def spell(tokens: list[bytes]) -> bytes:
     return b" ".join(tokens) + b" " if tokens else b""
 
 
+def _by_order(contexts: np.ndarray) -> np.ndarray:
+    """Hashes [byte, order] that tell the orders apart, in place and one order at
+    a time, so that no further copies of all are held."""
+    orders = contexts.shape[1]
+    for k in range(orders):
+        with np.errstate(over="ignore"):
+            contexts[:, k] = mix64(contexts[:, k] * np.uint64(orders) + np.uint64(k))
+    return contexts
+
+
 def byte_contexts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, [byte, order] context hashes) of spelled tokens."""
     x = np.frombuffer(data, np.uint8)
@@ -62,8 +72,7 @@ def byte_contexts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         previous[k:] = x[:-k]
         before |= np.where(place >= k, previous, np.uint64(0)) << np.uint64(8 * (k - 1))
         out[:, k] = before
-    with np.errstate(over="ignore"):
-        return x, mix64(out * np.uint64(ORDERS) + np.arange(ORDERS, dtype=np.uint64))
+    return x, _by_order(out)
 
 
 def word_contexts(tokens: np.ndarray, sizes: np.ndarray, gates: np.ndarray) -> np.ndarray:
@@ -76,8 +85,9 @@ def word_contexts(tokens: np.ndarray, sizes: np.ndarray, gates: np.ndarray) -> n
     one[place < 1] = 1 << 32  # no hash of 32 bits
     two[place < 2] = 1 << 32
     out = np.stack([np.repeat(gates, sizes).astype(np.uint64), one, mix64(one) ^ two], axis=1)
-    with np.errstate(over="ignore"):
-        return mix64(mix64(out) * np.uint64(WORD_ORDERS) + np.arange(WORD_ORDERS, dtype=np.uint64))
+    for k in range(WORD_ORDERS):
+        out[:, k] = mix64(out[:, k])
+    return _by_order(out)
 
 
 def codes(hashes: np.ndarray) -> np.ndarray:

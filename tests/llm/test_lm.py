@@ -3,11 +3,12 @@ from __future__ import annotations
 import collections
 import math
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from cartlytics.llm import lm, mixing
+from cartlytics.llm import common, lm, mixing
 
 from .conftest import ODD_ROWS, documents, prose
 
@@ -144,6 +145,29 @@ def test_the_order_of_words_changes_scores(spark):
     assert got[1000]["score"] > got[1000]["base_score"] + 30 * 2 * math.log10(2)
 
 
+def test_contexts_are_hashed_without_copies_of_all():
+    data = mixing.spell([b"w%d" % i for i in range(40_000)])
+    words = np.arange(len(data), dtype=np.uint32)
+    for most, run in ((2.2, lambda: mixing.byte_contexts(data)[1]),
+                      (3.2, lambda: mixing.word_contexts(words, np.array([len(words)]), np.zeros(1, np.int64)))):
+        tracemalloc.start()
+        made = run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * made.nbytes
+
+
+def test_chunks_pass_their_part_as_rows_of_their_own(spark, monkeypatch):
+    saved = []
+    monkeypatch.setattr(lm, "save", lambda df, *a, **b: saved.append(common.save(df, *a, **b)) or saved[-1])
+    monkeypatch.setattr(lm, "CHUNK_DOCS", 10)
+    rng = random.Random(8)
+    lm.score(documents(spark, [(i, prose(rng, 20)) for i in range(60)]).coalesce(1), F.col("doc_id") % 5 == 0)
+    rows = saved[0].collect()
+    assert sum(r["tokens"] is not None for r in rows) == 1
+    assert [len(r["info"]["doc_id"]) for r in rows if r["tokens"] is None] == [10] * 6
+
+
 def test_codes_are_a_distribution():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 4, (2, 256, lm.GATES)).astype(np.int64)
