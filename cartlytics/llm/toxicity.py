@@ -431,6 +431,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
     seen = (texts(first(rows.where("not _fit"), max_calibration)).select("text", "toxic")
             .mapInArrow(features, ", ".join(["toxic int", *[f"{n} double" for n in names]])).toPandas())
     shared.destroy()
+    free_shuffles(spark)  # what the JVM held for the model build goes before the next broadcast
     labels_seen, losses = seen["toxic"].to_numpy(float), []
     for k, model in enumerate(models):
         own = seen[names[k * N_FEATURES:(k + 1) * N_FEATURES]].to_numpy(float)
