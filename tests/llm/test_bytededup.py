@@ -8,7 +8,7 @@ import pytest
 
 from cartlytics.llm import bytededup
 
-from .conftest import DOCS, ODD_ROWS, documents
+from .conftest import DOCS, ODD_ROWS, documents, prose
 
 
 def brute(texts: list[bytes], length: int) -> list[bytes]:
@@ -111,3 +111,11 @@ def test_odd_rows_and_clashing_names(spark):
     assert bytededup.cut_repeats(spark.createDataFrame([], DOCS)).count() == 0
     with pytest.raises(ValueError):
         bytededup.window_for(32)
+
+
+def test_equal_texts_of_one_shard_are_removed_whole(spark):
+    rng = random.Random(11)
+    twin, other = prose(rng, 800, 5000), prose(rng, 800, 5000)
+    docs = documents(spark, [(1, twin), (2, other), (3, twin)]).coalesce(1)
+    got = {r["doc_id"]: bytes(r["kept"]) for r in bytededup.cut_repeats(docs).collect()}
+    assert got == {1: b"", 2: other.encode(), 3: b""}
