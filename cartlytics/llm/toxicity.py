@@ -47,6 +47,7 @@ N_FEATURES = 6
 KNOWN_WORDS = 200_000
 RANGE_BITS = 6          # the first bits of a key, by which the driver puts keys in order
 RANGES = 1 << RANGE_BITS
+RANGES_AT_ONCE = 8      # that the driver reads
 HELD_KEYS = 500_000     # that a task holds at once
 #: Characters of scripts written without spaces: Thai, Lao, Tibetan, Myanmar,
 #: Khmer, kana and ideographs; and all of four bytes.
@@ -319,31 +320,30 @@ def _keyed(width: int):
 
 def build_models(nodes: DataFrame, times=TIMES) -> list[Model]:
     """One model for each of ``times``.  Only keys and ratios reach the driver,
-    as many as the ``max_per_class`` documents of each class have contexts: a
-    partition or two at a time, put in order range by range, so that neither the
+    as many as the ``max_per_class`` documents of each class have contexts: some
+    ranges of keys at a time, each put in order in its place, so that neither the
     driver's JVM holds them nor its Python two copies of all."""
     nodes = save(nodes, "nodes")
-    free_shuffles(nodes.sparkSession)
     names = [f"r{k}" for k in range(len(times))]
     schema = ", ".join(["range int, key binary", *[f"{n} binary" for n in names]])
-    pieces: list[list] = [[] for _ in range(RANGES)]
-    for r in node_ratios(nodes, times).mapInArrow(_keyed(len(times)), schema).toLocalIterator(prefetchPartitions=True):
-        pieces[r["range"]].append([bytes(r["key"]), *[bytes(r[n]) for n in names]])
+    keyed = save(node_ratios(nodes, times).mapInArrow(_keyed(len(times)), schema), "keyed")
     forget(nodes)
-    free_shuffles(nodes.sparkSession)
-    n = sum(len(p[0]) for x in pieces for p in x) // 8
+    n = (keyed.agg(F.sum(F.length("key").cast("long"))).first()[0] or 0) // 8
     keys, ratios, at = np.empty(n, np.uint64), [np.empty(n, np.float16) for _ in names], 0
-    for k, held in enumerate(pieces):
-        pieces[k] = []
-        if not held:
-            continue
-        own, *of_own = (b"".join(x) for x in zip(*held, strict=True))
-        own = np.frombuffer(own, np.uint64)
-        order = np.argsort(own)
-        keys[at:at + len(own)] = own[order]
-        for out, x in zip(ratios, of_own, strict=True):
-            out[at:at + len(own)] = np.frombuffer(x, np.float16)[order]
-        at += len(own)
+    free_shuffles(nodes.sparkSession)
+    for a in range(0, RANGES, RANGES_AT_ONCE):
+        pieces: dict[int, list] = {}
+        for r in keyed.where(F.col("range").between(a, a + RANGES_AT_ONCE - 1)).toLocalIterator():
+            pieces.setdefault(r["range"], []).append([bytes(r[n]) for n in ("key", *names)])
+        for k in sorted(pieces):
+            own, *of_own = (b"".join(x) for x in zip(*pieces.pop(k), strict=True))
+            own = np.frombuffer(own, np.uint64)
+            order = np.argsort(own)
+            keys[at:at + len(own)] = own[order]
+            for out, x in zip(ratios, of_own, strict=True):
+                out[at:at + len(own)] = np.frombuffer(x, np.float16)[order]
+            at += len(own)
+    forget(keyed)
     return [Model(keys, r) for r in ratios]
 
 
@@ -430,7 +430,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
 
     seen = (texts(first(rows.where("not _fit"), max_calibration)).select("text", "toxic")
             .mapInArrow(features, ", ".join(["toxic int", *[f"{n} double" for n in names]])).toPandas())
-    shared.destroy()
+    shared.destroy(blocking=True)  # every executor holds a file of it
     free_shuffles(spark)  # what the JVM held for the model build goes before the next broadcast
     labels_seen, losses = seen["toxic"].to_numpy(float), []
     for k, model in enumerate(models):

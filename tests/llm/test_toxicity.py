@@ -263,3 +263,33 @@ def test_words_met_before_are_spelled_once(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "KNOWN_WORDS", 2)
     for _ in range(3):
         assert np.allclose(model.known_ratios(words), want) and len(model.met) == 4
+
+
+def test_the_model_build_leaves_no_files(spark, monkeypatch):
+    """Neither shuffle files nor tables wait for the driver's garbage collection."""
+    from pathlib import Path
+    from time import sleep
+
+    from cartlytics.llm.common import scratch_dir
+
+    monkeypatch.setattr(toxicity, "free_shuffles", lambda spark: None)
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        shuffles = {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+        return shuffles | set(Path(scratch_dir(spark).removeprefix("file:")).rglob("llm-*/*/part-*"))
+
+    before = files()
+    models = toxicity.build_models(spark.createDataFrame(
+        [(k % 50, k, k % 2 == 0, k % 3, 1) for k in range(400)],
+        "context long, tail long, pair boolean, n_toxic int, n_ordinary int").repartition(5, "context"))
+    assert len(models[0].keys) > 400
+    assert (np.diff(models[0].keys.astype(float)) >= 0).all()
+    for _ in range(50):  # removal is not waited for
+        left = sum(f.stat().st_size for f in files() - before if f.exists())
+        if left < 3000:  # the few rows of counts that are collected
+            break
+        sleep(0.2)
+    assert left < 3000
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(key) == "false"
