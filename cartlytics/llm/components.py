@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import free_shuffles, save
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -30,4 +30,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         seen = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == before:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        free_shuffles(edges.sparkSession)  # the round's plans and joins go before the next
         before = tuple(seen)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, save, text_bytes
+from .common import bounded_batches, free_shuffles, save, text_bytes
 
 MIN_WORDS = 25
 MAX_BROADCAST_DOCS = 500_000
@@ -133,6 +133,7 @@ def suffix_ranks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             "doc", "line", F.col("next").alias("rank"), (F.col("ahead") != BREAK).alias("whole"), "n"), "ranks")
         by_two = by_two or ranked.where("whole").select("doc", "line", "rank")
         open_ = ranked.where("whole and n > 1").limit(1).count()
+        free_shuffles(rows.sparkSession)  # and the plans of the round, of which the driver's JVM holds all until then
         ranked = ranked.select("doc", "line", "rank")
         step *= 2
         if not open_:
@@ -256,6 +257,7 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS, name: str = "kept") -> DataFrame:
     """``docs`` with a column ``name`` added: the remaining lines, null where
     nothing was deleted."""
+    free_shuffles(docs.sparkSession)  # what came before, such as broadcasts
     lines = line_table(docs)
     gone = later_copies(lines, min_words).groupBy("doc", "until").agg(F.min("line").alias("line"))
     gone = gone.groupBy("doc").agg(F.collect_set(F.struct("line", "until")).alias("gone"))

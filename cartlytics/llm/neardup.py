@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, mix64, save, shingle_hashes, text_bytes, word_hashes, words
+from .common import bounded_batches, free_shuffles, mix64, save, shingle_hashes, text_bytes, word_hashes, words
 from .components import connected_components
 
 BANDS, WIDTH, MANTISSA = 40, 5, 10
@@ -268,6 +268,7 @@ def block_links(reps: list, component: list, sets: list, percent: int, width: in
 
 def groups(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
+    free_shuffles(docs.sparkSession)  # what came before
     search = _Search(docs, shingle_words, percent)
     parts = connected_components(search.links()).withColumnRenamed("node", "rep")
     named = search.classes.join(parts, "rep", "left").select(

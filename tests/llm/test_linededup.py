@@ -86,3 +86,12 @@ def test_odd_rows_and_empty_tables(spark):
     assert sorted(map(str, got[None])) == ["", "None", "a null id"]
     assert got[1] == [None] and got[2] == [""] and got[5] == ["one", "one"] and got[7] == ["z" * 70_000]
     assert linededup.filter_lines(documents(spark, [])).count() == 0
+
+
+def test_every_round_frees_what_it_held(spark, monkeypatch):
+    freed = []
+    monkeypatch.setattr(linededup, "free_shuffles", freed.append, raising=False)
+    rows = [(k, "\n".join(f"{'word ' * 9}{j}" for j in range(40))) for k in range(2)]
+    rows.append((2, rows[0][1] + "\nown\n" + rows[0][1][:900]))
+    linededup.filter_lines(documents(spark, rows)).count()
+    assert len(freed) >= 3  # one before, one a round

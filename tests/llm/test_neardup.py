@@ -123,3 +123,13 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(101, 141)}, **{i: 3 for i in range(7, 40)}}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_every_round_of_components_frees_what_it_held(spark, monkeypatch):
+    from cartlytics.llm import components
+
+    freed = []
+    monkeypatch.setattr(components, "free_shuffles", freed.append, raising=False)
+    chain = spark.createDataFrame([(k, k + 1) for k in range(12)], "a long, b long")
+    found = {r["node"]: r["component"] for r in components.connected_components(chain).collect()}
+    assert found == dict.fromkeys(range(1, 13), 0) and len(freed) >= 2
