@@ -40,6 +40,8 @@ END = b"\n"
 
 _NODE = np.uint64(0xD6E8FEB86659FD93)
 _LEVELS = np.arange(8)
+_LOGS = np.log(np.arange(1 << 16) + PRIOR)
+_STEPS = np.array([3, 15, 63, 255, 1023])
 
 
 def spell(tokens: list[bytes]) -> bytes:
@@ -95,14 +97,23 @@ def codes(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint32(24)).astype(np.uint8)
 
 
-def slots(x: np.ndarray, contexts: np.ndarray, slot_bits: int = SLOT_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """([byte, bit, order] slots over all orders, [byte, bit] bits and nodes)."""
+def bits_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """[byte, bit] bits and nodes."""
     value = x.astype(np.int64)[:, None]
-    nodes = (256 | value) >> (8 - _LEVELS)
-    bits = (value >> (7 - _LEVELS)) & 1
+    return (value >> (7 - _LEVELS)) & 1, (256 | value) >> (8 - _LEVELS)
+
+
+def places(nodes: np.ndarray, contexts: np.ndarray, order: int, slot_bits: int = SLOT_BITS) -> np.ndarray:
+    """[byte, bit] slots of one order among those of all."""
     with np.errstate(over="ignore"):
-        at = (contexts[:, None, :] + nodes.astype(np.uint64)[:, :, None]) * _NODE >> np.uint64(64 - slot_bits)
-    return at.astype(np.int64) + (np.arange(contexts.shape[1]) << slot_bits), bits, nodes
+        at = (contexts[:, order, None] * _NODE + nodes.astype(np.uint64) * _NODE) >> np.uint64(64 - slot_bits)
+    return at.view(np.int64) + (order << slot_bits)
+
+
+def slots(x: np.ndarray, contexts: np.ndarray, slot_bits: int = SLOT_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """([byte, bit, order] slots over all orders, [byte, bit] bits and nodes)."""
+    bits, nodes = bits_of(x)
+    return np.stack([places(nodes, contexts, k, slot_bits) for k in range(contexts.shape[1])], axis=2), bits, nodes
 
 
 def count_bits(x: np.ndarray, contexts: np.ndarray, table: np.ndarray, slot_bits: int = SLOT_BITS,
@@ -110,9 +121,11 @@ def count_bits(x: np.ndarray, contexts: np.ndarray, table: np.ndarray, slot_bits
     """Adds every bit of the bytes to ``table`` [bit, slot], each ``times`` over."""
     flat, width = table.reshape(-1), table.shape[1]
     for a in range(0, len(x), SLICE):
-        at, bits, _ = slots(x[a:a + SLICE], contexts[a:a + SLICE], slot_bits)
-        own = (at + bits[:, :, None] * width).reshape(-1)
-        np.add.at(flat, own, 1 if times is None else np.repeat(times[a:a + SLICE], len(own) // len(bits)))
+        bits, nodes = bits_of(x[a:a + SLICE])
+        ones = bits * width
+        many = 1 if times is None else np.repeat(times[a:a + SLICE], bits.shape[1])
+        for k in range(contexts.shape[1]):
+            np.add.at(flat, (places(nodes, contexts[a:a + SLICE], k, slot_bits) + ones).reshape(-1), many)
 
 
 def count(data: bytes, table: np.ndarray, times: np.ndarray | None = None) -> None:
@@ -144,18 +157,24 @@ class Mixer:
         place = mixed + (BUCKETS // 2)
         low = place.astype(np.int64)
         part = place - low
-        plain = 1 / (1 + np.exp(-mixed))
-        mapped = self.refine[nodes, low] * (1 - part) + self.refine[nodes, low + 1] * part
-        return np.clip(0.5 * (plain + mapped), 1e-6, 1 - 1e-6)
+        low += nodes * BUCKETS
+        mapped = self.refine.reshape(-1)
+        mapped = mapped.take(low) * (1 - part) + mapped.take(low + 1) * part
+        return np.clip(0.5 * (1 / (1 + np.exp(-mixed)) + mapped), 1e-6, 1 - 1e-6)
 
     def log10_bytes(self, x: np.ndarray, contexts: np.ndarray) -> np.ndarray:
         """log10 probability of every byte."""
         cost = np.empty(len(x))
+        weights = np.ascontiguousarray(self.weights.T)
         for a in range(0, len(x), SLICE):
-            at, bits, nodes = slots(x[a:a + SLICE], contexts[a:a + SLICE], self.slot_bits)
-            gates = _LEVELS * 6 + self.seen[at[:, :, self.gate_order]]
-            p = self._refined(self._mix(self.votes[at], gates), nodes)
-            cost[a:a + SLICE] = np.log10(np.where(bits == 1, p, 1 - p)).sum(axis=1)
+            own = contexts[a:a + SLICE]
+            bits, nodes = bits_of(x[a:a + SLICE])
+            gates = _LEVELS * 6 + self.seen.take(places(nodes, own, self.gate_order, self.slot_bits))
+            mixed = np.zeros(bits.shape)
+            for k in range(len(weights)):
+                mixed += weights[k].take(gates) * self.votes.take(places(nodes, own, k, self.slot_bits))
+            p = self._refined(np.clip(mixed, -11.99, 11.99), nodes)
+            cost[a:a + SLICE] = np.log10(np.where(bits == 1, p, 1 - p).prod(axis=1))
         return cost
 
     def log10_tokens(self, data: bytes) -> np.ndarray:
@@ -170,7 +189,16 @@ class Mixer:
 
 
 def gate_steps(total: np.ndarray) -> np.ndarray:
-    return np.minimum(np.log2(total + 1).astype(np.int64) // 2, 5)
+    return np.searchsorted(_STEPS, total, "right")
+
+
+def _logs(counts: np.ndarray) -> np.ndarray:
+    """log(count + PRIOR)."""
+    out = _LOGS.take(counts, mode="clip")
+    large = counts >= len(_LOGS)
+    if large.any():
+        out[large] = np.log(counts[large] + PRIOR)
+    return out
 
 
 def start(table: np.ndarray, orders: int = ORDERS, slot_bits: int = SLOT_BITS, gate_order: int = 4) -> Mixer:
@@ -197,23 +225,28 @@ def train_bytes(mixer: Mixer, table: np.ndarray, x: np.ndarray, contexts: np.nda
     """One online pass over bytes that the table has counted ``own`` times."""
     weights, refine = mixer.weights.copy(), mixer.refine.copy()
     out = Mixer(mixer.votes, mixer.seen, weights, refine, mixer.slot_bits, mixer.gate_order)
-    orders, near_map = weights.shape[1], refine.reshape(-1)
+    orders, flat, near_map = weights.shape[1], weights.reshape(-1), refine.reshape(-1)
     for a in range(0, len(x), SLICE):
-        at, bits, nodes = slots(x[a:a + SLICE], contexts[a:a + SLICE], mixer.slot_bits)
-        one, left = bits[:, :, None], 1 if own is None else own[a:a + SLICE, None, None]
-        ones = np.maximum(table[1][at] - one * left, 0)
-        zeros = np.maximum(table[0][at] - (1 - one) * left, 0)
-        votes = np.log((ones + PRIOR) / (zeros + PRIOR)).reshape(-1, orders)
-        gates = (_LEVELS * 6 + gate_steps(ones[:, :, mixer.gate_order] + zeros[:, :, mixer.gate_order])).reshape(-1)
-        bits, nodes = bits.reshape(-1), nodes.reshape(-1)
-        for b in range(0, len(bits), batch):
-            g, v, y, node = gates[b:b + batch], votes[b:b + batch], bits[b:b + batch], nodes[b:b + batch]
-            mixed = out._mix(v, g)
+        bits, nodes = bits_of(x[a:a + SLICE])
+        left = 1 if own is None else own[a:a + SLICE, None]
+        off = bits * left, (1 - bits) * left
+        votes = np.empty((bits.size, orders))
+        for k in range(orders):
+            at = places(nodes, contexts[a:a + SLICE], k, mixer.slot_bits)
+            ones, zeros = np.maximum(table[1].take(at) - off[0], 0), np.maximum(table[0].take(at) - off[1], 0)
+            votes[:, k] = (_logs(ones) - _logs(zeros)).reshape(-1)
+            if k == mixer.gate_order:
+                gates = (_LEVELS * 6 + gate_steps(ones + zeros)).reshape(-1)
+        bits, nodes = bits.reshape(-1), nodes.reshape(-1) * BUCKETS + BUCKETS // 2
+        cells = gates[:, None] * orders + np.arange(orders)
+        used = np.bincount(np.arange(len(bits)) // batch * GATES + gates, minlength=-(-len(bits) // batch) * GATES)
+        rates = np.repeat(rate / np.sqrt(np.maximum(used, 1)), orders).reshape(-1, GATES * orders)
+        for n, b in enumerate(range(0, len(bits), batch)):
+            cell, v, y, node = cells[b:b + batch], votes[b:b + batch], bits[b:b + batch], nodes[b:b + batch]
+            mixed = np.minimum(np.maximum(np.einsum("ij,ij->i", flat.take(cell), v), -11.99), 11.99)
             error = y - 1 / (1 + np.exp(-mixed))
-            step = np.stack([np.bincount(g, error * v[:, k], GATES) for k in range(orders)], axis=1)
-            used = np.bincount(g, minlength=GATES)
-            weights += rate * step / np.sqrt(np.maximum(used, 1))[:, None]
-            near = node * BUCKETS + np.rint(mixed).astype(np.int64) + BUCKETS // 2
-            np.add.at(near_map, near, 0.02 * (y - near_map[near]))
+            flat += rates[n] * np.bincount(cell.reshape(-1), (error[:, None] * v).reshape(-1), GATES * orders)
+            near = node + np.rint(mixed).astype(np.int64)
+            np.add.at(near_map, near, 0.02 * (y - near_map.take(near)))
         np.clip(refine, 1e-4, 1 - 1e-4, out=refine)
     return out

@@ -175,3 +175,20 @@ def test_codes_are_a_distribution():
     by_gate = np.stack([counts[0].sum(axis=0), counts[1].sum(axis=0), np.full(lm.GATES, 5)])
     model = lm.Model(None, int((counts[0].sum(axis=1) > 0).sum()), 3, by_gate, counts)
     assert np.allclose((10 ** model.code_price).sum(axis=0), 1)
+
+
+def test_mixing_holds_one_order_at_a_time():
+    rng = np.random.default_rng(5)
+    data = mixing.spell([b"w%d" % k for k in rng.integers(0, 5000, 3 * mixing.SLICE // 6)])
+    table = np.zeros((2, mixing.ORDERS * mixing.SLOTS), np.int64)
+    mixing.count(data, table)
+    mixer = mixing.start(table)
+    x, contexts = mixing.byte_contexts(data)
+    table = table.astype(np.int32)
+    most = {}
+    for name, run in (("price", lambda: mixer.log10_bytes(x, contexts)), ("train", lambda: mixing.train_bytes(mixer, table, x, contexts))):
+        tracemalloc.start()
+        run()
+        most[name] = tracemalloc.get_traced_memory()[1] / (mixing.SLICE * 64)  # in numbers of eight bytes a bit
+        tracemalloc.stop()
+    assert most["price"] < 20 and most["train"] < 42, most
