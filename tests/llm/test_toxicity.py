@@ -275,10 +275,15 @@ def test_the_model_build_leaves_no_files(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "free_shuffles", lambda spark: None)
     dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
 
-    def files():
-        shuffles = {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
-        return shuffles | set(Path(scratch_dir(spark).removeprefix("file:")).rglob("llm-*/*/part-*"))
+    def shuffles():
+        return {f: int(f.name.split("_")[1]) for d in dirs for f in Path(d).rglob("shuffle_*.data")}
 
+    def files():  # of later shuffles than the last one before
+        return {f for f, k in shuffles().items() if k > last} | set(
+            Path(scratch_dir(spark).removeprefix("file:")).rglob("llm-*/*/part-*"))
+
+    spark.range(9).repartition(2).count()
+    last = max(shuffles().values())
     before = files()
     models = toxicity.build_models(spark.createDataFrame(
         [(k % 50, k, k % 2 == 0, k % 3, 1) for k in range(400)],
@@ -290,6 +295,6 @@ def test_the_model_build_leaves_no_files(spark, monkeypatch):
         if left < 3000:  # the few rows of counts that are collected
             break
         sleep(0.2)
-    assert left < 3000
+    assert left < 3000, [(f.name, f.stat().st_size) for f in sorted(files() - before)]
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     assert spark.conf.get(key) == "false"
