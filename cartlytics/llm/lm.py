@@ -56,9 +56,12 @@ GATES = 16
 DISCOUNT = 0.75
 SOME = 10_000           # tokens priced at once
 PART_BYTES = 16 << 20   # text that makes a part
+PIECE_BYTES = 4 << 20   # of a part's tokens with their references, one row
+HELD_BYTES = 16 << 20   # sums per document that pricing holds
 SLICE = 100_000         # tokens spelled at once
-#: Rows of megabytes: a page ends with the row that fills it, not after a hundred.
-LARGE_ROWS = {"parquet.page.size.row.check.min": "1"}
+#: Rows of megabytes: a page ends with the row that fills it, not after a hundred,
+#: and so does a row group, which readers take whole.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size": str(8 << 20)}
 
 END_HASH = int(word_hashes([mixing.END])[0]) >> 32
 
@@ -135,7 +138,9 @@ def _chunks(parts: int, schema: pa.Schema):
 
 
 def _merge(schema: pa.Schema):
-    """All chunks' rows of one part: distinct tokens, counts, references.  What
+    """All chunks' rows of one part: distinct tokens, counts, references, as rows
+    of some megabytes with a piece of the tokens each.  The first one also has
+    what the online pass meets, the training tokens in order, and the sums.  What
     tells of a whole chunk passes through as rows of its own, batch by batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs, ends, part = [], np.zeros(GATES, np.int64), None
@@ -157,30 +162,56 @@ def _merge(schema: pa.Schema):
         cuts = np.searchsorted(first[order], starts)
         tokens: list[bytes] = [b""] * len(known)
         counts = np.zeros((len(known), GATES), np.int64)
-        refs = []
+        weight = np.zeros(len(known), np.int64)
         for k, b in enumerate(blobs):
             own = b.pop("tokens").split(b" ")
             for i in order[cuts[k]:cuts[k + 1]].tolist():
                 tokens[i] = own[first[i] - starts[k]]
-            index = inverse[starts[k]:starts[k + 1]].astype(np.uint32)
-            docs = np.frombuffer(b["docs"], np.uint16)
-            token = np.repeat(index, np.frombuffer(b["degree"], np.uint32))
+            index = inverse[starts[k]:starts[k + 1]]
+            docs, degree = np.frombuffer(b["docs"], np.uint16), np.frombuffer(b["degree"], np.uint32)
+            token = np.repeat(index, degree)
             times = np.frombuffer(b["times"], np.uint8) * np.frombuffer(b.pop("train"), np.uint8)[docs].astype(np.int64)
             np.add.at(counts, (token, np.frombuffer(b["gates"], np.uint8)[docs]), times)
-            refs.append({**b, "index": index.tobytes()})
+            weight[index] += 8 + 3 * degree.astype(np.int64)
+        weight += [len(t) + 1 for t in tokens]
+        weight += 16 * np.count_nonzero(counts, axis=1)
+        piece = np.cumsum(weight) // PIECE_BYTES
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(piece)) + 1, [len(known)]])
+        refs: list[list[dict]] = [[] for _ in edges[1:]]
+        for k, b in enumerate(blobs):
+            _into_pieces(b, inverse[starts[k]:starts[k + 1]], edges, refs)
+        del blobs, hashes, inverse
         total = counts.sum(axis=1)
+        seen = np.flatnonzero(total)
         by_code = np.zeros((2, 256, GATES), np.int64)
         code = (known >> np.uint64(56)).astype(np.int64)
         np.add.at(by_code[0], code, counts)
         np.add.at(by_code[1], code, counts > 0)
-        yield pa.RecordBatch.from_pylist([{
-            "part": part, "tokens": b" ".join(tokens), "counts": _packed(counts), "refs": refs, "info": None,
-            "n_distinct": int((total > 0).sum()), "n_single": int((total == 1).sum()),
-            "by_gate": np.stack([counts.sum(axis=0), (counts > 0).sum(axis=0), ends]).ravel().tolist(),
-            "by_code": by_code.ravel().tolist()}], schema)
+        sums = {"met": b" ".join([tokens[i] for i in seen.tolist()]), "met_times": total[seen].tobytes(),
+                "n_distinct": int((total > 0).sum()), "n_single": int((total == 1).sum()),
+                "by_gate": np.stack([counts.sum(axis=0), (counts > 0).sum(axis=0), ends]).ravel().tolist(),
+                "by_code": by_code.ravel().tolist()}
+        for k, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            row = {"part": part, "tokens": b" ".join(tokens[a:z]), "counts": _packed(counts[a:z]), "refs": refs[k], "info": None}
+            refs[k] = []
+            yield pa.RecordBatch.from_pylist([row | (sums if not k else dict.fromkeys(sums))], schema)
     return run
 
 
+def _into_pieces(blob: dict, index: np.ndarray, edges: np.ndarray, refs: list[list[dict]]) -> None:
+    """A chunk's references of the tokens ``index``, for each piece of the part's
+    tokens; a piece has the tokens from one of ``edges`` to the next."""
+    degree = np.frombuffer(blob["degree"], np.uint32)
+    docs, times = np.frombuffer(blob["docs"], np.uint16), np.frombuffer(blob["times"], np.uint8)
+    piece = np.searchsorted(edges, index, "right") - 1
+    of = np.repeat(piece, degree)
+    for p in np.unique(piece).tolist():
+        own, mine = piece == p, of == p
+        refs[p].append({"chunk": blob["chunk"], "index": (index[own] - edges[p]).astype(np.uint32).tobytes(),
+                        "gates": blob["gates"], "degree": degree[own].tobytes(),
+                        "docs": docs[mine].tobytes(), "times": times[mine].tobytes()})
+
+
 def _packed(counts: np.ndarray) -> bytes:
     """[token, gate] counts, most of them 0, as places and values."""
     token, of = np.nonzero(counts)
@@ -200,10 +231,7 @@ def _split(text: bytes) -> list[bytes]:
 
 def _known_tokens(batch, i) -> tuple[list[bytes], np.ndarray]:
     """Training tokens of a part, and how often they occur."""
-    tokens = _split(batch.column("tokens")[i].as_py())
-    total = _unpacked(batch.column("counts")[i].as_py(), len(tokens)).sum(axis=1)
-    seen = np.flatnonzero(total)
-    return [tokens[k] for k in seen.tolist()], total[seen]
+    return _split(batch.column("met")[i].as_py()), np.frombuffer(batch.column("met_times")[i].as_py(), np.int64)
 
 
 def _in_segments(table: np.ndarray):
@@ -365,8 +393,20 @@ class Model:
 
 
 def _price(shared):
+    def told(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        out: dict[str, list] = {k: [] for k in ("chunk", "docs", "known", "base", "score")}
+        for chunk, sums in held.items():
+            docs = np.flatnonzero(sums[0])
+            met, *rest = (x[docs] for x in sums[1:])
+            for k, x in zip(out, (chunk, docs.astype(np.uint16), met.astype(np.uint32), *rest), strict=True):
+                out[k].append(x if k == "chunk" else x.tobytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(out["chunk"], pa.int64())] + [pa.array(out[k], pa.binary()) for k in list(out)[1:]], names=list(out))
+
     def run(batches):
         model = shared.value
+        held: dict[int, np.ndarray] = {}  # [tokens, known, base, score] by document of a chunk
+        part, size = None, 0
         for batch in batches:
             for i in range(batch.num_rows):
                 tokens = _split(batch.column("tokens")[i].as_py())
@@ -377,22 +417,25 @@ def _price(shared):
                     spelled = model.mixer.log10_tokens(mixing.spell(tokens[a:a + SOME]))
                     code = (word_hashes(tokens[a:a + SOME]) >> np.uint64(56)).astype(np.int64)
                     score[a:a + SOME] = model.token(spelled, counts[a:a + SOME]) - model.code_price[code]
-                out: dict[str, list] = {k: [] for k in ("chunk", "docs", "known", "base", "score")}
-                for ref in batch.column("refs")[i].as_py():
+                before, part = part, batch.column("part")[i].as_py()
+                if held and before != part:
+                    yield told(held)
+                    held, size = {}, 0
+                for ref in batch.column("refs")[i]:
+                    ref = ref.as_py()
                     token = np.repeat(np.frombuffer(ref["index"], np.uint32), np.frombuffer(ref["degree"], np.uint32))
                     times = np.frombuffer(ref["times"], np.uint8).astype(np.float64)
-                    docs = np.frombuffer(ref["docs"], np.uint16)
-                    gates = np.frombuffer(ref["gates"], np.uint8)[docs]
-                    docs, place = np.unique(docs, return_inverse=True)
-                    out["chunk"].append(ref["chunk"])
-                    out["docs"].append(docs.tobytes())
-                    for name, weight in (("known", known[token]), ("base", base[token]), ("score", score[token, gates])):
-                        total = np.bincount(place, weights=times * weight, minlength=len(docs))
-                        out[name].append((total.astype(np.uint32) if name == "known" else total).tobytes())
-                if out["chunk"]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(out["chunk"], pa.int64())] + [pa.array(out[k], pa.binary()) for k in list(out)[1:]],
-                        names=list(out))
+                    docs, gates = np.frombuffer(ref["docs"], np.uint16), np.frombuffer(ref["gates"], np.uint8)
+                    if ref["chunk"] not in held:
+                        held[ref["chunk"]] = np.zeros((4, len(gates)))
+                        size += 32 * len(gates)
+                    for total, weight in zip(held[ref["chunk"]], (1, known[token], base[token], score[token, gates[docs]]), strict=True):
+                        total += np.bincount(docs, weights=times * weight, minlength=len(gates))
+                    if size >= HELD_BYTES:
+                        yield told(held)
+                        held, size = {}, 0
+        if held:
+            yield told(held)
     return run
 
 
@@ -431,7 +474,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                        F.coalesce(held_out, F.lit(False)).alias("held"))
     schema = f"part int, info struct<{_struct(_INFO)}>, blob struct<{_struct(_BLOB)}>"
     arrow = _arrow_schema(spark, schema)
-    of_part = ("part int, tokens binary, counts binary, "
+    of_part = ("part int, tokens binary, counts binary, met binary, met_times binary, "
                "refs array<struct<chunk:long,index:binary,gates:binary,degree:binary,docs:binary,times:binary>>, "
                f"info struct<{_struct(_INFO)}>, n_distinct long, n_single long, by_gate array<long>, by_code array<long>")
     merged = save(rows.mapInArrow(_chunks(parts, arrow), schema).groupBy("part").applyInArrow(
@@ -446,7 +489,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         by_code[r["place"]] = r["n"]
 
     tasks = max(12, parts // 8)
-    spelled = tables.select("tokens", "counts").coalesce(tasks)
+    spelled = merged.where("met IS NOT NULL").select("met", "met_times").coalesce(tasks)
     table = _summed(spelled.mapInArrow(_count_tables, "segment int, counts binary"), mixing.ORDERS * mixing.SLOTS)
     mixer = mixing.start(table)
     shared_table = spark.sparkContext.broadcast((mixer, np.minimum(table, 2 ** 31 - 1).astype(np.int32)))
@@ -473,7 +516,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     end = (float(model.base(ends)[0]), model.token(mixer.log10_tokens(mixing.END), ends)[0] - model.code_price[END_HASH >> 24] + model.gate_price,
            bool(model.ends.sum() > 0))
     shared = spark.sparkContext.broadcast(model)
-    priced = tables.select("tokens", "counts", "refs").mapInArrow(
+    priced = tables.select("part", "tokens", "counts", "refs").mapInArrow(
         _price(shared), "chunk long, docs binary, known binary, base binary, score binary")
     ordered = texts.mapInArrow(_price_order(spark.sparkContext.broadcast(order)), priced.schema)
     priced = priced.unionByName(ordered)

@@ -40,6 +40,8 @@ END = b"\n"
 
 _NODE = np.uint64(0xD6E8FEB86659FD93)
 _LEVELS = np.arange(8)
+_BITS = (np.arange(256)[:, None] >> (7 - _LEVELS)) & 1
+_NODES = (256 | np.arange(256)[:, None]) >> (8 - _LEVELS)
 _LOGS = np.log(np.arange(1 << 16) + PRIOR)
 _STEPS = np.array([3, 15, 63, 255, 1023])
 
@@ -99,15 +101,17 @@ def codes(hashes: np.ndarray) -> np.ndarray:
 
 def bits_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """[byte, bit] bits and nodes."""
-    value = x.astype(np.int64)[:, None]
-    return (value >> (7 - _LEVELS)) & 1, (256 | value) >> (8 - _LEVELS)
+    return _BITS.take(x, axis=0), _NODES.take(x, axis=0)
 
 
 def places(nodes: np.ndarray, contexts: np.ndarray, order: int, slot_bits: int = SLOT_BITS) -> np.ndarray:
     """[byte, bit] slots of one order among those of all."""
     with np.errstate(over="ignore"):
-        at = (contexts[:, order, None] * _NODE + nodes.astype(np.uint64) * _NODE) >> np.uint64(64 - slot_bits)
-    return at.view(np.int64) + (order << slot_bits)
+        at = nodes.view(np.uint64) * _NODE
+        at += (contexts[:, order] * _NODE)[:, None]
+    at >>= np.uint64(64 - slot_bits)
+    at += np.uint64(order << slot_bits)
+    return at.view(np.int64)
 
 
 def slots(x: np.ndarray, contexts: np.ndarray, slot_bits: int = SLOT_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -192,3 +192,23 @@ def test_mixing_holds_one_order_at_a_time():
         most[name] = tracemalloc.get_traced_memory()[1] / (mixing.SLICE * 64)  # in numbers of eight bytes a bit
         tracemalloc.stop()
     assert most["price"] < 20 and most["train"] < 42, most
+
+
+def test_parts_are_rows_of_bounded_pieces(spark, monkeypatch):
+    saved, got = [], []
+    monkeypatch.setattr(lm, "save", lambda df, *a, **b: saved.append(common.save(df, *a, **b)) or saved[-1])
+    monkeypatch.setattr(lm, "CHUNK_DOCS", 10)
+    rng = random.Random(9)
+    docs = documents(spark, [(i, prose(rng, 60, 400)) for i in range(60)] + ODD_ROWS).coalesce(1)
+    for size in (4 << 20, 1000):
+        monkeypatch.setattr(lm, "PIECE_BYTES", size, raising=False)
+        monkeypatch.setattr(lm, "HELD_BYTES", size, raising=False)
+        got.append(sorted(scored(spark, docs, F.col("doc_id") % 5 == 0), key=lambda r: (str(r["doc_id"]), r["score"])))
+    whole, cut = ([r for r in rows.collect() if r["tokens"] is not None] for rows in saved)
+    assert len(whole) == 1 and len(cut) > 10 and sum(r["met"] is not None for r in cut) == 1
+    assert b" ".join(r["tokens"] for r in cut) == whole[0]["tokens"]
+    longest = max(len(t) for t in whole[0]["tokens"].split(b" "))
+    for r in cut:
+        assert len(r["tokens"]) + len(r["counts"]) + sum(len(x["docs"]) + len(x["times"]) + len(x["index"]) for x in r["refs"]) < 3000 + longest
+    for a, b in zip(*got, strict=True):
+        assert a[:5] == b[:5] and math.isclose(a["base_score"], b["base_score"], rel_tol=1e-12) and math.isclose(a["score"], b["score"], rel_tol=1e-9)
