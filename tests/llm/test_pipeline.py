@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartlytics.llm import linededup, packing, toxicity
+from cartlytics.llm import common, linededup, packing, toxicity
 from cartlytics.llm.common import save
 
 from .conftest import ODD_ROWS, documents, prose
@@ -104,3 +104,13 @@ def test_stages_keep_clashing_columns(spark, corpus):
         assert out.where("rep <> 'rep' or line <> 'line'").count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() >= 30
     assert toxicity.score(docs, toxicity.Model()).count() == 30
+
+
+def test_a_saved_table_frees_a_full_driver(spark, monkeypatch):
+    freed = []
+    monkeypatch.setattr(common, "free_shuffles", freed.append)
+    for share, times in ((0.4, 0), (0.6, 1)):
+        monkeypatch.setattr(common, "heap_share", lambda _, share=share: share, raising=False)
+        assert common.save(spark.range(3), "numbers").count() == 3 and len(freed) == times
+    monkeypatch.undo()
+    assert 0 < common.heap_share(spark) <= 1
